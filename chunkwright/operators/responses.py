@@ -136,22 +136,43 @@ def pending_requests(
     )
 
 
-def resolve_comments(attempts: DataFrame, max_attempts: int = P.COMMENT_ATTEMPTS) -> DataFrame:
-    """Comment mode: the first answer wins with no validation. A failed call
-    uses up a try; a missing answer fails the chunk at once."""
+def comment_outcomes(attempts: DataFrame, max_attempts: int = P.COMMENT_ATTEMPTS) -> DataFrame:
+    """Per chunk in comment mode: tries, first answered try and its text,
+    first try whose answer was missing (no error, no text)."""
     err = _error_col(attempts)
     within = F.col("attempt") <= max_attempts
     ok = within & err.isNull() & F.col("response").isNotNull()
     missing = within & err.isNull() & F.col("response").isNull()
-    g = attempts.groupBy(*CHUNK_KEY).agg(
-        F.min(F.when(ok, F.col("attempt"))).cast("bigint").alias("win"),
-        F.min_by(F.col("response"), F.when(ok, F.col("attempt"))).alias("_resp"),
-        F.min(F.when(missing, F.col("attempt"))).cast("bigint").alias("_missing"),
+    return attempts.groupBy(*CHUNK_KEY).agg(
+        F.count(F.when(within, 1)).cast("bigint").alias("tries"),
+        F.min(F.when(ok, F.col("attempt"))).cast("bigint").alias("first_ok"),
+        F.min_by(F.col("response"), F.when(ok, F.col("attempt"))).alias("response"),
+        F.min(F.when(missing, F.col("attempt"))).cast("bigint").alias("first_missing"),
     )
-    failed = F.col("win").isNull() | (F.col("_missing").isNotNull() & (F.col("_missing") < F.col("win")))
-    return g.select(
+
+
+def comment_failed():
+    return F.col("first_ok").isNull() | (
+        F.col("first_missing").isNotNull() & (F.col("first_missing") < F.col("first_ok"))
+    )
+
+
+def resolve_comments(attempts: DataFrame, max_attempts: int = P.COMMENT_ATTEMPTS) -> DataFrame:
+    """Comment mode: the first answer wins with no validation. A failed call
+    uses up a try; a missing answer fails the chunk at once."""
+    failed = comment_failed()
+    return comment_outcomes(attempts, max_attempts).select(
         *CHUNK_KEY,
-        F.when(~failed, F.col("win")).alias("win"),
-        F.when(~failed, py_strip(F.col("_resp"))).alias("comment"),
+        F.when(~failed, F.col("first_ok")).alias("win"),
+        F.when(~failed, py_strip(F.col("response"))).alias("comment"),
         failed.alias("failed"),
     )
+
+
+def pending_comment_requests(requests: DataFrame, attempts: DataFrame, max_attempts: int = P.COMMENT_ATTEMPTS) -> DataFrame:
+    """Comment requests still open: no answer, no missing answer, tries left."""
+    out = comment_outcomes(attempts, max_attempts)
+    j = requests.join(out, CHUNK_KEY, "left")
+    tries = F.coalesce(F.col("tries"), F.lit(0))
+    keep = F.col("first_ok").isNull() & F.col("first_missing").isNull() & (tries < max_attempts)
+    return j.where(keep).select(*requests.columns, (tries + 1).cast("bigint").alias("attempt"))

@@ -175,3 +175,20 @@ from (select rel_path, section, string_split(string_agg(val, ', ' order by chunk
 
 def sql(*ctes: str, final: str) -> str:
     return "with recursive\n" + ",\n".join(ctes) + "\n" + final
+
+
+def sql_str(s: str) -> str:
+    return _q(s)
+
+
+def outcomes_failed(src: str) -> str:
+    return f"select * from {src} where first_error is not null and (win is null or first_error < win)"
+
+
+def centre(text: str, n: int) -> str:
+    return f"case when length({text})<={n} then {text} else substr({text}, (floor(length({text})/2) - {n // 2} + 1)::bigint, {n}) end"
+
+
+def splitlines(x: str) -> str:
+    parts = rf"string_split_regex({x}, '\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\x{{2028}}\x{{2029}}]')"
+    return f"case when {parts}[-1]='' then {parts}[1:len({parts})-1] else {parts} end"

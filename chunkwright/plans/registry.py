@@ -88,3 +88,368 @@ def q_merge_text(spark, sf):
     run = summary_run(spark, sf)
     best = D.resolve_attempts(run.parsed).where(F.col("win").isNotNull())
     return E.merge_text(E.record_entries(best))
+
+
+# ------------------------------------------------------------------- B --
+
+@register("python_files", O.sql(O.FILES, final="select rel_path, file_name from files where ends_with(file_name, '.py')"))
+def q_python_files(spark, sf):
+    from chunkwright.operators.filters import python_files
+    configure(spark)
+    return python_files(documents_as_files(spark, sf)).select("rel_path", "file_name")
+
+
+@register("non_test_files", O.sql(O.FILES, final="select rel_path, file_name from files where not contains(lower(file_name), 'test')"))
+def q_non_test_files(spark, sf):
+    from chunkwright.operators.filters import non_test_files
+    configure(spark)
+    return non_test_files(documents_as_files(spark, sf)).select("rel_path", "file_name")
+
+
+@register("chunk_gate", O.sql(*S_FILES, final="select rel_path, chunk_no, gated from chunks"))
+def q_chunk_gate(spark, sf):
+    return summary_run(spark, sf).chunks.select("rel_path", "chunk_no", "gated")
+
+
+@register(
+    "rel_paths",
+    O.sql(O.FILES, final="select concat('/data/corpus/', rel_path) as path, rel_path from files"),
+)
+def q_rel_paths(spark, sf):
+    from chunkwright.operators.filters import relative_paths
+    configure(spark)
+    absolute = documents_as_files(spark, sf).select(F.concat(F.lit("/data/corpus/"), "rel_path").alias("path"))
+    return relative_paths(absolute, "/data/corpus/").select("path", "rel_path")
+
+
+# ------------------------------------------------------------------- C --
+
+@register("head_sample", O.sql(O.FILES, O.KEPT, final=f"select rel_path, substr(text, 1, {P.SUMMARY_SAMPLE_CHARS}) as head from kept"))
+def q_head_sample(spark, sf):
+    from chunkwright.functions.text import head_sample
+    return kept_files(spark, sf).select("rel_path", head_sample("text", P.SUMMARY_SAMPLE_CHARS).alias("head"))
+
+
+@register("centre_sample", O.sql(O.FILES, O.KEPT, final=f"select rel_path, {O.centre('text', P.SUMMARY_SAMPLE_CHARS)} as centre from kept"))
+def q_centre_sample(spark, sf):
+    from chunkwright.functions.text import centre_sample
+    return kept_files(spark, sf).select("rel_path", centre_sample("text", P.SUMMARY_SAMPLE_CHARS).alias("centre"))
+
+
+@register(
+    "token_counts",
+    O.sql(
+        O.FILES, O.KEPT,
+        final=f"select rel_path, {O.token_count(f'substr(text,1,{P.SUMMARY_SAMPLE_CHARS})')} as sample_tokens, "
+        f"{O.token_count('text')} as text_tokens from kept",
+    ),
+)
+def q_token_counts(spark, sf):
+    from chunkwright.functions.text import head_sample, token_count
+    return kept_files(spark, sf).select(
+        "rel_path",
+        token_count(head_sample("text", P.SUMMARY_SAMPLE_CHARS)).alias("sample_tokens"),
+        token_count("text").alias("text_tokens"),
+    )
+
+
+@register(
+    "chars_per_token",
+    O.sql(
+        O.FILES, O.KEPT,
+        final=f"select rel_path, {O.ratio(f'substr(text,1,{P.SUMMARY_SAMPLE_CHARS})')} as ratio_summary, "
+        f"{O.ratio(f'substr(text,1,{P.COMMENT_SAMPLE_CHARS})')} as ratio_comment from kept",
+    ),
+)
+def q_chars_per_token(spark, sf):
+    from chunkwright.functions.text import chars_per_token, head_sample, token_count
+    def r(n):
+        s = head_sample("text", n)
+        return chars_per_token(s, token_count(s))
+    return kept_files(spark, sf).select(
+        "rel_path", r(P.SUMMARY_SAMPLE_CHARS).alias("ratio_summary"), r(P.COMMENT_SAMPLE_CHARS).alias("ratio_comment")
+    )
+
+
+@register(
+    "chunk_budget",
+    O.sql(
+        O.FILES, O.KEPT,
+        final=f"select rel_path, {O.budget(f'substr(text,1,{P.SUMMARY_SAMPLE_CHARS})', P.SUMMARY_CHUNK_TOKENS)} as max_chars_summary, "
+        f"{O.budget(f'substr(text,1,{P.COMMENT_SAMPLE_CHARS})', P.COMMENT_CHUNK_TOKENS)} as max_chars_comment from kept",
+    ),
+)
+def q_chunk_budget(spark, sf):
+    from chunkwright.operators.chunking import with_budget
+    k = kept_files(spark, sf)
+    a = with_budget(k, P.SUMMARY_CHUNK_TOKENS, P.SUMMARY_SAMPLE_CHARS).withColumnRenamed("max_chars", "max_chars_summary")
+    b = with_budget(a.drop("n_tokens", "chars_per_token"), P.COMMENT_CHUNK_TOKENS, P.COMMENT_SAMPLE_CHARS)
+    return b.select("rel_path", "max_chars_summary", F.col("max_chars").alias("max_chars_comment"))
+
+
+@register("chunk_words", O.sql(*S_FILES, final="select rel_path, chunk_no, n_chunks, chunk_text from chunks"))
+def q_chunk_words(spark, sf):
+    return summary_run(spark, sf).chunks.select("rel_path", "chunk_no", "n_chunks", "chunk_text")
+
+
+COMMENT_BUDGET = O.budget(f"substr(text,1,{P.COMMENT_SAMPLE_CHARS})", P.COMMENT_CHUNK_TOKENS)
+S_COMMENT_FILES = [
+    O.FILES,
+    O.KEPT,
+    f"kept_m as (select *, {COMMENT_BUDGET} as mc from kept)",
+    O.chunks_cte("cchunks", "kept_m", "mc", kind="line"),
+]
+
+
+@register("chunk_lines", O.sql(*S_COMMENT_FILES, final="select rel_path, chunk_no, n_chunks, chunk_text from cchunks"))
+def q_chunk_lines(spark, sf):
+    from chunkwright.plans.annotate import comment_chunks
+    return comment_chunks(kept_files(spark, sf), carry=CARRY).select("rel_path", "chunk_no", "n_chunks", "chunk_text")
+
+
+TOKEN_WINDOW = 256
+
+
+@register(
+    "chunk_tokens",
+    O.sql(
+        O.FILES, O.KEPT,
+        f"tk as (select rel_path, regexp_extract_all(text, {O.PRETOKEN}) as t from kept)",
+        final=f"""select rel_path, i::bigint as chunk_no, ((len(t)-1)//{TOKEN_WINDOW}+1)::bigint as n_chunks,
+  array_to_string(t[i*{TOKEN_WINDOW}+1:i*{TOKEN_WINDOW}+{TOKEN_WINDOW}], '') as chunk_text
+from (select rel_path, t, unnest(range(0, ((len(t)-1)//{TOKEN_WINDOW}+1)::bigint)) as i from tk where len(t)>0)""",
+    ),
+)
+def q_chunk_tokens(spark, sf):
+    from chunkwright.operators.chunking import chunk_tokens
+    return chunk_tokens(kept_files(spark, sf), TOKEN_WINDOW).select("rel_path", "chunk_no", "n_chunks", "chunk_text")
+
+
+@register(
+    "chunk_stats",
+    O.sql(
+        *S_FILES,
+        final="select rel_path, count(*)::bigint as n_chunks, max(length(chunk_text))::bigint as max_chunk_chars, "
+        "sum(length(chunk_text))::bigint as total_chars from chunks group by rel_path",
+    ),
+)
+def q_chunk_stats(spark, sf):
+    from chunkwright.operators.chunking import chunk_stats
+    return chunk_stats(summary_run(spark, sf).chunks)
+
+
+# ------------------------------------------------------------------- D --
+
+def _req_sql(src: str, prefix: str, suffix: str, system: str, model: str, max_tokens: int) -> str:
+    prompt = f"concat({O.sql_str(prefix)}, chunk_text, {O.sql_str(suffix)})"
+    return f"""select sha256(concat_ws('|', rel_path, chunk_no::varchar, prompt)) as request_id, rel_path, chunk_no,
+  {O.sql_str(system)} as system, prompt, {O.sql_str(model)} as model, {max_tokens}::integer as max_tokens,
+  0.5::double as temperature, 1::integer as n
+from (select *, {prompt} as prompt from {src} where not gated)"""
+
+
+def _summary_req_sql(src: str = "chunks") -> str:
+    from chunkwright.operators import requests as R
+    return _req_sql(src, R.SUMMARY_PREFIX, R.SUMMARY_SUFFIX, R.SUMMARY_SYSTEM, SUMMARY_FIXTURE.model, P.RESPONSE_TOKENS)
+
+
+@register("summary_requests", O.sql(*S_FILES, final=_summary_req_sql()))
+def q_summary_requests(spark, sf):
+    return summary_run(spark, sf).requests.select(
+        "request_id", "rel_path", "chunk_no", "system", "prompt", "model", "max_tokens", "temperature", "n"
+    )
+
+
+def _comment_req_sql() -> str:
+    from chunkwright.operators import requests as R
+    base = _req_sql("cchunks", R.COMMENT_PREFIX, R.COMMENT_SUFFIX, R.COMMENT_SYSTEM, P.CommentParams().model, P.COMMENT_RESPONSE_TOKENS)
+    return f"select *, '1:0.5-1.5;2:1.0-3.0' as waits from ({base})"
+
+
+@register("comment_requests", O.sql(*S_COMMENT_FILES, final=_comment_req_sql()))
+def q_comment_requests(spark, sf):
+    req = annotate_run(spark, sf).requests
+    waits = F.array_join(
+        F.transform("waits", lambda w: F.concat(w["after_try"].cast("string"), F.lit(":"), w["min_wait_sec"].cast("string"),
+                                                F.lit("-"), w["max_wait_sec"].cast("string"))), ";")
+    return req.select("request_id", "rel_path", "chunk_no", "system", "prompt", "model", "max_tokens", "temperature", "n",
+                      waits.alias("waits"))
+
+
+@register("complete_stub")
+def q_complete_stub(spark, sf):
+    from chunkwright.operators import completion as D4
+    req = summary_run(spark, sf).requests.withColumn("attempt", F.lit(1).cast("bigint"))
+    return D4.complete(req, D4.offline_stub)
+
+
+ATTEMPT_KEY = "rel_path, chunk_no, attempt"
+
+
+@register("extract_json", O.sql(*s_parsed(), final=f"select {ATTEMPT_KEY}, extracted from parsed"))
+def q_extract_json(spark, sf):
+    return summary_run(spark, sf).parsed.select("rel_path", "chunk_no", "attempt", "extracted")
+
+
+@register("decode_json", O.sql(*s_parsed(), final=f"select {ATTEMPT_KEY}, json_text, coalesce(n_keys, -1) as n_keys from parsed"))
+def q_decode_json(spark, sf):
+    # n_keys is -1 when the answer does not decode (no NULLs in integer columns).
+    return summary_run(spark, sf).parsed.select(
+        "rel_path", "chunk_no", "attempt", "json_text", F.coalesce("n_keys", F.lit(-1)).cast("bigint").alias("n_keys"))
+
+
+@register("validate_responses", O.sql(*s_parsed(), final=f"select {ATTEMPT_KEY}, status from parsed"))
+def q_validate_responses(spark, sf):
+    return summary_run(spark, sf).parsed.select("rel_path", "chunk_no", "attempt", "status")
+
+
+@register("incomplete_json", O.sql(*s_parsed(), final=f"select {ATTEMPT_KEY}, incomplete from parsed"))
+def q_incomplete_json(spark, sf):
+    return summary_run(spark, sf).parsed.select("rel_path", "chunk_no", "attempt", "incomplete")
+
+
+@register(
+    "incomplete_prose",
+    f"select conv_id, turn, case when text is null then null else {O.strip('text')}<>'' and right({O.strip('text')},1) not in ('.','!','?') end as incomplete from conversations",
+)
+def q_incomplete_prose(spark, sf):
+    from chunkwright.functions.jsontext import prose_incomplete
+    from chunkwright.sources.tables import table
+    configure(spark)
+    return table(spark, sf, "conversations").select("conv_id", "turn", prose_incomplete("text").alias("incomplete"))
+
+
+@register(
+    "resolve_attempts",
+    O.sql(*s_parsed(), O.outcomes_cte("outcomes", "parsed"), final="select rel_path, chunk_no, tries, win, json_text from outcomes"),
+)
+def q_resolve_attempts(spark, sf):
+    return D.resolve_attempts(summary_run(spark, sf).parsed)
+
+
+@register(
+    "attempt_budget",
+    O.sql(
+        *s_parsed(),
+        final=f"""select {ATTEMPT_KEY}, ({P.RESPONSE_TOKENS} + {P.BUDGET_STEP}*coalesce(sum(case when status in ('bad_keys','bad_types') and incomplete then 1 else 0 end)
+   over (partition by rel_path, chunk_no order by attempt rows between unbounded preceding and 1 preceding), 0))::bigint as max_tokens
+from parsed""",
+    ),
+)
+def q_attempt_budget(spark, sf):
+    return D.attempt_budget(summary_run(spark, sf).parsed).select("rel_path", "chunk_no", "attempt", "max_tokens")
+
+
+def _records_sql(max_attempts: int, with_errors: bool) -> list[str]:
+    return [
+        *s_parsed(with_errors),
+        O.outcomes_cte("outcomes", "parsed", max_attempts),
+        f"failed as ({O.outcomes_failed('outcomes')})",
+        f"""records as (
+  select c.rel_path, c.chunk_no, c.n_chunks,
+    case when c.gated then 'gated' when o.win is not null then 'model' else 'exhausted' end as origin,
+    case when c.gated then {O.sql_str(D.GATED_RECORD)} when o.win is not null then o.json_text
+         else {O.sql_str(D.EXHAUSTED_RECORD)} end as json_text
+  from chunks c left join outcomes o on c.rel_path=o.rel_path and c.chunk_no=o.chunk_no
+  where c.rel_path not in (select rel_path from failed))""",
+    ]
+
+
+@register("fallback_records", O.sql(*_records_sql(1, False), final="select rel_path, chunk_no, origin, json_text from records"))
+def q_fallback_records(spark, sf):
+    run = summary_run(spark, sf, params=SUMMARY_FIXTURE.with_(max_attempts=1))
+    return D.resolved_records(run.chunks, run.parsed, 1)
+
+
+@register(
+    "failed_files",
+    O.sql(
+        *s_parsed(True),
+        O.outcomes_cte("outcomes", "parsed"),
+        final=f"""select rel_path, count(*)::bigint as failed_chunks, min(chunk_no)::bigint as first_failed_chunk,
+  'call_error' as reason from ({O.outcomes_failed('outcomes')}) group by rel_path""",
+    ),
+)
+def q_failed_files(spark, sf):
+    return summary_run(spark, sf, with_errors=True).failed
+
+
+@register(
+    "pending_requests",
+    O.sql(
+        *s_parsed(True),
+        "so_far as (select * from parsed where attempt <= 2)",
+        O.outcomes_cte("outcomes", "so_far"),
+        f"requests as ({_summary_req_sql()})",
+        final=f"""select r.request_id, r.rel_path, r.chunk_no, (coalesce(o.tries,0)+1)::bigint as attempt,
+  ({P.RESPONSE_TOKENS} + {P.BUDGET_STEP}*coalesce(o.growth,0))::integer as max_tokens
+from requests r left join outcomes o on r.rel_path=o.rel_path and r.chunk_no=o.chunk_no
+where o.win is null and o.first_error is null and coalesce(o.tries,0) < {P.SUMMARY_ATTEMPTS}""",
+    ),
+)
+def q_pending_requests(spark, sf):
+    run = summary_run(spark, sf, with_errors=True)
+    so_far = run.parsed.where(F.col("attempt") <= 2)
+    return D.pending_requests(run.requests, so_far).select("request_id", "rel_path", "chunk_no", "attempt", "max_tokens")
+
+
+# ------------------------------------------------------ comment mode (D14) --
+
+def annotate_run(spark: SparkSession, sf: str):
+    from chunkwright.plans.annotate import annotate
+    return annotate(kept_files(spark, sf), attempts=lambda asked: FX.comment_attempts(asked), carry=CARRY)
+
+
+S_COMMENTS = [
+    *S_COMMENT_FILES,
+    "casked as (select * from cchunks where not gated)",
+    O.comment_attempts_cte("cattempts", "casked"),
+    f"""coutcomes as (
+  select rel_path, chunk_no, count(*) filter (where attempt<=3)::bigint as tries,
+    min(attempt) filter (where attempt<=3 and error is null and response is not null)::bigint as first_ok,
+    arg_min(response, attempt) filter (where attempt<=3 and error is null and response is not null) as response,
+    min(attempt) filter (where attempt<=3 and error is null and response is null)::bigint as first_missing
+  from cattempts group by rel_path, chunk_no)""",
+    f"""cresolved as (
+  select rel_path, chunk_no, fl as failed, case when not fl then first_ok end as win,
+         case when not fl then {O.strip('response')} end as comment
+  from (select *, (first_ok is null or (first_missing is not null and first_missing < first_ok)) as fl from coutcomes))""",
+    "cfailed as (select distinct rel_path from cresolved where failed)",
+    """ccomments as (
+  select c.rel_path, c.chunk_no, c.chunk_text, case when c.gated then c.chunk_text else r.comment end as comment
+  from cchunks c left join cresolved r on c.rel_path=r.rel_path and c.chunk_no=r.chunk_no
+  where c.rel_path not in (select rel_path from cfailed))""",
+    """cstitched as (
+  select rel_path, string_agg(comment, chr(10) order by chunk_no) as comments, string_agg(chunk_text, '' order by chunk_no) as text
+  from ccomments group by rel_path
+  union all select rel_path, '' as comments, '' as text from kept where length(text)=0)""",
+    "cartifacts as (select rel_path, rel_path as out_path, concat(comments, chr(10), chr(10), text) as body from cstitched)",
+]
+
+
+@register("resolve_comments", O.sql(*S_COMMENTS, final="select rel_path, chunk_no, coalesce(win, -1) as win, comment, failed from cresolved"))
+def q_resolve_comments(spark, sf):
+    r = annotate_run(spark, sf).resolved
+    return r.select("rel_path", "chunk_no", F.coalesce("win", F.lit(-1)).cast("bigint").alias("win"), "comment", "failed")
+
+
+@register("stitch_comments", O.sql(*S_COMMENTS, final="select rel_path, comments as stitched from cstitched"))
+def q_stitch_comments(spark, sf):
+    return annotate_run(spark, sf).stitched.select("rel_path", F.col("comments").alias("stitched"))
+
+
+@register("annotated_files", O.sql(*S_COMMENTS, final="select rel_path, out_path, body from cartifacts"))
+def q_annotated_files(spark, sf):
+    return annotate_run(spark, sf).artifacts
+
+
+@register(
+    "stitch_lines",
+    f"""select conv_id, len(l)::bigint as n_lines, array_to_string(l, chr(10)) as stitched
+from (select conv_id, flatten(list(lines order by turn)) as l
+      from (select conv_id, turn, {O.splitlines('text')} as lines from conversations) group by conv_id)""",
+)
+def q_stitch_lines(spark, sf):
+    from chunkwright.sources.tables import table
+    configure(spark)
+    return E.stitch_lines(table(spark, sf, "conversations"), "conv_id", "turn", "text")
