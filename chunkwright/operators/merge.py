@@ -42,7 +42,7 @@ def record_entries(records: DataFrame, carry=()) -> DataFrame:
             *carry,
             F.col("sec_pos").cast("bigint").alias("sec_pos"),
             F.col("_e.key").alias("section"),
-            F.element_at("_kinds", F.col("_e.key")).alias("kind"),
+            F.try_element_at("_kinds", F.col("_e.key")).alias("kind"),
             F.col("_e.value").alias("raw"),
         )
     )
@@ -63,10 +63,13 @@ def map_items(entries: DataFrame, sections=P.MAP_SECTIONS, carry=()) -> DataFram
             "section",
             F.col("item_pos").cast("bigint").alias("item_pos"),
             F.col("_e.key").alias("item"),
-            F.element_at("_kinds", F.col("_e.key")).alias("item_kind"),
+            F.try_element_at("_kinds", F.col("_e.key")).alias("item_kind"),
             F.col("_e.value").alias("item_raw"),
         )
-        .withColumn("value", F.when(F.col("item_kind") == "STRING", py_strip(F.col("item_raw"))).otherwise(F.col("item_raw")))
+        .withColumn(
+            "value",
+            F.when(F.col("item_kind") == "STRING", py_strip(F.col("item_raw"))).otherwise(F.coalesce(F.col("item_raw"), F.lit("null"))),
+        )
     )
 
 

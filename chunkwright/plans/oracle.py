@@ -192,3 +192,17 @@ def centre(text: str, n: int) -> str:
 def splitlines(x: str) -> str:
     parts = rf"string_split_regex({x}, '\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\x{{2028}}\x{{2029}}]')"
     return f"case when {parts}[-1]='' then {parts}[1:len({parts})-1] else {parts} end"
+
+
+def merge_maps_sql(src: str) -> str:
+    val = f"case when i.type='VARCHAR' then {strip(chr(40) + 'i.value->>' + chr(39) + '$' + chr(39) + chr(41))} else i.value::varchar end"
+    return f"""select rel_path, section, item, (row_number() over (partition by rel_path, section order by o) - 1)::bigint as item_no, val as value
+from (select rel_path, section, item, arg_min(val, o) as val, min(o) as o
+      from (select rel_path, chunk_no, s.key as section, i.key as item, chunk_no*1000000000 + i.id as o, {val} as val
+            from {src}, json_each(json_text) s, json_each(s.value) i
+            where json_text is not null and s.type='OBJECT' and s.key in {MAP_SECTIONS})
+      where not ({none_like('val')}) group by rel_path, section, item)"""
+
+
+def replace_ext(path: str, ext: str) -> str:
+    return rf"concat(regexp_replace({path}, '^((?:.*/)?\.*[^/.][^/]*)\.[^./]*$', '\1'), {_q(ext)})"

@@ -453,3 +453,125 @@ def q_stitch_lines(spark, sf):
     from chunkwright.sources.tables import table
     configure(spark)
     return E.stitch_lines(table(spark, sf, "conversations"), "conv_id", "turn", "text")
+
+
+# -------------------------------------------------------------- E1, E5-E7 --
+
+@register(
+    "merge_maps",
+    O.sql(
+        *s_parsed(),
+        O.outcomes_cte("outcomes", "parsed"),
+        "best as (select rel_path, chunk_no, json_text from outcomes where win is not null)",
+        final=O.merge_maps_sql("best"),
+    ),
+)
+def q_merge_maps(spark, sf):
+    run = summary_run(spark, sf)
+    best = D.resolve_attempts(run.parsed).where(F.col("win").isNotNull())
+    return E.merge_maps(E.record_entries(best))
+
+
+S_SUMMARIES = [
+    *_records_sql(P.SUMMARY_ATTEMPTS, True),
+    """fcounts as (
+  select k.rel_path, coalesce(max(c.n_chunks), 0)::bigint as n_chunks
+  from kept k left join chunks c on k.rel_path=c.rel_path
+  where k.rel_path not in (select rel_path from failed) group by k.rel_path)""",
+    "single as (select * from records where n_chunks = 1)",
+    "multi as (select * from records where n_chunks <> 1)",
+    """single_rows as (
+  select rel_path, j.key as section, null::varchar as item, -1::bigint as item_no, j.value->>'$' as value, 'single' as branch
+  from single, json_each(json_text) j where j.type='VARCHAR'
+  union all
+  select rel_path, s.key, i.key, (row_number() over (partition by rel_path, s.key order by i.id) - 1)::bigint,
+         case when i.type='VARCHAR' then i.value->>'$' else i.value::varchar end, 'single'
+  from single, json_each(json_text) s, json_each(s.value) i where s.type='OBJECT')""",
+    f"mtext as ({O.merge_text_sql('multi')})",
+    f"mmaps as ({O.merge_maps_sql('multi')})",
+    f"""merged_rows as (
+  select k.rel_path, k.section, null::varchar as item, -1::bigint as item_no, coalesce(t.value, '') as value, 'merged' as branch
+  from (select f.rel_path, s.section from fcounts f, (select unnest({O._pylist(P.TEXT_SECTIONS)}) as section) s where f.n_chunks <> 1) k
+  left join mtext t on k.rel_path=t.rel_path and k.section=t.section
+  union all
+  select rel_path, section, item, item_no, value, 'merged' from mmaps)""",
+    "summaries as (select * from single_rows union all select * from merged_rows)",
+]
+
+
+def _no_null_item_no(df):
+    return df.withColumn("item_no", F.coalesce("item_no", F.lit(-1)).cast("bigint"))
+
+
+@register("file_summaries", O.sql(*S_SUMMARIES, final="select rel_path, section, item, item_no, value, branch from summaries"))
+def q_file_summaries(spark, sf):
+    return _no_null_item_no(summary_run(spark, sf, with_errors=True).summaries)
+
+
+def _snake(s: str) -> str:
+    import re
+    return re.sub(r"[^a-z0-9]+", "_", s.lower()).strip("_")
+
+
+def _wide_sql() -> str:
+    cols = []
+    for s in P.MERGED_SECTIONS:
+        if s in P.MAP_SECTIONS:
+            cols.append(
+                f"coalesce(string_agg(concat(item, ': ', value), chr(10) order by item_no) filter (where section={O.sql_str(s)}), '') as {_snake(s)}"
+            )
+        else:
+            cols.append(f"coalesce(max(value) filter (where section={O.sql_str(s)} and item is null), '') as {_snake(s)}")
+    return f"select rel_path, {', '.join(cols)} from summaries group by rel_path"
+
+
+@register("summary_wide", O.sql(*S_SUMMARIES, final=_wide_sql()))
+def q_summary_wide(spark, sf):
+    wide = summary_run(spark, sf, with_errors=True).wide
+    cols = []
+    for s in P.MERGED_SECTIONS:
+        c = F.col(f"`{s}`")
+        if s in P.MAP_SECTIONS:
+            c = F.array_join(F.transform(F.map_entries(c), lambda e: F.concat(e["key"], F.lit(": "), e["value"])), "\n")
+        cols.append(c.alias(_snake(s)))
+    return wide.select("rel_path", *cols)
+
+
+@register(
+    "merge_skips",
+    O.sql(
+        *S_SUMMARIES,
+        final=f"""select rel_path, chunk_no, s.key as section, null::varchar as item, 'not_object' as reason
+from multi, json_each(json_text) s where s.key in {O.MAP_SECTIONS} and s.type <> 'OBJECT'
+union all
+select rel_path, chunk_no, section, item, reason from (
+  select rel_path, chunk_no, s.key as section, i.key as item,
+         case when i.type='VARCHAR' then {O.strip("(i.value->>'$')")} else i.value::varchar end as val, i.type as t
+  from multi, json_each(json_text) s, json_each(s.value) i where s.key in {O.MAP_SECTIONS} and s.type='OBJECT'),
+  (select unnest(['none_like_item', 'nested_value']) as reason)
+where (reason='none_like_item' and {O.none_like('val')}) or (reason='nested_value' and t <> 'VARCHAR')""",
+    ),
+)
+def q_merge_skips(spark, sf):
+    return summary_run(spark, sf, with_errors=True).skips
+
+
+@register(
+    "summary_artifacts",
+    O.sql(
+        *S_SUMMARIES,
+        final=f"""select rel_path, {O.replace_ext('rel_path', '.txt')} as out_path, 'single' as branch,
+  len(json_keys(json_text))::bigint as n_keys, json_extract_string(json_text, '$."Overall Summary"') as overall_summary from single
+union all
+select rel_path, {O.replace_ext('rel_path', '.txt')}, 'merged', {len(P.MERGED_SECTIONS)}::bigint, value
+from merged_rows where section='Overall Summary'""",
+    ),
+)
+def q_summary_artifacts(spark, sf):
+    art = summary_run(spark, sf, with_errors=True).artifacts
+    m = F.from_json("body", "map<string,string>")
+    return art.select(
+        "rel_path", "out_path", "branch",
+        F.size(m).cast("bigint").alias("n_keys"),
+        F.try_element_at(m, F.lit("Overall Summary")).alias("overall_summary"),
+    )
