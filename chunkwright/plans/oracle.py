@@ -206,3 +206,11 @@ from (select rel_path, section, item, arg_min(val, o) as val, min(o) as o
 
 def replace_ext(path: str, ext: str) -> str:
     return rf"concat(regexp_replace({path}, '^((?:.*/)?\.*[^/.][^/]*)\.[^./]*$', '\1'), {_q(ext)})"
+
+
+def esc(x: str) -> str:
+    return f"replace(replace(replace({x}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
+
+
+def attr(x: str) -> str:
+    return f"replace({esc(x)}, '\"', '&quot;')"

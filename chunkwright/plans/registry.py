@@ -575,3 +575,131 @@ def q_summary_artifacts(spark, sf):
         F.size(m).cast("bigint").alias("n_keys"),
         F.try_element_at(m, F.lit("Overall Summary")).alias("overall_summary"),
     )
+
+
+# ------------------------------------------------------------------- F --
+
+DOC_TITLE = "Annotated sources"
+
+
+def annotated_artifacts(spark, sf):
+    return annotate_run(spark, sf).artifacts
+
+
+S_NODES = [
+    *S_COMMENTS,
+    "ap as (select out_path, body, string_split(out_path, '/') as p from cartifacts)",
+    """nodes as (
+  select out_path as path, case when len(p)>1 then array_to_string(p[1:len(p)-1], '/') else '' end as parent,
+         p[-1] as name, (len(p)-1)::integer as depth, 'file' as kind from ap
+  union all
+  select distinct array_to_string(p[1:i], '/'), case when i>1 then array_to_string(p[1:i-1], '/') else '' end,
+         p[i], (i-1)::integer, 'dir' from (select p, unnest(range(1, len(p))) as i from ap))""",
+    """children as (
+  select parent as path, coalesce(list(name order by name) filter (where kind='dir'), []) as subdirs,
+         coalesce(list(name order by name) filter (where kind='file'), []) as files
+  from nodes group by parent)""",
+    f"""crumbs as (
+  select path, array_to_string(list_concat(list_transform(range(1, len(p)), lambda i: concat('<a href="#',
+           {O.attr("array_to_string(p[1:i], '/')")}, '">', {O.esc('p[i]')}, '</a>')), [{O.esc('p[-1]')}]), ' > ') as crumbs
+  from (select path, string_split(path, '/') as p from nodes where kind='dir'))""",
+]
+
+
+@register("directory_nodes", O.sql(*S_NODES, final="select path, parent, name, depth, kind from nodes"))
+def q_directory_nodes(spark, sf):
+    from chunkwright.operators.hierarchy import directory_nodes
+    return directory_nodes(annotated_artifacts(spark, sf))
+
+
+@register(
+    "directory_children",
+    O.sql(*S_NODES, final="select path, array_to_string(subdirs, chr(10)) as subdirs, array_to_string(files, chr(10)) as files from children"),
+)
+def q_directory_children(spark, sf):
+    from chunkwright.operators.hierarchy import directory_children, directory_nodes
+    k = directory_children(directory_nodes(annotated_artifacts(spark, sf)))
+    return k.select("path", F.array_join("subdirs", "\n").alias("subdirs"), F.array_join("files", "\n").alias("files"))
+
+
+@register("breadcrumbs", O.sql(*S_NODES, final="select path, crumbs from crumbs"))
+def q_breadcrumbs(spark, sf):
+    from chunkwright.operators.hierarchy import breadcrumbs, directory_nodes
+    return breadcrumbs(directory_nodes(annotated_artifacts(spark, sf)))
+
+
+def _fragments_sql() -> str:
+    def links(names):
+        return (f"array_to_string(list_transform({names}, lambda x: concat('<li><a href=\"#', {O.attr(chr(40) + 'c.path || ' + chr(39) + '/' + chr(39) + ' || x' + chr(41))}, '\">', "
+                f"{O.esc(chr(40) + 'c.path || ' + chr(39) + '/' + chr(39) + ' || x' + chr(41))}, '</a></li>')), '')")
+    t = O.esc(O.sql_str(DOC_TITLE))
+    return f"""select '' as sort_key, concat('<!DOCTYPE html>', chr(10), '<html><head><meta charset="utf-8"><title>', {t},
+    '</title></head>', chr(10), '<body>', chr(10), '<h1>', {t}, '</h1>', chr(10)) as body
+union all select '2', concat('</body></html>', chr(10))
+union all
+select array_to_string(list_transform(string_split(c.path, '/'), lambda x: '1' || x), chr(1)),
+  concat('<h2 id="', {O.attr('c.path')}, '">', c.crumbs, '</h2>', chr(10),
+         '<ul class="dirs">', {links('coalesce(k.subdirs, [])')}, '</ul>', chr(10),
+         '<ul class="files">', {links('coalesce(k.files, [])')}, '</ul>', chr(10))
+from crumbs c left join children k on c.path=k.path
+union all
+select array_to_string(list_concat(list_transform(p[1:len(p)-1], lambda x: '1' || x), ['0' || p[-1]]), chr(1)),
+  concat('<h3 id="', {O.attr('out_path')}, '">', {O.esc('out_path')}, '</h3>', chr(10), '<pre><code>', {O.esc('body')}, '</code></pre>', chr(10))
+from ap"""
+
+
+@register("document_fragments", O.sql(*S_NODES, final=_fragments_sql()))
+def q_document_fragments(spark, sf):
+    from chunkwright.operators.hierarchy import document_fragments
+    return document_fragments(annotated_artifacts(spark, sf), DOC_TITLE)
+
+
+@register(
+    "json_outline",
+    "select event_id, j.fullkey as path, j.atom::varchar as value from events, json_tree(props) j where j.fullkey <> '$'",
+)
+def q_json_outline(spark, sf):
+    from chunkwright.operators.hierarchy import json_outline
+    from chunkwright.sources.tables import table
+    configure(spark)
+    o = json_outline(table(spark, sf, "events").select("event_id", "props"), "event_id", "props")
+    return o.where(F.col("path") != "$").select("event_id", "path", "value")
+
+
+# ------------------------------------------------------------------- G --
+
+S_AUDIT = [
+    *S_SUMMARIES,
+    """audit as (
+  select rel_path, 'select' as stage, case when reason is null then 'kept' else 'skipped' end as status, reason
+  from (select rel_path, case when not ends_with(file_name, '.py') then 'suffix'
+                              when contains(lower(file_name), 'test') then 'test_name' end as reason from files)
+  union all
+  select k.rel_path, 'complete', case when f.rel_path is not null then 'failed' else 'ok' end,
+         case when f.rel_path is not null then 'call_error' end
+  from kept k left join (select distinct rel_path from failed) f on k.rel_path=f.rel_path
+  union all
+  select k.rel_path, 'resolve',
+         case when r.any_open=1 then 'exhausted' when r.max_win>1 then 'retried' else 'first_try' end, null
+  from kept k left join (select rel_path, max(coalesce(win,0)) as max_win, max(case when win is null then 1 else 0 end) as any_open
+                         from outcomes group by rel_path) r on k.rel_path=r.rel_path
+  where k.rel_path not in (select rel_path from failed))""",
+]
+
+
+def summary_audit_df(spark, sf):
+    from chunkwright.operators.audit import summary_audit
+    run = summary_run(spark, sf, with_errors=True)
+    return summary_audit(documents_as_files(spark, sf), run)
+
+
+@register("quarantine", O.sql(*S_AUDIT, final="select rel_path, stage, reason from audit where status='failed'"))
+def q_quarantine(spark, sf):
+    from chunkwright.operators.audit import quarantine
+    return quarantine(summary_audit_df(spark, sf))
+
+
+@register("run_report", O.sql(*S_AUDIT, final="select stage, status, count(*)::bigint as n from audit group by rollup(stage, status)"))
+def q_run_report(spark, sf):
+    from chunkwright.operators.audit import run_report
+    return run_report(summary_audit_df(spark, sf))
