@@ -703,3 +703,48 @@ def q_quarantine(spark, sf):
 def q_run_report(spark, sf):
     from chunkwright.operators.audit import run_report
     return run_report(summary_audit_df(spark, sf))
+
+
+# ------------------------------------------------------------------- A --
+
+def _tree_of(spark, df: DataFrame, name: str) -> str:
+    """Write df (out_path, body) as a file tree in the shared work folder."""
+    from chunkwright.session import scratch_path, strip_scheme
+    from chunkwright.sources.tree import write_tree
+    root = strip_scheme(scratch_path(spark, name))
+    write_tree(df, root)
+    return root
+
+
+@register(
+    "scan_tree",
+    O.sql(O.FILES, O.KEPT, final="select rel_path, strlen(text)::bigint as n_bytes from kept"),
+)
+def q_scan_tree(spark, sf):
+    """Write every document as a file, then scan the tree with the name
+    filters as source options."""
+    from chunkwright.sources.tree import scan_tree
+    configure(spark)
+    files = documents_as_files(spark, sf).select(F.col("rel_path").alias("out_path"), F.col("text").alias("body"))
+    root = _tree_of(spark, files, "tree")
+    return scan_tree(spark, root, P.SOURCE_SUFFIX, P.EXCLUDE_NAME).select("rel_path", "n_bytes")
+
+
+@register(
+    "decode_text",
+    O.sql(O.FILES, final="select rel_path, regexp_replace(text, '\\r\\n?', chr(10), 'g') as text, length(regexp_replace(text, '\\r\\n?', chr(10), 'g'))::bigint as n_chars from files"),
+)
+def q_decode_text(spark, sf):
+    from chunkwright.sources.tree import decode_text, scan_tree
+    configure(spark)
+    files = documents_as_files(spark, sf).select(F.col("rel_path").alias("out_path"), F.col("text").alias("body"))
+    root = _tree_of(spark, files, "tree")
+    return decode_text(scan_tree(spark, root)).select("rel_path", "text", "n_chars")
+
+
+@register("read_artifacts", O.sql(*S_COMMENTS, final="select rel_path, out_path, body from cartifacts"))
+def q_read_artifacts(spark, sf):
+    """Annotated files written as a tree and read back."""
+    from chunkwright.sources.artifacts import read_artifacts
+    root = _tree_of(spark, annotate_run(spark, sf).artifacts, "annotated")
+    return read_artifacts(spark, root)
