@@ -134,7 +134,9 @@ def write_document(fragments: DataFrame, path: str) -> None:
     """Write the fragments in sort_key order as text part files; read in
     part order they make the page. orderBy range-partitions by the key, so
     no single task holds the whole document."""
-    fragments.orderBy("sort_key").select("body").write.mode("overwrite").option("lineSep", "").text(path)
+    # Every fragment ends with a newline; the text writer adds it back.
+    body = F.regexp_replace(F.col("body"), F.lit("\n\\z"), F.lit(""))
+    fragments.orderBy("sort_key").select(body.alias("value")).write.mode("overwrite").text(path)
 
 
 OUTLINE_SQL = """

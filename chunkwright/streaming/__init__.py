@@ -1 +1,8 @@
+"""Streaming: intentionally empty.
 
+The job this package rebuilds makes one pass over a finished file tree; it
+has no streams, watermarks, windows or state. Incremental runs are covered by
+the batch stages themselves: the completion rounds append to an attempts
+table and skip what is already answered (see operators.responses
+.pending_requests), so a rerun over a grown corpus only asks about new chunks.
+"""
