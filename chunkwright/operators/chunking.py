@@ -1,4 +1,10 @@
-"""Samples, token ratio, chunk budget and the three chunkers (section C)."""
+"""Samples, token ratio, chunk budget and the three chunkers (section C).
+
+Generators use the *_outer form followed by a null filter: for a plain
+explode Spark infers `size(array) > 0` and pushes it below the projection,
+which would evaluate the chunking regex (and the token count inside the
+chunk size) a second time per row.
+"""
 
 from __future__ import annotations
 
@@ -45,30 +51,34 @@ def samples(files: DataFrame, n: int) -> DataFrame:
     return files.select("rel_path", head_sample("text", n).alias("head"), centre_sample("text", n).alias("centre"))
 
 
-def _explode_chunks(files: DataFrame, pattern, carry) -> DataFrame:
+def _explode_chunks(files: DataFrame, pattern, carry, keep_empty: bool = False) -> DataFrame:
     """One row per chunk, with chunk_no from 0 and the file's n_chunks (known
     before the explode, so no later count over the file is needed). An empty
-    text gives no chunk row."""
+    text gives no chunk row (with keep_empty, one row with chunk_no NULL and
+    n_chunks 0, so the file is still known downstream)."""
     cols = ["rel_path", *carry]
     return (
         files.select(*cols, F.regexp_extract_all(F.col("text"), pattern, 0).alias("_parts"))
         .select(
             *cols,
             F.size("_parts").cast("bigint").alias("n_chunks"),
-            F.posexplode("_parts").alias("chunk_no", "chunk_text"),
+            F.posexplode_outer("_parts").alias("chunk_no", "chunk_text"),
         )
+        .where(F.col("chunk_no").isNotNull() | F.lit(keep_empty))
         .withColumn("chunk_no", F.col("chunk_no").cast("bigint"))
     )
 
 
-def chunk_words(files: DataFrame, max_chars="max_chars", carry=()) -> DataFrame:
+def chunk_words(files: DataFrame, max_chars="max_chars", carry=(), keep_empty: bool = False) -> DataFrame:
     """Word-boundary chunks; `max_chars` is an int or a column name."""
-    return _explode_chunks(files, word_chunk_pattern(max_chars if isinstance(max_chars, int) else F.col(max_chars)), carry)
+    pattern = word_chunk_pattern(max_chars if isinstance(max_chars, int) else F.col(max_chars))
+    return _explode_chunks(files, pattern, carry, keep_empty)
 
 
-def chunk_lines(files: DataFrame, max_chars="max_chars", carry=()) -> DataFrame:
+def chunk_lines(files: DataFrame, max_chars="max_chars", carry=(), keep_empty: bool = False) -> DataFrame:
     """Line-boundary chunks; `max_chars` is an int or a column name."""
-    return _explode_chunks(files, line_chunk_pattern(max_chars if isinstance(max_chars, int) else F.col(max_chars)), carry)
+    pattern = line_chunk_pattern(max_chars if isinstance(max_chars, int) else F.col(max_chars))
+    return _explode_chunks(files, pattern, carry, keep_empty)
 
 
 def chunk_tokens(files: DataFrame, n: int, carry=()) -> DataFrame:
@@ -82,8 +92,9 @@ def chunk_tokens(files: DataFrame, n: int, carry=()) -> DataFrame:
             *carry,
             "_t",
             (F.floor((F.size("_t") - 1) / n) + 1).cast("bigint").alias("n_chunks"),
-            F.explode(F.sequence(F.lit(0), F.floor((F.size("_t") - 1) / n).cast("int"))).alias("chunk_no"),
+            F.explode_outer(F.sequence(F.lit(0), F.floor((F.size("_t") - 1) / n).cast("int"))).alias("chunk_no"),
         )
+        .where(F.col("chunk_no").isNotNull())
         .select(
             "rel_path",
             *carry,

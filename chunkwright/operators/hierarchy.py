@@ -40,7 +40,9 @@ def directory_nodes(artifacts: DataFrame, path_col: str = "out_path") -> DataFra
         (n - 1).cast("int").alias("depth"),
         F.lit("file").alias("kind"),
     )
-    levels = artifacts.select(p.alias("p"), F.explode(F.when(n > 1, F.sequence(F.lit(1), n - 1)).otherwise(F.array().cast("array<int>"))).alias("i"))
+    levels = artifacts.select(
+        p.alias("p"), F.explode_outer(F.when(n > 1, F.sequence(F.lit(1), n - 1)).otherwise(F.array().cast("array<int>"))).alias("i")
+    ).where(F.col("i").isNotNull())
     dirs = levels.select(
         F.array_join(F.slice("p", 1, F.col("i")), "/").alias("path"),
         F.when(F.col("i") > 1, F.array_join(F.slice("p", 1, F.col("i") - 1), "/")).otherwise(F.lit("")).alias("parent"),

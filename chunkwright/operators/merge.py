@@ -1,5 +1,8 @@
 """Merge chunk records to one record per file (section E).
 
+Generators use the *_outer form plus a null filter so that Spark does not
+infer and push down a `size(...) > 0` filter that re-parses the JSON.
+
 Records are exploded to rows first (one row per section, one per map item),
 so every merge step is a grouped aggregation that Spark partitions by file
 and section; a file with very many chunks is spread over many tasks until
@@ -35,7 +38,8 @@ def record_entries(records: DataFrame, carry=()) -> DataFrame:
     )
     return (
         records.select(FILE_KEY, "chunk_no", *carry, raw.alias("_raw"), kinds.alias("_kinds"))
-        .select(FILE_KEY, "chunk_no", *carry, "_kinds", F.posexplode(F.map_entries("_raw")).alias("sec_pos", "_e"))
+        .select(FILE_KEY, "chunk_no", *carry, "_kinds", F.posexplode_outer(F.map_entries("_raw")).alias("sec_pos", "_e"))
+        .where(F.col("sec_pos").isNotNull())
         .select(
             FILE_KEY,
             "chunk_no",
@@ -55,7 +59,8 @@ def map_items(entries: DataFrame, sections=P.MAP_SECTIONS, carry=()) -> DataFram
     raw = _dedup(F.from_json(F.col("raw"), "map<string,string>"))
     kinds = F.transform_values(_dedup(F.from_json(F.col("raw"), "map<string,variant>")), lambda k, v: value_kind(v))
     return (
-        objs.select(FILE_KEY, "chunk_no", *carry, "section", kinds.alias("_kinds"), F.posexplode(F.map_entries(raw)).alias("item_pos", "_e"))
+        objs.select(FILE_KEY, "chunk_no", *carry, "section", kinds.alias("_kinds"), F.posexplode_outer(F.map_entries(raw)).alias("item_pos", "_e"))
+        .where(F.col("item_pos").isNotNull())
         .select(
             FILE_KEY,
             "chunk_no",
@@ -83,8 +88,8 @@ def merge_text(entries: DataFrame) -> DataFrame:
         .where(~is_none_like(F.col("v")))
     )
     frags = vals.select(
-        FILE_KEY, "section", "chunk_no", F.posexplode(F.split(F.col("v"), ", ", -1)).alias("fpos", "frag")
-    )
+        FILE_KEY, "section", "chunk_no", F.posexplode_outer(F.split(F.col("v"), ", ", -1)).alias("fpos", "frag")
+    ).where(F.col("fpos").isNotNull())
     firsts = frags.groupBy(FILE_KEY, "section", "frag").agg(F.min(F.struct("chunk_no", "fpos")).alias("o"))
     joined = firsts.groupBy(FILE_KEY, "section").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o", "frag"))), lambda x: x["frag"]), ", ").alias("j")
@@ -142,8 +147,9 @@ def file_summaries(files: DataFrame, records: DataFrame) -> DataFrame:
         .select(FILE_KEY, "chunk_no", "section", "raw")
         .select(
             FILE_KEY, "section",
-            F.posexplode(F.map_entries(_dedup(F.from_json(F.col("raw"), "map<string,string>")))).alias("item_no", "_e"),
+            F.posexplode_outer(F.map_entries(_dedup(F.from_json(F.col("raw"), "map<string,string>")))).alias("item_no", "_e"),
         )
+        .where(F.col("item_no").isNotNull())
         .select(FILE_KEY, "section", F.col("_e.key").alias("item"), F.col("item_no").cast("bigint"), F.col("_e.value").alias("value"))
     )
     multi = entries.where(F.col("n_chunks") != 1)

@@ -91,8 +91,12 @@ def chunk_failed():
 
 def failed_files(parsed: DataFrame, max_attempts: int = P.SUMMARY_ATTEMPTS) -> DataFrame:
     """Files lost to a call error, with the number of chunks that hit one."""
+    return failed_from_outcomes(chunk_outcomes(parsed, max_attempts))
+
+
+def failed_from_outcomes(outcomes: DataFrame) -> DataFrame:
     return (
-        chunk_outcomes(parsed, max_attempts)
+        outcomes
         .where(chunk_failed())
         .groupBy("rel_path")
         .agg(F.count(F.lit(1)).cast("bigint").alias("failed_chunks"), F.min("chunk_no").alias("first_failed_chunk"))
@@ -103,9 +107,13 @@ def failed_files(parsed: DataFrame, max_attempts: int = P.SUMMARY_ATTEMPTS) -> D
 def resolved_records(chunks: DataFrame, parsed: DataFrame, max_attempts: int = P.SUMMARY_ATTEMPTS) -> DataFrame:
     """One record per chunk of every file not lost to an error:
     (rel_path, chunk_no, origin, json_text), origin in model/gated/exhausted."""
-    outcomes = chunk_outcomes(parsed, max_attempts)
+    return records_from_outcomes(chunks, chunk_outcomes(parsed, max_attempts))
+
+
+def records_from_outcomes(chunks: DataFrame, outcomes: DataFrame) -> DataFrame:
     failed = outcomes.where(chunk_failed()).select("rel_path").distinct()
-    ch = chunks.select(*CHUNK_KEY, "gated").join(failed, "rel_path", "left_anti")
+    carry = ["n_chunks"] if "n_chunks" in chunks.columns else []
+    ch = chunks.select(*CHUNK_KEY, "gated", *carry).join(failed, "rel_path", "left_anti")
     joined = ch.join(outcomes.select(*CHUNK_KEY, "win", "json_text"), CHUNK_KEY, "left")
     origin = F.when(F.col("gated"), "gated").when(F.col("win").isNotNull(), "model").otherwise("exhausted")
     record = (
@@ -113,7 +121,7 @@ def resolved_records(chunks: DataFrame, parsed: DataFrame, max_attempts: int = P
         .when(F.col("win").isNotNull(), F.col("json_text"))
         .otherwise(F.lit(EXHAUSTED_RECORD))
     )
-    return joined.select(*CHUNK_KEY, origin.alias("origin"), record.alias("json_text"))
+    return joined.select(*CHUNK_KEY, *carry, origin.alias("origin"), record.alias("json_text"))
 
 
 def pending_requests(

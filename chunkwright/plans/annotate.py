@@ -19,23 +19,28 @@ from chunkwright.operators import completion as D4
 from chunkwright.operators import requests as R
 from chunkwright.operators import responses as D
 from chunkwright.operators.filters import chunk_gate
-from chunkwright.session import configure, scratch_path
+from chunkwright.session import configure, scratch_path, stage
 
 
-def comment_chunks(files: DataFrame, params: P.CommentParams = P.CommentParams(), carry=(), tokenizer=None) -> DataFrame:
+def comment_chunks(files: DataFrame, params: P.CommentParams = P.CommentParams(), carry=(), tokenizer=None,
+                   keep_empty: bool = False) -> DataFrame:
     budgeted = C.with_budget(files, params.chunk_tokens, params.sample_chars, params.chunk_chars, tokenizer)
-    return chunk_gate(C.chunk_lines(budgeted, "max_chars", carry), params.min_chunk_chars)
+    return chunk_gate(C.chunk_lines(budgeted, "max_chars", carry, keep_empty), params.min_chunk_chars)
 
 
 @dataclass
 class AnnotateRun:
     files: DataFrame
-    chunks: DataFrame
+    chunk_rows: DataFrame  # chunks plus one chunk_no NULL row per empty file
     requests: DataFrame
     attempts: DataFrame
     resolved: DataFrame  # per asked chunk: win, comment, failed
     params: P.CommentParams
 
+    @property
+    def chunks(self) -> DataFrame:
+        return self.chunk_rows.where(F.col("chunk_no").isNotNull())
+
     @property
     def chunk_comments(self) -> DataFrame:
         """(rel_path, chunk_no, comment) for every chunk of a file that did
@@ -71,7 +76,8 @@ class AnnotateRun:
             F.array_join(F.transform("_l", lambda x: x["comment"]), "\n").alias("comments"),
             F.array_join(F.transform("_l", lambda x: x["chunk_text"]), "").alias("text"),
         )
-        empty = self.files.where(F.length("text") == 0).select("rel_path", F.lit("").alias("comments"), F.lit("").alias("text"))
+        empty = self.chunk_rows.where(F.col("chunk_no").isNull()).select(
+            "rel_path", F.lit("").alias("comments"), F.lit("").alias("text"))
         return with_chunks.unionByName(empty)
 
     @property
@@ -90,9 +96,13 @@ def annotate(
     tokenizer=None,
     attempts_path: str | None = None,
     partitions: int | None = None,
+    materialize: bool = True,
 ) -> AnnotateRun:
     spark = configure(files.sparkSession)
-    chunks = comment_chunks(files, params, carry, tokenizer)
+    chunk_rows = comment_chunks(files, params, carry, tokenizer, keep_empty=True)
+    if materialize:
+        chunk_rows = stage(chunk_rows, "comment-chunks")
+    chunks = chunk_rows.where(F.col("chunk_no").isNotNull())
     requests = R.comment_requests(chunks, params, carry)
     if attempts is not None:
         att = attempts(chunks.where(~F.col("gated"))) if callable(attempts) else attempts
@@ -106,4 +116,6 @@ def annotate(
             D4.complete(pending, fn, partitions).write.mode("append").parquet(path)
         att = D4.read_or_empty(spark, path)
     resolved = D.resolve_comments(att, params.max_attempts)
-    return AnnotateRun(files, chunks, requests, att, resolved, params)
+    if materialize:
+        resolved = stage(resolved, "comment-resolved")
+    return AnnotateRun(files, chunk_rows, requests, att, resolved, params)

@@ -358,7 +358,7 @@ def _records_sql(max_attempts: int, with_errors: bool) -> list[str]:
 @register("fallback_records", O.sql(*_records_sql(1, False), final="select rel_path, chunk_no, origin, json_text from records"))
 def q_fallback_records(spark, sf):
     run = summary_run(spark, sf, params=SUMMARY_FIXTURE.with_(max_attempts=1))
-    return D.resolved_records(run.chunks, run.parsed, 1)
+    return D.resolved_records(run.chunks, run.parsed, 1).select("rel_path", "chunk_no", "origin", "json_text")
 
 
 @register(

@@ -20,21 +20,21 @@ from chunkwright.operators import merge as E
 from chunkwright.operators import requests as R
 from chunkwright.operators import responses as D
 from chunkwright.operators.filters import chunk_gate
-from chunkwright.session import configure, scratch_path
+from chunkwright.session import configure, scratch_path, stage
 
 
-def summary_chunks(files: DataFrame, params: P.SummaryParams = P.SummaryParams(), carry=(), tokenizer=None) -> DataFrame:
+def summary_chunks(files: DataFrame, params: P.SummaryParams = P.SummaryParams(), carry=(), tokenizer=None,
+                   keep_empty: bool = False) -> DataFrame:
     """Word-boundary chunks with the gate flag and the file's chunk count."""
     budgeted = C.with_budget(files, params.chunk_tokens, params.sample_chars, params.chunk_chars, tokenizer)
-    return chunk_gate(C.chunk_words(budgeted, "max_chars", carry), params.min_chunk_chars)
+    return chunk_gate(C.chunk_words(budgeted, "max_chars", carry, keep_empty), params.min_chunk_chars)
 
 
-def file_chunk_counts(files: DataFrame, chunks: DataFrame) -> DataFrame:
-    """(rel_path, n_chunks) for every file; 0 for an empty text. Taken from
-    the chunk rows' own n_chunks, so no extra aggregation over big files."""
-    empty = files.where(F.length("text") == 0).select("rel_path", F.lit(0).cast("bigint").alias("n_chunks"))
-    nonempty = chunks.where(F.col("chunk_no") == 0).select("rel_path", "n_chunks")
-    return nonempty.unionByName(empty)
+def file_chunk_counts(chunk_rows: DataFrame) -> DataFrame:
+    """(rel_path, n_chunks) for every file, 0 for an empty text, from a chunk
+    table made with keep_empty: the first chunk row or the empty-file row.
+    No aggregation over big files and no second read of the corpus."""
+    return chunk_rows.where(F.col("chunk_no").isNull() | (F.col("chunk_no") == 0)).select("rel_path", "n_chunks")
 
 
 @dataclass
@@ -66,13 +66,15 @@ class SummaryRun:
         return E.merge_skips(self.entries)
 
 
-def _finish(files, chunks, requests, attempts, params) -> SummaryRun:
+def _finish(files, chunk_rows, requests, attempts, params, materialize) -> SummaryRun:
+    chunks = chunk_rows.where(F.col("chunk_no").isNotNull())
     parsed = D.parse_attempts(attempts)
-    failed = D.failed_files(parsed, params.max_attempts)
-    records = D.resolved_records(chunks, parsed, params.max_attempts).join(
-        chunks.select("rel_path", "chunk_no", "n_chunks"), ["rel_path", "chunk_no"]
-    )
-    counts = file_chunk_counts(files, chunks).join(failed.select("rel_path"), "rel_path", "left_anti")
+    outcomes = D.chunk_outcomes(parsed, params.max_attempts)
+    if materialize:
+        outcomes = stage(outcomes, "outcomes")
+    failed = D.failed_from_outcomes(outcomes)
+    records = D.records_from_outcomes(chunks, outcomes)
+    counts = file_chunk_counts(chunk_rows).join(failed.select("rel_path"), "rel_path", "left_anti")
     summaries = E.file_summaries(counts, records)
     return SummaryRun(files, chunks, requests, attempts, parsed, failed, records, summaries, params)
 
@@ -86,19 +88,27 @@ def summarize(
     tokenizer=None,
     attempts_path: str | None = None,
     partitions: int | None = None,
+    materialize: bool = True,
 ) -> SummaryRun:
     """Summarise every file of `files` (rel_path, text).
 
     Give either `complete`, a batch function over request rows returning
     `response` and `error` (it runs in at most max_attempts rounds, each
     written to `attempts_path` before use), or a ready `attempts` table (or a
-    function of the chunk table that returns one)."""
+    function of the chunk table that returns one).
+
+    With materialize (the default) the chunk table and the per-chunk
+    outcomes are written once to the shared work folder; every later branch
+    reads them instead of chunking the corpus again."""
     spark = configure(files.sparkSession)
-    chunks = summary_chunks(files, params, carry, tokenizer)
+    chunk_rows = summary_chunks(files, params, carry, tokenizer, keep_empty=True)
+    if materialize:
+        chunk_rows = stage(chunk_rows, "chunks")
+    chunks = chunk_rows.where(F.col("chunk_no").isNotNull())
     requests = R.summary_requests(chunks, params, carry)
     if attempts is not None:
         att = attempts(chunks.where(~F.col("gated"))) if callable(attempts) else attempts
-        return _finish(files, chunks, requests, att, params)
+        return _finish(files, chunk_rows, requests, att, params, materialize)
     fn = complete or D4.offline_stub
     path = attempts_path or scratch_path(spark, "attempts")
     for _ in range(params.max_attempts):
@@ -109,7 +119,7 @@ def summarize(
         if pending.isEmpty():
             break
         D4.complete(pending, fn, partitions).write.mode("append").parquet(path)
-    return _finish(files, chunks, requests, D4.read_or_empty(spark, path), params)
+    return _finish(files, chunk_rows, requests, D4.read_or_empty(spark, path), params, materialize)
 
 
 def summary_artifacts(run: "SummaryRun") -> DataFrame:

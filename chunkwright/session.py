@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings every stage needs. They are session-scoped and safe to
 # set on an existing session (the driver's or a notebook's).
@@ -60,6 +60,8 @@ def work_dir(spark: SparkSession) -> str:
     if not d:
         d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         d = tempfile.mkdtemp(prefix="chunkwright-ckpt-")
         sc.setCheckpointDir(d)
     return d
@@ -71,6 +73,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write a stage as parquet to the shared work folder and read it back.
+    Later stages then read only the columns they need, the plan above is
+    not run again for each branch, and lost executors cost only a re-read."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def is_local_path(path: str) -> bool:
     return "://" not in path or path.startswith("file:")
 
@@ -79,4 +90,4 @@ def strip_scheme(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-__all__ = ["configure", "local_session", "work_dir", "scratch_path", "is_local_path", "strip_scheme"]
+__all__ = ["configure", "local_session", "work_dir", "scratch_path", "stage", "is_local_path", "strip_scheme"]
