@@ -8,10 +8,9 @@ from pyspark.sql import functions as F
 from chunkwright import params as P
 
 # Python's str.strip() removes every character for which str.isspace() is
-# true. Java's (?U)\s is the Unicode White_Space set; Python adds the four
-# information separators U+001C..U+001F.
-_WS = r"[\s\x{1c}-\x{1f}]"
-STRIP_RE = rf"(?U)^{_WS}+|{_WS}+\z"
+# true; the set is taken from the running Python (29 characters), and Spark's
+# btrim removes exactly those from both ends without scanning the middle.
+PY_SPACES = "".join(c for c in map(chr, range(0x110000)) if c.isspace())
 
 # Pre-tokens of a byte-pair tokenizer's splitting step (letters, digits,
 # other symbols, each with one optional leading space; runs of white space).
@@ -24,7 +23,11 @@ def _c(x) -> Column:
 
 def py_strip(col) -> Column:
     """Strip leading and trailing white space exactly as Python's str.strip()."""
-    return F.regexp_replace(_c(col), F.lit(STRIP_RE), F.lit(""))
+    return F.btrim(_c(col), F.lit(PY_SPACES))
+
+
+def py_rstrip(col) -> Column:
+    return F.rtrim(_c(col), F.lit(PY_SPACES))
 
 
 def is_none_like(stripped) -> Column:

@@ -7,7 +7,7 @@ parsed -> records -> long summaries -> wide record, artifacts, audit.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,17 +37,40 @@ def file_chunk_counts(chunk_rows: DataFrame) -> DataFrame:
     return chunk_rows.where(F.col("chunk_no").isNull() | (F.col("chunk_no") == 0)).select("rel_path", "n_chunks")
 
 
-@dataclass
 class SummaryRun:
-    files: DataFrame
-    chunks: DataFrame
-    requests: DataFrame
-    attempts: DataFrame
-    parsed: DataFrame
-    failed: DataFrame
-    records: DataFrame
-    summaries: DataFrame
-    params: P.SummaryParams
+    """The stages of one summary job. Later stages are built on first use;
+    with materialize, the per-chunk outcomes are written once then."""
+
+    def __init__(self, files, chunk_rows, requests, attempts, params: P.SummaryParams, materialize: bool):
+        self.files = files
+        self.chunk_rows = chunk_rows
+        self.chunks = chunk_rows.where(F.col("chunk_no").isNotNull())
+        self.requests = requests
+        self.attempts = attempts
+        self.params = params
+        self.materialize = materialize
+
+    @cached_property
+    def parsed(self) -> DataFrame:
+        return D.parse_attempts(self.attempts)
+
+    @cached_property
+    def outcomes(self) -> DataFrame:
+        out = D.chunk_outcomes(self.parsed, self.params.max_attempts)
+        return stage(out, "outcomes") if self.materialize else out
+
+    @property
+    def failed(self) -> DataFrame:
+        return D.failed_from_outcomes(self.outcomes)
+
+    @property
+    def records(self) -> DataFrame:
+        return D.records_from_outcomes(self.chunks, self.outcomes)
+
+    @property
+    def summaries(self) -> DataFrame:
+        counts = file_chunk_counts(self.chunk_rows).join(self.failed.select("rel_path"), "rel_path", "left_anti")
+        return E.file_summaries(counts, self.records)
 
     @property
     def wide(self) -> DataFrame:
@@ -66,19 +89,6 @@ class SummaryRun:
         return E.merge_skips(self.entries)
 
 
-def _finish(files, chunk_rows, requests, attempts, params, materialize) -> SummaryRun:
-    chunks = chunk_rows.where(F.col("chunk_no").isNotNull())
-    parsed = D.parse_attempts(attempts)
-    outcomes = D.chunk_outcomes(parsed, params.max_attempts)
-    if materialize:
-        outcomes = stage(outcomes, "outcomes")
-    failed = D.failed_from_outcomes(outcomes)
-    records = D.records_from_outcomes(chunks, outcomes)
-    counts = file_chunk_counts(chunk_rows).join(failed.select("rel_path"), "rel_path", "left_anti")
-    summaries = E.file_summaries(counts, records)
-    return SummaryRun(files, chunks, requests, attempts, parsed, failed, records, summaries, params)
-
-
 def summarize(
     files: DataFrame,
     complete: D4.CompleteFn | None = None,
@@ -108,7 +118,7 @@ def summarize(
     requests = R.summary_requests(chunks, params, carry)
     if attempts is not None:
         att = attempts(chunks.where(~F.col("gated"))) if callable(attempts) else attempts
-        return _finish(files, chunk_rows, requests, att, params, materialize)
+        return SummaryRun(files, chunk_rows, requests, att, params, materialize)
     fn = complete or D4.offline_stub
     path = attempts_path or scratch_path(spark, "attempts")
     for _ in range(params.max_attempts):
@@ -119,7 +129,7 @@ def summarize(
         if pending.isEmpty():
             break
         D4.complete(pending, fn, partitions).write.mode("append").parquet(path)
-    return _finish(files, chunk_rows, requests, D4.read_or_empty(spark, path), params, materialize)
+    return SummaryRun(files, chunk_rows, requests, D4.read_or_empty(spark, path), params, materialize)
 
 
 def summary_artifacts(run: "SummaryRun") -> DataFrame:
