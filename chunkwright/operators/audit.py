@@ -37,8 +37,10 @@ def summary_audit(all_files: DataFrame, run) -> DataFrame:
     from chunkwright.operators.responses import chunk_outcomes
 
     sel = selection_audit(all_files)
+    if "text" in all_files.columns:
+        sel = sel.unionByName(decode_audit(all_files).where(F.col("status") == "failed"))
     kept = run.files.select("rel_path")
-    failed = run.failed.select("rel_path", F.lit(True).alias("_f"), "reason")
+    failed = run.failed.groupBy("rel_path").agg(F.lit(True).alias("_f"), F.min("reason").alias("reason"))
     comp = kept.join(failed, "rel_path", "left").select(
         "rel_path", F.lit("complete").alias("stage"),
         F.when(F.col("_f"), "failed").otherwise("ok").alias("status"), "reason",

@@ -97,11 +97,11 @@ def merge_text(entries: DataFrame) -> DataFrame:
     return joined.select(FILE_KEY, "section", F.rtrim(F.col("j"), F.lit(", ")).alias("value"))
 
 
-def merge_maps(entries: DataFrame) -> DataFrame:
+def merge_maps(entries: DataFrame, sections=P.MAP_SECTIONS) -> DataFrame:
     """Map sections: per item the earliest chunk (then position) with a
     non-None-like value wins. Out: (rel_path, section, item, item_no, value);
     item_no is the item's place in the merged record."""
-    items = map_items(entries).where(~is_none_like(F.col("value")))
+    items = map_items(entries, sections).where(~is_none_like(F.col("value")))
     won = items.groupBy(FILE_KEY, "section", "item").agg(
         F.min(F.struct("chunk_no", "item_pos")).alias("o"),
         F.min_by("value", F.struct("chunk_no", "item_pos")).alias("value"),
@@ -128,11 +128,19 @@ def merge_skips(entries: DataFrame) -> DataFrame:
     return not_obj.unionByName(none_like).unionByName(nested)
 
 
-def file_summaries(files: DataFrame, records: DataFrame) -> DataFrame:
+def nested_items(entries: DataFrame) -> DataFrame:
+    """(rel_path) of many-chunk files with a map item that is not a string."""
+    multi = entries.where(F.col("n_chunks") != 1)
+    return map_items(multi).where(F.col("item_kind") != "STRING").select(FILE_KEY).distinct()
+
+
+def file_summaries(files: DataFrame, records: DataFrame, keep_all_sections: bool = False) -> DataFrame:
     """One record per file as long rows (rel_path, section, item, item_no,
     value, branch). A file of exactly one chunk keeps that record as it came
     (all its keys, values unstripped); any other file, including an empty one,
-    gets the ten-section merge with every text section present.
+    gets the ten-section merge with every text section present. With
+    keep_all_sections, ETL Processes and Variables are merged too, item by
+    item like the map sections.
 
     files: (rel_path, n_chunks); records: (rel_path, chunk_no, n_chunks, json_text).
     """
@@ -154,7 +162,8 @@ def file_summaries(files: DataFrame, records: DataFrame) -> DataFrame:
     )
     multi = entries.where(F.col("n_chunks") != 1)
     texts = merge_text(multi)
-    maps = merge_maps(multi)
+    map_sections = P.MAP_SECTIONS + (("ETL Processes", "Variables") if keep_all_sections else ())
+    maps = merge_maps(multi, map_sections)
     # Every merged file shows all seven text sections, '' when nothing merged.
     merged_files = files.where(F.col("n_chunks") != 1).select(FILE_KEY)
     skeleton = merged_files.select(FILE_KEY, F.explode(F.array(*[F.lit(s) for s in P.TEXT_SECTIONS])).alias("section"))
@@ -169,12 +178,12 @@ def file_summaries(files: DataFrame, records: DataFrame) -> DataFrame:
     return single_rows.unionByName(multi_rows)
 
 
-def summary_wide(long: DataFrame, sections=P.MERGED_SECTIONS) -> DataFrame:
+def summary_wide(long: DataFrame, sections=P.MERGED_SECTIONS, map_sections=P.MAP_SECTIONS + ("ETL Processes", "Variables")) -> DataFrame:
     """One row per file: text sections as strings ('' when absent), map
     sections as MAP<STRING,STRING> in record order."""
     aggs = []
     for s in sections:
-        if s in P.MAP_SECTIONS:
+        if s in map_sections:
             entries = F.collect_list(F.when(F.col("section") == s, F.struct("item_no", "item", "value")))
             aggs.append(
                 F.map_from_entries(F.transform(F.array_sort(entries), lambda e: F.struct(e["item"], e["value"]))).alias(s)

@@ -99,6 +99,7 @@ def annotate(
     materialize: bool = True,
 ) -> AnnotateRun:
     spark = configure(files.sparkSession)
+    files = files.where(F.col("text").isNotNull())  # undecodable: see operators.audit
     chunk_rows = comment_chunks(files, params, carry, tokenizer, keep_empty=True)
     if materialize:
         chunk_rows = stage(chunk_rows, "comment-chunks")

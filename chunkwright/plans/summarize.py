@@ -60,17 +60,33 @@ class SummaryRun:
         return stage(out, "outcomes") if self.materialize else out
 
     @property
-    def failed(self) -> DataFrame:
+    def call_failed(self) -> DataFrame:
         return D.failed_from_outcomes(self.outcomes)
 
+    @property
+    def failed(self) -> DataFrame:
+        """Files left out of the summaries: call errors, and with strict_merge
+        files whose merge meets a nested map item."""
+        out = self.call_failed
+        if self.params.strict_merge:
+            entries = E.record_entries(D.records_from_outcomes(self.chunks, self.outcomes), carry=("n_chunks",))
+            nested = E.nested_items(entries).select(
+                "rel_path", F.lit(None).cast("bigint").alias("failed_chunks"),
+                F.lit(None).cast("bigint").alias("first_failed_chunk"), F.lit("nested_value").alias("reason"))
+            out = out.unionByName(nested)
+        return out
+
     @property
     def records(self) -> DataFrame:
-        return D.records_from_outcomes(self.chunks, self.outcomes)
+        r = D.records_from_outcomes(self.chunks, self.outcomes)
+        if self.params.strict_merge:
+            r = r.join(self.failed.select("rel_path"), "rel_path", "left_anti")
+        return r
 
     @property
     def summaries(self) -> DataFrame:
         counts = file_chunk_counts(self.chunk_rows).join(self.failed.select("rel_path"), "rel_path", "left_anti")
-        return E.file_summaries(counts, self.records)
+        return E.file_summaries(counts, self.records, self.params.keep_all_sections)
 
     @property
     def wide(self) -> DataFrame:
@@ -111,6 +127,7 @@ def summarize(
     outcomes are written once to the shared work folder; every later branch
     reads them instead of chunking the corpus again."""
     spark = configure(files.sparkSession)
+    files = files.where(F.col("text").isNotNull())  # undecodable: see operators.audit
     chunk_rows = summary_chunks(files, params, carry, tokenizer, keep_empty=True)
     if materialize:
         chunk_rows = stage(chunk_rows, "chunks")
@@ -140,10 +157,12 @@ def summary_artifacts(run: "SummaryRun") -> DataFrame:
     file gets the ten sections in record order, map items in item order
     (nested item values stay JSON text)."""
     single = run.records.where(F.col("n_chunks") == 1).join(run.failed.select("rel_path"), "rel_path", "left_anti")
+    # (records already exclude call failures; strict_merge failures are many-chunk files)
     single = single.select("rel_path", F.lit("single").alias("branch"), F.col("json_text").alias("body"))
     merged_long = run.summaries.where(F.col("branch") == "merged")
-    wide = E.summary_wide(merged_long)
-    record = F.struct(*[F.col(f"`{s}`") for s in P.MERGED_SECTIONS])
+    sections = P.MERGED_SECTIONS + (("ETL Processes", "Variables") if run.params.keep_all_sections else ())
+    wide = E.summary_wide(merged_long, sections)
+    record = F.struct(*[F.col(f"`{s}`") for s in sections])
     merged = wide.select("rel_path", F.lit("merged").alias("branch"), F.to_json(record, {"pretty": "true"}).alias("body"))
     return single.unionByName(merged).select(
         "rel_path", replace_extension("rel_path", ".txt").alias("out_path"), "branch", "body"

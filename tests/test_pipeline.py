@@ -68,3 +68,50 @@ def test_completion_batch_failure_becomes_errors(spark):
     )
     r = D4.complete(req, broken).first()
     assert r.response is None and "down" in r.error
+
+
+def _answers(spark, recs):
+    """Attempts table giving answer recs[i] for chunk i of file 'm.py' (try 1)."""
+    rows = [("m.py", i, 1, json.dumps(r), None) for i, r in enumerate(recs)]
+    return spark.createDataFrame(rows, "rel_path string, chunk_no long, attempt long, response string, error string")
+
+
+def test_strict_merge_and_keep_all_sections(spark):
+    files = spark.createDataFrame([("m.py", "aaaa bbbb cccc dddd")], "rel_path string, text string")
+    recs = [{"Classes": {"A": {"Description": "x"}}, "Variables": {"v": "1"}}, {"Variables": {"v": "2", "w": "3"}}]
+    att = _answers(spark, recs)
+    base = SummaryParams(chunk_chars=10, min_chunk_chars=1)
+    loose = summarize(files, attempts=att, params=base)
+    assert {(r.section, r.item, r.value) for r in loose.summaries.where("item is not null").collect()} == {
+        ("Classes", "A", '{"Description":"x"}')}
+    strict = summarize(files, attempts=att, params=base.with_(strict_merge=True))
+    assert strict.summaries.count() == 0
+    assert [(r.rel_path, r.reason) for r in strict.failed.collect()] == [("m.py", "nested_value")]
+    allsec = summarize(files, attempts=att, params=base.with_(keep_all_sections=True))
+    got = {(r.section, r.item, r.value) for r in allsec.summaries.where("section = 'Variables'").collect()}
+    assert got == {("Variables", "v", "1"), ("Variables", "w", "3")}
+    body = json.loads(allsec.artifacts.first().body)
+    assert body["Variables"] == {"v": "1", "w": "3"} and len(body) == 12
+
+
+def test_undecodable_files_are_quarantined(spark):
+    from chunkwright.operators.audit import quarantine, summary_audit
+    from chunkwright.sources.tree import decode_text
+
+    raw = spark.createDataFrame([("ok.py", b"hello world here"), ("bad.py", b"\xff\xfe")], "rel_path string, content binary")
+    files = decode_text(raw)
+    run = summarize(files, attempts=_answers(spark, [{"Overall Summary": "hi"}]).replace("m.py", "ok.py"),
+                    params=SummaryParams(chunk_chars=100))
+    assert [r.rel_path for r in run.wide.collect()] == ["ok.py"]
+    q = [(r.rel_path, r.stage, r.reason) for r in quarantine(summary_audit(files, run)).collect()]
+    assert q == [("bad.py", "decode", "not_utf8")]
+
+
+def test_user_tokenizer_udf(spark):
+    from chunkwright.functions.tokens import token_count_udf
+    from chunkwright.operators.chunking import with_budget
+
+    count = token_count_udf(lambda: str.split)
+    df = spark.createDataFrame([("f", "one two three four")], "rel_path string, text string")
+    r = with_budget(df, 10, 100, tokenizer=count).first()
+    assert r.n_tokens == 4 and r.chars_per_token == 18 / 4 * 0.75 and r.max_chars == int(10 * 18 / 4 * 0.75)
