@@ -12,6 +12,12 @@ executors. Options:
   exclude_name      drop names containing it, any case, e.g. "test"
   maxPartitionBytes target bytes per partition (default 64 MiB)
   maxFilesPerPartition  (default 2000)
+  mode              "read" (default) or "list": paths and sizes only
+  listing           "driver" (default): the driver lists every file, as
+                    Spark's file sources do; "executors": the driver only
+                    walks folders down to `listDepth` (default 2) and each
+                    task lists its own subtrees. Use it for very large trees
+                    (see scan_tree, which then spreads the reads by path).
 
 The name filters are options rather than pushed filters, so files that do
 not match are never opened.
@@ -40,6 +46,55 @@ class _Files(InputPartition):
         self.files = files
 
 
+class _Folders(InputPartition):
+    """Folders to list on an executor: (relative folder, whole subtree?)."""
+
+    def __init__(self, root: str, units: list):
+        super().__init__(None)
+        self.root = root
+        self.units = units
+
+
+def folder_units(root: str, depth: int) -> list[tuple[str, bool]]:
+    """Folders above `depth` are listed flat (their own files only); folders
+    at `depth` are listed with their whole subtree. Links to folders are not
+    followed."""
+    units, frontier = [], [("", 0)]
+    while frontier:
+        rel, d = frontier.pop()
+        if d >= depth:
+            units.append((rel, True))
+            continue
+        units.append((rel, False))
+        try:
+            with os.scandir(os.path.join(root, rel)) as it:
+                for e in it:
+                    if e.is_dir(follow_symlinks=False):
+                        frontier.append((f"{rel}/{e.name}" if rel else e.name, d + 1))
+        except OSError:
+            pass
+    return units
+
+
+def _list_unit(root: str, rel: str, recursive: bool, suffixes: tuple, exclude: str | None):
+    base = os.path.join(root, rel) if rel else root
+    if recursive:
+        for r, size in list_tree(base, suffixes, exclude):
+            yield (f"{rel}/{r}" if rel else r), size
+        return
+    try:
+        with os.scandir(base) as it:
+            for e in it:
+                if not e.is_dir(follow_symlinks=False) and _keep(e.name, suffixes, exclude):
+                    try:
+                        size = e.stat().st_size
+                    except OSError:
+                        size = 0
+                    yield (f"{rel}/{e.name}" if rel else e.name), size
+    except OSError:
+        return
+
+
 def _keep(name: str, suffixes: tuple, exclude: str | None) -> bool:
     if suffixes and not name.endswith(suffixes):
         return False
@@ -73,8 +128,16 @@ class _TreeReader(DataSourceReader):
         self.exclude = options.get("exclude_name") or None
         self.target = int(options.get("maxPartitionBytes", 64 << 20))
         self.max_files = int(options.get("maxFilesPerPartition", 2000))
+        self.list_only = options.get("mode", "read") == "list"
+        self.on_executors = options.get("listing", "driver") == "executors"
+        self.depth = int(options.get("listDepth", 2))
+        self.max_parts = int(options.get("maxListingPartitions", 512))
 
     def partitions(self):
+        if self.on_executors:
+            units = folder_units(self.root, self.depth)
+            n = max(1, min(len(units), self.max_parts))
+            return [_Folders(self.root, units[i::n]) for i in range(n)]
         parts, cur, cur_bytes = [], [], 0
         for rel, size in list_tree(self.root, self.suffixes, self.exclude):
             if cur and (cur_bytes + size > self.target or len(cur) >= self.max_files):
@@ -86,14 +149,29 @@ class _TreeReader(DataSourceReader):
             parts.append(_Files(self.root, cur))
         return parts or [_Files(self.root, [])]
 
-    def read(self, partition: _Files):
+    def read(self, partition):
+        if isinstance(partition, _Folders):
+            for rel, recursive in partition.units:
+                for path, size in _list_unit(partition.root, rel, recursive, self.suffixes, self.exclude):
+                    if self.list_only:
+                        yield (path, None, size, None)
+                    else:
+                        yield self._read_one(partition.root, path)
+            return
         for rel in partition.files:
-            try:
-                with open(os.path.join(partition.root, rel), "rb") as fh:
-                    data = fh.read()
-                yield (rel, data, len(data), None)
-            except OSError as e:
-                yield (rel, None, None, f"{type(e).__name__}: {e}")
+            if self.list_only:
+                yield (rel, None, os.path.getsize(os.path.join(partition.root, rel)), None)
+            else:
+                yield self._read_one(partition.root, rel)
+
+    @staticmethod
+    def _read_one(root: str, rel: str):
+        try:
+            with open(os.path.join(root, rel), "rb") as fh:
+                data = fh.read()
+            return (rel, data, len(data), None)
+        except OSError as e:
+            return (rel, None, None, f"{type(e).__name__}: {e}")
 
 
 class SourceTree(DataSource):
@@ -112,7 +190,21 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(SourceTree)
 
 
-def scan_tree(spark: SparkSession, root: str, suffix: str | tuple = "", exclude_name: str | None = None) -> DataFrame:
+def scan_tree(
+    spark: SparkSession,
+    root: str,
+    suffix: str | tuple = "",
+    exclude_name: str | None = None,
+    listing: str = "driver",
+    list_depth: int = 2,
+    target_bytes: int = 64 << 20,
+) -> DataFrame:
+    """(rel_path, content, n_bytes, error) for every matching file below root.
+
+    listing="executors" is for very large trees: tasks list the folders,
+    the listing is written once to the work folder, and the files are read
+    in partitions hashed by path, sized from the listed bytes; a folder that
+    holds a large share of all files is spread over many tasks."""
     register(spark)
     r = spark.read.format("source_tree")
     sfx = ",".join(suffix) if isinstance(suffix, tuple) else suffix
@@ -120,7 +212,27 @@ def scan_tree(spark: SparkSession, root: str, suffix: str | tuple = "", exclude_
         r = r.option("suffixes", sfx)
     if exclude_name:
         r = r.option("exclude_name", exclude_name)
-    return r.load(root)
+    if listing != "executors":
+        return r.load(root)
+    from chunkwright.session import stage
+
+    listed = stage(
+        r.option("listing", "executors").option("listDepth", str(list_depth)).option("mode", "list").load(root)
+        .select("rel_path", "n_bytes"),
+        "listing",
+    )
+    agg = listed.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("n_bytes"), F.lit(0)).alias("b")).first()
+    n = max(1, min(int(agg["n"]) or 1, -(-int(agg["b"]) // target_bytes), 100_000))
+    return listed.repartition(n, "rel_path").mapInPandas(_reader(root), TREE_SCHEMA)
+
+
+def _reader(root: str):
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = [_TreeReader._read_one(root, rel) for rel in b["rel_path"]]
+            yield pd.DataFrame(out, columns=["rel_path", "content", "n_bytes", "error"]).astype({"n_bytes": "Int64"})
+
+    return read
 
 
 def decode_text(scanned: DataFrame) -> DataFrame:

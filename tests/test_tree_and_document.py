@@ -91,3 +91,15 @@ def test_breadcrumbs_have_no_empty_root_link(spark):
     df = spark.createDataFrame([("a/b/c.py",)], "out_path string")
     got = {r.path: r.crumbs for r in breadcrumbs(directory_nodes(df)).collect()}
     assert got == {"a": "a", "a/b": '<a href="#a">a</a> > b'}
+
+
+def test_executor_listing_equals_driver_listing(spark):
+    files = {f"d{i % 3}/s{i % 5}/deep/f{i}.py": f"x{i}".encode() for i in range(40)}
+    files.update({"top.py": b"t", "d0/flat.py": b"f", "d1/readme.txt": b"r", ".h/t_test.py": b"q"})
+    root = _tree(files)
+    a = sorted((r.rel_path, r.n_bytes, bytes(r.content)) for r in scan_tree(spark, root, ".py", "test").collect())
+    for depth in (0, 1, 2, 5):
+        b = sorted((r.rel_path, r.n_bytes, bytes(r.content))
+                   for r in scan_tree(spark, root, ".py", "test", listing="executors", list_depth=depth).collect())
+        assert a == b
+    assert len(a) == 42
