@@ -20,7 +20,23 @@ RUNTIME_CONF = {
 }
 
 
+def ship_code() -> None:
+    """Pickle this package's functions and classes by value, so Python
+    workers run them without having the package on their path (the same
+    effect as --py-files, with no file to distribute)."""
+    import sys
+
+    from pyspark import cloudpickle
+
+    pkg = sys.modules[__name__.split(".")[0]]
+    try:
+        cloudpickle.register_pickle_by_value(pkg)
+    except ValueError:
+        pass  # already registered
+
+
 def configure(spark: SparkSession) -> SparkSession:
+    ship_code()
     for k, v in RUNTIME_CONF.items():
         if spark.conf.get(k, None) != v:
             spark.conf.set(k, v)
