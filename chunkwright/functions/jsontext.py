@@ -45,7 +45,7 @@ def response_status(m) -> Column:
     Unknown keys are reported before wrong value types."""
     mm = _c(m)
     keys = F.array(*[F.lit(k) for k in P.SECTIONS])
-    bad_key = F.exists(F.map_keys(mm), lambda k: ~F.array_contains(keys, k))
+    bad_key = F.size(F.array_except(F.map_keys(mm), keys)) > 0
     bad_type = F.exists(F.map_values(mm), lambda v: ~value_kind(v).rlike("^(STRING|OBJECT)"))
     return (
         F.when(mm.isNull() | (F.size(mm) == 0), F.lit("empty"))

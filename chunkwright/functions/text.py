@@ -58,7 +58,8 @@ def pretokens(text) -> Column:
 
 
 def token_count(text) -> Column:
-    return F.size(pretokens(text)).cast("bigint")
+    """Number of pre-tokens, counted without building the token array."""
+    return F.coalesce(F.regexp_count(_c(text), F.lit(PRETOKEN_RE)), F.lit(0)).cast("bigint")
 
 
 def chars_per_token(sample, tokens) -> Column:
