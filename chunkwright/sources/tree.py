@@ -11,6 +11,8 @@ executors. Options:
   suffixes          comma-separated alternatives to `suffix`
   exclude_name      drop names containing it, any case, e.g. "test"
   maxPartitionBytes target bytes per partition (default 64 MiB)
+  openCostInBytes   bytes counted for opening a file (default 512 KiB)
+  minPartitions     spread small trees over at least this many partitions
   maxFilesPerPartition  (default 2000)
   mode              "read" (default) or "list": paths and sizes only
   listing           "driver" (default): the driver lists every file, as
@@ -132,19 +134,27 @@ class _TreeReader(DataSourceReader):
         self.on_executors = options.get("listing", "driver") == "executors"
         self.depth = int(options.get("listDepth", 2))
         self.max_parts = int(options.get("maxListingPartitions", 512))
+        self.open_cost = int(options.get("openCostInBytes", 512 << 10))
+        self.min_parts = int(options.get("minPartitions", 1))
 
     def partitions(self):
         if self.on_executors:
             units = folder_units(self.root, self.depth)
             n = max(1, min(len(units), self.max_parts))
             return [_Folders(self.root, units[i::n]) for i in range(n)]
+        # Like Spark's file sources: each file costs its size plus an open
+        # cost, and a small tree is still spread over minPartitions.
+        listed = list(list_tree(self.root, self.suffixes, self.exclude))
+        total = sum(size + self.open_cost for _, size in listed)
+        target = min(self.target, max(self.open_cost, total // max(1, self.min_parts)))
         parts, cur, cur_bytes = [], [], 0
-        for rel, size in list_tree(self.root, self.suffixes, self.exclude):
-            if cur and (cur_bytes + size > self.target or len(cur) >= self.max_files):
+        for rel, size in listed:
+            cost = size + self.open_cost
+            if cur and (cur_bytes + cost > target or len(cur) >= self.max_files):
                 parts.append(_Files(self.root, cur))
                 cur, cur_bytes = [], 0
             cur.append(rel)
-            cur_bytes += size
+            cur_bytes += cost
         if cur:
             parts.append(_Files(self.root, cur))
         return parts or [_Files(self.root, [])]
@@ -206,7 +216,7 @@ def scan_tree(
     in partitions hashed by path, sized from the listed bytes; a folder that
     holds a large share of all files is spread over many tasks."""
     register(spark)
-    r = spark.read.format("source_tree")
+    r = spark.read.format("source_tree").option("minPartitions", str(spark.sparkContext.defaultParallelism))
     sfx = ",".join(suffix) if isinstance(suffix, tuple) else suffix
     if sfx:
         r = r.option("suffixes", sfx)
@@ -266,6 +276,10 @@ def write_tree(df: DataFrame, root: str, path_col: str = "out_path", body_col: s
     """Write one file per row below root (a folder every executor can reach,
     e.g. a shared mount). Returns (files, bytes). Writes are idempotent, so a
     lost task is simply run again."""
-    written = df.select(path_col, body_col).mapInPandas(_writer(root, path_col, body_col), "rel_path string, n_bytes bigint")
+    rows = df.select(path_col, body_col)
+    par = df.sparkSession.sparkContext.defaultParallelism
+    if rows.rdd.getNumPartitions() < par:
+        rows = rows.repartition(par, path_col)  # spread the writes
+    written = rows.mapInPandas(_writer(root, path_col, body_col), "rel_path string, n_bytes bigint")
     row = written.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("n_bytes"), F.lit(0)).alias("b")).first()
     return int(row["n"]), int(row["b"])
