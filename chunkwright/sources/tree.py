@@ -97,6 +97,18 @@ def _list_unit(root: str, rel: str, recursive: bool, suffixes: tuple, exclude: s
         return
 
 
+def local_root(path: str) -> str:
+    """A folder path for Python's file API: 'file:' URIs are turned into
+    plain paths; other schemes need a mount (the tree is read with open())."""
+    if path.startswith("file://"):
+        return path[len("file://"):] or "/"
+    if path.startswith("file:"):
+        return path[len("file:"):]
+    if "://" in path:
+        raise ValueError(f"source_tree reads mounted folders; mount {path} and pass its local path")
+    return path
+
+
 def _keep(name: str, suffixes: tuple, exclude: str | None) -> bool:
     if suffixes and not name.endswith(suffixes):
         return False
@@ -122,9 +134,10 @@ def list_tree(root: str, suffixes: tuple = (), exclude: str | None = None) -> It
 
 class _TreeReader(DataSourceReader):
     def __init__(self, options: dict, schema):
-        self.root = options.get("path") or options.get("root")
-        if not self.root:
+        root = options.get("path") or options.get("root")
+        if not root:
             raise ValueError("source_tree needs a root folder: .load(root)")
+        self.root = local_root(root)
         sfx = options.get("suffixes") or options.get("suffix") or ""
         self.suffixes = tuple(s for s in sfx.split(",") if s)
         self.exclude = options.get("exclude_name") or None
@@ -216,6 +229,7 @@ def scan_tree(
     in partitions hashed by path, sized from the listed bytes; a folder that
     holds a large share of all files is spread over many tasks."""
     register(spark)
+    root = local_root(root)
     r = spark.read.format("source_tree").option("minPartitions", str(spark.sparkContext.defaultParallelism))
     sfx = ",".join(suffix) if isinstance(suffix, tuple) else suffix
     if sfx:
@@ -276,6 +290,7 @@ def write_tree(df: DataFrame, root: str, path_col: str = "out_path", body_col: s
     """Write one file per row below root (a folder every executor can reach,
     e.g. a shared mount). Returns (files, bytes). Writes are idempotent, so a
     lost task is simply run again."""
+    root = local_root(root)
     rows = df.select(path_col, body_col)
     par = df.sparkSession.sparkContext.defaultParallelism
     if rows.rdd.getNumPartitions() < par:

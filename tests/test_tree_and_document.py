@@ -103,3 +103,11 @@ def test_executor_listing_equals_driver_listing(spark):
                    for r in scan_tree(spark, root, ".py", "test", listing="executors", list_depth=depth).collect())
         assert a == b
     assert len(a) == 42
+
+
+def test_file_uri_roots(spark):
+    root = tempfile.mkdtemp(prefix="cw-uri-")
+    df = spark.createDataFrame([("a/b.py", "x")], "out_path string, body string")
+    write_tree(df, "file:" + root)
+    assert os.path.exists(os.path.join(root, "a/b.py"))
+    assert [r.rel_path for r in scan_tree(spark, "file://" + root).collect()] == ["a/b.py"]
