@@ -23,12 +23,11 @@ def selection_audit(all_files: DataFrame, suffix: str = P.SOURCE_SUFFIX, word: s
     )
 
 
-def decode_audit(decoded: DataFrame) -> DataFrame:
-    """Rows whose bytes are not UTF-8 (text NULL) fail the decode stage."""
-    return decoded.select(
-        "rel_path", F.lit("decode").alias("stage"),
-        F.when(F.col("text").isNull(), "failed").otherwise("ok").alias("status"),
-        F.when(F.col("text").isNull(), "not_utf8").alias("reason"),
+def decode_audit(chunk_rows: DataFrame) -> DataFrame:
+    """Files whose bytes are not UTF-8 fail the decode stage; they are the
+    chunk-table rows with n_chunks NULL (no second read of the text)."""
+    return chunk_rows.where(F.col("chunk_no").isNull() & F.col("n_chunks").isNull()).select(
+        "rel_path", F.lit("decode").alias("stage"), F.lit("failed").alias("status"), F.lit("not_utf8").alias("reason"),
     )
 
 
@@ -36,10 +35,9 @@ def summary_audit(all_files: DataFrame, run) -> DataFrame:
     """select / complete / resolve rows for a summary run."""
     from chunkwright.operators.responses import chunk_outcomes
 
-    sel = selection_audit(all_files)
-    if "text" in all_files.columns:
-        sel = sel.unionByName(decode_audit(all_files).where(F.col("status") == "failed"))
-    kept = run.files.select("rel_path")
+    sel = selection_audit(all_files).unionByName(decode_audit(run.chunk_rows))
+    decoded = run.chunk_rows.where(F.col("chunk_no").isNull() & F.col("n_chunks").isNull()).select("rel_path")
+    kept = run.files.select("rel_path").join(decoded, "rel_path", "left_anti")
     failed = run.failed.groupBy("rel_path").agg(F.lit(True).alias("_f"), F.min("reason").alias("reason"))
     comp = kept.join(failed, "rel_path", "left").select(
         "rel_path", F.lit("complete").alias("stage"),

@@ -55,13 +55,14 @@ def _explode_chunks(files: DataFrame, pattern, carry, keep_empty: bool = False)
     """One row per chunk, with chunk_no from 0 and the file's n_chunks (known
     before the explode, so no later count over the file is needed). An empty
     text gives no chunk row (with keep_empty, one row with chunk_no NULL and
-    n_chunks 0, so the file is still known downstream)."""
+    n_chunks 0, so the file is still known downstream; a NULL text, i.e. a
+    file that did not decode, gives such a row with n_chunks NULL)."""
     cols = ["rel_path", *carry]
     return (
         files.select(*cols, F.regexp_extract_all(F.col("text"), pattern, 0).alias("_parts"))
         .select(
             *cols,
-            F.size("_parts").cast("bigint").alias("n_chunks"),
+            F.when(F.col("_parts").isNotNull(), F.size("_parts")).cast("bigint").alias("n_chunks"),
             F.posexplode_outer("_parts").alias("chunk_no", "chunk_text"),
         )
         .where(F.col("chunk_no").isNotNull() | F.lit(keep_empty))

@@ -76,7 +76,7 @@ class AnnotateRun:
             F.array_join(F.transform("_l", lambda x: x["comment"]), "\n").alias("comments"),
             F.array_join(F.transform("_l", lambda x: x["chunk_text"]), "").alias("text"),
         )
-        empty = self.chunk_rows.where(F.col("chunk_no").isNull()).select(
+        empty = self.chunk_rows.where(F.col("chunk_no").isNull() & (F.col("n_chunks") == 0)).select(
             "rel_path", F.lit("").alias("comments"), F.lit("").alias("text"))
         return with_chunks.unionByName(empty)
 
@@ -99,7 +99,6 @@ def annotate(
     materialize: bool = True,
 ) -> AnnotateRun:
     spark = configure(files.sparkSession)
-    files = files.where(F.col("text").isNotNull())  # undecodable: see operators.audit
     chunk_rows = comment_chunks(files, params, carry, tokenizer, keep_empty=True)
     if materialize:
         chunk_rows = stage(chunk_rows, "comment-chunks")

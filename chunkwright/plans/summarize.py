@@ -34,7 +34,8 @@ def file_chunk_counts(chunk_rows: DataFrame) -> DataFrame:
     """(rel_path, n_chunks) for every file, 0 for an empty text, from a chunk
     table made with keep_empty: the first chunk row or the empty-file row.
     No aggregation over big files and no second read of the corpus."""
-    return chunk_rows.where(F.col("chunk_no").isNull() | (F.col("chunk_no") == 0)).select("rel_path", "n_chunks")
+    first = F.col("chunk_no").isNull() | (F.col("chunk_no") == 0)
+    return chunk_rows.where(first & F.col("n_chunks").isNotNull()).select("rel_path", "n_chunks")
 
 
 class SummaryRun:
@@ -127,7 +128,8 @@ def summarize(
     outcomes are written once to the shared work folder; every later branch
     reads them instead of chunking the corpus again."""
     spark = configure(files.sparkSession)
-    files = files.where(F.col("text").isNotNull())  # undecodable: see operators.audit
+    # Files that did not decode (text NULL) stay in the chunk table as one row
+    # with n_chunks NULL, for the audit; no later stage reads the text again.
     chunk_rows = summary_chunks(files, params, carry, tokenizer, keep_empty=True)
     if materialize:
         chunk_rows = stage(chunk_rows, "chunks")
