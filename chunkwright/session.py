@@ -84,9 +84,11 @@ def work_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unique sub-path of the shared work folder."""
+    """A new, unique sub-path of the shared work folder, grouped per Spark
+    application so one run's stages can be found (and removed) together."""
     base = work_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    app = spark.sparkContext.applicationId
+    return f"{base}/chunkwright-{app}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
