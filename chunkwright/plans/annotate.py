@@ -56,11 +56,23 @@ class AnnotateRun:
 
     @property
     def failed(self) -> DataFrame:
+        """Files with a chunk that failed, or an asked chunk with no try at
+        all (so no file is stitched with a part missing)."""
+        key = ["rel_path", "chunk_no"]
+        failed = self.resolved.where(F.col("failed")).select(*key, F.lit("call_error").alias("reason"))
+        unanswered = (
+            self.chunks.where(~F.col("gated")).select(*key)
+            .join(self.resolved.select(*key), key, "left_anti")
+            .select(*key, F.lit("no_answer").alias("reason"))
+        )
         return (
-            self.resolved.where(F.col("failed"))
+            failed.unionByName(unanswered)
             .groupBy("rel_path")
-            .agg(F.count(F.lit(1)).cast("bigint").alias("failed_chunks"), F.min("chunk_no").alias("first_failed_chunk"))
-            .withColumn("reason", F.lit("call_error"))
+            .agg(
+                F.count(F.lit(1)).cast("bigint").alias("failed_chunks"),
+                F.min("chunk_no").alias("first_failed_chunk"),
+                F.min("reason").alias("reason"),
+            )
         )
 
     @property

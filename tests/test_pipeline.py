@@ -115,3 +115,11 @@ def test_user_tokenizer_udf(spark):
     df = spark.createDataFrame([("f", "one two three four")], "rel_path string, text string")
     r = with_budget(df, 10, 100, tokenizer=count).first()
     assert r.n_tokens == 4 and r.chars_per_token == 18 / 4 * 0.75 and r.max_chars == int(10 * 18 / 4 * 0.75)
+
+
+def test_annotate_missing_answer_fails_file(spark):
+    files = spark.createDataFrame([("a.py", "line one\nline two\n"), ("b.py", "other text here\n")], "rel_path string, text string")
+    att = spark.createDataFrame([("a.py", 0, 1, "doc", None)], "rel_path string, chunk_no long, attempt long, response string, error string")
+    run = annotate(files, attempts=att, params=CommentParams(chunk_chars=100))
+    assert [r.rel_path for r in run.artifacts.collect()] == ["a.py"]
+    assert [(r.rel_path, r.reason) for r in run.failed.collect()] == [("b.py", "no_answer")]
