@@ -64,11 +64,22 @@ class SummaryRun:
     def call_failed(self) -> DataFrame:
         return D.failed_from_outcomes(self.outcomes)
 
-    @property
+    @cached_property
     def failed(self) -> DataFrame:
-        """Files left out of the summaries: call errors, and with strict_merge
-        files whose merge meets a nested map item."""
-        out = self.call_failed
+        """Files left out of the summaries: a call error before a valid
+        answer, an asked chunk never tried (no_answer), and with strict_merge
+        a nested map item in a many-chunk file."""
+        cols = ["rel_path", "failed_chunks", "first_failed_chunk", "reason"]
+        out = self.call_failed.select(*cols)
+        key = ["rel_path", "chunk_no"]
+        unanswered = (
+            self.chunks.where(~F.col("gated")).select(*key)
+            .join(self.outcomes.select(*key), key, "left_anti")
+            .groupBy("rel_path")
+            .agg(F.count(F.lit(1)).cast("bigint").alias("failed_chunks"), F.min("chunk_no").alias("first_failed_chunk"))
+            .withColumn("reason", F.lit("no_answer"))
+        )
+        out = out.unionByName(unanswered.select(*cols))
         if self.params.strict_merge:
             entries = E.record_entries(D.records_from_outcomes(self.chunks, self.outcomes), carry=("n_chunks",))
             nested = E.nested_items(entries).select(
@@ -79,10 +90,8 @@ class SummaryRun:
 
     @property
     def records(self) -> DataFrame:
-        r = D.records_from_outcomes(self.chunks, self.outcomes)
-        if self.params.strict_merge:
-            r = r.join(self.failed.select("rel_path"), "rel_path", "left_anti")
-        return r
+        """One record per chunk of every file that is not in `failed`."""
+        return D.records_from_outcomes(self.chunks, self.outcomes).join(self.failed.select("rel_path"), "rel_path", "left_anti")
 
     @property
     def summaries(self) -> DataFrame:

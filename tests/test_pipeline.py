@@ -123,3 +123,12 @@ def test_annotate_missing_answer_fails_file(spark):
     run = annotate(files, attempts=att, params=CommentParams(chunk_chars=100))
     assert [r.rel_path for r in run.artifacts.collect()] == ["a.py"]
     assert [(r.rel_path, r.reason) for r in run.failed.collect()] == [("b.py", "no_answer")]
+
+
+def test_summarize_untried_chunk_fails_file(spark):
+    files = spark.createDataFrame([("a.py", "some words here"), ("b.py", "other words here")], "rel_path string, text string")
+    att = spark.createDataFrame([("a.py", 0, 1, '{"Overall Summary": "A"}', None)],
+                                "rel_path string, chunk_no long, attempt long, response string, error string")
+    run = summarize(files, attempts=att, params=SummaryParams(chunk_chars=100))
+    assert [r.rel_path for r in run.wide.collect()] == ["a.py"]
+    assert [(r.rel_path, r.reason) for r in run.failed.collect()] == [("b.py", "no_answer")]
