@@ -147,7 +147,7 @@ WITH RECURSIVE t(id, path, depth, v) AS (
   UNION ALL
   SELECT t.id,
          CASE WHEN e.key IS NULL THEN concat(t.path, '[', CAST(e.pos AS STRING), ']')
-              WHEN e.key RLIKE '^[A-Za-z0-9_]+$' THEN concat(t.path, '.', e.key)
+              WHEN e.key RLIKE '^[A-Za-z_][A-Za-z0-9_]*$' THEN concat(t.path, '.', e.key)
               ELSE concat(t.path, '."', replace(e.key, '"', '\\\\"'), '"') END,
          t.depth + 1, e.value
   FROM t, LATERAL variant_explode(t.v) AS e

@@ -666,6 +666,26 @@ def q_json_outline(spark, sf):
     return o.where(F.col("path") != "$").select("event_id", "path", "value")
 
 
+@register(
+    "record_outline",
+    O.sql(
+        *s_parsed(),
+        O.outcomes_cte("outcomes", "parsed"),
+        "best as (select rel_path, chunk_no, json_text from outcomes where win is not null)",
+        final="""select concat(rel_path, '#', chunk_no) as record_id, j.fullkey as path, j.atom::varchar as value
+from best, json_tree(json_text) j where j.fullkey <> '$'""",
+    ),
+)
+def q_record_outline(spark, sf):
+    """The JSON outline of every winning chunk answer of the summary job."""
+    from chunkwright.operators.hierarchy import json_outline
+    run = summary_run(spark, sf)
+    best = D.resolve_attempts(run.parsed).where(F.col("win").isNotNull()).select(
+        F.concat("rel_path", F.lit("#"), F.col("chunk_no").cast("string")).alias("record_id"), "json_text")
+    o = json_outline(best, "record_id", "json_text")
+    return o.where(F.col("path") != "$").select("record_id", "path", "value")
+
+
 # ------------------------------------------------------------------- G --
 
 S_AUDIT = [

@@ -111,3 +111,15 @@ def test_file_uri_roots(spark):
     write_tree(df, "file:" + root)
     assert os.path.exists(os.path.join(root, "a/b.py"))
     assert [r.rel_path for r in scan_tree(spark, "file://" + root).collect()] == ["a/b.py"]
+
+
+def test_json_outline_paths_like_duckdb(spark):
+    import duckdb
+
+    from chunkwright.operators.hierarchy import json_outline
+
+    doc = '{"Functions/Methods": {"f0": "x"}, "a_b": 1, "1a": 2, "A9": [true, null, "q", {"z": []}], "k\\"q": 3, "": 4, "a.b": {}}'
+    df = spark.createDataFrame([(1, doc)], "id long, j string")
+    got = sorted((r.path, r.value) for r in json_outline(df, "id", "j").where("path <> '$'").collect())
+    want = sorted(duckdb.sql("select fullkey, atom::varchar from json_tree(?) where fullkey <> '$'", params=[doc]).fetchall())
+    assert got == want
