@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chunkwright import params as P
+from chunkwright.functions.jsonfmt import json_indent2
 from chunkwright.functions.paths import replace_extension
 from chunkwright.operators import chunking as C
 from chunkwright.operators import completion as D4
@@ -162,11 +163,12 @@ def summarize(
 
 def summary_artifacts(run: "SummaryRun") -> DataFrame:
     """(rel_path, out_path, branch, body): one JSON document per file, to be
-    saved beside the source path with its last extension replaced by '.txt'.
+    saved beside the source path with its last extension replaced by '.txt',
+    indented by two spaces with non-ASCII escaped.
 
-    A one-chunk file keeps its record exactly as the model wrote it; a merged
-    file gets the ten sections in record order, map items in item order
-    (nested item values stay JSON text)."""
+    A one-chunk file keeps its record as the model wrote it (duplicate keys:
+    the last wins); a merged file gets the ten sections in record order, map
+    items in item order (nested item values stay JSON text)."""
     single = run.records.where(F.col("n_chunks") == 1).join(run.failed.select("rel_path"), "rel_path", "left_anti")
     # (records already exclude call failures; strict_merge failures are many-chunk files)
     single = single.select("rel_path", F.lit("single").alias("branch"), F.col("json_text").alias("body"))
@@ -174,7 +176,7 @@ def summary_artifacts(run: "SummaryRun") -> DataFrame:
     sections = P.MERGED_SECTIONS + (("ETL Processes", "Variables") if run.params.keep_all_sections else ())
     wide = E.summary_wide(merged_long, sections)
     record = F.struct(*[F.col(f"`{s}`") for s in sections])
-    merged = wide.select("rel_path", F.lit("merged").alias("branch"), F.to_json(record, {"pretty": "true"}).alias("body"))
+    merged = wide.select("rel_path", F.lit("merged").alias("branch"), F.to_json(record).alias("body"))
     return single.unionByName(merged).select(
-        "rel_path", replace_extension("rel_path", ".txt").alias("out_path"), "branch", "body"
+        "rel_path", replace_extension("rel_path", ".txt").alias("out_path"), "branch", json_indent2("body").alias("body")
     )

@@ -132,3 +132,18 @@ def test_summarize_untried_chunk_fails_file(spark):
     run = summarize(files, attempts=att, params=SummaryParams(chunk_chars=100))
     assert [r.rel_path for r in run.wide.collect()] == ["a.py"]
     assert [(r.rel_path, r.reason) for r in run.failed.collect()] == [("b.py", "no_answer")]
+
+
+def test_summary_artifact_body_format(spark):
+    files = spark.createDataFrame([("one.py", "tiny file"), ("two.py", "aaaa bbbb cccc dddd")], "rel_path string, text string")
+    rows = [("one.py", 0, 1, '{"Overall Summary": " café ", "Classes": {"A": {"b": [1, 2]}}, "Overall Summary": "last"}', None),
+            ("two.py", 0, 1, '{"Overall Summary": "x", "Classes": {"K": "é"}}', None),
+            ("two.py", 1, 1, '{"Data Inputs": "y"}', None)]
+    att = spark.createDataFrame(rows, "rel_path string, chunk_no long, attempt long, response string, error string")
+    run = summarize(files, attempts=att, params=SummaryParams(chunk_chars=10, min_chunk_chars=1))
+    body = {r.rel_path: r.body for r in run.artifacts.collect()}
+    assert body["one.py"] == json.dumps({"Overall Summary": "last", "Classes": {"A": {"b": [1, 2]}}}, indent=2)
+    expected_two = {"Overall Summary": "x", "Module/Library Name": "", "Classes": {"K": "é"}, "Functions/Methods": {},
+                    "Data Structures": "", "Interfaces/APIs": "", "Configuration/Environment Variables": {},
+                    "Error Handling/Logging": "", "Data Inputs": "y", "Data Outputs": ""}
+    assert body["two.py"] == json.dumps(expected_two, indent=2)
