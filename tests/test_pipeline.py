@@ -147,3 +147,20 @@ def test_summary_artifact_body_format(spark):
                     "Data Structures": "", "Interfaces/APIs": "", "Configuration/Environment Variables": {},
                     "Error Handling/Logging": "", "Data Inputs": "y", "Data Outputs": ""}
     assert body["two.py"] == json.dumps(expected_two, indent=2)
+
+
+def test_artifact_tree_round_trip_and_document(spark):
+    import os
+    import tempfile
+
+    from chunkwright import read_artifacts, save_document, write_tree
+
+    run = annotate(_files(spark), complete=D4.offline_stub, params=CommentParams(chunk_chars=50))
+    root = tempfile.mkdtemp(prefix="cw-art-")
+    n, _ = write_tree(run.artifacts, root)
+    back = {r.rel_path: r.body for r in read_artifacts(spark, root).collect()}
+    assert len(back) == n and back == {r.rel_path: r.body for r in run.artifacts.collect()}
+    out = tempfile.mkdtemp(prefix="cw-doc-") + "/doc"
+    save_document(read_artifacts(spark, root), "Doc", out)
+    page = "".join(open(os.path.join(out, p)).read() for p in sorted(os.listdir(out)) if p.startswith("part-"))
+    assert page.count("<h3 id=") == n and page.index('id="c.py"') < page.index('id="pkg"')
