@@ -33,8 +33,6 @@ def decode_audit(chunk_rows: DataFrame) -> DataFrame:
 
 def summary_audit(all_files: DataFrame, run) -> DataFrame:
     """select / complete / resolve rows for a summary run."""
-    from chunkwright.operators.responses import chunk_outcomes
-
     sel = selection_audit(all_files).unionByName(decode_audit(run.chunk_rows))
     decoded = run.chunk_rows.where(F.col("chunk_no").isNull() & F.col("n_chunks").isNull()).select("rel_path")
     kept = run.files.select("rel_path").join(decoded, "rel_path", "left_anti")
@@ -43,7 +41,7 @@ def summary_audit(all_files: DataFrame, run) -> DataFrame:
         "rel_path", F.lit("complete").alias("stage"),
         F.when(F.col("_f"), "failed").otherwise("ok").alias("status"), "reason",
     )
-    per_chunk = chunk_outcomes(run.parsed, run.params.max_attempts)
+    per_chunk = run.outcomes
     per_file = per_chunk.groupBy("rel_path").agg(
         F.max(F.coalesce("win", F.lit(0))).alias("max_win"),
         F.max(F.when(F.col("win").isNull(), 1).otherwise(0)).alias("any_open"),

@@ -90,7 +90,11 @@ def merge_text(entries: DataFrame) -> DataFrame:
     frags = vals.select(
         FILE_KEY, "section", "chunk_no", F.posexplode_outer(F.split(F.col("v"), ", ", -1)).alias("fpos", "frag")
     ).where(F.col("fpos").isNotNull())
-    firsts = frags.groupBy(FILE_KEY, "section", "frag").agg(F.min(F.struct("chunk_no", "fpos")).alias("o"))
+    # First place of each fragment as one long (chunk_no * 2^31 + fpos; both
+    # stay below 2^31 as a row is under 2 GB), so the de-duplication is a
+    # hash aggregate rather than a sort-based one over structs.
+    order = F.col("chunk_no") * F.lit(1 << 31) + F.col("fpos")
+    firsts = frags.groupBy(FILE_KEY, "section", "frag").agg(F.min(order).alias("o"))
     joined = firsts.groupBy(FILE_KEY, "section").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o", "frag"))), lambda x: x["frag"]), ", ").alias("j")
     )
