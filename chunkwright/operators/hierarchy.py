@@ -87,29 +87,42 @@ def sort_key(path: Column, is_file: bool) -> Column:
     return F.array_join(F.concat(dirs, F.array(F.concat(F.lit("0"), F.element_at(p, -1)))), SEP)
 
 
-def _links(path: Column, names: Column) -> Column:
-    return F.array_join(
-        F.transform(names, lambda x: F.concat(
-            F.lit('<li><a href="#'), _attr(F.concat(path, F.lit("/"), x)), F.lit('">'),
-            html_escape(F.concat(path, F.lit("/"), x)), F.lit("</a></li>"))),
-        "",
-    )
+# Within a folder, after its heading (key K): the subfolder list, then the
+# file list, each as open tag, one fragment per link, close tag; then the
+# folder's files (K SEP '0' name) and subfolders (K SEP '1' name). '!' sorts
+# before '0', so these parts come first.
+DIRS_OPEN, DIR_LINK, DIRS_CLOSE = "!1", "!2", "!3"
+FILES_OPEN, FILE_LINK, FILES_CLOSE = "!4", "!5", "!6"
 
 
 def document_fragments(artifacts: DataFrame, title: str, escape: bool = True, path_col: str = "out_path") -> DataFrame:
-    """(sort_key, body): page head, one fragment per directory (heading,
-    subdirectory links, file links), one per file (title and body), page
-    end. Bodies are HTML-escaped unless escape=False."""
+    """(sort_key, body): page head, per folder a heading, its subfolder and
+    file link lists (one fragment per link), per file its title and body,
+    page end. Bodies are HTML-escaped unless escape=False. No step gathers a
+    folder's children into one row, so a folder of millions of files is
+    spread like any other rows; sorted by sort_key the fragments make the
+    page."""
     nodes = directory_nodes(artifacts, path_col)
-    kids = directory_children(nodes)
     crumbs = breadcrumbs(nodes)
-    dirs = crumbs.join(kids, "path", "left").select(
+    headings = crumbs.select(
         sort_key(F.col("path"), False).alias("sort_key"),
+        F.concat(F.lit('<h2 id="'), _attr(F.col("path")), F.lit('">'), F.col("crumbs"), F.lit("</h2>\n")).alias("body"),
+    )
+    frames = crumbs.select(
+        sort_key(F.col("path"), False).alias("k"),
+        F.explode(F.array(*[
+            F.struct(F.lit(code).alias("code"), F.lit(tag).alias("tag"))
+            for code, tag in ((DIRS_OPEN, '<ul class="dirs">\n'), (DIRS_CLOSE, "</ul>\n"),
+                              (FILES_OPEN, '<ul class="files">\n'), (FILES_CLOSE, "</ul>\n"))
+        ])).alias("f"),
+    ).select(F.concat(F.col("k"), F.lit(SEP), F.col("f.code")).alias("sort_key"), F.col("f.tag").alias("body"))
+    links = nodes.where(F.col("parent") != "").select(
         F.concat(
-            F.lit('<h2 id="'), _attr(F.col("path")), F.lit('">'), F.col("crumbs"), F.lit("</h2>\n"),
-            F.lit('<ul class="dirs">'), _links(F.col("path"), F.coalesce("subdirs", F.array().cast("array<string>"))), F.lit("</ul>\n"),
-            F.lit('<ul class="files">'), _links(F.col("path"), F.coalesce("files", F.array().cast("array<string>"))), F.lit("</ul>\n"),
-        ).alias("body"),
+            sort_key(F.col("parent"), False), F.lit(SEP),
+            F.when(F.col("kind") == "dir", F.lit(DIR_LINK)).otherwise(F.lit(FILE_LINK)), F.col("name"),
+        ).alias("sort_key"),
+        F.concat(F.lit('<li><a href="#'), _attr(F.col("path")), F.lit('">'), html_escape(F.col("path")),
+                 F.lit("</a></li>\n")).alias("body"),
     )
     body = html_escape(F.col("body")) if escape else F.col("body")
     files = artifacts.select(
@@ -129,7 +142,7 @@ def document_fragments(artifacts: DataFrame, title: str, escape: bool = True, pa
             F.struct(F.lit(TAIL_KEY).alias("sort_key"), F.lit("</body></html>\n").alias("body")),
         )).alias("f")
     ).select("f.sort_key", "f.body")
-    return shell.unionByName(dirs).unionByName(files)
+    return shell.unionByName(headings).unionByName(frames).unionByName(links).unionByName(files)
 
 
 def write_document(fragments: DataFrame, path: str) -> None:

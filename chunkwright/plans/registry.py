@@ -629,19 +629,21 @@ def q_breadcrumbs(spark, sf):
 
 
 def _fragments_sql() -> str:
-    def links(names):
-        return (f"array_to_string(list_transform({names}, lambda x: concat('<li><a href=\"#', {O.attr(chr(40) + 'c.path || ' + chr(39) + '/' + chr(39) + ' || x' + chr(41))}, '\">', "
-                f"{O.esc(chr(40) + 'c.path || ' + chr(39) + '/' + chr(39) + ' || x' + chr(41))}, '</a></li>')), '')")
+    def dirkey(x):
+        return f"array_to_string(list_transform(string_split({x}, '/'), lambda y: '1' || y), chr(1))"
     t = O.esc(O.sql_str(DOC_TITLE))
+    frames = "(values ('!1', '<ul class=\"dirs\">'), ('!3', '</ul>'), ('!4', '<ul class=\"files\">'), ('!6', '</ul>')) f(code, tag)"
     return f"""select '' as sort_key, concat('<!DOCTYPE html>', chr(10), '<html><head><meta charset="utf-8"><title>', {t},
     '</title></head>', chr(10), '<body>', chr(10), '<h1>', {t}, '</h1>', chr(10)) as body
 union all select '2', concat('</body></html>', chr(10))
 union all
-select array_to_string(list_transform(string_split(c.path, '/'), lambda x: '1' || x), chr(1)),
-  concat('<h2 id="', {O.attr('c.path')}, '">', c.crumbs, '</h2>', chr(10),
-         '<ul class="dirs">', {links('coalesce(k.subdirs, [])')}, '</ul>', chr(10),
-         '<ul class="files">', {links('coalesce(k.files, [])')}, '</ul>', chr(10))
-from crumbs c left join children k on c.path=k.path
+select {dirkey('c.path')}, concat('<h2 id="', {O.attr('c.path')}, '">', c.crumbs, '</h2>', chr(10)) from crumbs c
+union all
+select concat({dirkey('c.path')}, chr(1), f.code), concat(f.tag, chr(10)) from crumbs c, {frames}
+union all
+select concat({dirkey('parent')}, chr(1), case when kind='dir' then '!2' else '!5' end, name),
+       concat('<li><a href="#', {O.attr('path')}, '">', {O.esc('path')}, '</a></li>', chr(10))
+from nodes where parent <> ''
 union all
 select array_to_string(list_concat(list_transform(p[1:len(p)-1], lambda x: '1' || x), ['0' || p[-1]]), chr(1)),
   concat('<h3 id="', {O.attr('out_path')}, '">', {O.esc('out_path')}, '</h3>', chr(10), '<pre><code>', {O.esc('body')}, '</code></pre>', chr(10))
