@@ -28,8 +28,10 @@ def _wrap(fn: CompleteFn):
         for b in batches:
             try:
                 out = fn(b)
-                resp = out["response"].astype(object).where(out["response"].notna(), None)
-                err = out["error"].astype(object).where(out["error"].notna(), None) if "error" in out else None
+                if len(out) != len(b):
+                    raise ValueError(f"complete() returned {len(out)} rows for {len(b)} requests")
+                resp = out["response"].astype(object).where(out["response"].notna(), None).reset_index(drop=True)
+                err = out["error"].astype(object).where(out["error"].notna(), None).reset_index(drop=True) if "error" in out else None
             except Exception as e:  # the whole batch failed: one error per row
                 resp = pd.Series([None] * len(b), dtype=object)
                 err = pd.Series([f"{type(e).__name__}: {e}"] * len(b), dtype=object)

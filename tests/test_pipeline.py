@@ -164,3 +164,15 @@ def test_artifact_tree_round_trip_and_document(spark):
     save_document(read_artifacts(spark, root), "Doc", out)
     page = "".join(open(os.path.join(out, p)).read() for p in sorted(os.listdir(out)) if p.startswith("part-"))
     assert page.count("<h3 id=") == n and page.index('id="c.py"') < page.index('id="pkg"')
+
+
+def test_completion_wrong_length_becomes_errors(spark):
+    def short(batch):
+        return pd.DataFrame({"response": ["x"] * (len(batch) - 1)})
+
+    req = spark.createDataFrame(
+        [(f"r{i}", "f", i, 1, "s", "p", "m", 10, 0.5) for i in range(3)],
+        "request_id string, rel_path string, chunk_no long, attempt long, system string, prompt string, model string, max_tokens int, temperature double",
+    )
+    rows = D4.complete(req, short, partitions=1).collect()
+    assert len(rows) == 3 and all(r.response is None and "returned 2 rows" in r.error for r in rows)
