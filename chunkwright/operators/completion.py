@@ -63,11 +63,6 @@ def complete(requests: DataFrame, fn: CompleteFn, partitions: int | None = None)
     return requests.select(*cols).repartition(n, "request_id").mapInPandas(_wrap(fn), ATTEMPT_SCHEMA)
 
 
-def materialise(df: DataFrame, path: str, mode: str = "append") -> DataFrame:
-    """Write a stage to the shared folder and read it back (cuts lineage)."""
-    df.write.mode(mode).parquet(path)
-    return df.sparkSession.read.parquet(path)
-
 
 def offline_stub(batch: pd.DataFrame) -> pd.DataFrame:
     """A deterministic stand-in for a model, for tests and benchmarks."""
@@ -87,8 +82,16 @@ def offline_stub(batch: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"response": out_resp, "error": [None] * len(out_resp)})
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+
+
 def read_or_empty(spark: SparkSession, path: str) -> DataFrame:
-    try:
-        return spark.read.parquet(path)
-    except Exception:
+    """The attempts written so far; empty only when nothing was written yet.
+    Any other read error is raised: treating it as "no attempts" would ask
+    the model again for every request."""
+    if not _exists(spark, path):
         return spark.createDataFrame([], ATTEMPT_SCHEMA)
+    return spark.read.parquet(path)

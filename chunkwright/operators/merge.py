@@ -197,15 +197,6 @@ def summary_wide(long: DataFrame, sections=P.MERGED_SECTIONS, map_sections=P.MAP
     return long.groupBy(FILE_KEY).agg(*aggs)
 
 
-def stitch(answers: DataFrame, key: str, order: str, text: str, sep: str = "\n") -> DataFrame:
-    """Join each group's answers in order with sep. Out: (key, stitched)."""
-    return answers.groupBy(key).agg(
-        F.array_join(
-            F.transform(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(text).alias("t")))), lambda x: x["t"]),
-            sep,
-        ).alias("stitched")
-    )
-
 
 def split_lines(col):
     """Python str.splitlines(): no final empty line after a trailing break,

@@ -100,12 +100,9 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
 
 def strip_scheme(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-__all__ = ["configure", "local_session", "work_dir", "scratch_path", "stage", "is_local_path", "strip_scheme"]
+__all__ = ["configure", "local_session", "work_dir", "scratch_path", "stage", "strip_scheme"]

@@ -6,16 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chunkwright import params as P
+from chunkwright.operators.filters import artifact_files
 from chunkwright.operators.hierarchy import write_document  # noqa: F401  (re-export)
 from chunkwright.sources.tree import decode_text, scan_tree, write_tree  # noqa: F401
 
 
-def read_artifacts(spark: SparkSession, root: str, suffixes=P.ARTIFACT_SUFFIXES) -> DataFrame:
-    """(rel_path, out_path, body) for every .txt or .py file below root."""
+def read_artifacts(spark: SparkSession, root, suffixes=P.ARTIFACT_SUFFIXES) -> DataFrame:
+    """(rel_path, out_path, body) for every .txt or .py artifact: below a
+    folder `root` (the suffix filter runs in the scan, so other files are
+    never opened), or from an artifact table (rel_path, body)."""
+    if isinstance(root, DataFrame):
+        return artifact_files(root, suffixes).select("rel_path", F.col("rel_path").alias("out_path"), "body")
     scanned = decode_text(scan_tree(spark, root, tuple(suffixes)))
     return scanned.select("rel_path", F.col("rel_path").alias("out_path"), F.col("text").alias("body"))
-
-
-def save_artifacts(artifacts: DataFrame, path: str) -> None:
-    """Save artifacts as a table (the cluster-friendly form of the tree)."""
-    artifacts.write.mode("overwrite").parquet(path)

@@ -123,3 +123,10 @@ def test_json_outline_paths_like_duckdb(spark):
     got = sorted((r.path, r.value) for r in json_outline(df, "id", "j").where("path <> '$'").collect())
     want = sorted(duckdb.sql("select fullkey, atom::varchar from json_tree(?) where fullkey <> '$'", params=[doc]).fetchall())
     assert got == want
+
+
+def test_read_artifacts_from_table(spark):
+    from chunkwright.sources.artifacts import read_artifacts
+
+    df = spark.createDataFrame([("a/x.txt", "1"), ("a/y.py", "2"), ("a/z.md", "3")], "rel_path string, body string")
+    assert sorted(r.out_path for r in read_artifacts(spark, df).collect()) == ["a/x.txt", "a/y.py"]
