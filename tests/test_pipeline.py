@@ -176,3 +176,24 @@ def test_completion_wrong_length_becomes_errors(spark):
     )
     rows = D4.complete(req, short, partitions=1).collect()
     assert len(rows) == 3 and all(r.response is None and "returned 2 rows" in r.error for r in rows)
+
+
+def test_command_line(spark, capsys):
+    import os
+    import tempfile
+
+    from chunkwright.__main__ import main
+
+    root = tempfile.mkdtemp(prefix="cw-cli-src-")
+    for rel, text in {"pkg/a.py": "def f():\n    return 1\n", "pkg/test_a.py": "x", "b.txt": "no"}.items():
+        os.makedirs(os.path.dirname(os.path.join(root, rel)), exist_ok=True)
+        open(os.path.join(root, rel), "w").write(text)
+    out = tempfile.mkdtemp(prefix="cw-cli-out-")
+    assert main(["summarize", root, out + "/s", "--complete", "stub"]) == 0
+    assert os.listdir(out + "/s/pkg") == ["a.txt"]
+    assert json.loads(open(out + "/s/pkg/a.txt").read())["Data Inputs"] == "4 words"
+    assert main(["annotate", root, out + "/c", "--complete", "stub"]) == 0
+    assert open(out + "/c/pkg/a.py").read().startswith('"""Documented part."""')
+    assert main(["document", out + "/c", out + "/doc", "--title", "Commented code"]) == 0
+    assert any(p.startswith("part-") for p in os.listdir(out + "/doc"))
+    capsys.readouterr()
