@@ -19,7 +19,7 @@ from chunkwright.operators import completion as D4
 from chunkwright.operators import requests as R
 from chunkwright.operators import responses as D
 from chunkwright.operators.filters import chunk_gate
-from chunkwright.session import configure, scratch_path, stage
+from chunkwright.session import configure, scratch_path, spread, stage
 
 
 def comment_chunks(files: DataFrame, params: P.CommentParams = P.CommentParams(), carry=(), tokenizer=None,
@@ -111,7 +111,7 @@ def annotate(
     materialize: bool = True,
 ) -> AnnotateRun:
     spark = configure(files.sparkSession)
-    chunk_rows = comment_chunks(files, params, carry, tokenizer, keep_empty=True)
+    chunk_rows = comment_chunks(spread(files), params, carry, tokenizer, keep_empty=True)
     if materialize:
         chunk_rows = stage(chunk_rows, "comment-chunks")
     chunks = chunk_rows.where(F.col("chunk_no").isNotNull())

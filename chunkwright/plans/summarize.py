@@ -21,7 +21,7 @@ from chunkwright.operators import merge as E
 from chunkwright.operators import requests as R
 from chunkwright.operators import responses as D
 from chunkwright.operators.filters import chunk_gate
-from chunkwright.session import configure, scratch_path, stage
+from chunkwright.session import configure, scratch_path, spread, stage
 
 
 def summary_chunks(files: DataFrame, params: P.SummaryParams = P.SummaryParams(), carry=(), tokenizer=None,
@@ -140,7 +140,7 @@ def summarize(
     spark = configure(files.sparkSession)
     # Files that did not decode (text NULL) stay in the chunk table as one row
     # with n_chunks NULL, for the audit; no later stage reads the text again.
-    chunk_rows = summary_chunks(files, params, carry, tokenizer, keep_empty=True)
+    chunk_rows = summary_chunks(spread(files), params, carry, tokenizer, keep_empty=True)
     if materialize:
         chunk_rows = stage(chunk_rows, "chunks")
     chunks = chunk_rows.where(F.col("chunk_no").isNotNull())

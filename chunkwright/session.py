@@ -91,6 +91,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/chunkwright-{app}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A small input with fewer partitions than the cluster has cores is
+    spread round-robin, so the CPU-heavy stages after it (chunking, answer
+    parsing) use every core. Large inputs are left as they are."""
+    par = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(par) if df.rdd.getNumPartitions() < par else df
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write a stage as parquet to the shared work folder and read it back.
     Later stages then read only the columns they need, the plan above is
@@ -105,4 +113,4 @@ def strip_scheme(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-__all__ = ["configure", "local_session", "work_dir", "scratch_path", "stage", "strip_scheme"]
+__all__ = ["configure", "local_session", "work_dir", "scratch_path", "stage", "spread", "strip_scheme"]
