@@ -86,7 +86,7 @@ def s_parsed(with_errors: bool = False, n: int = 5) -> list[str]:
 )
 def q_merge_text(spark, sf):
     run = summary_run(spark, sf)
-    best = D.resolve_attempts(run.parsed).where(F.col("win").isNotNull())
+    best = run.outcomes.where(F.col("win").isNotNull())
     return E.merge_text(E.record_entries(best))
 
 
@@ -468,7 +468,7 @@ def q_stitch_lines(spark, sf):
 )
 def q_merge_maps(spark, sf):
     run = summary_run(spark, sf)
-    best = D.resolve_attempts(run.parsed).where(F.col("win").isNotNull())
+    best = run.outcomes.where(F.col("win").isNotNull())
     return E.merge_maps(E.record_entries(best))
 
 
@@ -682,7 +682,7 @@ def q_record_outline(spark, sf):
     """The JSON outline of every winning chunk answer of the summary job."""
     from chunkwright.operators.hierarchy import json_outline
     run = summary_run(spark, sf)
-    best = D.resolve_attempts(run.parsed).where(F.col("win").isNotNull()).select(
+    best = run.outcomes.where(F.col("win").isNotNull()).select(
         F.concat("rel_path", F.lit("#"), F.col("chunk_no").cast("string")).alias("record_id"), "json_text")
     o = json_outline(best, "record_id", "json_text")
     return o.where(F.col("path") != "$").select("record_id", "path", "value")
