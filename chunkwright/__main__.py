@@ -33,7 +33,7 @@ def _complete(name: str):
 def main(argv=None) -> int:
     from chunkwright import (CommentParams, SummaryParams, annotate, configure, decode_text, read_artifacts,
                              save_document, scan_tree, summarize, write_tree)
-    from chunkwright.operators.audit import run_report, summary_audit
+    from chunkwright.operators.audit import annotate_audit, run_report, summary_audit
 
     ap = argparse.ArgumentParser(prog="python -m chunkwright")
     sub = ap.add_subparsers(dest="cmd", required=True)
@@ -67,7 +67,7 @@ def main(argv=None) -> int:
         run = annotate(files, complete=_complete(a.complete), params=CommentParams(model=a.model),
                        attempts_path=a.attempts_path)
         n, size = write_tree(run.artifacts, a.out)
-        report = [{"failed_files": run.failed.count()}]
+        report = [r.asDict() for r in run_report(annotate_audit(all_files, run)).collect()]
     print(json.dumps({"artifacts": n, "bytes": size, "report": report}))
     return 0
 

@@ -65,3 +65,16 @@ def quarantine(audit: DataFrame) -> DataFrame:
 def run_report(audit: DataFrame) -> DataFrame:
     """Counts per stage and status, with stage totals and a grand total."""
     return audit.rollup("stage", "status").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+
+
+def annotate_audit(all_files: DataFrame, run) -> DataFrame:
+    """select / decode / complete rows for a comment (annotate) run."""
+    sel = selection_audit(all_files).unionByName(decode_audit(run.chunk_rows))
+    undecoded = run.chunk_rows.where(F.col("chunk_no").isNull() & F.col("n_chunks").isNull()).select("rel_path")
+    kept = run.files.select("rel_path").join(undecoded, "rel_path", "left_anti")
+    failed = run.failed.select("rel_path", F.lit(True).alias("_f"), "reason")
+    comp = kept.join(failed, "rel_path", "left").select(
+        "rel_path", F.lit("complete").alias("stage"),
+        F.when(F.col("_f"), "failed").otherwise("ok").alias("status"), "reason",
+    )
+    return sel.unionByName(comp)

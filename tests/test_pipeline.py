@@ -197,3 +197,18 @@ def test_command_line(spark, capsys):
     assert main(["document", out + "/c", out + "/doc", "--title", "Commented code"]) == 0
     assert any(p.startswith("part-") for p in os.listdir(out + "/doc"))
     capsys.readouterr()
+
+
+def test_annotate_audit(spark):
+    from chunkwright.operators.audit import annotate_audit, quarantine
+    from chunkwright.sources.tree import decode_text
+
+    raw = spark.createDataFrame([("a.py", b"line one\n"), ("b.py", b"other text\n"), ("c.py", b"\xff"), ("d.txt", b"x")],
+                                "rel_path string, content binary")
+    files = decode_text(raw)
+    att = spark.createDataFrame([("a.py", 0, 1, "doc", None), ("b.py", 0, 1, None, "e"), ("b.py", 0, 2, None, "e"), ("b.py", 0, 3, None, "e")],
+                                "rel_path string, chunk_no long, attempt long, response string, error string")
+    kept = files.where("file_name like '%.py'")
+    run = annotate(kept, attempts=att, params=CommentParams(chunk_chars=100))
+    q = sorted((r.rel_path, r.stage, r.reason) for r in quarantine(annotate_audit(files, run)).collect())
+    assert q == [("b.py", "complete", "call_error"), ("c.py", "decode", "not_utf8")]
