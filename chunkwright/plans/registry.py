@@ -770,3 +770,33 @@ def q_read_artifacts(spark, sf):
     from chunkwright.sources.artifacts import read_artifacts
     root = _tree_of(spark, annotate_run(spark, sf).artifacts, "annotated")
     return read_artifacts(spark, root)
+
+
+S_CAUDIT = [
+    *S_COMMENTS,
+    """caudit as (
+  select rel_path, 'select' as stage, case when reason is null then 'kept' else 'skipped' end as status, reason
+  from (select rel_path, case when not ends_with(file_name, '.py') then 'suffix'
+                              when contains(lower(file_name), 'test') then 'test_name' end as reason from files)
+  union all
+  select k.rel_path, 'complete', case when f.rel_path is not null then 'failed' else 'ok' end,
+         case when f.rel_path is not null then 'call_error' end
+  from kept k left join cfailed f on k.rel_path=f.rel_path)""",
+]
+
+
+def comment_audit_df(spark, sf):
+    from chunkwright.operators.audit import annotate_audit
+    return annotate_audit(documents_as_files(spark, sf), annotate_run(spark, sf))
+
+
+@register("comment_quarantine", O.sql(*S_CAUDIT, final="select rel_path, stage, reason from caudit where status='failed'"))
+def q_comment_quarantine(spark, sf):
+    from chunkwright.operators.audit import quarantine
+    return quarantine(comment_audit_df(spark, sf))
+
+
+@register("comment_run_report", O.sql(*S_CAUDIT, final="select stage, status, count(*)::bigint as n from caudit group by rollup(stage, status)"))
+def q_comment_run_report(spark, sf):
+    from chunkwright.operators.audit import run_report
+    return run_report(comment_audit_df(spark, sf))
