@@ -800,3 +800,13 @@ def q_comment_quarantine(spark, sf):
 def q_comment_run_report(spark, sf):
     from chunkwright.operators.audit import run_report
     return run_report(comment_audit_df(spark, sf))
+
+
+@register("summary_document")
+def q_summary_document(spark, sf):
+    """The linked document over the summary artifacts (rows only: the bodies
+    are json.dumps-formatted records, which the SQL engine cannot re-create
+    byte for byte; the same operator is checked on annotated files)."""
+    from chunkwright.operators.hierarchy import document_fragments
+    arts = summary_run(spark, sf, with_errors=True).artifacts
+    return document_fragments(arts, "Project summary")
