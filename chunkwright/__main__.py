@@ -56,8 +56,11 @@ def main(argv=None) -> int:
     if a.cmd == "document":
         save_document(read_artifacts(spark, a.artifacts), a.title, a.out, escape=not a.no_escape)
         return 0
-    all_files = decode_text(scan_tree(spark, a.root, listing=a.listing))
-    files = all_files.where("endswith(file_name, '.py') AND NOT contains(lower(file_name), 'test')")
+    # Names of every file for the audit; contents only of the files to work on
+    # (the name filters run in the scan, so no other file is opened).
+    all_files = scan_tree(spark, a.root, listing=a.listing, list_only=True).selectExpr(
+        "rel_path", "substring_index(rel_path, '/', -1) AS file_name")
+    files = decode_text(scan_tree(spark, a.root, ".py", "test", listing=a.listing))
     if a.cmd == "summarize":
         run = summarize(files, complete=_complete(a.complete), params=SummaryParams(model=a.model),
                         attempts_path=a.attempts_path)

@@ -221,13 +221,15 @@ def scan_tree(
     listing: str = "driver",
     list_depth: int = 2,
     target_bytes: int = 64 << 20,
+    list_only: bool = False,
 ) -> DataFrame:
     """(rel_path, content, n_bytes, error) for every matching file below root.
 
     listing="executors" is for very large trees: tasks list the folders,
     the listing is written once to the work folder, and the files are read
     in partitions hashed by path, sized from the listed bytes; a folder that
-    holds a large share of all files is spread over many tasks."""
+    holds a large share of all files is spread over many tasks.
+    list_only: paths and sizes only, no file is opened (content NULL)."""
     register(spark)
     root = local_root(root)
     r = spark.read.format("source_tree").option("minPartitions", str(spark.sparkContext.defaultParallelism))
@@ -236,6 +238,9 @@ def scan_tree(
         r = r.option("suffixes", sfx)
     if exclude_name:
         r = r.option("exclude_name", exclude_name)
+    if list_only:
+        r = r.option("mode", "list")
+        return (r.option("listing", "executors").option("listDepth", str(list_depth)) if listing == "executors" else r).load(root)
     if listing != "executors":
         return r.load(root)
     from chunkwright.session import stage

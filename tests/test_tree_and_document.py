@@ -130,3 +130,13 @@ def test_read_artifacts_from_table(spark):
 
     df = spark.createDataFrame([("a/x.txt", "1"), ("a/y.py", "2"), ("a/z.md", "3")], "rel_path string, body string")
     assert sorted(r.out_path for r in read_artifacts(spark, df).collect()) == ["a/x.txt", "a/y.py"]
+
+
+def test_list_only_opens_nothing(spark):
+    root = _tree({"a.py": b"1", "b/c.txt": b"22"})
+    os.chmod(os.path.join(root, "a.py"), 0)  # unreadable: listing must not open it
+    rows = sorted((r.rel_path, r.n_bytes, r.content, r.error) for r in scan_tree(spark, root, list_only=True).collect())
+    assert rows == [("a.py", 1, None, None), ("b/c.txt", 2, None, None)]
+    for depth in (0, 1):
+        rows2 = sorted((r.rel_path, r.n_bytes) for r in scan_tree(spark, root, list_only=True, listing="executors", list_depth=depth).collect())
+        assert rows2 == [("a.py", 1), ("b/c.txt", 2)]
