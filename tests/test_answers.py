@@ -102,3 +102,14 @@ def test_records_fallbacks(spark):
     assert got[2][0] == "exhausted" and list(got[2][1]) == ["Overall Summary", "Module/Library Name", "Classes", "Functions/Methods",
                                                           "Data Structures", "Interfaces/APIs", "Configuration/Environment Variables",
                                                           "Error Handling/Logging", "Data Inputs", "Data Outputs"]
+
+
+def test_incomplete_json_random_against_rule(spark):
+    import random
+
+    rnd = random.Random(3)
+    alphabet = ["{", "}", " ", "\n", "\t", "a", '"', ":", " ", "\x1c", ","]
+    texts = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 12))) for _ in range(3000)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i long, r string")
+    got = {r.i: r.x for r in df.select("i", json_incomplete("r").alias("x")).collect()}
+    assert all(got[i] == loop_incomplete(t) for i, t in enumerate(texts))
