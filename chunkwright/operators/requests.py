@@ -76,19 +76,25 @@ def request_id(prompt="prompt"):
 
 
 def _requests(chunks: DataFrame, system, prefix, suffix, model, max_tokens, temperature, carry) -> DataFrame:
+    """Request rows for chunks. A `max_tokens` column on the chunks (a later
+    try with a grown budget) wins over the default; an `attempt` column is
+    kept."""
     prompt = F.concat(F.lit(prefix), F.col("chunk_text"), F.lit(suffix))
+    extra = [c for c in ("attempt", "max_tokens") if c in chunks.columns]
+    budget = F.col("max_tokens").cast("int") if "max_tokens" in extra else F.lit(int(max_tokens)).cast("int")
     return (
-        chunks.select("rel_path", "chunk_no", *carry, prompt.alias("prompt"))
+        chunks.select("rel_path", "chunk_no", *carry, *extra, prompt.alias("prompt"))
         .withColumn("request_id", request_id())
         .select(
             "request_id",
             "rel_path",
             "chunk_no",
             *carry,
+            *[c for c in extra if c != "max_tokens"],
             F.lit(system).alias("system"),
             "prompt",
             F.lit(model).alias("model"),
-            F.lit(int(max_tokens)).cast("int").alias("max_tokens"),
+            budget.alias("max_tokens"),
             F.lit(float(temperature)).cast("double").alias("temperature"),
             F.lit(1).cast("int").alias("n"),
         )

@@ -121,11 +121,12 @@ def annotate(
     else:
         fn = complete or D4.offline_stub
         path = attempts_path or scratch_path(spark, "comment-attempts")
+        asked = chunks.where(~F.col("gated")).select("rel_path", "chunk_no", "chunk_text", *carry)
         for _ in range(params.max_attempts):
-            pending = D.pending_comment_requests(requests, D4.read_or_empty(spark, path), params.max_attempts)
+            pending = D.pending_comment_requests(asked, D4.read_or_empty(spark, path), params.max_attempts)
             if pending.isEmpty():
                 break
-            D4.complete(pending, fn, partitions).write.mode("append").parquet(path)
+            D4.complete(R.comment_requests(pending, params, carry), fn, partitions).write.mode("append").parquet(path)
         att = D4.read_or_empty(spark, path)
     resolved = D.resolve_comments(att, params.max_attempts)
     if materialize:

@@ -150,14 +150,15 @@ def summarize(
         return SummaryRun(files, chunk_rows, requests, att, params, materialize)
     fn = complete or D4.offline_stub
     path = attempts_path or scratch_path(spark, "attempts")
+    # Pending work is found on chunk rows (key and text); prompts are built
+    # after that join, so the fixed prompt text is never shuffled by it.
+    asked = chunks.where(~F.col("gated")).select("rel_path", "chunk_no", "chunk_text", *carry)
     for _ in range(params.max_attempts):
         so_far = D.parse_attempts(D4.read_or_empty(spark, path))
-        pending = D.pending_requests(
-            requests, so_far, params.max_attempts, params.response_tokens, params.budget_step
-        )
+        pending = D.pending_requests(asked, so_far, params.max_attempts, params.response_tokens, params.budget_step)
         if pending.isEmpty():
             break
-        D4.complete(pending, fn, partitions).write.mode("append").parquet(path)
+        D4.complete(R.summary_requests(pending, params, carry), fn, partitions).write.mode("append").parquet(path)
     return SummaryRun(files, chunk_rows, requests, D4.read_or_empty(spark, path), params, materialize)
 
 
