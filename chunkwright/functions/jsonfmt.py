@@ -13,7 +13,9 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from chunkwright.params import JSON_INDENT
+
 
 @F.pandas_udf(T.StringType())
 def json_indent2(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: None if t is None else json.dumps(json.loads(t), indent=2))
+    return texts.map(lambda t: None if t is None else json.dumps(json.loads(t), indent=JSON_INDENT))

@@ -17,7 +17,7 @@ def _c(x) -> Column:
 
 def extract_json(response) -> Column:
     """First '{' to last '}' across lines; '' when there is none."""
-    return F.regexp_extract(_c(response), r"(?s)\{.*\}", 0)
+    return F.regexp_extract(_c(response), P.JSON_SPAN, 0)
 
 
 def strict_json_map(json_text) -> Column:

@@ -80,7 +80,8 @@ def word_chunk_pattern(max_chars) -> Column:
     separator opens the next chunk); the last chunk takes the rest; a window
     with no separator is cut hard at M."""
     m = _c(max_chars).cast("string") if not isinstance(max_chars, int) else F.lit(str(max_chars))
-    return F.concat(F.lit("(?s).{1,"), m, F.lit("}(?=[ \n]|\\z)|(?s).{1,"), m, F.lit("}"))
+    sep = "[" + P.CHUNK_SEPARATORS + "]"
+    return F.concat(F.lit("(?s).{1,"), m, F.lit("}(?=" + sep + "|\\z)|(?s).{1,"), m, F.lit("}"))
 
 
 def line_chunk_pattern(max_chars) -> Column:

@@ -88,7 +88,7 @@ def merge_text(entries: DataFrame) -> DataFrame:
         .where(~is_none_like(F.col("v")))
     )
     frags = vals.select(
-        FILE_KEY, "section", "chunk_no", F.posexplode_outer(F.split(F.col("v"), ", ", -1)).alias("fpos", "frag")
+        FILE_KEY, "section", "chunk_no", F.posexplode_outer(F.split(F.col("v"), P.TEXT_JOIN, -1)).alias("fpos", "frag")
     ).where(F.col("fpos").isNotNull())
     # First place of each fragment as one long (chunk_no * 2^31 + fpos; both
     # stay below 2^31 as a row is under 2 GB), so the de-duplication is a
@@ -96,9 +96,9 @@ def merge_text(entries: DataFrame) -> DataFrame:
     order = F.col("chunk_no") * F.lit(1 << 31) + F.col("fpos")
     firsts = frags.groupBy(FILE_KEY, "section", "frag").agg(F.min(order).alias("o"))
     joined = firsts.groupBy(FILE_KEY, "section").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o", "frag"))), lambda x: x["frag"]), ", ").alias("j")
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o", "frag"))), lambda x: x["frag"]), P.TEXT_JOIN).alias("j")
     )
-    return joined.select(FILE_KEY, "section", F.rtrim(F.col("j"), F.lit(", ")).alias("value"))
+    return joined.select(FILE_KEY, "section", F.rtrim(F.col("j"), F.lit(P.TEXT_JOIN)).alias("value"))
 
 
 def merge_maps(entries: DataFrame, sections=P.MAP_SECTIONS) -> DataFrame:

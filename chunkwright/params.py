@@ -61,6 +61,15 @@ MERGED_SECTIONS = (
 # Values that count as "no value" after stripping, compared lower-case.
 NONE_LIKE = ("none", "n/a", "")
 
+# Patterns and formats.
+JSON_SPAN = r"(?s)\{.*\}"       # the answer's JSON: first '{' to last '}', across lines
+CHUNK_SEPARATORS = " \n"          # a word chunk ends before one of these
+TEXT_JOIN = ", "                  # text sections are joined, split and de-duplicated on it
+COMMENT_JOIN = "\n"               # chunk answers of one file, in chunk order
+ANNOTATION_SEPARATOR = "\n\n"     # between the answers and the original text
+SUMMARY_EXTENSION = ".txt"        # replaces the source file's last extension
+JSON_INDENT = 2                   # summary files: indented JSON, non-ASCII escaped
+
 # Numeric defaults.
 CONTEXT_TOKENS = 128_000
 RESPONSE_TOKENS = 2_000

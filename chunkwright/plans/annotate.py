@@ -85,7 +85,7 @@ class AnnotateRun:
         )
         with_chunks = g.select(
             "rel_path",
-            F.array_join(F.transform("_l", lambda x: x["comment"]), "\n").alias("comments"),
+            F.array_join(F.transform("_l", lambda x: x["comment"]), P.COMMENT_JOIN).alias("comments"),
             F.array_join(F.transform("_l", lambda x: x["chunk_text"]), "").alias("text"),
         )
         empty = self.chunk_rows.where(F.col("chunk_no").isNull() & (F.col("n_chunks") == 0)).select(
@@ -96,7 +96,7 @@ class AnnotateRun:
     def artifacts(self) -> DataFrame:
         """(rel_path, out_path, body): the annotated file at the same path."""
         s = self.stitched
-        return s.select("rel_path", F.col("rel_path").alias("out_path"), F.concat("comments", F.lit("\n\n"), "text").alias("body"))
+        return s.select("rel_path", F.col("rel_path").alias("out_path"), F.concat("comments", F.lit(P.ANNOTATION_SEPARATOR), "text").alias("body"))
 
 
 def annotate(

@@ -179,5 +179,5 @@ def summary_artifacts(run: "SummaryRun") -> DataFrame:
     record = F.struct(*[F.col(f"`{s}`") for s in sections])
     merged = wide.select("rel_path", F.lit("merged").alias("branch"), F.to_json(record).alias("body"))
     return single.unionByName(merged).select(
-        "rel_path", replace_extension("rel_path", ".txt").alias("out_path"), "branch", json_indent2("body").alias("body")
+        "rel_path", replace_extension("rel_path", P.SUMMARY_EXTENSION).alias("out_path"), "branch", json_indent2("body").alias("body")
     )
