@@ -65,16 +65,22 @@ def attempt_budget(parsed: DataFrame, base: int = P.RESPONSE_TOKENS, step: int =
 
 
 def chunk_outcomes(parsed: DataFrame, max_attempts: int = P.SUMMARY_ATTEMPTS) -> DataFrame:
-    """Per chunk: tries, first valid try and its JSON, first error, growth."""
+    """Per chunk: tries, first valid try and its JSON, first error, growth.
+
+    The valid tries of a chunk are at most max_attempts, so they are
+    collected (a hash-based object aggregate) and the earliest is taken,
+    instead of a string min_by, which Spark can only aggregate by sorting."""
     within = F.col("attempt") <= max_attempts
     valid = within & (F.col("status") == "valid")
-    return parsed.groupBy(*CHUNK_KEY).agg(
+    g = parsed.groupBy(*CHUNK_KEY).agg(
         F.count(F.when(within, 1)).cast("bigint").alias("tries"),
-        F.min(F.when(valid, F.col("attempt"))).cast("bigint").alias("win"),
-        F.min_by(F.col("json_text"), F.when(valid, F.col("attempt"))).alias("json_text"),
+        F.array_min(F.collect_list(F.when(valid, F.struct(F.col("attempt").cast("bigint").alias("a"), F.col("json_text").alias("j"))))).alias("_w"),
         F.min(F.when(within & (F.col("status") == "error"), F.col("attempt"))).cast("bigint").alias("first_error"),
         F.sum(F.when(within, growth_flag()).otherwise(0)).cast("bigint").alias("growth"),
     )
+    return g.select(
+        *CHUNK_KEY, "tries", F.col("_w.a").alias("win"), F.col("_w.j").alias("json_text"), "first_error", "growth"
+    )
 
 
 def resolve_attempts(parsed: DataFrame, max_attempts: int = P.SUMMARY_ATTEMPTS) -> DataFrame:
