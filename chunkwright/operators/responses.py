@@ -157,12 +157,13 @@ def comment_outcomes(attempts: DataFrame, max_attempts: int = P.COMMENT_ATTEMPTS
     within = F.col("attempt") <= max_attempts
     ok = within & err.isNull() & F.col("response").isNotNull()
     missing = within & err.isNull() & F.col("response").isNull()
-    return attempts.groupBy(*CHUNK_KEY).agg(
+    g = attempts.groupBy(*CHUNK_KEY).agg(
         F.count(F.when(within, 1)).cast("bigint").alias("tries"),
-        F.min(F.when(ok, F.col("attempt"))).cast("bigint").alias("first_ok"),
-        F.min_by(F.col("response"), F.when(ok, F.col("attempt"))).alias("response"),
+        # at most max_attempts answers per chunk: a bounded, hash-based collect
+        F.array_min(F.collect_list(F.when(ok, F.struct(F.col("attempt").cast("bigint").alias("a"), F.col("response").alias("r"))))).alias("_w"),
         F.min(F.when(missing, F.col("attempt"))).cast("bigint").alias("first_missing"),
     )
+    return g.select(*CHUNK_KEY, "tries", F.col("_w.a").alias("first_ok"), F.col("_w.r").alias("response"), "first_missing")
 
 
 def comment_failed():
