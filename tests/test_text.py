@@ -89,3 +89,24 @@ def test_token_windows_rejoin(spark):
     parts = [r.chunk_text for r in chunk_tokens(df, 2).orderBy("chunk_no").collect()]
     assert "".join(parts) == "Hello, world! 12 items\n  ok"
     assert len(parts) > 1
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(st.text(alphabet=st.sampled_from(list("ab é1 2\n\t.,;!x")), max_size=80), min_size=1, max_size=6),
+       st.integers(1, 7))
+def test_token_windows_equal_plain_loop(spark, texts, n):
+    import regex
+
+    from chunkwright.functions.text import PRETOKEN_RE
+
+    df = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "rel_path string, text string")
+    got = {}
+    for r in chunk_tokens(df, n).collect():
+        got.setdefault(r.rel_path, []).append((r.chunk_no, r.chunk_text, r.n_chunks))
+    for i, t in enumerate(texts):
+        toks = regex.findall(PRETOKEN_RE, t)
+        want = ["".join(toks[k:k + n]) for k in range(0, len(toks), n)]
+        parts = sorted(got.get(str(i), []))
+        assert [p for _, p, _ in parts] == want
+        assert "".join(want) == t
+        assert all(c == len(want) for _, _, c in parts)
