@@ -140,3 +140,45 @@ def test_list_only_opens_nothing(spark):
     for depth in (0, 1):
         rows2 = sorted((r.rel_path, r.n_bytes) for r in scan_tree(spark, root, list_only=True, listing="executors", list_depth=depth).collect())
         assert rows2 == [("a.py", 1), ("b/c.txt", 2)]
+
+
+def _walk_ids(paths):
+    """Pre-order walk of the folder tree: a folder's heading, its files (by
+    name), then its subfolders (by name); root files come first, no root
+    heading."""
+    tree = {}
+    for p in paths:
+        node = tree
+        parts = p.split("/")
+        for d in parts[:-1]:
+            node = node.setdefault(d, {})
+        node[parts[-1]] = None
+    out = []
+
+    def visit(node, prefix):
+        for name in sorted(k for k, v in node.items() if v is None):
+            out.append(prefix + name)
+        for name in sorted(k for k, v in node.items() if v is not None):
+            out.append(prefix + name)
+            visit(node[name], prefix + name + "/")
+
+    visit(tree, "")
+    return out
+
+
+def test_document_order_random_trees(spark):
+    import random
+
+    rnd = random.Random(9)
+    names = ["a", "b", "ab", "a_b", "B", "x.py", "y.txt", "z"]
+    for _ in range(3):
+        paths = set()
+        while len(paths) < 40:
+            depth = rnd.randint(1, 4)
+            paths.add("/".join(rnd.choice(names[:5]) for _ in range(depth - 1)) + ("/" if depth > 1 else "") + rnd.choice(names[5:]) + str(rnd.randint(0, 3)))
+        # a path may not be both a file and a folder
+        paths = {p for p in paths if not any(q.startswith(p + "/") for q in paths)}
+        df = spark.createDataFrame([(p, "body") for p in sorted(paths)], "out_path string, body string")
+        frags = document_fragments(df, "T").orderBy("sort_key").collect()
+        ids = [f.body.split('"')[1] for f in frags if f.body.startswith(("<h2 id=", "<h3 id="))]
+        assert ids == _walk_ids(paths)
