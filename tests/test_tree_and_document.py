@@ -182,3 +182,10 @@ def test_document_order_random_trees(spark):
         frags = document_fragments(df, "T").orderBy("sort_key").collect()
         ids = [f.body.split('"')[1] for f in frags if f.body.startswith(("<h2 id=", "<h3 id="))]
         assert ids == _walk_ids(paths)
+
+
+def test_document_escape_switch(spark):
+    df = spark.createDataFrame([("a/x.py", "<b>&")], "out_path string, body string")
+    raw = [f.body for f in document_fragments(df, "T", escape=False).collect() if f.body.startswith("<h3")]
+    esc = [f.body for f in document_fragments(df, "T").collect() if f.body.startswith("<h3")]
+    assert "<pre><code><b>&</code></pre>" in raw[0] and "<pre><code>&lt;b&gt;&amp;</code></pre>" in esc[0]
