@@ -113,3 +113,18 @@ def test_incomplete_json_random_against_rule(spark):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i long, r string")
     got = {r.i: r.x for r in df.select("i", json_incomplete("r").alias("x")).collect()}
     assert all(got[i] == loop_incomplete(t) for i, t in enumerate(texts))
+
+
+def test_pending_requests_edges(spark):
+    req = spark.createDataFrame(
+        [(f"r{c}", "f", c, "p", 2000) for c in range(5)], "request_id string, rel_path string, chunk_no long, prompt string, max_tokens int")
+    cut = '{"Overall Summary": ["l"]} more'  # bad_types and incomplete: budget +100
+    a = _attempts(spark, [
+        ("f", 0, 1, VALID, None),                                   # resolved
+        ("f", 1, 1, None, "timeout"),                               # fatal error
+        *[("f", 2, k, "nope", None) for k in range(1, 6)],          # tries spent
+        ("f", 3, 1, cut, None), ("f", 3, 2, cut, None),             # grows twice
+        # chunk 4: never tried
+    ])
+    got = {r.chunk_no: (r.attempt, r.max_tokens) for r in D.pending_requests(req, D.parse_attempts(a)).collect()}
+    assert got == {3: (3, 2200), 4: (1, 2000)}
