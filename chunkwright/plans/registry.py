@@ -1,5 +1,9 @@
 """Registered queries: one per operator of the inventory, each a function
-(spark, sf_dir) -> DataFrame over the given tables, with its DuckDB twin."""
+(spark, sf_dir) -> DataFrame over the given tables, with its DuckDB twin.
+
+Output convention: an integer column that has no value for some rows (a
+chunk with no winning try, a text row with no item number) shows -1 there in
+both engines, so both hand back the same non-null integer type."""
 
 from __future__ import annotations
 
