@@ -19,7 +19,7 @@ from chunkwright.operators.filters import source_files
 from chunkwright.plans import fixtures as FX
 from chunkwright.plans import oracle as O
 from chunkwright.plans.summarize import summarize
-from chunkwright.session import configure
+from chunkwright.session import configure, spread
 from chunkwright.sources.tables import documents_as_files
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -55,8 +55,10 @@ def oracle_sql() -> dict[str, str]:
 # ---------------------------------------------------------------- stages --
 
 def kept_files(spark: SparkSession, sf: str) -> DataFrame:
+    """The B1/B2-selected files, spread over all cores when the source table
+    has fewer partitions (the regex work after it is CPU-bound)."""
     configure(spark)
-    return source_files(documents_as_files(spark, sf))
+    return spread(source_files(documents_as_files(spark, sf)))
 
 
 def summary_run(spark: SparkSession, sf: str, with_errors: bool = False, params: P.SummaryParams = SUMMARY_FIXTURE):
