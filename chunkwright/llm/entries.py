@@ -10,15 +10,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chunkwright.llm import bpe, exact, langid, lines, mixing, quality, sharding
+from chunkwright.llm import bpe, exact, hmm, langid, lines, mixing, near, quality, sharding, substrings
 from chunkwright.llm.common import documents
 
 _DIGESTS = {
     "op1_mix_sources": (mixing.mix_digest, mixing.ORACLE),
+    "op2_hmm_score": (hmm.score_digest, None),
     "op3_line_dedup": (lines.line_digest, lines.ORACLE),
+    "op4_ngram_join": (near.near_digest, near.ORACLE),
     "op5_exact_dedup": (exact.duplicate_classes, exact.ORACLE),
     "op6_quality_rules": (quality.quality_digest, quality.ORACLE),
     "op7_language_id": (langid.language_digest, None),
+    "op8_substring_dedup": (substrings.substring_digest, substrings.ORACLE),
     "op9_bpe_codec": (bpe.bpe_digest, None),
     "op10_feistel_shards": (sharding.shard_documents, None),
 }

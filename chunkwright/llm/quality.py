@@ -6,7 +6,7 @@ ordered by rejection per cost, and each rule sees only the rows that all rules
 before it let pass. Order decides the work, never the verdict: a row is kept
 if no rule rejects it.
 
-The sample is the ``SAMPLE`` rows of smallest id hash and is used for the
+The sample is about ``SAMPLE`` rows drawn over the table and is used for the
 order alone.
 
 Edge cases: a null or empty text has no words and is rejected (too few);
@@ -147,9 +147,10 @@ def rule_order(texts: pa.Array, rules=RULES) -> list[str]:
 
 
 def sampled_order(docs: DataFrame, text: str = "text", rules=RULES, sample: int = SAMPLE) -> list[str]:
-    """rule_order on the rows with the smallest text hashes, at most
-    ``sample``; it runs in one task, and the driver gets the names alone."""
-    few = docs.select(F.col(text).alias("text"), F.xxhash64(text).alias("h")).orderBy("h").limit(sample).select("text").coalesce(1)
+    """rule_order on about ``sample`` rows drawn over the whole table; it runs
+    in one task, and the driver gets the names alone."""
+    rows = docs.count()
+    few = docs.where(F.rand(1) < F.lit(sample / max(rows, 1))).select(F.col(text).alias("text")).repartition(1)
 
     def measure(batches):
         texts = pa.concat_arrays([pa.array(b.column(0)).cast(pa.large_string()) for b in batches] or [pa.array([], pa.large_string())])
