@@ -63,8 +63,10 @@ def _candidates(w: Words, width: int, bitmap: np.ndarray, bits: int):
 
 
 def repeated_windows(rows: DataFrame, width: int = WIDTH) -> DataFrame:
-    """rows (key long, text) -> (key, starts): starts of repeated windows as
-    packed 32-bit integers, several rows for a key."""
+    """rows (key long, text) -> (key, starts): for each key that has any, the
+    starts of its repeated windows as packed 32-bit integers. Answers travel
+    in one block for each pair of hash bucket and key slice, so their rows do
+    not grow with documents times buckets."""
     spark = rows.sparkSession
     count = rows.count()
     bits = map_bits(count * SYMBOLS_A_ROW)
@@ -72,10 +74,16 @@ def repeated_windows(rows: DataFrame, width: int = WIDTH) -> DataFrame:
     buckets = max(1, -(-count // ROWS_A_BUCKET))
 
     def settled(key, at):
-        """One row for each key of aligned arrays sorted by key."""
-        cut = np.flatnonzero(np.diff(key, prepend=key[0] - 1 if len(key) else 0)) if len(key) else np.zeros(0, int)
-        ends = np.append(cut[1:], len(key))
-        return key[cut], [at[s:e].astype("<u4").tobytes() for s, e in zip(cut, ends)]
+        """Blocks (slice, key and start of each window) of the owning slices."""
+        part = (mix64(key.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+        order = np.lexsort((at, key, part))
+        cuts = np.searchsorted(part[order], np.arange(buckets + 1))
+        numbers = np.flatnonzero(np.diff(cuts))
+        picks = [order[cuts[s] : cuts[s + 1]] for s in numbers]
+        return numbers.astype(np.int32), [np.uint32(len(o)).tobytes() + key[o].tobytes() + at[o].tobytes() for o in picks]
+
+    def block(numbers, done: bool, blobs):
+        return pa.RecordBatch.from_pydict({"part": pa.array(numbers, pa.int32()), "done": pa.array([done] * len(blobs), pa.bool_()), "cells": pa.array(blobs, pa.binary())})
 
     def send(batches):
         bitmap = shared.value
@@ -89,60 +97,67 @@ def repeated_windows(rows: DataFrame, width: int = WIDTH) -> DataFrame:
             if not found or not sum(len(f[0]) for f in found):
                 continue
             h1, h2, key, at = (np.concatenate(c) for c in zip(*found))
-            order = np.lexsort((h2, h1))
-            same = np.zeros(len(order) + 1, bool)
-            same[1:-1] = (h1[order][1:] == h1[order][:-1]) & (h2[order][1:] == h2[order][:-1])
+            order, same = _sorted_hashes(h1, h2)
             local = order[same[:-1] | same[1:]]  # repeated within the batch: settled here
-            k, blobs = settled(*_by_key(key[local], at[local]))
-            if len(k):
-                where = (mix64(k.view(np.uint64)) % np.uint64(buckets)).astype(np.int32)
-                yield pa.RecordBatch.from_pydict({"bucket": pa.array(where), "key": pa.array(k), "cells": pa.array(blobs, pa.binary())})
-            # one of each hash goes to its bucket; a locally repeated one without asking for an answer
-            one = order[~same[:-1]]
-            asks = ~same[1:][~same[:-1]]
+            numbers, blobs = settled(key[local], at[local])
+            yield block(numbers, True, blobs)
+            # one of each hash goes to its bucket; a locally repeated one asks for no answer
+            one, asks = order[~same[:-1]], ~same[1:][~same[:-1]]
             bucket = (h1[one] % np.uint64(buckets)).astype(np.int64)
-            turn = np.argsort(bucket, kind="stable")
-            turn = turn[np.lexsort((at[one][turn], key[one][turn], bucket[turn]))]
+            turn = np.lexsort((at[one], key[one], bucket))
             one, asks, bucket = one[turn], asks[turn], bucket[turn]
             cuts = np.searchsorted(bucket, np.arange(buckets + 1))
-            numbers = np.flatnonzero(np.diff(cuts))
-            blobs = []
+            numbers, blobs = np.flatnonzero(np.diff(cuts)), []
             for s in numbers:
                 part = one[cuts[s] : cuts[s + 1]]
                 blobs.append(b"".join((
                     np.uint32(len(part)).tobytes(), h1[part].tobytes(), key[part].tobytes(), h2[part].tobytes(), at[part].tobytes(), asks[cuts[s] : cuts[s + 1]].tobytes(),
                 )))
-            yield pa.RecordBatch.from_pydict({"bucket": pa.array(numbers.astype(np.int32)), "key": pa.nulls(len(numbers), pa.int64()), "cells": pa.array(blobs, pa.binary())})
+            yield block(numbers.astype(np.int32), False, blobs)
 
     def answer(batches):
         held: dict[int, list[bytes]] = {}
         for batch in batches:
-            known = batch.column("key").is_valid()
-            done = batch.filter(known)
-            if done.num_rows:
-                yield pa.RecordBatch.from_arrays([done.column("key"), done.column("cells")], ["key", "starts"])
-            asked = batch.filter(pa.compute.invert(known))
-            for s, blob in zip(asked.column("bucket").to_pylist(), asked.column("cells").to_pylist()):
-                held.setdefault(s, []).append(blob)
+            done = batch.filter(batch.column("done"))
+            yield pa.RecordBatch.from_arrays([done.column("part"), done.column("cells")], ["part", "cells"])
+            for s, done, blob in zip(*(c.to_pylist() for c in batch.columns)):
+                if not done:
+                    held.setdefault(s, []).append(blob)
         for s in sorted(held):
-            parts = [_unpacked(blob) for blob in held.pop(s)]
-            h1, key, h2, at, asks = (np.concatenate(c) for c in zip(*parts))
-            order = np.lexsort((h2, h1))
-            same = np.zeros(len(order) + 1, bool)
-            same[1:-1] = (h1[order][1:] == h1[order][:-1]) & (h2[order][1:] == h2[order][:-1])
+            h1, key, h2, at, asks = (np.concatenate(c) for c in zip(*map(_unpacked, held.pop(s))))
+            order, same = _sorted_hashes(h1, h2)
             hit = order[same[:-1] | same[1:]]
             hit = hit[asks[hit]]
-            k, blobs = settled(*_by_key(key[hit], at[hit]))
-            if len(k):
-                yield pa.RecordBatch.from_pydict({"key": pa.array(k), "starts": pa.array(blobs, pa.binary())})
+            numbers, blobs = settled(key[hit], at[hit])
+            yield pa.RecordBatch.from_pydict({"part": pa.array(numbers, pa.int32()), "cells": pa.array(blobs, pa.binary())})
+
+    def by_key(batches):
+        held: dict[int, list[bytes]] = {}
+        for batch in batches:
+            for s, blob in zip(*(c.to_pylist() for c in batch.columns)):
+                held.setdefault(s, []).append(blob)
+        for s in sorted(held):
+            key, at = (np.concatenate(c) for c in zip(*((np.frombuffer(x, np.int64, n, 4), np.frombuffer(x, "<u4", n, 4 + 8 * n)) for x, n in _sized(held.pop(s)))))
+            order = np.lexsort((at, key))
+            key, at = key[order], at[order]
+            cut = np.concatenate(([0], np.flatnonzero(np.diff(key)) + 1, [len(key)]))
+            yield pa.RecordBatch.from_pydict({"key": pa.array(key[cut[:-1]]), "starts": pa.array([at[x:y].tobytes() for x, y in zip(cut[:-1], cut[1:])], pa.binary())})
+
+    sent = rows.mapInArrow(send, "part int, done boolean, cells binary").repartition(buckets, "part")
+    return sent.mapInArrow(answer, "part int, cells binary").repartition(buckets, "part").mapInArrow(by_key, "key long, starts binary")
+
 
-    sent = rows.mapInArrow(send, "bucket int, key long, cells binary")
-    return sent.repartition(buckets, "bucket").mapInArrow(answer, "key long, starts binary")
+def _sorted_hashes(h1: np.ndarray, h2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order by both hashes, and which entry equals the one before it
+    (with False at both ends)."""
+    order = np.lexsort((h2, h1))
+    same = np.zeros(len(order) + 1, bool)
+    same[1:-1] = (h1[order][1:] == h1[order][:-1]) & (h2[order][1:] == h2[order][:-1])
+    return order, same
 
 
-def _by_key(key: np.ndarray, at: np.ndarray):
-    order = np.lexsort((at, key))
-    return key[order], at[order]
+def _sized(blobs):
+    return [(x, int(np.frombuffer(x, np.uint32, 1)[0])) for x in blobs]
 
 
 def _unpacked(blob: bytes):
@@ -151,11 +166,11 @@ def _unpacked(blob: bytes):
     return take(np.uint64, 8, 4), take(np.int64, 8, 4 + 8 * n), take(np.uint32, 4, 4 + 16 * n), take(np.uint32, 4, 4 + 20 * n), take(bool, 1, 4 + 24 * n)
 
 
-def _kept(text: bytes, starts: list[bytes] | None, width: int) -> tuple[int, list[bytes]]:
+def _kept(text: bytes, starts: bytes | None, width: int) -> tuple[int, list[bytes]]:
     words = text.split()  # bytes are split at 0x20 and 0x09-0x0D
     if not starts:
         return len(words), words
-    at = np.frombuffer(b"".join(starts), "<u4").astype(np.int64)
+    at = np.frombuffer(starts, "<u4").astype(np.int64)
     cover = np.bincount(at, minlength=len(words) + width) - np.bincount(at + width, minlength=len(words) + width)[: len(words) + width]
     return len(words), list(compress(words, (np.cumsum(cover)[: len(words)] <= 0).tolist()))
 
@@ -164,7 +179,7 @@ def _joined(docs: DataFrame, id_col: str, text: str, width: int):
     key, starts = fresh(docs, "_key", "_starts")
     tagged = docs.withColumn(key, F.xxhash64(F.col(id_col), F.coalesce(F.col(text), F.lit(""))))
     found = repeated_windows(tagged.select(F.col(key).alias("key"), F.col(text).alias("text")), width)
-    per = found.groupBy(F.col("key").alias(key)).agg(F.collect_list("starts").alias(starts))
+    per = found.select(F.col("key").alias(key), F.col("starts").alias(starts))
     return tagged.join(per, key, "left").drop(key), starts
 
 
