@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import numpy as np
 
-GROUPS, FANOUT = 64, 16
+GROUPS, FANOUT = 256, 16
 
 
 def needed(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:

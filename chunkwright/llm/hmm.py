@@ -109,7 +109,8 @@ def vocabulary(counts: DataFrame, ends: int) -> Vocabulary:
 
 def _symbols(vocab: Vocabulary, column: pa.Array):
     """Of a batch: per-text symbol sequences (with the end) as one array with
-    offsets, and per group of texts the words with their frequent index."""
+    offsets, and per group of texts the words' texts, their frequent index and
+    the hashes of those without one."""
     parts, sizes, groups = [], [], []
     for a, b, w in word_groups(column, lower=True):
         distinct, back = np.unique(w.hash, return_inverse=True)
@@ -119,7 +120,7 @@ def _symbols(vocab: Vocabulary, column: pa.Array):
             out[np.arange(len(at)) + w.doc] = np.where(at >= 0, vocab.symbol[at] if len(vocab.symbol) else vocab.other, vocab.other)
         parts.append(out)
         sizes.append(w.counts + 1)
-        groups.append((a, b, w, at))
+        groups.append((a, b, w.doc.astype(np.int32), at.astype(np.int32), w.hash[at < 0]))
     offsets = np.concatenate(([0], np.cumsum(np.concatenate(sizes)))) if sizes else np.zeros(1, np.int64)
     return np.concatenate(parts) if parts else np.zeros(0, np.int32), offsets.astype(np.int64), groups
 
@@ -289,12 +290,12 @@ def score(rows: DataFrame, vocab: Vocabulary, model: Hmm, counts: DataFrame) ->
             n = batch.num_rows
             gain = model.log10(seen, offsets) - np.add.reduceat(log_base[seen], offsets[:-1]) if n else np.zeros(0)
             known, base, lists, sizes, tfs = np.zeros(n, np.int64), np.zeros(n), [], [], []
-            for a, b, w, at in groups:
+            for a, b, docs, at, h in groups:
                 found = at >= 0
-                known[a:b] = np.bincount(w.doc[found], minlength=b - a)
-                base[a:b] = np.bincount(w.doc[found], weights=vocab.logs[at[found]], minlength=b - a)
+                known[a:b] = np.bincount(docs[found], minlength=b - a)
+                base[a:b] = np.bincount(docs[found], weights=vocab.logs[at[found]], minlength=b - a)
                 # the rest, once for each text and word, with its frequency
-                doc, h = w.doc[~found], w.hash[~found]
+                doc = docs[~found]
                 order = np.lexsort((h, doc))
                 doc, h = doc[order], h[order]
                 new = np.ones(len(h), bool)

@@ -45,7 +45,7 @@ from chunkwright.llm.words import BASE, Words, doc_windows, mix64, word_groups
 
 WIDTH, PERCENT = 5, 75
 SHINGLES_A_ROW = 512  # about; sizes the bit map only
-STARS = 2
+STARS = 1
 LEAF_ROWS = 2048  # points packed into one tree
 SET = ["s1", "s2", "n"]
 
@@ -165,7 +165,7 @@ def tree_pairs(rows: DataFrame, percent: int = PERCENT) -> DataFrame:
                     if k != key:
                         key = k
                         trees.clear()
-                chunk.append((n, node, root, np.frombuffer(counts, "<u4").astype(np.int64)))
+                chunk.append((n, node, root, np.frombuffer(counts, "u1" if len(counts) == GROUPS else "<u4").astype(np.int32)))
         if out := flush():
             yield out
 
@@ -174,12 +174,15 @@ def tree_pairs(rows: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def count_vectors(sets: DataFrame) -> DataFrame:
-    """(node, counts): tokens by group, packed 32-bit."""
+    """(node, counts): tokens by group, as bytes or, where one is over 255, 32-bit."""
 
     def run(batches):
         shift = np.uint64(64 - GROUPS.bit_length() + 1)
         for batch in batches:
-            packed = [np.bincount((mix64(np.frombuffer(t.as_buffer(), np.uint64)) >> shift).astype(np.int64), minlength=GROUPS).astype("<u4").tobytes() for t in batch.column(1)]
+            packed = []
+            for t in batch.column(1):
+                c = np.bincount((mix64(np.frombuffer(t.as_buffer(), np.uint64)) >> shift).astype(np.int64), minlength=GROUPS)
+                packed.append(c.astype("u1" if c.max() < 256 else "<u4").tobytes())
             yield pa.RecordBatch.from_pydict({"node": batch.column(0), "counts": pa.array(packed, pa.binary())})
 
     return sets.select("node", "tokens").mapInArrow(run, "node long, counts binary")
@@ -187,7 +190,7 @@ def count_vectors(sets: DataFrame) -> DataFrame:
 
 def linked_components(sets: DataFrame, percent: int = PERCENT, stars: int = STARS) -> DataFrame:
     """(node, root) of all nodes with a link. sets: node, n, tokens, keys."""
-    keys = sets.select("node", "n", F.explode("keys").alias("key"))
+    keys = sets.select("node", "n", F.size("keys").alias("shared"), F.explode("keys").alias("key"))
     many = keys.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     keys = stage(keys.join(many.drop("size"), "key", "left_semi"), "keys")
     total, roots, links = keys.count(), None, None
@@ -211,7 +214,9 @@ def linked_components(sets: DataFrame, percent: int = PERCENT, stars: int = STAR
 
     for r in range(stars):
         rows, groups = mixed()
-        lead = rows.groupBy("key").agg(F.min_by(F.struct("node", "n", "root"), F.struct(F.xxhash64(F.lit(r), "root"), "node")).alias("lead"))
+        # first the set with most shared tokens, as an original has all of its copies' tokens; then any
+        first = F.struct((-F.col("shared")).cast("long"), "node") if r == 0 else F.struct(F.xxhash64(F.lit(r), "root"), "node")
+        lead = rows.groupBy("key").agg(F.min_by(F.struct("node", "n", "root"), first).alias("lead"))
         lead = groups.select("key", "size").join(lead, "key")
         met = join_groups(rows, lead, ["key"], "size", total).where("root <> lead.root")
         met = met.where((100 * F.least("n", "lead.n") >= percent * F.greatest("n", "lead.n")))
