@@ -11,6 +11,7 @@ from __future__ import annotations
 import numpy as np
 
 GROUPS, FANOUT = 256, 16
+FINE, FINE_SIZE = 2048, 1024  # groups of large sets, and where these begin
 
 
 def needed(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chunkwright.llm.common import fresh, join_groups, stage, text_or_empty
-from chunkwright.llm.counttree import GROUPS, CountTree, needed
+from chunkwright.llm.counttree import FINE, FINE_SIZE, GROUPS, CountTree, needed
 from chunkwright.llm.graph import components
 from chunkwright.llm.repeats import is_repeated, map_bits, repeat_bitmap
 from chunkwright.llm.words import BASE, Words, doc_windows, mix64, word_groups
@@ -142,15 +142,20 @@ def tree_pairs(rows: DataFrame, percent: int = PERCENT) -> DataFrame:
             """Packs the chunk into a tree after searching what came before."""
             if not chunk:
                 return None
-            n, node, root, counts = (np.array([c[i] for c in chunk]) for i in range(4))
+            n, node, root = (np.array([c[i] for c in chunk]) for i in range(3))
+            fine = [_unpacked(c[3], c[0]) for c in chunk]
+            counts = np.stack([c.reshape(GROUPS, -1).sum(1) for c in fine])
             while trees and trees[0][1].max() * 100 < percent * n[0]:
                 trees.pop(0)  # too small for everything to come
-            trees.append((CountTree(counts, n), n, node, root))
+            trees.append((CountTree(counts, n), n, node, root, fine))
             a, b = [], []
-            for tree, _, other, its_root in trees:
+            for tree, size, other, its_root, its_fine in trees:
                 for i in range(len(n)):
                     hit = tree.search(counts[i], int(n[i]), percent)
                     hit = hit[its_root[hit] != root[i]]
+                    if n[i] >= FINE_SIZE and len(hit):  # the same bound over more groups
+                        bound = np.array([np.minimum(its_fine[j], fine[i]).sum() if size[j] >= FINE_SIZE else size[j] for j in hit])
+                        hit = hit[bound >= needed(size[hit], n[i], percent)]
                     a.append(np.minimum(other[hit], node[i]))
                     b.append(np.maximum(other[hit], node[i]))
             chunk.clear()
@@ -165,7 +170,7 @@ def tree_pairs(rows: DataFrame, percent: int = PERCENT) -> DataFrame:
                     if k != key:
                         key = k
                         trees.clear()
-                chunk.append((n, node, root, np.frombuffer(counts, "u1" if len(counts) == GROUPS else "<u4").astype(np.int32)))
+                chunk.append((n, node, root, counts))
         if out := flush():
             yield out
 
@@ -174,20 +179,32 @@ def tree_pairs(rows: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def count_vectors(sets: DataFrame) -> DataFrame:
-    """(node, counts): tokens by group, as bytes or, where one is over 255, 32-bit."""
+    """(node, counts): tokens by group, packed in one, two or four bytes. Sets
+    of FINE_SIZE tokens or more have FINE groups, of which FINE / GROUPS
+    neighbours make up one group of the others."""
 
     def run(batches):
-        shift = np.uint64(64 - GROUPS.bit_length() + 1)
         for batch in batches:
             packed = []
             for t in batch.column(1):
-                c = np.bincount((mix64(np.frombuffer(t.as_buffer(), np.uint64)) >> shift).astype(np.int64), minlength=GROUPS)
-                packed.append(c.astype("u1" if c.max() < 256 else "<u4").tobytes())
+                h = np.frombuffer(t.as_buffer(), np.uint64)
+                groups = FINE if len(h) >= FINE_SIZE else GROUPS
+                c = np.bincount((mix64(h) >> np.uint64(64 - FINE.bit_length() + 1)).astype(np.int64), minlength=FINE).reshape(groups, -1).sum(1)
+                packed.append(c.astype(_count_type(len(h), int(c.max()))).tobytes())
             yield pa.RecordBatch.from_pydict({"node": batch.column(0), "counts": pa.array(packed, pa.binary())})
 
     return sets.select("node", "tokens").mapInArrow(run, "node long, counts binary")
 
 
+def _count_type(n: int, top: int) -> str:
+    return "<u4" if top > 65535 else "<u2" if top > 255 else "u1"
+
+
+def _unpacked(counts: bytes, n: int) -> np.ndarray:
+    groups = FINE if n >= FINE_SIZE else GROUPS
+    return np.frombuffer(counts, f"<u{len(counts) // groups}").astype(np.int32)
+
+
 def linked_components(sets: DataFrame, percent: int = PERCENT, stars: int = STARS) -> DataFrame:
     """(node, root) of all nodes with a link. sets: node, n, tokens, keys."""
     keys = sets.select("node", "n", F.size("keys").alias("shared"), F.explode("keys").alias("key"))
