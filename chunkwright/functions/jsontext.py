@@ -23,16 +23,19 @@ def extract_json(response) -> Column:
 def strict_json_map(json_text) -> Column:
     """Decode one JSON object strictly into MAP<STRING, VARIANT>.
 
-    Wrapping the text in '[ ]' and asking for exactly one element refuses
-    trailing text and a second object; single quotes and NaN are refused by
-    option. Duplicate keys keep the last value (session LAST_WIN policy).
-    Anything else, including '', gives NULL.
+    The text is read in two wraps, as the only element of a list and as the
+    only value of an object: a tail after the object may close one of the
+    wraps early, but not both, so trailing text and a second object are
+    refused. Single quotes and NaN are refused by option. Duplicate keys keep
+    the last value (session LAST_WIN policy). Anything else, including '',
+    gives NULL.
     """
     arr = F.from_json(
         F.concat(F.lit("["), _c(json_text), F.lit("]")), "array<map<string,variant>>", _STRICT
     )
+    only = F.from_json(F.concat(F.lit('{"k":'), _c(json_text), F.lit("}")), "map<string,map<string,variant>>", _STRICT)
     first = F.get(arr, 0)
-    return F.when(F.size(arr) == 1, F.map_from_entries(F.map_entries(first)))
+    return F.when((F.size(arr) == 1) & (F.size(only) == 1), F.map_from_entries(F.map_entries(first)))
 
 
 def value_kind(v) -> Column:

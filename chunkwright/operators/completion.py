@@ -94,4 +94,5 @@ def read_or_empty(spark: SparkSession, path: str) -> DataFrame:
     the model again for every request."""
     if not _exists(spark, path):
         return spark.createDataFrame([], ATTEMPT_SCHEMA)
-    return spark.read.parquet(path)
+    # the folder of a failed first round holds no file to infer a schema from
+    return spark.read.schema(ATTEMPT_SCHEMA).parquet(path)

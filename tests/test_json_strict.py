@@ -78,3 +78,12 @@ def test_strict_decode_matches_json_loads(spark):
     assert not bad, bad[:5]
     decoded = sum(v is not None for v in got.values())
     assert 0.25 * len(texts) < decoded < 0.75 * len(texts)  # both outcomes well covered
+
+
+def test_tails_that_close_a_wrap_are_refused(spark):
+    good = ['{"a": "x"}', '{"a": 1, "a": 2}', '{"a": {"b": [1, "]"]}}']
+    bad = ['{"a": "x"}] and then {b}', '[{"a": "x"}], [{"b": 1}]', '{"a": "x"}]', '{"a": "x"}}', '{"a": "x"}, "k": {"b": 1}', '{"a": "x"}, {"b": 1}', '{"a": "x"} tail']
+    df = spark.createDataFrame([(t,) for t in good + bad], "t string")
+    got = {r.t: r.n for r in df.select("t", F.size(strict_json_map("t")).alias("n")).collect()}
+    assert all((got[t] or -1) > 0 for t in good), got
+    assert all((got[t] or -1) < 0 for t in bad), got
