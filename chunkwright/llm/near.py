@@ -10,6 +10,8 @@ distinct 5-word shingles (64-bit hashes of lower-cased words). No link is lost:
 3. Prefix keys part the work: with tokens in one global order, unmarked before
    marked and then by hash, linked sets share a token among the first
    n - ceil(n * PERCENT / 100) + 1 of each. Unmarked ones are shared by none.
+   Of keys held by the same sets (told by a 128-bit hash of them) one stays,
+   so a passage that a few sets share is one key instead of hundreds.
 4. Star rounds: the sets of a key are compared with one leader of the key, and
    links are joined to components. A big group of near copies falls into one
    component without its pairs ever being listed.
@@ -144,7 +146,7 @@ def tree_pairs(rows: DataFrame, percent: int = PERCENT) -> DataFrame:
                 return None
             n, node, root = (np.array([c[i] for c in chunk]) for i in range(3))
             fine = [_unpacked(c[3], c[0]) for c in chunk]
-            counts = np.stack([c.reshape(GROUPS, -1).sum(1) for c in fine])
+            counts = np.stack([c.reshape(GROUPS, -1).sum(1, dtype=np.int32) for c in fine])
             while trees and trees[0][1].max() * 100 < percent * n[0]:
                 trees.pop(0)  # too small for everything to come
             trees.append((CountTree(counts, n), n, node, root, fine))
@@ -208,8 +210,10 @@ def _unpacked(counts: bytes, n: int) -> np.ndarray:
 def linked_components(sets: DataFrame, percent: int = PERCENT, stars: int = STARS) -> DataFrame:
     """(node, root) of all nodes with a link. sets: node, n, tokens, keys."""
     keys = sets.select("node", "n", F.size("keys").alias("shared"), F.explode("keys").alias("key"))
-    many = keys.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    keys = stage(keys.join(many.drop("size"), "key", "left_semi"), "keys")
+    members = [F.bit_xor(F.xxhash64(F.lit(i), "node")).alias(f"m{i}") for i in range(2)]
+    many = keys.groupBy("key").agg(F.count(F.lit(1)).alias("size"), *members).where("size > 1")
+    many = many.groupBy("size", "m0", "m1").agg(F.min("key").alias("key"))  # keys of the same nodes give the same pairs
+    keys = stage(keys.join(many.select("key"), "key", "left_semi"), "keys")
     total, roots, links = keys.count(), None, None
 
     def with_roots() -> DataFrame:

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-GROUP_BYTES = 4 << 20  # texts are worked on in groups of about this many bytes
+GROUP_BYTES = 2 << 20  # texts are worked on in groups of about this many bytes
 BLOCK = 1 << 19
 BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
