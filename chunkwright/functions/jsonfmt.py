@@ -16,6 +16,15 @@ from pyspark.sql import types as T
 from chunkwright.params import JSON_INDENT
 
 
+def _indented(text: str | None) -> str | None:
+    """A text that Python can't read (a number of over 4300 digits, very deep
+    nesting) is kept as it is: one value must not fail the job."""
+    try:
+        return None if text is None else json.dumps(json.loads(text), indent=JSON_INDENT)
+    except (ValueError, RecursionError):
+        return text
+
+
 @F.pandas_udf(T.StringType())
 def json_indent2(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: None if t is None else json.dumps(json.loads(t), indent=JSON_INDENT))
+    return texts.map(_indented)

@@ -23,20 +23,37 @@ ATTEMPT_SCHEMA = (
 CompleteFn = Callable[[pd.DataFrame], pd.DataFrame]
 
 
+class _WrongLength(ValueError):
+    """The function gave another number of rows: its fault, not a row's."""
+
+
+def _answers(fn: CompleteFn, b: pd.DataFrame) -> tuple[list, list]:
+    """(responses, errors) of one call, None where there is none."""
+    out = fn(b)
+    if len(out) != len(b):
+        raise _WrongLength(f"complete() returned {len(out)} rows for {len(b)} requests")
+    resp = out["response"].astype(object).where(out["response"].notna(), None)
+    err = out["error"].astype(object).where(out["error"].notna(), None) if "error" in out else [None] * len(b)
+    return list(resp), list(err)
+
+
 def _wrap(fn: CompleteFn):
+    """A batch that raises is asked again row by row, so one bad request costs
+    its own answer and no other."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             try:
-                out = fn(b)
-                if len(out) != len(b):
-                    raise ValueError(f"complete() returned {len(out)} rows for {len(b)} requests")
-                resp = out["response"].astype(object).where(out["response"].notna(), None).reset_index(drop=True)
-                err = out["error"].astype(object).where(out["error"].notna(), None).reset_index(drop=True) if "error" in out else None
-            except Exception as e:  # the whole batch failed: one error per row
-                resp = pd.Series([None] * len(b), dtype=object)
-                err = pd.Series([f"{type(e).__name__}: {e}"] * len(b), dtype=object)
-            if err is None:
-                err = pd.Series([None] * len(b), dtype=object)
+                resp, err = _answers(fn, b)
+            except _WrongLength as e:
+                resp, err = [None] * len(b), [f"ValueError: {e}"] * len(b)
+            except Exception as whole:
+                resp, err = [None] * len(b), [f"{type(whole).__name__}: {whole}"] * len(b)
+                for i in range(len(b) if len(b) > 1 else 0):
+                    try:
+                        (resp[i],), (err[i],) = _answers(fn, b.iloc[i : i + 1].reset_index(drop=True))
+                    except Exception as e:
+                        err[i] = f"{type(e).__name__}: {e}"
             yield pd.DataFrame(
                 {
                     "request_id": b["request_id"].values,
@@ -44,8 +61,8 @@ def _wrap(fn: CompleteFn):
                     "chunk_no": b["chunk_no"].astype("int64").values,
                     "attempt": b["attempt"].astype("int64").values,
                     "max_tokens": b["max_tokens"].astype("int32").values,
-                    "response": list(resp),
-                    "error": list(err),
+                    "response": resp,
+                    "error": err,
                 }
             )
 
@@ -96,3 +113,10 @@ def read_or_empty(spark: SparkSession, path: str) -> DataFrame:
         return spark.createDataFrame([], ATTEMPT_SCHEMA)
     # the folder of a failed first round holds no file to infer a schema from
     return spark.read.schema(ATTEMPT_SCHEMA).parquet(path)
+
+
+def answers_to(requests: DataFrame, path: str) -> DataFrame:
+    """The attempts at path that answer these requests. The request id is a
+    hash of path, chunk number and prompt, so answers to an earlier text or
+    prompt of the same chunk are left out."""
+    return read_or_empty(requests.sparkSession, path).join(requests.select("request_id"), "request_id", "left_semi")

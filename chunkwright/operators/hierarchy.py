@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chunkwright.functions.paths import html_escape
+from chunkwright.session import configure, scratch_path
 
 SEP = "\u0001"  # joins the parts of a sort key
 HEAD_KEY = ""  # sorts before every fragment
@@ -154,26 +155,36 @@ def write_document(fragments: DataFrame, path: str) -> None:
     fragments.orderBy("sort_key").select(body.alias("value")).write.mode("overwrite").text(path)
 
 
-OUTLINE_SQL = """
-WITH RECURSIVE t(id, path, depth, v) AS (
-  SELECT {id_col}, '$', 0, try_parse_json({json_col}) FROM {src}
-  UNION ALL
-  SELECT t.id,
-         CASE WHEN e.key IS NULL THEN concat(t.path, '[', CAST(e.pos AS STRING), ']')
-              WHEN e.key RLIKE '^[A-Za-z_][A-Za-z0-9_]*$' THEN concat(t.path, '.', e.key)
-              ELSE concat(t.path, '."', replace(e.key, '"', '\\\\"'), '"') END,
-         t.depth + 1, e.value
-  FROM t, LATERAL variant_explode(t.v) AS e
-)
-SELECT id AS {id_col}, path, depth, schema_of_variant(v) AS type,
-       CASE WHEN is_variant_null(v) OR schema_of_variant(v) LIKE 'OBJECT%' OR schema_of_variant(v) LIKE 'ARRAY%'
-            THEN NULL ELSE to_json(v) END AS value
-FROM t
-"""
+def _nested(v: str = "v") -> Column:
+    return F.schema_of_variant(v).rlike("^(OBJECT|ARRAY)")
 
 
 def json_outline(df: DataFrame, id_col: str, json_col: str) -> DataFrame:
     """Flatten JSON documents to (id, path, depth, type, value) rows, one per
-    node, value as JSON text for scalars."""
-    spark = df.sparkSession
-    return spark.sql(OUTLINE_SQL.format(id_col=id_col, json_col=json_col, src="{src}"), src=df)
+    node, value as JSON text for scalars.
+
+    One level of all documents is written to the shared work folder at a time
+    and the next is unnested from its objects and arrays, until none is left:
+    no ceiling on rows, and one on depth only where the JSON reader has one.
+    A repeated key keeps its last value; text that is not JSON gives its root
+    row with a null type."""
+    spark = configure(df.sparkSession)
+    base, depth = scratch_path(spark, "outline"), 0
+    level = df.select(F.col(id_col).alias("id"), F.lit("$").alias("path"), F.try_parse_json(F.col(json_col)).alias("v"))
+    while True:
+        path = f"{base}/depth={depth}"
+        level.write.parquet(path)
+        inner = spark.read.parquet(path).where(_nested())
+        if inner.isEmpty():
+            break
+        children = inner.lateralJoin(spark.tvf.variant_explode(F.col("v").outer())).select("id", F.col("path"), "pos", "key", F.col("value").alias("v"))
+        step = (
+            F.when(F.col("key").isNull(), F.concat(F.lit("["), F.col("pos").cast("string"), F.lit("]")))
+            .when(F.col("key").rlike("^[A-Za-z_][A-Za-z0-9_]*$"), F.concat(F.lit("."), "key"))
+            .otherwise(F.concat(F.lit('."'), F.replace(F.col("key"), F.lit('"'), F.lit('\\"')), F.lit('"')))
+        )
+        level = children.select("id", F.concat("path", step).alias("path"), "v")
+        depth += 1
+    rows = spark.read.parquet(base)
+    value = F.when(~(F.is_variant_null("v") | _nested()), F.to_json("v"))
+    return rows.select(F.col("id").alias(id_col), "path", F.col("depth").cast("int"), F.schema_of_variant("v").alias("type"), value.alias("value"))

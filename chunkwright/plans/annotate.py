@@ -122,12 +122,13 @@ def annotate(
         fn = complete or D4.offline_stub
         path = attempts_path or scratch_path(spark, "comment-attempts")
         asked = chunks.where(~F.col("gated")).select("rel_path", "chunk_no", "chunk_text", *carry)
+        ids = stage(requests.select("request_id"), "comment-request-ids")
         for _ in range(params.max_attempts):
-            pending = D.pending_comment_requests(asked, D4.read_or_empty(spark, path), params.max_attempts)
+            pending = D.pending_comment_requests(asked, D4.answers_to(ids, path), params.max_attempts)
             if pending.isEmpty():
                 break
             D4.complete(R.comment_requests(pending, params, carry), fn, partitions).write.mode("append").parquet(path)
-        att = D4.read_or_empty(spark, path)
+        att = D4.answers_to(ids, path)
     resolved = D.resolve_comments(att, params.max_attempts)
     if materialize:
         resolved = stage(resolved, "comment-resolved")

@@ -153,13 +153,14 @@ def summarize(
     # Pending work is found on chunk rows (key and text); prompts are built
     # after that join, so the fixed prompt text is never shuffled by it.
     asked = chunks.where(~F.col("gated")).select("rel_path", "chunk_no", "chunk_text", *carry)
+    ids = stage(requests.select("request_id"), "request-ids")
     for _ in range(params.max_attempts):
-        so_far = D.parse_attempts(D4.read_or_empty(spark, path))
+        so_far = D.parse_attempts(D4.answers_to(ids, path))
         pending = D.pending_requests(asked, so_far, params.max_attempts, params.response_tokens, params.budget_step)
         if pending.isEmpty():
             break
         D4.complete(R.summary_requests(pending, params, carry), fn, partitions).write.mode("append").parquet(path)
-    return SummaryRun(files, chunk_rows, requests, D4.read_or_empty(spark, path), params, materialize)
+    return SummaryRun(files, chunk_rows, requests, D4.answers_to(ids, path), params, materialize)
 
 
 def summary_artifacts(run: "SummaryRun") -> DataFrame:

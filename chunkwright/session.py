@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 RUNTIME_CONF = {
     # Duplicate JSON keys: the last value wins, as in Python's json module.
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
+    "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

@@ -212,3 +212,29 @@ def test_annotate_audit(spark):
     run = annotate(kept, attempts=att, params=CommentParams(chunk_chars=100))
     q = sorted((r.rel_path, r.stage, r.reason) for r in quarantine(annotate_audit(files, run)).collect())
     assert q == [("b.py", "complete", "call_error"), ("c.py", "decode", "not_utf8")]
+
+
+def test_changed_text_is_asked_again(spark, tmp_path):
+    path = str(tmp_path / "attempts")
+    run = lambda text: summarize(
+        spark.createDataFrame([("a.py", text)], "rel_path string, text string"), params=SummaryParams(min_chunk_chars=0), attempts_path=path)
+    told = lambda r: {x.section: x.value for x in r.summaries.collect()}["Overall Summary"]
+    assert told(run("first text of the file")) == "first text of the file"
+    assert told(run("another text now")) == "another text now"
+    assert spark.read.parquet(path).count() == 2
+    assert told(run("first text of the file")) == "first text of the file"
+    assert spark.read.parquet(path).count() == 2
+
+
+def test_poison_request_costs_only_its_file(spark):
+    from chunkwright.operators.completion import offline_stub
+
+    def fussy(batch):
+        if batch["prompt"].str.contains("poison").any():
+            raise ValueError("no")
+        return offline_stub(batch)
+
+    files = spark.createDataFrame([(f"f{i}.py", "poison here" if i == 1 else f"text number {i}") for i in range(6)], "rel_path string, text string").coalesce(1)
+    run = summarize(files, complete=fussy, params=SummaryParams(min_chunk_chars=0), partitions=1)
+    assert [r.rel_path for r in run.failed.collect()] == ["f1.py"]
+    assert run.wide.count() == 5

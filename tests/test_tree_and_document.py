@@ -189,3 +189,15 @@ def test_document_escape_switch(spark):
     raw = [f.body for f in document_fragments(df, "T", escape=False).collect() if f.body.startswith("<h3")]
     esc = [f.body for f in document_fragments(df, "T").collect() if f.body.startswith("<h3")]
     assert "<pre><code><b>&</code></pre>" in raw[0] and "<pre><code>&lt;b&gt;&amp;</code></pre>" in esc[0]
+
+
+def test_json_outline_has_no_row_or_depth_cap(spark):
+    from chunkwright.operators.hierarchy import json_outline
+
+    deep = spark.createDataFrame([(1, '{"a":' * 120 + "1" + "}" * 120), (2, '{"a":1,"a":2}'), (3, "no json"), (4, None)], "id int, j string")
+    rows = json_outline(deep, "id", "j").collect()
+    assert max(r.depth for r in rows) == 120
+    assert [(r.path, r.value) for r in rows if r.id == 2 and r.depth] == [("$.a", "2")]
+    assert [(r.path, r.type) for r in rows if r.id in (3, 4)] == [("$", None)] * 2
+    wide = spark.range(600_000).selectExpr("id", "'{\"k\":1}' AS j")
+    assert json_outline(wide, "id", "j").count() == 1_200_000
