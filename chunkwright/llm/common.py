@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chunkwright.session import ship_code, stage
+from chunkwright.session import scratch_path, ship_code, stage
 
 SPACE = "\\x20\\x09-\\x0D"  # inside a character class
 WORD = f"[^{SPACE}]+"
@@ -40,6 +40,18 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def stage_by(df: DataFrame, key: str, name: str) -> DataFrame:
+    """Like ``stage``, but in buckets of ``key``: later joins on it shuffle
+    only their other side. The table's entry is of this session alone, its
+    files lie with the other stages."""
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = scratch_path(spark, name)
+    table = path.rsplit("/", 1)[1].replace("-", "_")
+    df.repartition(n, key).write.bucketBy(n, key).saveAsTable(table, format="parquet", path=path)
+    return spark.read.table(table)
+
+
 def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, total: int) -> DataFrame:
     """rows inner-joined to a table with one row per group, where a few groups
     may hold most rows. Hot groups (at least total/HOT_SHARE rows, so at most
@@ -81,4 +93,4 @@ def numbered(df: DataFrame, order: list, name: str) -> DataFrame:
     return rows.join(F.broadcast(offsets), part == F.col("_part")).withColumn(name, at).drop(tag, "_part", "_before")
 
 
-__all__ = ["SPACE", "WORD", "STRIP", "UPPER", "LOWER", "documents", "text_or_empty", "ascii_lower", "fresh", "join_groups", "numbered", "stage"]
+__all__ = ["SPACE", "WORD", "STRIP", "UPPER", "LOWER", "documents", "text_or_empty", "ascii_lower", "fresh", "join_groups", "numbered", "stage", "stage_by"]

@@ -5,7 +5,8 @@ distinct 5-word shingles (64-bit hashes of lower-cased words). No link is lost:
 
 1. A Spark round marks shingles found in two or more documents (``repeats``).
    A set can only link if that share of its shingles is marked; the others are
-   done.
+   done. Of the sets that go on only the marked shingles are kept, as no other
+   can be in an overlap.
 2. Equal sets are one class; one row of each class goes on.
 3. Prefix keys part the work: with tokens in one global order, unmarked before
    marked and then by hash, linked sets share a token among the first
@@ -39,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chunkwright.llm.common import fresh, join_groups, stage, text_or_empty
+from chunkwright.llm.common import fresh, join_groups, stage, stage_by, text_or_empty
 from chunkwright.llm.counttree import FINE, FINE_SIZE, GROUPS, CountTree, needed
 from chunkwright.llm.graph import components
 from chunkwright.llm.repeats import is_repeated, map_bits, repeat_bitmap
@@ -83,8 +84,8 @@ def _by_text(values: np.ndarray, first: np.ndarray, used: np.ndarray) -> np.ndar
 
 def document_sets(rows: DataFrame, percent: int = PERCENT) -> DataFrame:
     """rows (node, doc_id, text, ...) -> the columns without text, n and the
-    set's hashes s1, s2; for sets that may link their tokens (sorted, packed
-    64-bit) and prefix keys, else null."""
+    set's hashes s1, s2; for sets that may link their marked tokens (sorted,
+    packed 64-bit), else null."""
     spark = rows.sparkSession
     bits = map_bits(rows.count() * SHINGLES_A_ROW)
     shared = spark.sparkContext.broadcast(repeat_bitmap(rows.select("text"), _all_shingles, bits))
@@ -102,35 +103,49 @@ def document_sets(rows: DataFrame, percent: int = PERCENT) -> DataFrame:
                 hits = np.bincount(doc[marked], minlength=n)
                 least = -(-percent * size // 100)
                 able = (size > 0) & (hits >= least)
-                tokens, keys = [None] * n, [None] * n
+                tokens = [None] * n
                 for i in np.flatnonzero(able):
-                    own = h[first[i] : first[i + 1]]
-                    tokens[i] = own.tobytes()
-                    prefix = size[i] - least[i] + 1 - (size[i] - hits[i])
-                    keys[i] = own[marked[first[i] : first[i + 1]]][:prefix].view(np.int64)
+                    at = slice(first[i], first[i + 1])
+                    tokens[i] = h[at][marked[at]].tobytes()
                 out = {c: batch.column(c).slice(a, n) for c in names}
                 out |= {"n": pa.array(size, pa.int64()), "s1": pa.array(_by_text(mix64(h), first, size).view(np.int64)), "s2": pa.array(_by_text(mix64(h ^ np.uint64(BASE)), first, size).view(np.int64))}
-                yield pa.RecordBatch.from_pydict(out | {"tokens": pa.array(tokens, pa.binary()), "keys": pa.array(keys, pa.list_(pa.int64()))})
+                yield pa.RecordBatch.from_pydict(out | {"tokens": pa.array(tokens, pa.binary())})
 
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema if f.name != "text")
-    return rows.mapInArrow(run, f"{kinds}, n long, s1 long, s2 long, tokens binary, keys array<long>")
+    return rows.mapInArrow(run, f"{kinds}, n long, s1 long, s2 long, tokens binary")
+
+
+def prefix_keys(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(node, n, shared, key): the keys of each set are its first marked
+    tokens, shared of them: as many as it may have beyond the least overlap,
+    and one."""
+
+    def run(batches):
+        for batch in batches:
+            n, own = batch.column("n").to_numpy(), [np.frombuffer(t.as_buffer(), np.int64) for t in batch.column("tokens")]
+            shared = np.array([len(t) for t in own], np.int64) + percent * -n // 100 + 1
+            out = [np.repeat(c, shared) for c in (batch.column("node").to_numpy(), n, shared)]
+            out.append(np.concatenate([t[:k] for t, k in zip(own, shared)] or [shared]))
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in out], ["node", "n", "shared", "key"])
+
+    return sets.select("node", "n", "tokens").mapInArrow(run, "node long, n long, shared long, key long")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The pairs (a, b) of nodes whose sets reach the percentage."""
-    left = sets.select(F.col("node").alias("a"), F.col("tokens").alias("ta"))
-    right = sets.select(F.col("node").alias("b"), F.col("tokens").alias("tb"))
+    left, right = (sets.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("tokens").alias(f"t{c}")) for c in "ab")
 
     def run(batches):
         for batch in batches:
             keep = []
-            for ta, tb in zip(batch.column("ta"), batch.column("tb")):
+            sizes = needed(batch.column("na").to_numpy(), batch.column("nb").to_numpy(), percent)
+            for ta, tb, least in zip(batch.column("ta"), batch.column("tb"), sizes):
                 x, y = np.frombuffer(ta.as_buffer(), np.uint64), np.frombuffer(tb.as_buffer(), np.uint64)
                 at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                keep.append((y[at] == x).sum() >= needed(len(x), len(y), percent))
+                keep.append((y[at] == x).sum() >= least)
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return pairs.join(right, "b").join(left, "a").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
+    return pairs.join(right, "b").join(left, "a").select("a", "b", "na", "nb", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
 def tree_pairs(rows: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -181,24 +196,24 @@ def tree_pairs(rows: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def count_vectors(sets: DataFrame) -> DataFrame:
-    """(node, counts): tokens by group, packed in one, two or four bytes. Sets
-    of FINE_SIZE tokens or more have FINE groups, of which FINE / GROUPS
+    """(node, counts): marked tokens by group, packed in one, two or four bytes.
+    Sets of FINE_SIZE shingles or more have FINE groups, of which FINE / GROUPS
     neighbours make up one group of the others."""
 
     def run(batches):
         for batch in batches:
             packed = []
-            for t in batch.column(1):
+            for t, n in zip(batch.column("tokens"), batch.column("n").to_pylist()):
                 h = np.frombuffer(t.as_buffer(), np.uint64)
-                groups = FINE if len(h) >= FINE_SIZE else GROUPS
+                groups = FINE if n >= FINE_SIZE else GROUPS
                 c = np.bincount((mix64(h) >> np.uint64(64 - FINE.bit_length() + 1)).astype(np.int64), minlength=FINE).reshape(groups, -1).sum(1)
-                packed.append(c.astype(_count_type(len(h), int(c.max()))).tobytes())
-            yield pa.RecordBatch.from_pydict({"node": batch.column(0), "counts": pa.array(packed, pa.binary())})
+                packed.append(c.astype(_count_type(int(c.max()))).tobytes())
+            yield pa.RecordBatch.from_pydict({"node": batch.column("node"), "counts": pa.array(packed, pa.binary())})
 
-    return sets.select("node", "tokens").mapInArrow(run, "node long, counts binary")
+    return sets.select("node", "n", "tokens").mapInArrow(run, "node long, counts binary")
 
 
-def _count_type(n: int, top: int) -> str:
+def _count_type(top: int) -> str:
     return "<u4" if top > 65535 else "<u2" if top > 255 else "u1"
 
 
@@ -208,8 +223,8 @@ def _unpacked(counts: bytes, n: int) -> np.ndarray:
 
 
 def linked_components(sets: DataFrame, percent: int = PERCENT, stars: int = STARS) -> DataFrame:
-    """(node, root) of all nodes with a link. sets: node, n, tokens, keys."""
-    keys = sets.select("node", "n", F.size("keys").alias("shared"), F.explode("keys").alias("key"))
+    """(node, root) of all nodes with a link. sets: node, n, tokens."""
+    keys = prefix_keys(sets, percent)
     members = [F.bit_xor(F.xxhash64(F.lit(i), "node")).alias(f"m{i}") for i in range(2)]
     many = keys.groupBy("key").agg(F.count(F.lit(1)).alias("size"), *members).where("size > 1")
     many = many.groupBy("size", "m0", "m1").agg(F.min("key").alias("key"))  # keys of the same nodes give the same pairs
@@ -244,9 +259,7 @@ def linked_components(sets: DataFrame, percent: int = PERCENT, stars: int = STAR
         link(stage(met.select(F.least("node", "lead.node").alias("a"), F.greatest("node", "lead.node").alias("b")).distinct(), "pairs"))
     rows, groups = mixed()
     rest = join_groups(rows, groups.select("key", "size"), ["key"], "size", total).drop("size")
-    nodes = rest.select("node").distinct()
-    vectors = count_vectors(sets.join(nodes, "node", "left_semi"))
-    link(stage(tree_pairs(rest.join(vectors, "node"), percent), "pairs"))
+    link(stage(tree_pairs(rest.join(count_vectors(sets), "node"), percent), "pairs"))
     return roots
 
 
@@ -259,7 +272,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text", pe
     sets = stage(document_sets(rows, percent), "sets")
     able = sets.where(F.col("tokens").isNotNull())
     classes = stage(able.groupBy(*SET).agg(F.count(F.lit(1)).alias("class_size"), F.min("node").alias("rep"), F.min("doc_id").alias("least")), "classes")
-    reps = stage(able.join(classes.select(F.col("rep").alias("node")), "node", "left_semi").select("node", "n", "tokens", "keys"), "reps")
+    reps = stage_by(able.join(classes.select(F.col("rep").alias("node")), "node", "left_semi").select("node", "n", "tokens"), "node", "reps")
     roots = linked_components(reps, percent)
     rooted = classes.join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
     rooted = stage(rooted, "rooted")
