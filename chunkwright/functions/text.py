@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -30,6 +32,18 @@ def py_rstrip(col) -> Column:
     return F.rtrim(_c(col), F.lit(PY_SPACES))
 
 
+_SPACE = f"(?:[{re.escape(PY_SPACES)}]|\\\\(?:[tnfr]|u00(?:0[Bb]|1[C-Fc-f])))"
+_INNER = rf'(?:[^"\\{re.escape(PY_SPACES)}]++|\\(?![tnfr]|u00(?:0[Bb]|1[C-Fc-f])).)'
+_STRING = r'"(?:[^"\\]++|\\.)*+"'
+
+
+def strip_in_json(col) -> Column:
+    """Compact JSON text with the string values at every depth stripped, names
+    kept: first what leads, then what trails; other strings pass as a whole."""
+    led = F.regexp_replace(_c(col), f'({_STRING}:)|(")(?:{_SPACE})++({_STRING[1:]})|({_STRING})', "$1$2$3$4")
+    return F.regexp_replace(led, f'({_STRING}:)|("(?:{_SPACE}*+{_INNER})*+){_SPACE}*+(")', "$1$2$3")
+
+
 def is_none_like(stripped) -> Column:
     """True for an empty, 'none' or 'n/a' value (already stripped), any case."""
     return F.lower(_c(stripped)).isin(*P.NONE_LIKE)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from chunkwright import params as P
 from chunkwright.functions.jsontext import value_kind
-from chunkwright.functions.text import is_none_like, py_strip
+from chunkwright.functions.text import is_none_like, py_strip, strip_in_json
 
 FILE_KEY = "rel_path"
 LINE_BREAKS = r"\r\n|[\n\r\x{0b}\x{0c}\x{1c}-\x{1e}\x{85}\x{2028}\x{2029}]"
@@ -54,7 +54,8 @@ def record_entries(records: DataFrame, carry=()) -> DataFrame:
 
 def map_items(entries: DataFrame, sections=P.MAP_SECTIONS, carry=()) -> DataFrame:
     """Items of object-valued sections, in item order, with item kind and
-    value (a string is stripped; anything else stays compact JSON text)."""
+    value (a string is stripped; anything else stays compact JSON text, with
+    the strings inside it stripped)."""
     objs = entries.where(F.col("section").isin(*sections) & F.col("kind").startswith("OBJECT"))
     raw = _dedup(F.from_json(F.col("raw"), "map<string,string>"))
     kinds = F.transform_values(_dedup(F.from_json(F.col("raw"), "map<string,variant>")), lambda k, v: value_kind(v))
@@ -73,7 +74,7 @@ def map_items(entries: DataFrame, sections=P.MAP_SECTIONS, carry=()) -> DataFram
         )
         .withColumn(
             "value",
-            F.when(F.col("item_kind") == "STRING", py_strip(F.col("item_raw"))).otherwise(F.coalesce(F.col("item_raw"), F.lit("null"))),
+            F.when(F.col("item_kind") == "STRING", py_strip(F.col("item_raw"))).otherwise(strip_in_json(F.coalesce(F.col("item_raw"), F.lit("null")))),
         )
     )
 

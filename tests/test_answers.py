@@ -4,7 +4,7 @@ import pytest
 
 from chunkwright.functions.jsontext import json_incomplete, prose_incomplete
 from chunkwright.operators import responses as D
-from tests.reference_loops import json_incomplete as loop_incomplete
+from tests.plain_rules import json_incomplete as loop_incomplete
 
 
 def _parse(spark, responses, errors=None):

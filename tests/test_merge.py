@@ -1,6 +1,7 @@
 import json
 
 from chunkwright.operators import merge as E
+from tests.plain_rules import merge_records
 
 
 def _records(spark, recs, n_chunks=None):
@@ -30,6 +31,13 @@ def test_map_first_chunk_wins_and_nested_kept(spark):
     assert got == {"B": (0, "first"), "A": (1, "second"), "C": (2, '{"Description":"x"}')}
 
 
+def test_nested_strings_are_stripped_at_every_depth(spark):
+    nested = {" name ": [" a ", "\t\\ b\u00a0", {"x": "\n", "y": [1, None, ' "q": " ']}], "long": "w \\n " * 20000}
+    recs = [{"Classes": {"A": nested, "B": [" ", "\u000b c"], "C": 1}}, {"Classes": {"A": " later "}}]
+    got = {r.item: r.value for r in E.merge_maps(E.record_entries(_records(spark, recs))).collect()}
+    assert {k: json.loads(v) for k, v in got.items()} == {k: json.loads(v) for k, v in merge_records(recs)[1]["Classes"].items()}
+
+
 def test_one_chunk_record_kept_as_is(spark):
     files = spark.createDataFrame([("f", 1)], "rel_path string, n_chunks long")
     recs = _records(spark, [{"Overall Summary": " x ", "Variables": {"v": " 1 "}}])

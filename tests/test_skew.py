@@ -6,7 +6,7 @@ import random
 
 from chunkwright import params as P
 from chunkwright.operators import merge as E
-from tests.reference_loops import merge_records
+from tests.plain_rules import merge_records
 
 WORDS = ["alpha", "beta", "gamma", " delta ", "N/A", "none", "", "eps, zeta", "eta,", "alpha, beta"]
 

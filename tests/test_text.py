@@ -9,7 +9,7 @@ from chunkwright.functions.paths import replace_extension
 from chunkwright.functions.text import centre_sample, py_strip
 from chunkwright.operators.chunking import chunk_lines, chunk_tokens, chunk_words
 from tests.conftest import rows
-from tests.reference_loops import line_chunks, word_chunks
+from tests.plain_rules import line_chunks, word_chunks
 
 
 def test_strip_matches_python_for_all_bmp_spaces(spark):
