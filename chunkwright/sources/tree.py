@@ -251,7 +251,7 @@ def scan_tree(
         "listing",
     )
     agg = listed.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("n_bytes"), F.lit(0)).alias("b")).first()
-    n = max(1, min(int(agg["n"]) or 1, -(-int(agg["b"]) // target_bytes), 100_000))
+    n = max(1, min(int(agg["n"]), -(-int(agg["b"]) // target_bytes)))
     return listed.repartition(n, "rel_path").mapInPandas(_reader(root), TREE_SCHEMA)
 
 
