@@ -10,8 +10,8 @@ is a distribution over the same tokens as the base model.
 
 Baum-Welch runs as Spark jobs: each partition sums expected emissions and
 transitions (forward-backward over segments), the sums are aggregated by
-symbol, and the driver holds the bounded tables only. First rounds use a
-staged part of the training documents, the last ``FULL_ROUNDS`` all of them.
+symbol, and the driver holds the bounded tables only. Every one of the
+``ROUNDS`` rounds reads all training documents, at every size.
 Scores use the scaled forward recursion over whole texts. Words below the
 frequent ones are looked up by a shuffle join on their hash.
 
@@ -35,8 +35,8 @@ from chunkwright.llm.words import word_groups
 
 SMOOTH = 0.1
 FREQUENT, SYMBOLS = 1 << 21, 1 << 17
-STATES, SEGMENT, SLAB = 8, 128, 2048
-PART_ROUNDS, FULL_ROUNDS, PARTS, PART_ROWS = 8, 1, 16, 2000
+STATES, SEGMENT, SLAB = 8, 128, 1024
+ROUNDS = 9
 PRIOR = 200.0  # strength of the base distribution in each state's emissions
 LN10 = np.log(10.0)
 
@@ -175,28 +175,34 @@ class Hmm:
             self._slab(symbols, at[rows], length[rows], part[rows] == 0, sums)
 
     def _slab(self, symbols, at, length, first, sums: Sums) -> None:
+        """length ascends, so the rows still running at step t are those from over[t] on."""
         steps, k = int(length.max()), len(self.start)
-        live = np.arange(steps)[:, None] < length
-        seen = symbols[np.where(live, at + np.arange(steps)[:, None], 0)]
-        emit = np.where(live[:, :, None], self.emit[seen], 1.0)
-        alpha, scale = np.empty((steps, len(at), k)), np.empty((steps, len(at), 1))
-        now = np.where(first[:, None], self.start, self.anywhere)
-        for t in range(steps):
-            now = (now if t == 0 else now @ self.move) * emit[t]
-            scale[t] = now.sum(1, keepdims=True)
-            now = alpha[t] = now / scale[t]
+        over = np.searchsorted(length, np.arange(steps), "right")
+        seen = symbols[np.minimum(at + np.arange(steps)[:, None], len(symbols) - 1)]
+        emit = self.emit[seen]
+        alpha, one = np.zeros((steps, len(at), k)), np.ones((k, 1))
+        for t, lo in enumerate(over):
+            now = alpha[t, lo:]
+            if t:
+                np.matmul(alpha[t - 1, lo:], self.move, out=now)
+            else:
+                now[:] = np.where(first[:, None], self.start, self.anywhere)
+            now *= emit[t, lo:]
+            scale = now @ one
+            now /= scale
+            emit[t, lo:] /= scale
         beta = np.ones((len(at), k))
-        gamma = np.empty_like(alpha)
         moves = np.zeros((k, k))
         for t in range(steps - 1, -1, -1):
-            gamma[t] = alpha[t] * beta * live[t][:, None]
+            lo = over[t]
+            back = emit[t, lo:] * beta[lo:]
+            alpha[t, lo:] *= beta[lo:]  # now the shares of the states
             if t:
-                back = emit[t] * beta / scale[t]
-                moves += alpha[t - 1].T @ (back * live[t][:, None])
-                beta = back @ self.move.T
+                moves += alpha[t - 1, lo:].T @ back
+                beta[lo:] = back @ self.move.T
         sums.moves += moves * self.move
-        sums.start += gamma[0][first].sum(0)
-        flat, g = seen[live], gamma[live]
+        sums.start += alpha[0][first].sum(0)
+        flat, g = seen.ravel(), alpha.reshape(-1, k)
         for j in range(k):
             sums.emit[:, j] += np.bincount(flat, weights=g[:, j], minlength=len(self.emit))
 
@@ -252,12 +258,11 @@ def expected_counts(sequences: DataFrame, model: Hmm, read) -> Sums:
     return Sums.of(rows.groupBy("symbol").agg(*[F.sum(c).alias(c) for c in names]).toArrow(), symbols, states)
 
 
-def train(texts: DataFrame, vocab: Vocabulary, bucket: Column, rows: int, states: int = STATES) -> Hmm:
-    """texts: a text column; bucket: long column that parts the rows evenly."""
+def train(texts: DataFrame, vocab: Vocabulary, rows: int, states: int = STATES) -> Hmm:
+    """texts: a text column. The encoded texts are staged once, and each round reads all of them."""
     model = Hmm.fresh(vocab.base, states)
     if not rows:
         return model
-    parts = max(1, min(PARTS, rows // PART_ROWS))
 
     def encode(batches):
         for batch in batches:
@@ -268,12 +273,9 @@ def train(texts: DataFrame, vocab: Vocabulary, bucket: Column, rows: int, states
         column = batch.column(0)
         return column.flatten().to_numpy(), np.concatenate(([0], np.cumsum(column.value_lengths().to_numpy()))).astype(np.int64)
 
-    part = texts.where(F.pmod(bucket, F.lit(parts)) == 0).select("text")
-    few = stage(part.mapInArrow(encode, "symbols array<int>"), "symbols")
-    for _ in range(PART_ROUNDS):
-        model = model.updated(expected_counts(few, model, staged), vocab.base)
-    for _ in range(FULL_ROUNDS):
-        model = model.updated(expected_counts(texts.select("text"), model, lambda b: _symbols(vocab, b.column(0))[:2]), vocab.base)
+    sequences = stage(texts.select("text").mapInArrow(encode, "symbols array<int>"), "symbols")
+    for _ in range(ROUNDS):
+        model = model.updated(expected_counts(sequences, model, staged), vocab.base)
     return model
 
 
@@ -332,7 +334,6 @@ def score_digest(docs: DataFrame) -> DataFrame:
     ends = train_rows.count()
     counts = stage(word_counts(train_rows.select("text")), "words")
     vocab = vocabulary(counts, ends)
-    texts = train_rows.select("text", F.xxhash64("doc_id").alias("bucket"))
-    model = train(texts, vocab, F.col("bucket"), ends)
+    model = train(train_rows.select("text"), vocab, ends)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (bucket == 0).alias("held_out"), "text")
     return score(rows, vocab, model, counts)
