@@ -1,19 +1,21 @@
 """Operator 2: language-model scores from a hidden Markov model of words.
 
 Training documents give word counts (Spark aggregate over 64-bit word hashes).
-Words with at least N / ``FREQUENT`` of all N tokens, so at most ``FREQUENT``
-of them, go to every task with their base probabilities; of these the ones
-with at least N / ``SYMBOLS`` are symbols of the hidden Markov model, next to
-the end of text and one symbol for all other words. A word below that is the
-other symbol times its share of that symbol's base probability, so the model
-is a distribution over the same tokens as the base model.
-
-Baum-Welch runs as Spark jobs: each partition sums expected emissions and
-transitions (forward-backward over segments), the sums are aggregated by
-symbol, and the driver holds the bounded tables only. Every one of the
-``ROUNDS`` rounds reads all training documents, at every size.
-Scores use the scaled forward recursion over whole texts. Words below the
-frequent ones are looked up by a shuffle join on their hash.
+Every word seen at least ``OWN`` times in training is a symbol of the hidden
+Markov model, at every size, next to the end of text and one symbol for all
+other words. A word below that is the other symbol times its share of that
+symbol's base probability, so the model is a distribution over the same tokens
+as the base model.
+
+No task and not the driver holds the word tables: counts and emissions lie in
+blocks by word hash. Texts are encoded once, in groups of about ``GROUP_BYTES``,
+each with the sorted distinct words it needs of every block. A Baum-Welch round
+looks these up (co-group by block), sums expected emissions and transitions by
+group (forward-backward over segments; co-group by group) and adds the sums to
+the blocks (co-group by block). The driver holds starts, transitions and the
+emissions of the two shared symbols. Every one of the ``ROUNDS`` rounds reads
+all training documents. Scores use the scaled forward recursion over whole
+texts, with counts and emissions looked up the same way.
 
 Edge cases: null and empty texts are one end token; a null id counts as an
 empty string in the split; repeated rows are scored alike and count in
@@ -30,15 +32,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chunkwright.llm.common import stage
-from chunkwright.llm.words import word_groups
+from chunkwright.llm.common import stage, stage_by
+from chunkwright.llm.words import mix64, split_words, text_groups, word_groups
 
 SMOOTH = 0.1
-FREQUENT, SYMBOLS = 1 << 21, 1 << 17
+OWN = 2  # a word seen this often has emissions of its own
+BLOCK_WORDS, GROUP_BYTES = 1 << 15, 8 << 20
 STATES, SEGMENT, SLAB = 8, 128, 1024
 ROUNDS = 9
 PRIOR = 200.0  # strength of the base distribution in each state's emissions
 LN10 = np.log(10.0)
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def split_bucket(id_col: str = "doc_id") -> Column:
@@ -61,68 +65,48 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
 @dataclass
 class Vocabulary:
-    """The frequent words: sorted hashes, log10 base probabilities, symbols."""
+    """What is known of all words together."""
 
     total: int  # N
     distinct: int  # V
     ends: int
-    hashes: np.ndarray
-    logs: np.ndarray
-    symbol: np.ndarray
-    base: np.ndarray  # base probability of each symbol
-
-    @property
-    def other(self) -> int:
-        return len(self.base) - 2
-
-    @property
-    def end(self) -> int:
-        return len(self.base) - 1
+    own: int  # words that are symbols, and how often they occur
+    own_total: int
 
     @property
     def mass(self) -> float:
         return self.total + SMOOTH * (self.distinct + 1)
 
-    def lookup(self, h: np.ndarray) -> np.ndarray:
-        """Index of each hash among the frequent words, -1 for others."""
-        if not len(self.hashes):
-            return np.full(len(h), -1)
-        at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == h, at, -1)
+    @property
+    def shared(self) -> np.ndarray:
+        """Base probabilities of the other symbol and of the end."""
+        end = (self.ends + SMOOTH) / self.mass
+        own = (self.own_total + SMOOTH * self.own) / self.mass
+        return np.array([max(1 - own - end, SMOOTH / self.mass), end])
+
+    def p(self, c: np.ndarray) -> np.ndarray:
+        return (c + SMOOTH) / self.mass
 
 
 def vocabulary(counts: DataFrame, ends: int) -> Vocabulary:
-    words, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    total, distinct = int(words) + ends, int(distinct) + (ends > 0)
-    rows = counts.where(F.col("c") * FREQUENT >= total).toArrow()
-    h = rows.column("h").to_numpy().astype(np.int64).view(np.uint64)
-    order = np.argsort(h)
-    h, c = h[order], rows.column("c").to_numpy()[order].astype(float)
-    mass = total + SMOOTH * (distinct + 1)
-    p = (c + SMOOTH) / mass
-    own = c * SYMBOLS >= total
-    symbol = np.where(own, np.cumsum(own) - 1, own.sum()).astype(np.int32)
-    p_end = (ends + SMOOTH if ends else SMOOTH) / mass
-    base = np.concatenate((p[own], [max(1 - p[own].sum() - p_end, SMOOTH / mass), p_end]))
-    return Vocabulary(total, distinct, ends, h, np.log10(p), symbol, base)
-
-
-def _symbols(vocab: Vocabulary, column: pa.Array):
-    """Of a batch: per-text symbol sequences (with the end) as one array with
-    offsets, and per group of texts the words' texts, their frequent index and
-    the hashes of those without one."""
-    parts, sizes, groups = [], [], []
-    for a, b, w in word_groups(column, lower=True):
-        distinct, back = np.unique(w.hash, return_inverse=True)
-        at = vocab.lookup(distinct)[back]
-        out = np.full(len(at) + b - a, vocab.end, np.int32)
-        if len(at):
-            out[np.arange(len(at)) + w.doc] = np.where(at >= 0, vocab.symbol[at] if len(vocab.symbol) else vocab.other, vocab.other)
-        parts.append(out)
-        sizes.append(w.counts + 1)
-        groups.append((a, b, w.doc.astype(np.int32), at.astype(np.int32), w.hash[at < 0]))
-    offsets = np.concatenate(([0], np.cumsum(np.concatenate(sizes)))) if sizes else np.zeros(1, np.int64)
-    return np.concatenate(parts) if parts else np.zeros(0, np.int32), offsets.astype(np.int64), groups
+    own = F.col("c") >= OWN
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    words, distinct, n, c = counts.agg(total("c"), F.count(F.lit(1)), F.count_if(own), total(F.when(own, F.col("c")))).first()
+    return Vocabulary(int(words) + ends, int(distinct) + (ends > 0), ends, int(n), int(c))
+
+
+def noise(h: np.ndarray, states: int) -> np.ndarray:
+    """Normal numbers by word hash and state, the same in every task."""
+    u = [(mix64(h[:, None] ^ mix64(np.arange(1, states + 1, dtype=np.uint64) * np.uint64(k))) >> np.uint64(11)) * 2.0**-53 for k in (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03)]
+    return np.sqrt(-2 * np.log1p(-u[0])) * np.cos(2 * np.pi * u[1])
+
+
+def _array(value: pa.Scalar, kind: str) -> np.ndarray:
+    return np.frombuffer(value.as_buffer(), kind)
+
+
+def _rows(table: pa.Table, *names: str):
+    return zip(*(table.column(n) for n in names))
 
 
 @dataclass
@@ -214,126 +198,240 @@ class Hmm:
 
 
 class Sums:
-    """Expected counts; as rows (symbol, counts by state), transitions and
-    starts having negative numbers."""
+    """Expected counts."""
 
     def __init__(self, symbols: int, states: int):
         self.emit, self.moves, self.start = np.zeros((symbols, states)), np.zeros((states, states)), np.zeros(states)
 
-    def batch(self) -> pa.RecordBatch:
-        used = np.flatnonzero(self.emit.any(1))
-        states = len(self.start)
-        ids = np.concatenate((used, -2 - np.arange(states), [-1])).astype(np.int32)
-        rows = np.concatenate((self.emit[used], self.moves, self.start[None]))
-        return pa.RecordBatch.from_pydict({"symbol": pa.array(ids), **{f"c{j}": pa.array(rows[:, j]) for j in range(states)}})
-
-    @classmethod
-    def of(cls, table: pa.Table, symbols: int, states: int) -> Sums:
-        out = cls(symbols, states)
-        ids = table.column("symbol").to_numpy()
-        rows = np.stack([table.column(f"c{j}").to_numpy() for j in range(states)], 1)
-        out.emit[ids[ids >= 0]] = rows[ids >= 0]
-        out.moves[-2 - ids[ids < -1]] = rows[ids < -1]
-        out.start += rows[ids == -1].sum(0)
-        return out
+    def shared(self) -> bytes:
+        """What the driver needs: shares of the states, starts, transitions
+        and the emissions of the first two symbols."""
+        return np.concatenate((self.emit.sum(0), self.start, self.moves.ravel(), self.emit[:2].ravel())).tobytes()
 
 
-def expected_counts(sequences: DataFrame, model: Hmm, read) -> Sums:
-    """One Baum-Welch pass over a table; ``read`` gives a batch's symbols and
-    offsets. Every task sends one row for each symbol it met."""
-    symbols, states = model.emit.shape
+def encoded(docs: DataFrame, blocks: int) -> DataFrame:
+    """docs (doc_id, held_out, text) -> rows by group of texts: g, ids and
+    held of its texts, sizes (tokens of each, with the end), symbols (0 is
+    unused, 1 the end, then the group's distinct words by block and hash),
+    first (of each block) and refs, the words' hashes by block."""
 
     def run(batches):
-        sums, some = Sums(symbols, states), False
         for batch in batches:
-            seen, offsets = read(batch)
-            if len(seen):
-                model.expected(seen, offsets, sums)
-                some = True
-        if some:
-            yield sums.batch()
+            for a, b, data, offsets in text_groups(batch.column(2), GROUP_BYTES):
+                hashes, counts = [], []
+                for _, _, part, own in text_groups(pa.LargeStringArray.from_buffers(b - a, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data))):
+                    w = split_words(part, own, lower=True)
+                    hashes.append(w.hash)
+                    counts.append(w.counts)
+                h, sizes = np.concatenate(hashes), np.concatenate(counts)
+                words, back = np.unique(h, return_inverse=True)
+                block = words.view(np.int64) % blocks
+                order = np.argsort(block, kind="stable")
+                place = np.empty(len(words), np.int32)
+                place[order] = np.arange(2, len(words) + 2)
+                symbols = np.ones(len(h) + b - a, np.int32)
+                symbols[np.arange(len(h)) + np.repeat(np.arange(b - a), sizes)] = place[back]
+                words, first = words[order], np.searchsorted(block[order], np.arange(blocks + 1))
+                refs = [{"p": i, "h": words[first[i] : first[i + 1]].tobytes()} for i in np.flatnonzero(np.diff(first))]
+                yield pa.RecordBatch.from_pydict({
+                    "ids": pa.array([batch.column(0).slice(a, b - a).to_pylist()], pa.list_(pa.int64())),
+                    "held": pa.array([batch.column(1).slice(a, b - a).to_pylist()], pa.list_(pa.bool_())),
+                    "sizes": pa.array([(sizes + 1).astype(np.int64).tobytes()], pa.binary()), "symbols": pa.array([symbols.tobytes()], pa.binary()),
+                    "first": pa.array([(first + 2).astype(np.int64).tobytes()], pa.binary()),
+                    "refs": pa.array([refs], pa.list_(pa.struct([("p", pa.int32()), ("h", pa.binary())]))),
+                })
+
+    schema = "ids array<long>, held array<boolean>, sizes binary, symbols binary, first binary, refs array<struct<p: int, h: binary>>"
+    return stage(docs.mapInArrow(run, schema).withColumn("g", F.monotonically_increasing_id()), "encoded")
+
+
+def word_blocks(counts: DataFrame, blocks: int) -> DataFrame:
+    """(p, h, c): the training words of each block by hash, and their counts."""
+
+    def pack(rows: pa.Table) -> pa.Table:
+        h = rows.column("h").to_numpy().astype(np.int64).view(np.uint64)
+        order = np.argsort(h)
+        return pa.table({"p": rows.column("p").slice(0, 1), "h": pa.array([h[order].tobytes()], pa.binary()), "c": pa.array([rows.column("c").to_numpy()[order].astype(np.int64).tobytes()], pa.binary())})
+
+    rows = counts.select(F.pmod("h", F.lit(blocks)).cast("int").alias("p"), "h", "c")
+    return stage(rows.groupBy("p").applyInArrow(pack, "p int, h binary, c binary"), "blocks")
 
-    names = [f"c{j}" for j in range(states)]
-    rows = sequences.mapInArrow(run, "symbol int, " + ", ".join(f"{c} double" for c in names))
-    return Sums.of(rows.groupBy("symbol").agg(*[F.sum(c).alias(c) for c in names]).toArrow(), symbols, states)
 
+@dataclass
+class Model:
+    """What the driver holds; ``words`` has the weights (p, w, ...) of the
+    words' emissions, which are those divided by ``norm``."""
 
-def train(texts: DataFrame, vocab: Vocabulary, rows: int, states: int = STATES) -> Hmm:
-    """texts: a text column. The encoded texts are staged once, and each round reads all of them."""
-    model = Hmm.fresh(vocab.base, states)
-    if not rows:
-        return model
+    start: np.ndarray
+    anywhere: np.ndarray
+    move: np.ndarray
+    shared: np.ndarray  # 2 x K: emissions of the other symbol and of the end
+    norm: np.ndarray
+    words: DataFrame
+
+    def local(self, emit: np.ndarray) -> Hmm:
+        emit[:2] = self.shared
+        return Hmm(self.start, self.anywhere, self.move, emit)
+
+
+WEIGHTS = "p int, w binary, total binary, shared binary"
 
-    def encode(batches):
-        for batch in batches:
-            seen, offsets, _ = _symbols(vocab, batch.column(0))
-            yield pa.RecordBatch.from_pydict({"symbols": pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(seen, pa.int32()))})
 
-    def staged(batch):
-        column = batch.column(0)
-        return column.flatten().to_numpy(), np.concatenate(([0], np.cumsum(column.value_lengths().to_numpy()))).astype(np.int64)
+def _weights(p: int, w: np.ndarray | None, shared: np.ndarray | None = None) -> pa.Table:
+    blobs = (w.astype(np.float32).tobytes(), w.sum(0).tobytes(), None) if w is not None else (None, None, shared.tobytes())
+    return pa.table({"p": pa.array([p], pa.int32()), **{n: pa.array([b], pa.binary()) for n, b in zip(("w", "total", "shared"), blobs)}})
 
-    sequences = stage(texts.select("text").mapInArrow(encode, "symbols array<int>"), "symbols")
-    for _ in range(ROUNDS):
-        model = model.updated(expected_counts(sequences, model, staged), vocab.base)
-    return model
 
+def _collected(words: DataFrame, states: int) -> tuple[np.ndarray, np.ndarray | None]:
+    """Of staged weights: their sums by state, and the shared sums."""
+    total, shared = np.zeros(states), None
+    for r in words.select("p", "total", "shared").orderBy("p").collect():
+        if r.p < 0:
+            shared = np.frombuffer(r.shared)
+        else:
+            total += np.frombuffer(r.total)
+    return total, shared
 
-def score(rows: DataFrame, vocab: Vocabulary, model: Hmm, counts: DataFrame) -> DataFrame:
-    """rows (doc_id, held_out, text) -> doc_id, held_out, n_tokens, n_known,
-    train_tokens, base_score, score."""
-    log_mass = float(np.log10(vocab.mass))
-    log_end = float(np.log10(vocab.ends + SMOOTH) - log_mass)
-    log_base = np.log10(vocab.base)
 
+def fresh_model(blocks: DataFrame, vocab: Vocabulary, states: int = STATES) -> Model:
     def run(batches):
         for batch in batches:
-            seen, offsets, groups = _symbols(vocab, batch.column(2))
-            n = batch.num_rows
-            gain = model.log10(seen, offsets) - np.add.reduceat(log_base[seen], offsets[:-1]) if n else np.zeros(0)
-            known, base, lists, sizes, tfs = np.zeros(n, np.int64), np.zeros(n), [], [], []
-            for a, b, docs, at, h in groups:
-                found = at >= 0
-                known[a:b] = np.bincount(docs[found], minlength=b - a)
-                base[a:b] = np.bincount(docs[found], weights=vocab.logs[at[found]], minlength=b - a)
-                # the rest, once for each text and word, with its frequency
-                doc = docs[~found]
-                order = np.lexsort((h, doc))
-                doc, h = doc[order], h[order]
-                new = np.ones(len(h), bool)
-                new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
-                head = np.flatnonzero(new)
-                lists.append(h[head].view(np.int64))
-                tfs.append(np.diff(np.append(head, len(h))))
-                sizes.append(np.bincount(doc[head], minlength=b - a))
-            bounds = pa.array(np.concatenate(([0], np.cumsum(np.concatenate(sizes)))) if sizes else [0], pa.int32())
-            yield pa.RecordBatch.from_pydict({
-                "doc_id": batch.column(0), "held_out": batch.column(1), "n_tokens": pa.array(np.diff(offsets)), "known": pa.array(known),
-                "base": pa.array(base), "gain": pa.array(gain),
-                "rest": pa.ListArray.from_arrays(bounds, pa.array(np.concatenate(lists) if lists else [], pa.int64())),
-                "tf": pa.ListArray.from_arrays(bounds, pa.array(np.concatenate(tfs) if tfs else [], pa.int64())),
-            })
-
-    schema = "doc_id long, held_out boolean, n_tokens long, known long, base double, gain double, rest array<long>, tf array<long>"
-    scored = stage(rows.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()), "scored")
-    rest = scored.select("row", F.explode(F.arrays_zip("rest", "tf")).alias("r")).select("row", F.col("r.rest").alias("h"), F.col("r.tf").alias("tf"))
-    found = rest.join(counts.where(F.col("c") * FREQUENT < vocab.total), "h", "left")
-    log_p = F.log10(F.coalesce(F.col("c"), F.lit(0)) + F.lit(SMOOTH)) - F.lit(log_mass)
-    more = found.groupBy("row").agg(F.sum(F.col("tf") * log_p).alias("more_base"), F.sum(F.when(F.col("c").isNotNull(), F.col("tf")).otherwise(0)).alias("more_known"))
-    out = scored.drop("rest", "tf").join(more, "row", "left")
-    base = F.col("base") + F.coalesce("more_base", F.lit(0.0)) + F.lit(log_end)
-    return out.select(
-        "doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("more_known", F.lit(0)) + F.lit(int(vocab.ends > 0))).cast("long").alias("n_known"),
-        F.lit(vocab.total).cast("long").alias("train_tokens"), base.alias("base_score"), (base + F.col("gain")).alias("score"),
-    )
-
-
-def score_digest(docs: DataFrame) -> DataFrame:
-    bucket = split_bucket()
+            for p, h, c in _rows(pa.Table.from_batches([batch]), "p", "h", "c"):
+                c = _array(c, np.int64)
+                own = c >= OWN
+                w = vocab.p(c[own])[:, None] * np.exp(0.7 * noise(_array(h, np.uint64)[own], states))
+                yield from _weights(p.as_py(), w).to_batches()
+
+    words = stage(blocks.mapInArrow(run, WEIGHTS), "weights")
+    plain = Hmm.fresh(np.ones(1), states)
+    shared = vocab.shared[:, None] * np.exp(0.7 * noise(np.arange(2, dtype=np.uint64), states))
+    norm = _collected(words, states)[0] + shared.sum(0)
+    return Model(plain.start, plain.anywhere, plain.move, shared / norm, norm, words)
+
+
+FOUND = "g long, p int, c binary, at binary, e binary"
+
+
+def looked_up(refs: DataFrame, blocks: DataFrame, model: Model) -> DataFrame:
+    """For each group and block: c, the counts of the group's words; at, their
+    places among the block's symbols, -1 for none; e, the symbols' emissions."""
+    norm, states = model.norm, len(model.start)
+
+    def run(rows: pa.Table, block: pa.Table) -> pa.Table:
+        h, c, w = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros((0, states), np.float32)
+        if block.num_rows:
+            h, c = _array(block.column("h")[0], np.uint64), _array(block.column("c")[0], np.int64)
+            w = (_array(block.column("w")[0], np.float32).reshape(-1, states) / norm).astype(np.float32)
+        rank = np.where(c >= OWN, np.cumsum(c >= OWN) - 1, -1)
+        out = []
+        for own in rows.column("h"):
+            own = _array(own, np.uint64)
+            count, at = np.zeros(len(own), np.int64), np.full(len(own), -1, np.int32)
+            if len(h):
+                i = np.minimum(np.searchsorted(h, own), len(h) - 1)
+                found = h[i] == own
+                count[found], at[found] = c[i[found]], rank[i[found]]
+            out.append((count.tobytes(), at.tobytes(), w[at[at >= 0]].tobytes()))
+        return pa.table({"g": rows.column("g"), "p": rows.column("p"), **{n: pa.array([o[k] for o in out], pa.binary()) for k, n in enumerate(("c", "at", "e"))}})
+
+    tables = blocks.join(model.words.select("p", "w"), "p")
+    return refs.groupBy("p").cogroup(tables.groupBy("p")).applyInArrow(run, FOUND)
+
+
+def _local(model: Model, first: np.ndarray, found: pa.Table) -> tuple[Hmm, np.ndarray, dict]:
+    """The model of a group's symbols, the symbol of each (0 is the other one,
+    for words without emissions), and the own symbols by block."""
+    emit = np.zeros((int(first[-1]), len(model.start)))
+    symbol, own = np.zeros(len(emit), np.int32), {}
+    symbol[1] = 1
+    for p, at, e in _rows(found, "p", "at", "e"):
+        at = _array(at, np.int32)
+        here = first[p.as_py()] + np.flatnonzero(at >= 0)
+        emit[here] = _array(e, np.float32).reshape(len(here), -1)
+        symbol[here] = here
+        own[p.as_py()] = here, at[at >= 0]
+    return model.local(emit), symbol, own
+
+
+def next_model(sequences: DataFrame, refs: DataFrame, blocks: DataFrame, model: Model, vocab: Vocabulary) -> Model:
+    """One Baum-Welch round over all training texts."""
+    states, head = len(model.start), Model(model.start, model.anywhere, model.move, model.shared, model.norm, None)
+
+    def expect(group: pa.Table, found: pa.Table) -> pa.Table:
+        sizes, train = _array(group.column("sizes")[0], np.int64), ~np.array(group.column("held")[0].as_py(), bool)
+        local, symbol, own = _local(head, _array(group.column("first")[0], np.int64), found)
+        seen = symbol[_array(group.column("symbols")[0], np.int32)][np.repeat(train, sizes)]
+        sums = Sums(len(local.emit), states)
+        if len(seen):
+            local.expected(seen, np.concatenate(([0], np.cumsum(sizes[train]))), sums)
+        parts = [(p, at.tobytes(), sums.emit[here].astype(np.float32).tobytes()) for p, (here, at) in own.items()] + [(-1, None, sums.shared())]
+        return pa.table({"p": pa.array([x[0] for x in parts], pa.int32()), "at": pa.array([x[1] for x in parts], pa.binary()), "s": pa.array([x[2] for x in parts], pa.binary())})
+
+    def add(sums: pa.Table, block: pa.Table) -> pa.Table:
+        if not block.num_rows:
+            return _weights(-1, None, sum(_array(s, np.float64) for s in sums.column("s")))
+        c = _array(block.column("c")[0], np.int64)
+        w = np.repeat(PRIOR * vocab.p(c[c >= OWN])[:, None], states, 1)
+        for at, s in _rows(sums, "at", "s"):
+            w[_array(at, np.int32)] += _array(s, np.float32).reshape(-1, states)
+        return _weights(block.column("p")[0].as_py(), w)
+
+    texts = sequences.select("g", "held", "sizes", "symbols", "first")
+    sums = texts.groupBy("g").cogroup(looked_up(refs, blocks, model).select("g", "p", "at", "e").groupBy("g")).applyInArrow(expect, "p int, at binary, s binary")
+    words = stage(sums.groupBy("p").cogroup(blocks.select("p", "c").groupBy("p")).applyInArrow(add, WEIGHTS), "weights")
+    total, got = _collected(words, states)
+    share, start, moves, shared = np.split(got, [states, 2 * states, 2 * states + states * states])
+    shared = shared.reshape(2, states) + PRIOR * vocab.shared[:, None]
+    move, norm = moves.reshape(states, states) + 0.1, total + shared.sum(0)
+    start, share = start + 0.1, share + 0.1
+    return Model(start / start.sum(), share / share.sum(), move / move.sum(1, keepdims=True), shared / norm, norm, words)
+
+
+def score(sequences: DataFrame, refs: DataFrame, blocks: DataFrame, model: Model, vocab: Vocabulary) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every text."""
+    head = Model(model.start, model.anywhere, model.move, model.shared, model.norm, None)
+    log_other, log_end = np.log10(vocab.shared)
+
+    def run(group: pa.Table, found: pa.Table) -> pa.Table:
+        first, sizes = _array(group.column("first")[0], np.int64), _array(group.column("sizes")[0], np.int64)
+        local, symbol, _ = _local(head, first, found)
+        c = np.zeros(len(symbol), np.int64)
+        for p, n in _rows(found, "p", "c"):
+            n = _array(n, np.int64)
+            c[first[p.as_py()] : first[p.as_py()] + len(n)] = n
+        logs = np.log10(vocab.p(c))
+        logs[1] = log_end
+        c[1] = vocab.ends
+        seen, offsets = _array(group.column("symbols")[0], np.int32), np.concatenate(([0], np.cumsum(sizes)))
+        base = np.add.reduceat(logs[seen], offsets[:-1])
+        rest = np.add.reduceat(np.where(symbol == 0, logs - log_other, 0.0)[seen], offsets[:-1])
+        return pa.table({
+            "doc_id": group.column("ids")[0].values, "held_out": group.column("held")[0].values, "n_tokens": pa.array(sizes),
+            "n_known": pa.array(np.add.reduceat((c > 0).astype(np.int64)[seen], offsets[:-1])),
+            "train_tokens": pa.array(np.full(len(sizes), vocab.total, np.int64)), "base_score": pa.array(base), "score": pa.array(local.log10(symbol[seen], offsets) + rest),
+        })
+
+    schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    return sequences.drop("refs").groupBy("g").cogroup(looked_up(refs, blocks, model).groupBy("g")).applyInArrow(run, schema)
+
+
+def score_digest(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
+    spark, bucket = docs.sparkSession, split_bucket()
     train_rows = docs.where(bucket != 0)
     ends = train_rows.count()
     counts = stage(word_counts(train_rows.select("text")), "words")
     vocab = vocabulary(counts, ends)
-    model = train(train_rows.select("text"), vocab, ends)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (bucket == 0).alias("held_out"), "text")
-    return score(rows, vocab, model, counts)
+    n = max(1, -(-vocab.distinct // block_words))
+    blocks = word_blocks(counts, n)
+    rows = encoded(docs.select(F.col("doc_id").cast("long").alias("doc_id"), (bucket == 0).alias("held_out"), "text"), n)
+    refs = rows.select("g", F.explode("refs").alias("r")).select("g", "r.p", "r.h")
+    sequences = stage_by(rows.drop("refs"), "g", "sequences")
+    model = fresh_model(blocks, vocab)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")  # a round's shuffles are of no use after it
+    try:
+        for _ in range(ROUNDS if ends else 0):
+            model = next_model(sequences, refs, blocks, model, vocab)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return score(sequences, refs, blocks, model, vocab)
