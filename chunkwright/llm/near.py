@@ -263,9 +263,8 @@ def linked_components(sets: DataFrame, percent: int = PERCENT, stars: int = STAR
     return roots
 
 
-def near_classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
-    """One row per row of docs: doc_id, text_hash, n_shingles, class_size
-    (rows with the same set), component_id (smallest id of the component)."""
+def _classed(docs: DataFrame, id_col: str, text: str, percent: int) -> DataFrame:
+    """The columns of ``near_classes`` and root, which names the row's component."""
     rows = docs.select(
         F.monotonically_increasing_id().alias("node"), F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_or_empty(text)).alias("text_hash"), F.col(text).alias("text"),
     )
@@ -277,21 +276,34 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text", pe
     rooted = classes.join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
     rooted = stage(rooted, "rooted")
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("size"))
-    named = join_groups(rooted, least, ["root"], "size", rooted.count()).select(*SET, "class_size", "component_id")
+    named = join_groups(rooted, least, ["root"], "size", rooted.count()).select(*SET, "class_size", "component_id", "root")
     members = able.select("doc_id", "text_hash", *SET)
     found = join_groups(members, named, SET, "class_size", sets.count())
-    alone = sets.where(F.col("tokens").isNull()).select("doc_id", "text_hash", "n", F.lit(1).cast("long").alias("class_size"), F.col("doc_id").alias("component_id"))
-    out = found.select("doc_id", "text_hash", "n", "class_size", "component_id").unionByName(alone)
+    alone = sets.where(F.col("tokens").isNull())
+    alone = alone.select("doc_id", "text_hash", "n", F.lit(1).cast("long").alias("class_size"), F.col("doc_id").alias("component_id"), F.col("node").alias("root"))
+    out = found.select("doc_id", "text_hash", "n", "class_size", "component_id", "root").unionByName(alone)
     return out.withColumnRenamed("n", "n_shingles")
 
 
+def near_classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
+    """One row per row of docs: doc_id, text_hash, n_shingles, class_size
+    (rows with the same set), component_id (smallest id of the component)."""
+    return _classed(docs, id_col, text, percent).drop("root")
+
+
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
-    """docs with one document of each component, that of the smallest id. Rows
-    equal in id and text are one document."""
+    """docs with one document of each component, that of the smallest id (a
+    null id comes last) and then of the smallest text hash. Rows equal in id
+    and text are one document."""
     (h,) = fresh(docs, "_text_hash")
-    classes = near_classes(docs, id_col, text, percent)
-    gone = classes.where("doc_id <> component_id").select(F.col("doc_id").alias(id_col), F.col("text_hash").alias(h)).distinct()
-    return docs.withColumn(h, F.xxhash64(text_or_empty(text))).join(gone, [id_col, h], "left_anti").select(*docs.columns)
+    rows = stage(_classed(docs, id_col, text, percent).select("doc_id", "text_hash", "root"), "members")
+    key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    groups = rows.groupBy("root").agg(F.min(key).alias("stays"), F.count(F.lit(1)).alias("size")).where("size > 1")
+    others = ~(F.col("doc_id").eqNullSafe(F.col("stays.doc_id")) & (F.col("text_hash") == F.col("stays.text_hash")))
+    gone = join_groups(rows, groups, ["root"], "size", rows.count()).where(others).select(F.col("doc_id").alias("_gone_id"), F.col("text_hash").alias("_gone_hash")).distinct()
+    hashed = docs.withColumn(h, F.xxhash64(text_or_empty(text)))
+    same = hashed[id_col].cast("long").eqNullSafe(gone["_gone_id"]) & (hashed[h] == gone["_gone_hash"])
+    return hashed.join(gone, same, "left_anti").select(*docs.columns)
 
 
 def near_digest(docs: DataFrame) -> DataFrame:
