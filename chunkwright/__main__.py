@@ -44,7 +44,7 @@ def main(argv=None) -> int:
         p.add_argument("--complete", required=True)
         p.add_argument("--model", default="chat-model")
         p.add_argument("--attempts-path", default=None, help="keep answers here to resume a run")
-        p.add_argument("--listing", default="driver", choices=("driver", "executors"))
+        p.add_argument("--listing", default="executors", choices=("driver", "executors"))
     p = sub.add_parser("document")
     p.add_argument("artifacts")
     p.add_argument("out")

@@ -15,11 +15,15 @@ executors. Options:
   minPartitions     spread small trees over at least this many partitions
   maxFilesPerPartition  (default 2000)
   mode              "read" (default) or "list": paths and sizes only
-  listing           "driver" (default): the driver lists every file, as
-                    Spark's file sources do; "executors": the driver only
-                    walks folders down to `listDepth` (default 2) and each
-                    task lists its own subtrees. Use it for very large trees
-                    (see scan_tree, which then spreads the reads by path).
+  listing           "executors" (default): the driver only walks folders
+                    down to `listDepth` (default 2) and each task lists its
+                    own subtrees (see scan_tree, which then spreads the
+                    reads by path); "driver": the driver lists every file, as
+                    Spark's file sources do.
+  foldersPerPartition   folders a listing task is given (default 16)
+
+A folder that can't be listed is a row with its path (the root: "."), no
+content and the error; it passes the name filters.
 
 The name filters are options rather than pushed filters, so files that do
 not match are never opened.
@@ -67,34 +71,46 @@ def folder_units(root: str, depth: int) -> list[tuple[str, bool]]:
         if d >= depth:
             units.append((rel, True))
             continue
-        units.append((rel, False))
         try:
             with os.scandir(os.path.join(root, rel)) as it:
-                for e in it:
-                    if e.is_dir(follow_symlinks=False):
-                        frontier.append((f"{rel}/{e.name}" if rel else e.name, d + 1))
+                below = [(f"{rel}/{e.name}" if rel else e.name, d + 1) for e in it if e.is_dir(follow_symlinks=False)]
         except OSError:
-            pass
+            units.append((rel, True))  # the task lists it again, and reports it
+            continue
+        units.append((rel, False))
+        frontier += below
     return units
 
 
+def _message(e: OSError) -> str:
+    return f"{type(e).__name__}: {e}"
+
+
+def _is_folder(e: os.DirEntry) -> bool:
+    """Also true of links to folders, which are neither files nor followed."""
+    try:
+        return e.is_dir()
+    except OSError:
+        return False
+
+
 def _list_unit(root: str, rel: str, recursive: bool, suffixes: tuple, exclude: str | None):
     base = os.path.join(root, rel) if rel else root
     if recursive:
-        for r, size in list_tree(base, suffixes, exclude):
-            yield (f"{rel}/{r}" if rel else r), size
+        for r, size, error in list_tree(base, suffixes, exclude):
+            yield (rel if r == "." else f"{rel}/{r}") if rel else r, size, error
         return
     try:
         with os.scandir(base) as it:
             for e in it:
-                if not e.is_dir(follow_symlinks=False) and _keep(e.name, suffixes, exclude):
+                if not _is_folder(e) and _keep(e.name, suffixes, exclude):
                     try:
                         size = e.stat().st_size
                     except OSError:
                         size = 0
-                    yield (f"{rel}/{e.name}" if rel else e.name), size
-    except OSError:
-        return
+                    yield (f"{rel}/{e.name}" if rel else e.name), size, None
+    except OSError as e:
+        yield rel or ".", None, _message(e)
 
 
 def local_root(path: str) -> str:
@@ -117,10 +133,16 @@ def _keep(name: str, suffixes: tuple, exclude: str | None) -> bool:
     return True
 
 
-def list_tree(root: str, suffixes: tuple = (), exclude: str | None = None) -> Iterator[tuple[str, int]]:
-    """(relative path, size) of every matching file below root, links to
-    directories not followed."""
-    for folder, _dirs, names in os.walk(root, followlinks=False):
+def list_tree(root: str, suffixes: tuple = (), exclude: str | None = None) -> Iterator[tuple[str, int | None, str | None]]:
+    """(relative path, size, None) of every matching file below root, links to
+    directories not followed, and (relative path, None, error) of every folder
+    that can't be listed."""
+
+    def relative(path: str) -> str:
+        return os.path.relpath(path, root).replace(os.sep, "/")
+
+    lost = []
+    for folder, _dirs, names in os.walk(root, followlinks=False, onerror=lost.append):
         for name in names:
             if not _keep(name, suffixes, exclude):
                 continue
@@ -129,7 +151,12 @@ def list_tree(root: str, suffixes: tuple = (), exclude: str | None = None) -> It
                 size = os.stat(full).st_size
             except OSError:
                 size = 0
-            yield os.path.relpath(full, root).replace(os.sep, "/"), size
+            yield relative(full), size, None
+        while lost:
+            e = lost.pop()
+            yield relative(e.filename), None, _message(e)
+    for e in lost:
+        yield relative(e.filename), None, _message(e)
 
 
 class _TreeReader(DataSourceReader):
@@ -144,29 +171,29 @@ class _TreeReader(DataSourceReader):
         self.target = int(options.get("maxPartitionBytes", 64 << 20))
         self.max_files = int(options.get("maxFilesPerPartition", 2000))
         self.list_only = options.get("mode", "read") == "list"
-        self.on_executors = options.get("listing", "driver") == "executors"
+        self.on_executors = options.get("listing", "executors") == "executors"
         self.depth = int(options.get("listDepth", 2))
-        self.max_parts = int(options.get("maxListingPartitions", 512))
+        self.folders = int(options.get("foldersPerPartition", 16))
         self.open_cost = int(options.get("openCostInBytes", 512 << 10))
         self.min_parts = int(options.get("minPartitions", 1))
 
     def partitions(self):
         if self.on_executors:
             units = folder_units(self.root, self.depth)
-            n = max(1, min(len(units), self.max_parts))
+            n = max(1, min(len(units), max(self.min_parts, -(-len(units) // self.folders))))
             return [_Folders(self.root, units[i::n]) for i in range(n)]
         # Like Spark's file sources: each file costs its size plus an open
         # cost, and a small tree is still spread over minPartitions.
         listed = list(list_tree(self.root, self.suffixes, self.exclude))
-        total = sum(size + self.open_cost for _, size in listed)
+        total = sum((size or 0) + self.open_cost for _, size, _ in listed)
         target = min(self.target, max(self.open_cost, total // max(1, self.min_parts)))
         parts, cur, cur_bytes = [], [], 0
-        for rel, size in listed:
-            cost = size + self.open_cost
+        for rel, size, error in listed:
+            cost = (size or 0) + self.open_cost
             if cur and (cur_bytes + cost > target or len(cur) >= self.max_files):
                 parts.append(_Files(self.root, cur))
                 cur, cur_bytes = [], 0
-            cur.append(rel)
+            cur.append((rel, size, error))
             cur_bytes += cost
         if cur:
             parts.append(_Files(self.root, cur))
@@ -175,17 +202,16 @@ class _TreeReader(DataSourceReader):
     def read(self, partition):
         if isinstance(partition, _Folders):
             for rel, recursive in partition.units:
-                for path, size in _list_unit(partition.root, rel, recursive, self.suffixes, self.exclude):
-                    if self.list_only:
-                        yield (path, None, size, None)
-                    else:
-                        yield self._read_one(partition.root, path)
+                for path, size, error in _list_unit(partition.root, rel, recursive, self.suffixes, self.exclude):
+                    yield self._row(partition.root, path, size, error)
             return
-        for rel in partition.files:
-            if self.list_only:
-                yield (rel, None, os.path.getsize(os.path.join(partition.root, rel)), None)
-            else:
-                yield self._read_one(partition.root, rel)
+        for rel, size, error in partition.files:
+            yield self._row(partition.root, rel, size, error)
+
+    def _row(self, root: str, rel: str, size: int | None, error: str | None):
+        if self.list_only or error:
+            return (rel, None, size, error)
+        return self._read_one(root, rel)
 
     @staticmethod
     def _read_one(root: str, rel: str):
@@ -194,7 +220,7 @@ class _TreeReader(DataSourceReader):
                 data = fh.read()
             return (rel, data, len(data), None)
         except OSError as e:
-            return (rel, None, None, f"{type(e).__name__}: {e}")
+            return (rel, None, None, _message(e))
 
 
 class SourceTree(DataSource):
@@ -218,17 +244,18 @@ def scan_tree(
     root: str,
     suffix: str | tuple = "",
     exclude_name: str | None = None,
-    listing: str = "driver",
+    listing: str = "executors",
     list_depth: int = 2,
     target_bytes: int = 64 << 20,
     list_only: bool = False,
 ) -> DataFrame:
     """(rel_path, content, n_bytes, error) for every matching file below root.
 
-    listing="executors" is for very large trees: tasks list the folders,
-    the listing is written once to the work folder, and the files are read
-    in partitions hashed by path, sized from the listed bytes; a folder that
-    holds a large share of all files is spread over many tasks.
+    listing="executors": tasks list the folders, the listing is written once
+    to the work folder, and the files are read in partitions hashed by path,
+    sized from the listed bytes; a folder that holds a large share of all
+    files is spread over many tasks. listing="driver": the driver lists all.
+    A folder that can't be listed is a row with an error.
     list_only: paths and sizes only, no file is opened (content NULL)."""
     register(spark)
     root = local_root(root)
@@ -240,25 +267,26 @@ def scan_tree(
         r = r.option("exclude_name", exclude_name)
     if list_only:
         r = r.option("mode", "list")
-        return (r.option("listing", "executors").option("listDepth", str(list_depth)) if listing == "executors" else r).load(root)
+        return r.option("listing", listing).option("listDepth", str(list_depth)).load(root)
     if listing != "executors":
-        return r.load(root)
+        return r.option("listing", listing).load(root)
     from chunkwright.session import stage
 
     listed = stage(
         r.option("listing", "executors").option("listDepth", str(list_depth)).option("mode", "list").load(root)
-        .select("rel_path", "n_bytes"),
+        .select("rel_path", "n_bytes", "error"),
         "listing",
     )
     agg = listed.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("n_bytes"), F.lit(0)).alias("b")).first()
-    n = max(1, min(int(agg["n"]), -(-int(agg["b"]) // target_bytes)))
+    # a small tree is still spread over all cores
+    n = max(1, min(int(agg["n"]), max(spark.sparkContext.defaultParallelism, -(-int(agg["b"]) // target_bytes))))
     return listed.repartition(n, "rel_path").mapInPandas(_reader(root), TREE_SCHEMA)
 
 
 def _reader(root: str):
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            out = [_TreeReader._read_one(root, rel) for rel in b["rel_path"]]
+            out = [(rel, None, None, e) if isinstance(e, str) else _TreeReader._read_one(root, rel) for rel, e in zip(b["rel_path"], b["error"])]
             yield pd.DataFrame(out, columns=["rel_path", "content", "n_bytes", "error"]).astype({"n_bytes": "Int64"})
 
     return read
