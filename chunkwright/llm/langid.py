@@ -9,7 +9,8 @@ of any length need bounded memory.
 
 Training uses a bounded sample: about ``PER_LANG`` labelled documents of each
 language (at most ``MAX_LANGS`` languages, the most frequent), whole texts, and
-of their distinct (word, language) pairs the ``MAX_WORDS`` of smallest hash.
+of their distinct (piece of a word, language) pairs the ``MAX_WORDS`` of
+smallest hash.
 Held-out rows are never among them.
 
 Edge cases: a null text or one without a letter is ``und`` with score 0; with
@@ -200,6 +201,13 @@ def train(words: list[bytes], labels: list[str], counts: list[int], hidden: int
     return model
 
 
+def _pieces(word: Column) -> Column:
+    """All pieces of at most MAX_BYTES bytes of a word, as ``pooled`` cuts it."""
+    raw = F.encode(word, "UTF-8")
+    last = F.floor((F.octet_length(word) - 1) / MAX_BYTES).cast("int")
+    return F.transform(F.sequence(F.lit(0), last), lambda i: F.substring(raw, i * MAX_BYTES + 1, F.lit(MAX_BYTES)))
+
+
 def training_words(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str = "lang") -> list[tuple[bytes, str, int]]:
     """(word, language, count) rows of the bounded sample."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
@@ -207,10 +215,10 @@ def training_words(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     per = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGS)
     pick = F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(1 << 40)) / F.lit(float(1 << 40))
     some = rows.join(F.broadcast(per), "lang").where(pick < F.lit(float(PER_LANG)) / F.col("n"))
-    words = some.select("lang", F.explode(F.regexp_extract_all("text", F.lit(f"({WORD})"))).alias("word"))
-    counts = words.groupBy("lang", F.substring("word", 1, MAX_BYTES).alias("word")).agg(F.count(F.lit(1)).alias("n"))
+    words = some.select("lang", F.explode(F.flatten(F.transform(F.regexp_extract_all("text", F.lit(f"({WORD})")), _pieces))).alias("word"))
+    counts = words.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
     few = counts.orderBy(F.xxhash64("word", "lang"), "word", "lang").limit(MAX_WORDS).collect()
-    return [(r.word.encode(), r.lang, r.n) for r in few]
+    return [(bytes(r.word), r.lang, r.n) for r in few]
 
 
 def fit(docs: DataFrame, **columns: str) -> LanguageModel | None:
