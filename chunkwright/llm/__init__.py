@@ -1,5 +1,6 @@
 """Training-data operators: mixing, LM scoring, line / exact / near / substring
-de-duplication, quality rules, language ID, BPE and sharding.
+de-duplication, quality rules, language ID, BPE (by words and by chunks),
+sharding, embedding whitening and periodic runs.
 
 Nothing else in the library imports this subpackage. Each module holds one
 operator with its general interface; ``entries`` derives the registered

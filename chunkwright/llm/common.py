@@ -19,6 +19,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_code()
+    return spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+
+
 def text_or_empty(col: str = "text") -> Column:
     return F.coalesce(F.col(col), F.lit(""))
 
@@ -93,4 +98,4 @@ def numbered(df: DataFrame, order: list, name: str) -> DataFrame:
     return rows.join(F.broadcast(offsets), part == F.col("_part")).withColumn(name, at).drop(tag, "_part", "_before")
 
 
-__all__ = ["SPACE", "WORD", "STRIP", "UPPER", "LOWER", "documents", "text_or_empty", "ascii_lower", "fresh", "join_groups", "numbered", "stage", "stage_by"]
+__all__ = ["SPACE", "WORD", "STRIP", "UPPER", "LOWER", "documents", "embeddings", "text_or_empty", "ascii_lower", "fresh", "join_groups", "numbered", "stage", "stage_by"]

@@ -1,7 +1,8 @@
 """The registered queries of this subpackage and their DuckDB twins.
 
 Each query runs one operator, with production parameters, over the whole
-``documents`` table and derives the digest columns from the operator's output.
+``documents`` table (``embeddings`` for the whitening) and derives the digest
+columns from the operator's output.
 """
 
 from __future__ import annotations
@@ -10,8 +11,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chunkwright.llm import bpe, exact, hmm, langid, lines, mixing, near, quality, sharding, substrings
-from chunkwright.llm.common import documents
+from chunkwright.llm import bpe, bytebpe, exact, hmm, langid, lines, mixing, near, periodic, quality, sharding, substrings, whitening
+from chunkwright.llm.common import documents, embeddings
 
 _DIGESTS = {
     "op1_mix_sources": (mixing.mix_digest, mixing.ORACLE),
@@ -24,6 +25,8 @@ _DIGESTS = {
     "op8_substring_dedup": (substrings.substring_digest, substrings.ORACLE),
     "op9_bpe_codec": (bpe.bpe_digest, None),
     "op10_feistel_shards": (sharding.shard_documents, None),
+    "op12_byte_bpe": (bytebpe.byte_digest, None),
+    "op13_periodic_runs": (periodic.run_digest, None),
 }
 
 
@@ -32,7 +35,8 @@ def _query(digest: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession,
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: _query(digest) for name, (digest, _) in _DIGESTS.items()}
+    out = {name: _query(digest) for name, (digest, _) in _DIGESTS.items()}
+    return out | {"op11_whiten": lambda spark, sf_dir: whitening.whiten_digest(embeddings(spark, sf_dir))}
 
 
 def oracle_sql() -> dict[str, str]:
