@@ -59,7 +59,7 @@ def main(argv=None) -> int:
     # Names of every file for the audit; contents only of the files to work on
     # (the name filters run in the scan, so no other file is opened).
     all_files = scan_tree(spark, a.root, listing=a.listing, list_only=True).selectExpr(
-        "rel_path", "substring_index(rel_path, '/', -1) AS file_name")
+        "rel_path", "substring_index(rel_path, '/', -1) AS file_name", "reason")
     files = decode_text(scan_tree(spark, a.root, ".py", "test", listing=a.listing))
     if a.cmd == "summarize":
         run = summarize(files, complete=_complete(a.complete), params=SummaryParams(model=a.model),

@@ -21,21 +21,20 @@ def extract_json(response) -> Column:
 
 
 def strict_json_map(json_text) -> Column:
-    """Decode one JSON object strictly into MAP<STRING, VARIANT>.
-
-    The text is read in two wraps, as the only element of a list and as the
-    only value of an object: a tail after the object may close one of the
-    wraps early, but not both, so trailing text and a second object are
-    refused. Single quotes and NaN are refused by option. Duplicate keys keep
-    the last value (session LAST_WIN policy). Anything else, including '',
-    gives NULL.
+    """Decode one JSON object strictly into MAP<STRING, VARIANT>, in one parse.
+
+    The text is read as the first element of a list whose second is a mark
+    made from the text's own hash. A tail after the object can close the list
+    early, add an element or break it, but it can't hold the mark, so trailing
+    text and a second object are refused. Single quotes and NaN are refused by
+    option. Duplicate keys keep the last value (session LAST_WIN policy).
+    Anything else, including '', gives NULL.
     """
-    arr = F.from_json(
-        F.concat(F.lit("["), _c(json_text), F.lit("]")), "array<map<string,variant>>", _STRICT
-    )
-    only = F.from_json(F.concat(F.lit('{"k":'), _c(json_text), F.lit("}")), "map<string,map<string,variant>>", _STRICT)
-    first = F.get(arr, 0)
-    return F.when((F.size(arr) == 1) & (F.size(only) == 1), F.map_from_entries(F.map_entries(first)))
+    j = _c(json_text)
+    mark = F.hex(F.xxhash64(j))
+    both = F.from_json(F.concat(F.lit("["), j, F.lit(',{"'), mark, F.lit('":0}]')), "array<map<string,variant>>", _STRICT)
+    whole = (F.size(both) == 2) & F.coalesce(F.map_contains_key(F.get(both, 1), mark), F.lit(False))
+    return F.when(whole, F.map_from_entries(F.map_entries(F.get(both, 0))))
 
 
 def value_kind(v) -> Column:
@@ -43,21 +42,31 @@ def value_kind(v) -> Column:
     return F.coalesce(F.schema_of_variant(_c(v)), F.lit("NULL"))
 
 
-def response_status(m) -> Column:
-    """valid / empty / bad_keys / bad_types for a decoded summary map.
-    Unknown keys are reported before wrong value types."""
-    mm = _c(m)
+def value_kinds(m) -> Column:
+    """The kind of each value of a decoded map, by key and in its order."""
+    return F.transform_values(_c(m), lambda k, v: value_kind(v))
+
+
+def response_status(kinds) -> Column:
+    """valid / empty / bad_keys / bad_types from the kinds of a summary's
+    values. Unknown keys are reported before wrong value types."""
+    kk = _c(kinds)
     keys = F.array(*[F.lit(k) for k in P.SECTIONS])
-    bad_key = F.size(F.array_except(F.map_keys(mm), keys)) > 0
-    bad_type = F.exists(F.map_values(mm), lambda v: ~value_kind(v).rlike("^(STRING|OBJECT)"))
+    bad_key = F.size(F.array_except(F.map_keys(kk), keys)) > 0
+    bad_type = F.exists(F.map_values(kk), lambda v: ~v.rlike("^(STRING|OBJECT)"))
     return (
-        F.when(mm.isNull() | (F.size(mm) == 0), F.lit("empty"))
+        F.when(kk.isNull() | (F.size(kk) == 0), F.lit("empty"))
         .when(bad_key, F.lit("bad_keys"))
         .when(bad_type, F.lit("bad_types"))
         .otherwise(F.lit("valid"))
     )
 
 
+def object_keys(kinds) -> Column:
+    """Keys whose value is an object."""
+    return F.map_keys(F.map_filter(_c(kinds), lambda k, v: v.startswith("OBJECT")))
+
+
 def json_incomplete(response) -> Column:
     """Does a (stripped) JSON answer look cut off? Empty: no. Last character
     not '}': yes. Otherwise: yes when '{' and '}' counts differ.

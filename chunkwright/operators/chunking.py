@@ -58,6 +58,8 @@ def _explode_chunks(files: DataFrame, pattern, carry, keep_empty: bool = False)
     n_chunks 0, so the file is still known downstream; a NULL text, i.e. a
     file that did not decode, gives such a row with n_chunks NULL)."""
     cols = ["rel_path", *carry]
+    if keep_empty and "reason" in files.columns and "reason" not in cols:
+        cols.append("reason")  # why a file was not read
     return (
         files.select(*cols, F.regexp_extract_all(F.col("text"), pattern, 0).alias("_parts"))
         .select(

@@ -1,9 +1,10 @@
 """The completion stage (D4): user function over request batches.
 
-Model calls are costly and not repeatable, so every round's answers are
-written to the shared work folder and read back before anything else uses
-them; a second action never calls the model again. Speculative execution
-must stay off for these stages.
+Model calls are costly and not repeatable. ``sources.answers.ask`` calls the
+function in its write tasks and publishes the answers as they come, so a lost
+job keeps what was paid for; ``complete`` is the same call as a lazy table,
+for a caller that stores the answers itself. Speculative execution must stay
+off for these stages.
 """
 
 from __future__ import annotations
@@ -11,14 +12,11 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from chunkwright.operators import requests as R
-
-ATTEMPT_SCHEMA = (
-    "request_id string, rel_path string, chunk_no bigint, attempt bigint, "
-    "max_tokens int, response string, error string"
-)
+from chunkwright.sources.answers import ATTEMPT_SCHEMA, answers_to, read_or_empty
 
 CompleteFn = Callable[[pd.DataFrame], pd.DataFrame]
 
@@ -37,36 +35,46 @@ def _answers(fn: CompleteFn, b: pd.DataFrame) -> tuple[list, list]:
     return list(resp), list(err)
 
 
-def _wrap(fn: CompleteFn):
-    """A batch that raises is asked again row by row, so one bad request costs
-    its own answer and no other."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
+def answer_batch(fn: CompleteFn, b: pd.DataFrame) -> pd.DataFrame:
+    """One attempt row a request. A batch that raises is asked again row by
+    row, so one bad request costs its own answer and no other."""
+    try:
+        resp, err = _answers(fn, b)
+    except _WrongLength as e:
+        resp, err = [None] * len(b), [f"ValueError: {e}"] * len(b)
+    except Exception as whole:
+        resp, err = [None] * len(b), [f"{type(whole).__name__}: {whole}"] * len(b)
+        for i in range(len(b) if len(b) > 1 else 0):
             try:
-                resp, err = _answers(fn, b)
-            except _WrongLength as e:
-                resp, err = [None] * len(b), [f"ValueError: {e}"] * len(b)
-            except Exception as whole:
-                resp, err = [None] * len(b), [f"{type(whole).__name__}: {whole}"] * len(b)
-                for i in range(len(b) if len(b) > 1 else 0):
-                    try:
-                        (resp[i],), (err[i],) = _answers(fn, b.iloc[i : i + 1].reset_index(drop=True))
-                    except Exception as e:
-                        err[i] = f"{type(e).__name__}: {e}"
-            yield pd.DataFrame(
-                {
-                    "request_id": b["request_id"].values,
-                    "rel_path": b["rel_path"].values,
-                    "chunk_no": b["chunk_no"].astype("int64").values,
-                    "attempt": b["attempt"].astype("int64").values,
-                    "max_tokens": b["max_tokens"].astype("int32").values,
-                    "response": resp,
-                    "error": err,
-                }
-            )
-
-    return run
+                (resp[i],), (err[i],) = _answers(fn, b.iloc[i : i + 1].reset_index(drop=True))
+            except Exception as e:
+                err[i] = f"{type(e).__name__}: {e}"
+    return pd.DataFrame(
+        {
+            "request_id": b["request_id"].values,
+            "rel_path": b["rel_path"].values,
+            "chunk_no": b["chunk_no"].astype("int64").values,
+            "attempt": b["attempt"].astype("int64").values,
+            "max_tokens": b["max_tokens"].astype("int32").values,
+            "response": resp,
+            "error": err,
+        }
+    )
+
+
+ASKED = ["request_id", "rel_path", "chunk_no", "attempt", "system", "prompt", "model", "max_tokens", "temperature"]
+
+
+def for_function(requests: DataFrame) -> DataFrame:
+    """The columns the completion function sees: those of ASKED, ``n`` (the
+    answers wanted) and, where waits are planned, ``min_wait_sec`` and
+    ``max_wait_sec``: how long to wait before this attempt (null before the
+    first)."""
+    extra = [c for c in ("n",) if c in requests.columns]
+    if "waits" in requests.columns:
+        due = F.get("waits", (F.col("attempt") - 2).cast("int"))
+        extra += [due["min_wait_sec"].alias("min_wait_sec"), due["max_wait_sec"].alias("max_wait_sec")]
+    return requests.select(*ASKED, *extra)
 
 
 def complete(requests: DataFrame, fn: CompleteFn, partitions: int | None = None) -> DataFrame:
@@ -76,9 +84,12 @@ def complete(requests: DataFrame, fn: CompleteFn, partitions: int | None = None)
     many tasks; `partitions` caps how many calls run at once."""
     spark = requests.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cols = ["request_id", "rel_path", "chunk_no", "attempt", "system", "prompt", "model", "max_tokens", "temperature"]
-    return requests.select(*cols).repartition(n, "request_id").mapInPandas(_wrap(fn), ATTEMPT_SCHEMA)
 
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield answer_batch(fn, b)
+
+    return for_function(requests).repartition(n, "request_id").mapInPandas(run, ATTEMPT_SCHEMA)
 
 
 def offline_stub(batch: pd.DataFrame) -> pd.DataFrame:
@@ -99,24 +110,4 @@ def offline_stub(batch: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"response": out_resp, "error": [None] * len(out_resp)})
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
-
-
-def read_or_empty(spark: SparkSession, path: str) -> DataFrame:
-    """The attempts written so far; empty only when nothing was written yet.
-    Any other read error is raised: treating it as "no attempts" would ask
-    the model again for every request."""
-    if not _exists(spark, path):
-        return spark.createDataFrame([], ATTEMPT_SCHEMA)
-    # the folder of a failed first round holds no file to infer a schema from
-    return spark.read.schema(ATTEMPT_SCHEMA).parquet(path)
-
-
-def answers_to(requests: DataFrame, path: str) -> DataFrame:
-    """The attempts at path that answer these requests. The request id is a
-    hash of path, chunk number and prompt, so answers to an earlier text or
-    prompt of the same chunk are left out."""
-    return read_or_empty(requests.sparkSession, path).join(requests.select("request_id"), "request_id", "left_semi")
+__all__ = ["ATTEMPT_SCHEMA", "CompleteFn", "answer_batch", "answers_to", "complete", "for_function", "offline_stub", "read_or_empty"]

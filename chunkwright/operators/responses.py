@@ -11,8 +11,10 @@ from chunkwright import params as P
 from chunkwright.functions.jsontext import (
     extract_json,
     json_incomplete,
+    object_keys,
     response_status,
     strict_json_map,
+    value_kinds,
 )
 from chunkwright.functions.text import py_strip
 
@@ -29,24 +31,25 @@ def _error_col(df: DataFrame):
 
 
 def parse_attempts(attempts: DataFrame) -> DataFrame:
-    """Add extracted, json_text (when it decodes), status and incomplete.
+    """Add extracted, json_text (when it decodes), status, n_keys,
+    object_keys (of the decoded record) and incomplete. The answer is parsed
+    once; what later steps ask of it is taken from that parse.
 
     status is 'error' for a failed call or a missing answer, else one of
     valid / empty / bad_keys / bad_types."""
     resp = F.col("response")
-    extracted = extract_json(resp)
-    decoded = strict_json_map(F.col("extracted"))
     return (
-        attempts.withColumn("extracted", extracted)
-        .withColumn("_m", decoded)
+        attempts.withColumn("extracted", extract_json(resp))
+        .withColumn("_k", value_kinds(strict_json_map(F.col("extracted"))))
         .withColumn(
             "status",
-            F.when(_error_col(attempts).isNotNull() | resp.isNull(), F.lit("error")).otherwise(response_status(F.col("_m"))),
+            F.when(_error_col(attempts).isNotNull() | resp.isNull(), F.lit("error")).otherwise(response_status("_k")),
         )
-        .withColumn("json_text", F.when(F.col("_m").isNotNull(), F.col("extracted")))
-        .withColumn("n_keys", F.size(F.col("_m")).cast("bigint"))
+        .withColumn("json_text", F.when(F.col("_k").isNotNull(), F.col("extracted")))
+        .withColumn("n_keys", F.size("_k").cast("bigint"))
+        .withColumn("object_keys", object_keys("_k"))
         .withColumn("incomplete", json_incomplete(resp))
-        .drop("_m")
+        .drop("_k")
     )
 
 
@@ -64,22 +67,55 @@ def attempt_budget(parsed: DataFrame, base: int = P.RESPONSE_TOKENS, step: int =
     )
 
 
-def chunk_outcomes(parsed: DataFrame, max_attempts: int = P.SUMMARY_ATTEMPTS) -> DataFrame:
-    """Per chunk: tries, first valid try and its JSON, first error, growth.
+def _within(max_attempts: int):
+    return F.col("attempt") <= max_attempts
 
-    The valid tries of a chunk are at most max_attempts, so they are
-    collected (a hash-based object aggregate) and the earliest is taken,
-    instead of a string min_by, which Spark can only aggregate by sorting."""
-    within = F.col("attempt") <= max_attempts
-    valid = within & (F.col("status") == "valid")
-    g = parsed.groupBy(*CHUNK_KEY).agg(
-        F.count(F.when(within, 1)).cast("bigint").alias("tries"),
-        F.array_min(F.collect_list(F.when(valid, F.struct(F.col("attempt").cast("bigint").alias("a"), F.col("json_text").alias("j"))))).alias("_w"),
+
+def _outcome_aggregates(max_attempts: int) -> list:
+    """First valid try with its JSON, and first error. The valid tries of a
+    chunk are at most max_attempts, so they are collected (a hash-based object
+    aggregate) and the earliest is taken, instead of a string min_by, which
+    Spark can only aggregate by sorting."""
+    within = _within(max_attempts)
+    won = F.struct(F.col("attempt").cast("bigint").alias("a"), F.col("json_text").alias("j"), F.col("object_keys").alias("o"))
+    return [
+        F.array_min(F.collect_list(F.when(within & (F.col("status") == "valid"), won))).alias("_w"),
         F.min(F.when(within & (F.col("status") == "error"), F.col("attempt"))).cast("bigint").alias("first_error"),
-        F.sum(F.when(within, growth_flag()).otherwise(0)).cast("bigint").alias("growth"),
+    ]
+
+
+def _won() -> list:
+    return [F.col("_w.a").alias("win"), F.col("_w.j").alias("json_text"), F.col("_w.o").alias("object_keys")]
+
+
+def chunk_outcomes(parsed: DataFrame, max_attempts: int = P.SUMMARY_ATTEMPTS) -> DataFrame:
+    """Per chunk: tries, first valid try, its JSON and object keys, first
+    error, growth."""
+    g = parsed.groupBy(*CHUNK_KEY).agg(
+        F.count(F.when(_within(max_attempts), 1)).cast("bigint").alias("tries"),
+        *_outcome_aggregates(max_attempts),
+        F.sum(F.when(_within(max_attempts), growth_flag()).otherwise(0)).cast("bigint").alias("growth"),
+    )
+    return g.select(*CHUNK_KEY, "tries", *_won(), "first_error", "growth")
+
+
+def round_outcomes(attempts: DataFrame, max_attempts: int = P.SUMMARY_ATTEMPTS, base: int = P.RESPONSE_TOKENS,
+                   step: int = P.BUDGET_STEP) -> DataFrame:
+    """chunk_outcomes from some of a chunk's answers, the latest included:
+    an attempt row holds the number of tries up to it and the budget grown up
+    to it, so a round's answers need no earlier ones. Also ``budget``
+    (max_tokens of a next try) and ``settled`` (valid, failed, or no try
+    left). Repeated rows change nothing."""
+    within = _within(max_attempts)
+    g = parse_attempts(attempts).groupBy(*CHUNK_KEY).agg(
+        F.max(F.when(within, F.col("attempt"))).cast("bigint").alias("tries"),
+        *_outcome_aggregates(max_attempts),
+        F.max(F.when(within, F.col("max_tokens") + step * growth_flag())).cast("int").alias("budget"),
     )
-    return g.select(
-        *CHUNK_KEY, "tries", F.col("_w.a").alias("win"), F.col("_w.j").alias("json_text"), "first_error", "growth"
+    done = F.col("win").isNotNull() | F.col("first_error").isNotNull() | (F.col("tries") >= max_attempts)
+    return g.select(*CHUNK_KEY, "tries", *_won(), "first_error", "budget").select(
+        *CHUNK_KEY, "tries", "win", "json_text", "object_keys", "first_error",
+        F.expr(f"(budget - {int(base)}) div {int(step)}").cast("bigint").alias("growth"), "budget", done.alias("settled"),
     )
 
 
@@ -101,33 +137,50 @@ def failed_files(parsed: DataFrame, max_attempts: int = P.SUMMARY_ATTEMPTS) -> D
 
 
 def failed_from_outcomes(outcomes: DataFrame) -> DataFrame:
+    return failures(outcomes.where(chunk_failed()).withColumn("fate", F.lit("call_error")))
+
+
+def failures(rows: DataFrame) -> DataFrame:
+    """Files with a chunk that has a fate, with the number of such chunks."""
     return (
-        outcomes
-        .where(chunk_failed())
-        .groupBy("rel_path")
+        rows.where(F.col("fate").isNotNull())
+        .groupBy("rel_path", F.col("fate").alias("reason"))
         .agg(F.count(F.lit(1)).cast("bigint").alias("failed_chunks"), F.min("chunk_no").alias("first_failed_chunk"))
-        .withColumn("reason", F.lit("call_error"))
+        .select("rel_path", "failed_chunks", "first_failed_chunk", "reason")
+    )
+
+
+def chunk_records(chunk_rows: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """The chunk table with what became of each chunk, in one join by chunk:
+    origin (model / gated / exhausted), its record (json_text, object_keys),
+    win, tried, and fate: 'call_error' or 'no_answer' (asked, never tried)
+    where it loses the file. Rows without a chunk (empty or undecoded files)
+    stay, with no record."""
+    carry = [c for c in ("n_chunks", "reason") if c in chunk_rows.columns]
+    rows = chunk_rows.select(*CHUNK_KEY, "gated", *carry)
+    o = outcomes.select(*CHUNK_KEY, "tries", "win", "json_text", "object_keys", "first_error")
+    j = rows.join(o, CHUNK_KEY, "left")
+    chunk, gated, won = F.col("chunk_no").isNotNull(), F.coalesce("gated", F.lit(False)), F.col("win").isNotNull()
+    maps = F.array(*[F.lit(k) for k in P.MAP_SECTIONS])
+    return j.select(
+        *CHUNK_KEY, *carry,
+        F.when(chunk, F.when(gated, "gated").when(won, "model").otherwise("exhausted")).alias("origin"),
+        F.when(chunk, F.when(gated, F.lit(GATED_RECORD)).when(won, F.col("json_text")).otherwise(F.lit(EXHAUSTED_RECORD))).alias("json_text"),
+        F.when(chunk, F.when(won & ~gated, F.col("object_keys")).otherwise(maps)).alias("object_keys"),
+        "win", F.col("tries").isNotNull().alias("tried"),
+        F.when(chunk_failed(), "call_error").when(chunk & ~gated & F.col("tries").isNull(), "no_answer").alias("fate"),
     )
 
 
 def resolved_records(chunks: DataFrame, parsed: DataFrame, max_attempts: int = P.SUMMARY_ATTEMPTS) -> DataFrame:
     """One record per chunk of every file not lost to an error:
     (rel_path, chunk_no, origin, json_text), origin in model/gated/exhausted."""
-    return records_from_outcomes(chunks, chunk_outcomes(parsed, max_attempts))
-
-
-def records_from_outcomes(chunks: DataFrame, outcomes: DataFrame) -> DataFrame:
-    failed = outcomes.where(chunk_failed()).select("rel_path").distinct()
-    carry = ["n_chunks"] if "n_chunks" in chunks.columns else []
-    ch = chunks.select(*CHUNK_KEY, "gated", *carry).join(failed, "rel_path", "left_anti")
-    joined = ch.join(outcomes.select(*CHUNK_KEY, "win", "json_text"), CHUNK_KEY, "left")
-    origin = F.when(F.col("gated"), "gated").when(F.col("win").isNotNull(), "model").otherwise("exhausted")
-    record = (
-        F.when(F.col("gated"), F.lit(GATED_RECORD))
-        .when(F.col("win").isNotNull(), F.col("json_text"))
-        .otherwise(F.lit(EXHAUSTED_RECORD))
-    )
-    return joined.select(*CHUNK_KEY, *carry, origin.alias("origin"), record.alias("json_text"))
+    rows = chunk_records(chunks, chunk_outcomes(parsed, max_attempts))
+    return without_failed(rows, rows.where(F.col("fate") == "call_error"))
+
+
+def without_failed(rows: DataFrame, failed: DataFrame) -> DataFrame:
+    return rows.join(failed.select("rel_path"), "rel_path", "left_anti")
 
 
 def pending_requests(
@@ -152,13 +205,15 @@ def pending_requests(
 
 def comment_outcomes(attempts: DataFrame, max_attempts: int = P.COMMENT_ATTEMPTS) -> DataFrame:
     """Per chunk in comment mode: tries, first answered try and its text,
-    first try whose answer was missing (no error, no text)."""
+    first try whose answer was missing (no error, no text). An attempt's
+    number is the count of tries up to it, so some of a chunk's attempts, the
+    latest included, are enough."""
     err = _error_col(attempts)
-    within = F.col("attempt") <= max_attempts
+    within = _within(max_attempts)
     ok = within & err.isNull() & F.col("response").isNotNull()
     missing = within & err.isNull() & F.col("response").isNull()
     g = attempts.groupBy(*CHUNK_KEY).agg(
-        F.count(F.when(within, 1)).cast("bigint").alias("tries"),
+        F.max(F.when(within, F.col("attempt"))).cast("bigint").alias("tries"),
         # at most max_attempts answers per chunk: a bounded, hash-based collect
         F.array_min(F.collect_list(F.when(ok, F.struct(F.col("attempt").cast("bigint").alias("a"), F.col("response").alias("r"))))).alias("_w"),
         F.min(F.when(missing, F.col("attempt"))).cast("bigint").alias("first_missing"),
@@ -166,6 +221,13 @@ def comment_outcomes(attempts: DataFrame, max_attempts: int = P.COMMENT_ATTEMPTS
     return g.select(*CHUNK_KEY, "tries", F.col("_w.a").alias("first_ok"), F.col("_w.r").alias("response"), "first_missing")
 
 
+def comment_round(attempts: DataFrame, max_attempts: int, budget: int) -> DataFrame:
+    """comment_outcomes of a round, with ``budget`` (it never grows) and
+    ``settled`` (answered, missing, or no try left)."""
+    done = F.col("first_ok").isNotNull() | F.col("first_missing").isNotNull() | (F.col("tries") >= max_attempts)
+    return comment_outcomes(attempts, max_attempts).withColumn("budget", F.lit(budget)).withColumn("settled", done)
+
+
 def comment_failed():
     return F.col("first_ok").isNull() | (
         F.col("first_missing").isNotNull() & (F.col("first_missing") < F.col("first_ok"))
@@ -175,19 +237,14 @@ def comment_failed():
 def resolve_comments(attempts: DataFrame, max_attempts: int = P.COMMENT_ATTEMPTS) -> DataFrame:
     """Comment mode: the first answer wins with no validation. A failed call
     uses up a try; a missing answer fails the chunk at once."""
+    return resolved_comments(comment_outcomes(attempts, max_attempts))
+
+
+def resolved_comments(outcomes: DataFrame) -> DataFrame:
     failed = comment_failed()
-    return comment_outcomes(attempts, max_attempts).select(
+    return outcomes.select(
         *CHUNK_KEY,
         F.when(~failed, F.col("first_ok")).alias("win"),
         F.when(~failed, py_strip(F.col("response"))).alias("comment"),
         failed.alias("failed"),
     )
-
-
-def pending_comment_requests(requests: DataFrame, attempts: DataFrame, max_attempts: int = P.COMMENT_ATTEMPTS) -> DataFrame:
-    """Comment requests still open: no answer, no missing answer, tries left."""
-    out = comment_outcomes(attempts, max_attempts)
-    j = requests.join(out, CHUNK_KEY, "left")
-    tries = F.coalesce(F.col("tries"), F.lit(0))
-    keep = F.col("first_ok").isNull() & F.col("first_missing").isNull() & (tries < max_attempts)
-    return j.where(keep).select(*requests.columns, (tries + 1).cast("bigint").alias("attempt"))

@@ -19,6 +19,7 @@ from chunkwright.operators import completion as D4
 from chunkwright.operators import requests as R
 from chunkwright.operators import responses as D
 from chunkwright.operators.filters import chunk_gate
+from chunkwright.plans.rounds import Rounds, settled_outcomes
 from chunkwright.session import configure, scratch_path, spread, stage
 
 
@@ -41,19 +42,6 @@ class AnnotateRun:
     def chunks(self) -> DataFrame:
         return self.chunk_rows.where(F.col("chunk_no").isNotNull())
 
-    @property
-    def chunk_comments(self) -> DataFrame:
-        """(rel_path, chunk_no, comment) for every chunk of a file that did
-        not fail: the model's answer, or the chunk itself when gated."""
-        j = self.chunks.select("rel_path", "chunk_no", "chunk_text", "gated").join(
-            self.resolved.select("rel_path", "chunk_no", "comment", "failed"), ["rel_path", "chunk_no"], "left"
-        )
-        j = j.join(self.failed.select("rel_path"), "rel_path", "left_anti")
-        return j.select(
-            "rel_path", "chunk_no", "chunk_text",
-            F.when(F.col("gated"), F.col("chunk_text")).otherwise(F.col("comment")).alias("comment"),
-        )
-
     @property
     def failed(self) -> DataFrame:
         """Files with a chunk that failed, or an asked chunk with no try at
@@ -77,20 +65,26 @@ class AnnotateRun:
 
     @property
     def stitched(self) -> DataFrame:
-        """(rel_path, comments, text): answers joined with '\\n' in chunk
-        order, and the original text rebuilt from its chunks (chunks rejoin
-        to the text), in one aggregation per file."""
-        g = self.chunk_comments.groupBy("rel_path").agg(
-            F.array_sort(F.collect_list(F.struct("chunk_no", "comment", "chunk_text"))).alias("_l")
-        )
-        with_chunks = g.select(
-            "rel_path",
-            F.array_join(F.transform("_l", lambda x: x["comment"]), P.COMMENT_JOIN).alias("comments"),
-            F.array_join(F.transform("_l", lambda x: x["chunk_text"]), "").alias("text"),
-        )
-        empty = self.chunk_rows.where(F.col("chunk_no").isNull() & (F.col("n_chunks") == 0)).select(
-            "rel_path", F.lit("").alias("comments"), F.lit("").alias("text"))
-        return with_chunks.unionByName(empty)
+        """(rel_path, comments, text): answers joined with '\n' in chunk order
+        (a gated chunk answers itself), and the original text rebuilt from its
+        chunks. Chunk rows and answers meet in one aggregation per file, which
+        also sees whether every asked chunk was answered, so the text is
+        shuffled once and joined with nothing."""
+        null = F.lit(None).cast("string")
+        gated = F.coalesce("gated", F.lit(False))
+        rows = self.chunk_rows.where(F.col("n_chunks").isNotNull()).select(
+            "rel_path", "chunk_no", F.coalesce("chunk_text", F.lit("")).alias("part"),
+            F.when(F.col("chunk_no").isNull(), F.lit("")).when(gated, F.col("chunk_text")).alias("comment"),
+            (F.col("chunk_no").isNotNull() & ~gated).cast("int").alias("asked"))
+        answered = self.resolved.where(~F.col("failed")).select("rel_path", "chunk_no", null.alias("part"), "comment", F.lit(-1).alias("asked"))
+
+        def in_order(col):
+            return F.transform(F.array_sort(F.collect_list(F.when(F.col(col).isNotNull(), F.struct("chunk_no", F.col(col).alias("t"))))), lambda x: x["t"])
+
+        g = rows.unionByName(answered).groupBy("rel_path").agg(
+            F.sum("asked").alias("open"), in_order("comment").alias("comments"), in_order("part").alias("parts"))
+        return g.where(F.col("open") == 0).select(
+            "rel_path", F.array_join("comments", P.COMMENT_JOIN).alias("comments"), F.array_join("parts", "").alias("text"))
 
     @property
     def artifacts(self) -> DataFrame:
@@ -109,6 +103,7 @@ def annotate(
     attempts_path: str | None = None,
     partitions: int | None = None,
     materialize: bool = True,
+    **publish,
 ) -> AnnotateRun:
     spark = configure(files.sparkSession)
     chunk_rows = comment_chunks(spread(files), params, carry, tokenizer, keep_empty=True)
@@ -118,18 +113,19 @@ def annotate(
     requests = R.comment_requests(chunks, params, carry)
     if attempts is not None:
         att = attempts(chunks.where(~F.col("gated"))) if callable(attempts) else attempts
+        if "request_id" in att.columns:
+            att = att.join(requests.select("request_id"), "request_id", "left_semi")
+        resolved = D.resolve_comments(att, params.max_attempts)
     else:
-        fn = complete or D4.offline_stub
         path = attempts_path or scratch_path(spark, "comment-attempts")
         asked = chunks.where(~F.col("gated")).select("rel_path", "chunk_no", "chunk_text", *carry)
-        ids = stage(requests.select("request_id"), "comment-request-ids")
-        for _ in range(params.max_attempts):
-            pending = D.pending_comment_requests(asked, D4.answers_to(ids, path), params.max_attempts)
-            if pending.isEmpty():
-                break
-            D4.complete(R.comment_requests(pending, params, carry), fn, partitions).write.mode("append").parquet(path)
-        att = D4.answers_to(ids, path)
-    resolved = D.resolve_comments(att, params.max_attempts)
+        rounds = Rounds(
+            lambda rows: R.comment_requests(rows, params, carry),
+            lambda answers: D.comment_round(answers, params.max_attempts, params.response_tokens),
+            params.max_attempts, params.response_tokens,
+        )
+        outcomes = settled_outcomes(asked, rounds, complete or D4.offline_stub, path, partitions, **publish)
+        att, resolved = D4.answers_to(requests, path), D.resolved_comments(outcomes)
     if materialize:
         resolved = stage(resolved, "comment-resolved")
     return AnnotateRun(files, chunk_rows, requests, att, resolved, params)

@@ -364,7 +364,7 @@ def _records_sql(max_attempts: int, with_errors: bool) -> list[str]:
 @register("fallback_records", O.sql(*_records_sql(1, False), final="select rel_path, chunk_no, origin, json_text from records"))
 def q_fallback_records(spark, sf):
     run = summary_run(spark, sf, params=SUMMARY_FIXTURE.with_(max_attempts=1))
-    return D.resolved_records(run.chunks, run.parsed, 1).select("rel_path", "chunk_no", "origin", "json_text")
+    return run.records.select("rel_path", "chunk_no", "origin", "json_text")
 
 
 @register(
@@ -394,9 +394,13 @@ where o.win is null and o.first_error is null and coalesce(o.tries,0) < {P.SUMMA
     ),
 )
 def q_pending_requests(spark, sf):
+    """Pending chunks are found on keys and text; prompts (and the ids hashed
+    from them) are made for those alone."""
+    from chunkwright.operators import requests as R
     run = summary_run(spark, sf, with_errors=True)
-    so_far = run.parsed.where(F.col("attempt") <= 2)
-    return D.pending_requests(run.requests, so_far).select("request_id", "rel_path", "chunk_no", "attempt", "max_tokens")
+    asked = run.chunks.where(~F.col("gated")).select("rel_path", "chunk_no", "chunk_text")
+    due = D.pending_requests(asked, run.parsed.where(F.col("attempt") <= 2))
+    return R.summary_requests(due, run.params).select("request_id", "rel_path", "chunk_no", "attempt", "max_tokens")
 
 
 # ------------------------------------------------------ comment mode (D14) --

@@ -21,6 +21,7 @@ from chunkwright.operators import merge as E
 from chunkwright.operators import requests as R
 from chunkwright.operators import responses as D
 from chunkwright.operators.filters import chunk_gate
+from chunkwright.plans.rounds import Rounds, settled_outcomes
 from chunkwright.session import configure, scratch_path, spread, stage
 
 
@@ -31,19 +32,11 @@ def summary_chunks(files: DataFrame, params: P.SummaryParams = P.SummaryParams()
     return chunk_gate(C.chunk_words(budgeted, "max_chars", carry, keep_empty), params.min_chunk_chars)
 
 
-def file_chunk_counts(chunk_rows: DataFrame) -> DataFrame:
-    """(rel_path, n_chunks) for every file, 0 for an empty text, from a chunk
-    table made with keep_empty: the first chunk row or the empty-file row.
-    No aggregation over big files and no second read of the corpus."""
-    first = F.col("chunk_no").isNull() | (F.col("chunk_no") == 0)
-    return chunk_rows.where(first & F.col("n_chunks").isNotNull()).select("rel_path", "n_chunks")
-
-
 class SummaryRun:
     """The stages of one summary job. Later stages are built on first use;
-    with materialize, the per-chunk outcomes are written once then."""
+    with materialize, the per-chunk records are written once then."""
 
-    def __init__(self, files, chunk_rows, requests, attempts, params: P.SummaryParams, materialize: bool):
+    def __init__(self, files, chunk_rows, requests, attempts, params: P.SummaryParams, materialize: bool, outcomes=None):
         self.files = files
         self.chunk_rows = chunk_rows
         self.chunks = chunk_rows.where(F.col("chunk_no").isNotNull())
@@ -51,6 +44,7 @@ class SummaryRun:
         self.attempts = attempts
         self.params = params
         self.materialize = materialize
+        self._outcomes = outcomes
 
     @cached_property
     def parsed(self) -> DataFrame:
@@ -58,50 +52,53 @@ class SummaryRun:
 
     @cached_property
     def outcomes(self) -> DataFrame:
-        out = D.chunk_outcomes(self.parsed, self.params.max_attempts)
-        return stage(out, "outcomes") if self.materialize else out
+        """Per chunk; from the completion rounds, or from a ready table."""
+        return D.chunk_outcomes(self.parsed, self.params.max_attempts) if self._outcomes is None else self._outcomes
 
-    @property
-    def call_failed(self) -> DataFrame:
-        return D.failed_from_outcomes(self.outcomes)
+    @cached_property
+    def chunk_records(self) -> DataFrame:
+        """The chunk table with what became of each chunk: the one join of
+        chunks and outcomes, on which every later stage is built."""
+        out = D.chunk_records(self.chunk_rows, self.outcomes)
+        return stage(out, "records") if self.materialize else out
 
     @cached_property
-    def failed(self) -> DataFrame:
-        """Files left out of the summaries: a call error before a valid
-        answer, an asked chunk never tried (no_answer), and with strict_merge
-        a nested map item in a many-chunk file."""
-        cols = ["rel_path", "failed_chunks", "first_failed_chunk", "reason"]
-        out = self.call_failed.select(*cols)
-        key = ["rel_path", "chunk_no"]
-        unanswered = (
-            self.chunks.where(~F.col("gated")).select(*key)
-            .join(self.outcomes.select(*key), key, "left_anti")
-            .groupBy("rel_path")
-            .agg(F.count(F.lit(1)).cast("bigint").alias("failed_chunks"), F.min("chunk_no").alias("first_failed_chunk"))
-            .withColumn("reason", F.lit("no_answer"))
-        )
-        out = out.unionByName(unanswered.select(*cols))
+    def lost(self) -> DataFrame:
+        """(rel_path, chunk_no, fate) of the chunks that lose their file: a
+        call error before a valid answer, an asked chunk never tried
+        (no_answer), and with strict_merge (no chunk) a nested map item in a
+        many-chunk file."""
+        rows = self.chunk_records.where(F.col("fate").isNotNull()).select("rel_path", "chunk_no", "fate")
         if self.params.strict_merge:
-            entries = E.record_entries(D.records_from_outcomes(self.chunks, self.outcomes), carry=("n_chunks",))
-            nested = E.nested_items(entries).select(
-                "rel_path", F.lit(None).cast("bigint").alias("failed_chunks"),
-                F.lit(None).cast("bigint").alias("first_failed_chunk"), F.lit("nested_value").alias("reason"))
-            out = out.unionByName(nested)
-        return out
+            sound = D.without_failed(self.chunk_records, self.chunk_records.where(F.col("fate") == "call_error"))
+            nested = E.nested_items(E.record_entries(sound.where(F.col("chunk_no").isNotNull()), carry=("n_chunks",)))
+            rows = rows.unionByName(nested.select("rel_path", F.lit(None).cast("bigint").alias("chunk_no"), F.lit("nested_value").alias("fate")))
+        return rows
+
+    @property
+    def failed(self) -> DataFrame:
+        """Files left out of the summaries, with the reason."""
+        counted = D.failures(self.lost)
+        by_chunk = F.col("reason") != "nested_value"
+        return counted.withColumn("failed_chunks", F.when(by_chunk, F.col("failed_chunks")))
+
+    @property
+    def kept_rows(self) -> DataFrame:
+        """chunk_records of every file that is not in `failed`."""
+        return D.without_failed(self.chunk_records, self.lost)
 
     @property
     def records(self) -> DataFrame:
         """One record per chunk of every file that is not in `failed`."""
-        return D.records_from_outcomes(self.chunks, self.outcomes).join(self.failed.select("rel_path"), "rel_path", "left_anti")
+        return self.kept_rows.where(F.col("chunk_no").isNotNull()).select("rel_path", "chunk_no", "n_chunks", "origin", "json_text", "object_keys")
 
     @property
     def summaries(self) -> DataFrame:
-        counts = file_chunk_counts(self.chunk_rows).join(self.failed.select("rel_path"), "rel_path", "left_anti")
-        return E.file_summaries(counts, self.records, self.params.keep_all_sections)
+        return E.long_summaries(self.kept_rows, self.params.keep_all_sections)
 
     @property
     def wide(self) -> DataFrame:
-        return E.summary_wide(self.summaries)
+        return E.wide_summaries(self.kept_rows, keep_all_sections=self.params.keep_all_sections).drop("branch")
 
     @property
     def artifacts(self) -> DataFrame:
@@ -126,16 +123,20 @@ def summarize(
     attempts_path: str | None = None,
     partitions: int | None = None,
     materialize: bool = True,
+    **publish,
 ) -> SummaryRun:
     """Summarise every file of `files` (rel_path, text).
 
     Give either `complete`, a batch function over request rows returning
-    `response` and `error` (it runs in at most max_attempts rounds, each
-    written to `attempts_path` before use), or a ready `attempts` table (or a
-    function of the chunk table that returns one).
+    `response` and `error` (it runs in at most max_attempts rounds; answers
+    are published to the store at `attempts_path` as they come, see
+    sources.answers, whose batch_rows, publish_rows and publish_seconds may be
+    given), or a ready `attempts` table (or a function of the chunk table that
+    returns one). Of a ready table with a request_id, only the answers to this
+    run's requests count.
 
     With materialize (the default) the chunk table and the per-chunk
-    outcomes are written once to the shared work folder; every later branch
+    records are written once to the shared work folder; every later branch
     reads them instead of chunking the corpus again."""
     spark = configure(files.sparkSession)
     # Files that did not decode (text NULL) stay in the chunk table as one row
@@ -147,20 +148,18 @@ def summarize(
     requests = R.summary_requests(chunks, params, carry)
     if attempts is not None:
         att = attempts(chunks.where(~F.col("gated"))) if callable(attempts) else attempts
+        if "request_id" in att.columns:
+            att = att.join(requests.select("request_id"), "request_id", "left_semi")
         return SummaryRun(files, chunk_rows, requests, att, params, materialize)
-    fn = complete or D4.offline_stub
     path = attempts_path or scratch_path(spark, "attempts")
-    # Pending work is found on chunk rows (key and text); prompts are built
-    # after that join, so the fixed prompt text is never shuffled by it.
     asked = chunks.where(~F.col("gated")).select("rel_path", "chunk_no", "chunk_text", *carry)
-    ids = stage(requests.select("request_id"), "request-ids")
-    for _ in range(params.max_attempts):
-        so_far = D.parse_attempts(D4.answers_to(ids, path))
-        pending = D.pending_requests(asked, so_far, params.max_attempts, params.response_tokens, params.budget_step)
-        if pending.isEmpty():
-            break
-        D4.complete(R.summary_requests(pending, params, carry), fn, partitions).write.mode("append").parquet(path)
-    return SummaryRun(files, chunk_rows, requests, D4.answers_to(ids, path), params, materialize)
+    rounds = Rounds(
+        lambda rows: R.summary_requests(rows, params, carry),
+        lambda answers: D.round_outcomes(answers, params.max_attempts, params.response_tokens, params.budget_step),
+        params.max_attempts, params.response_tokens,
+    )
+    outcomes = settled_outcomes(asked, rounds, complete or D4.offline_stub, path, partitions, **publish)
+    return SummaryRun(files, chunk_rows, requests, D4.answers_to(requests, path), params, materialize, outcomes)
 
 
 def summary_artifacts(run: "SummaryRun") -> DataFrame:
@@ -171,14 +170,9 @@ def summary_artifacts(run: "SummaryRun") -> DataFrame:
     A one-chunk file keeps its record as the model wrote it (duplicate keys:
     the last wins); a merged file gets the ten sections in record order, map
     items in item order (nested item values stay JSON text)."""
-    single = run.records.where(F.col("n_chunks") == 1).join(run.failed.select("rel_path"), "rel_path", "left_anti")
-    # (records already exclude call failures; strict_merge failures are many-chunk files)
-    single = single.select("rel_path", F.lit("single").alias("branch"), F.col("json_text").alias("body"))
-    merged_long = run.summaries.where(F.col("branch") == "merged")
-    sections = P.MERGED_SECTIONS + (("ETL Processes", "Variables") if run.params.keep_all_sections else ())
-    wide = E.summary_wide(merged_long, sections)
-    record = F.struct(*[F.col(f"`{s}`") for s in sections])
-    merged = wide.select("rel_path", F.lit("merged").alias("branch"), F.to_json(record).alias("body"))
-    return single.unionByName(merged).select(
-        "rel_path", replace_extension("rel_path", P.SUMMARY_EXTENSION).alias("out_path"), "branch", json_indent2("body").alias("body")
-    )
+    keep_all = run.params.keep_all_sections
+    sections = P.MERGED_SECTIONS + (("ETL Processes", "Variables") if keep_all else ())
+    wide = E.wide_summaries(run.kept_rows, sections, keep_all, whole=True)
+    record = F.to_json(F.struct(*[F.col(f"`{s}`") for s in sections]))
+    body = F.when(F.col("branch") == "single", F.col("whole")).otherwise(record)
+    return wide.select("rel_path", replace_extension("rel_path", P.SUMMARY_EXTENSION).alias("out_path"), "branch", json_indent2(body).alias("body"))

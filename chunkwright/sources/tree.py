@@ -23,7 +23,8 @@ executors. Options:
   foldersPerPartition   folders a listing task is given (default 16)
 
 A folder that can't be listed is a row with its path (the root: "."), no
-content and the error; it passes the name filters.
+content, the error and the reason "not_listed"; it passes the name filters. A
+file that can't be read is such a row with the reason "io_error".
 
 The name filters are options rather than pushed filters, so files that do
 not match are never opened.
@@ -42,7 +43,8 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from chunkwright.functions.text import normalise_newlines
 
-TREE_SCHEMA = "rel_path string, content binary, n_bytes bigint, error string"
+TREE_SCHEMA = "rel_path string, content binary, n_bytes bigint, error string, reason string"
+NOT_LISTED, IO_ERROR = "not_listed", "io_error"
 
 
 class _Files(InputPartition):
@@ -210,7 +212,7 @@ class _TreeReader(DataSourceReader):
 
     def _row(self, root: str, rel: str, size: int | None, error: str | None):
         if self.list_only or error:
-            return (rel, None, size, error)
+            return (rel, None, size, error, NOT_LISTED if error else None)
         return self._read_one(root, rel)
 
     @staticmethod
@@ -218,9 +220,9 @@ class _TreeReader(DataSourceReader):
         try:
             with open(os.path.join(root, rel), "rb") as fh:
                 data = fh.read()
-            return (rel, data, len(data), None)
+            return (rel, data, len(data), None, None)
         except OSError as e:
-            return (rel, None, None, _message(e))
+            return (rel, None, None, _message(e), IO_ERROR)
 
 
 class SourceTree(DataSource):
@@ -249,7 +251,7 @@ def scan_tree(
     target_bytes: int = 64 << 20,
     list_only: bool = False,
 ) -> DataFrame:
-    """(rel_path, content, n_bytes, error) for every matching file below root.
+    """(rel_path, content, n_bytes, error, reason) for every matching file below root.
 
     listing="executors": tasks list the folders, the listing is written once
     to the work folder, and the files are read in partitions hashed by path,
@@ -286,8 +288,8 @@ def scan_tree(
 def _reader(root: str):
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            out = [(rel, None, None, e) if isinstance(e, str) else _TreeReader._read_one(root, rel) for rel, e in zip(b["rel_path"], b["error"])]
-            yield pd.DataFrame(out, columns=["rel_path", "content", "n_bytes", "error"]).astype({"n_bytes": "Int64"})
+            out = [(rel, None, None, e, NOT_LISTED) if isinstance(e, str) else _TreeReader._read_one(root, rel) for rel, e in zip(b["rel_path"], b["error"])]
+            yield pd.DataFrame(out, columns=["rel_path", "content", "n_bytes", "error", "reason"]).astype({"n_bytes": "Int64"})
 
     return read
 
