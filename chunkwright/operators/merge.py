@@ -267,7 +267,8 @@ def wide_summaries(rows: DataFrame, sections=P.MERGED_SECTIONS, keep_all_section
     """One row per file, straight from its atoms (see file_atoms): branch,
     text sections as strings ('' when absent), map sections as
     MAP<STRING,STRING> in record order; with whole, the record of a one-chunk
-    file as written."""
+    file as written. A one-chunk record may hold text in a map section (or an
+    object in a text section): it has no place there and shows as empty."""
     maps = merged_sections(True)
     aggs = [
         F.map_from_entries(F.transform(_in_place((F.col("section") == s) & ~F.col("is_text")), lambda a: F.struct(a["item"], a["value"]))).alias(s)

@@ -4,7 +4,8 @@ They replace the model in tests and registered queries: every answer is a
 function of (doc_id, chunk_no, attempt, chunk_text, source), so Spark and a
 second SQL engine build the same tries. The eight summary cases cover leading
 prose, unknown keys, wrong types, truncation, no JSON, '{}', None-like values
-and nested items.
+and nested items. Answers are made of the whole chunk, and between them fill
+every text and map section.
 """
 
 from __future__ import annotations
@@ -14,8 +15,8 @@ from pyspark.sql import functions as F
 
 
 def word_hint(chunk_text="chunk_text"):
-    """Letters, spaces and commas of the first 40 characters, trimmed."""
-    return F.trim(F.regexp_replace(F.substr(F.col(chunk_text), F.lit(1), F.lit(40)), r"[^A-Za-z ,]", ""))
+    """Letters, spaces and commas of the chunk, trimmed."""
+    return F.trim(F.regexp_replace(F.col(chunk_text), r"[^A-Za-z ,]", ""))
 
 
 def _tries(chunks: DataFrame, n: int) -> DataFrame:
@@ -28,22 +29,28 @@ def summary_attempts(chunks: DataFrame, n: int = 5, with_errors: bool = False) -
     """Tries 1..n per chunk. chunks: (rel_path, chunk_no, doc_id, source, chunk_text)."""
     t = _tries(chunks, n).withColumn("w", word_hint())
     d, c, a, s, w = (F.col(x) for x in ("doc_id", "chunk_no", "attempt", "source", "w"))
+    n = F.length("chunk_text")
     case = (d + c + 3 * a) % 8
+
+    def answer(*parts):
+        return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+
     resp = (
-        F.when(case == 0, F.concat(
-            F.lit('Here you go: {"Overall Summary": " '), w, F.lit(' ", "Data Inputs": "'), s,
-            F.lit('", "Classes": {"K'), (c % 3).cast("string"), F.lit('": "'), s, F.lit('", "Kx": "N/A"}} ')))
-        .when(case == 1, F.concat(
-            F.lit('{"Overall Summary": "'), w, F.lit('", "Data Inputs": "n/a", "Functions/Methods": {"f'),
-            (c % 2).cast("string"), F.lit('": "'), s, F.lit(" c"), c.cast("string"), F.lit('"}}')))
+        F.when(case == 0, answer(
+            'Here you go: {"Overall Summary": " ', w, ' ", "Data Inputs": "', s, '", "Module/Library Name": "m', c % 4, ", ", s,
+            '", "Interfaces/APIs": "None", "Classes": {"K', c % 3, '": "', s, '", "Kx": "N/A"}, '
+            '"Configuration/Environment Variables": {"E', c % 5, '": " ', n, ' chars "}} '))
+        .when(case == 1, answer(
+            '{"Overall Summary": "', w, '", "Data Inputs": "n/a", "Data Structures": "list of ', n, '", "Error Handling/Logging": "', w,
+            '", "Functions/Methods": {"f', c % 2, '": "', s, " c", c, '"}}'))
         .when(case == 2, F.lit('{"Overall Summary": "u", "Bogus": "x"}'))
         .when(case == 3, F.lit('{"Overall Summary": ["l"]} hope this helps'))
         .when(case == 4, F.lit('{"Overall Summary": "trunc'))
         .when(case == 5, F.lit("Sorry, I cannot do that."))
         .when(case == 6, F.lit("{}"))
-        .otherwise(F.concat(
-            F.lit('{"Variables": {"v": "1"}, "ETL Processes": "", "Data Outputs": "'), s, F.lit(", "), s,
-            F.lit('", "Classes": {"K0": {"Description": "'), s, F.lit('"}}}')))
+        .otherwise(answer(
+            '{"Variables": {"v": "1"}, "ETL Processes": "", "Data Outputs": "', s, ", ", s, '", "Interfaces/APIs": "call ', c, ", ", w,
+            '", "Classes": {"K0": {"Description": "', s, '"}}, "Configuration/Environment Variables": "see ', s, '"}'))
     )
     out = t.withColumn("response", resp)
     err = F.when((d + a) % 17 == 0, F.lit("timeout")) if with_errors else F.lit(None).cast("string")

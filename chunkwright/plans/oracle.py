@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from chunkwright import params as P
 
+BACKSLASH, QUOTE = "\\", '"'
+
 
 def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
@@ -88,7 +90,7 @@ def chunks_cte(name: str, src: str, m: str, kind: str = "word", carry: str = "do
   from {name}_b)"""
 
 
-WORD_HINT = "trim(regexp_replace(substr(chunk_text,1,40),'[^A-Za-z ,]','','g'))"
+WORD_HINT = "trim(regexp_replace(chunk_text,'[^A-Za-z ,]','','g'))"
 
 
 def summary_attempts_cte(name: str, src: str, n: int = 5, with_errors: bool = False) -> str:
@@ -96,14 +98,17 @@ def summary_attempts_cte(name: str, src: str, n: int = 5, with_errors: bool = Fa
     return f"""{name} as (
   select rel_path, chunk_no, doc_id, a::bigint as attempt,
    case (doc_id+chunk_no+3*a)%8
-   when 0 then concat('Here you go: {{"Overall Summary": " ',w,' ", "Data Inputs": "',source,'", "Classes": {{"K',chunk_no%3,'": "',source,'", "Kx": "N/A"}}}} ')
-   when 1 then concat('{{"Overall Summary": "',w,'", "Data Inputs": "n/a", "Functions/Methods": {{"f',chunk_no%2,'": "',source,' c',chunk_no,'"}}}}')
+   when 0 then concat('Here you go: {{"Overall Summary": " ',w,' ", "Data Inputs": "',source,'", "Module/Library Name": "m',chunk_no%4,', ',source,
+     '", "Interfaces/APIs": "None", "Classes": {{"K',chunk_no%3,'": "',source,'", "Kx": "N/A"}}, "Configuration/Environment Variables": {{"E',chunk_no%5,'": " ',length(chunk_text),' chars "}}}} ')
+   when 1 then concat('{{"Overall Summary": "',w,'", "Data Inputs": "n/a", "Data Structures": "list of ',length(chunk_text),'", "Error Handling/Logging": "',w,
+     '", "Functions/Methods": {{"f',chunk_no%2,'": "',source,' c',chunk_no,'"}}}}')
    when 2 then '{{"Overall Summary": "u", "Bogus": "x"}}'
    when 3 then '{{"Overall Summary": ["l"]}} hope this helps'
    when 4 then '{{"Overall Summary": "trunc'
    when 5 then 'Sorry, I cannot do that.'
    when 6 then '{{}}'
-   else concat('{{"Variables": {{"v": "1"}}, "ETL Processes": "", "Data Outputs": "',source,', ',source,'", "Classes": {{"K0": {{"Description": "',source,'"}}}}}}') end as response,
+   else concat('{{"Variables": {{"v": "1"}}, "ETL Processes": "", "Data Outputs": "',source,', ',source,'", "Interfaces/APIs": "call ',chunk_no,', ',w,
+     '", "Classes": {{"K0": {{"Description": "',source,'"}}}}, "Configuration/Environment Variables": "see ',source,'"}}') end as response,
    {err} as error
   from (select *, {WORD_HINT} as w from {src}) c, range(1, {n + 1}) r(a))"""
 
@@ -119,6 +124,15 @@ def comment_attempts_cte(name: str, src: str, n: int = 3) -> str:
   from (select *, {WORD_HINT} as w from {src}) c, range(1, {n + 1}) r(a))"""
 
 
+def stub_answer(chunk: str = "chunk_text") -> str:
+    """The offline stand-in's summary of a chunk: first six words, number of
+    words (as Python splits them) and of lines."""
+    words = rf"list_filter(string_split_regex({chunk}, '[\s\x0b\x1c-\x1f\x85\pZ]+'), lambda x: x <> '')"
+    first = f"replace(replace(array_to_string(({words})[1:6], ' '), {_q(BACKSLASH)}, ' '), {_q(QUOTE)}, chr(39))"
+    lines = f"length({chunk}) - length(replace({chunk}, chr(10), '')) + 1"
+    return f"""concat('{{"Overall Summary": "', {first}, '", "Data Inputs": "', len({words}), ' words", "Data Outputs": "', {lines}, ' lines"}}')"""
+
+
 def parsed_cte(name: str, src: str) -> str:
     r = rf"regexp_replace(regexp_replace({strip('response')},'(\}})\s+','\1','g'),'\s+(\{{)','\1','g')"
     incomplete = (

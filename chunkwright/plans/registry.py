@@ -198,6 +198,26 @@ def q_chunk_words(spark, sf):
     return summary_run(spark, sf).chunks.select("rel_path", "chunk_no", "n_chunks", "chunk_text")
 
 
+RATIO_TOKENS = 200
+
+
+@register(
+    "chunk_words_by_ratio",
+    O.sql(
+        O.FILES, O.KEPT,
+        f"kept_r as (select *, {O.budget(f'substr(text,1,{P.SUMMARY_SAMPLE_CHARS})', RATIO_TOKENS)} as mr from kept)",
+        O.chunks_cte("rchunks", "kept_r", "mr"),
+        final="select rel_path, chunk_no, n_chunks, mr::bigint as max_chars, chunk_text from rchunks join (select rel_path, mr from kept_r) using (rel_path)",
+    ),
+)
+def q_chunk_words_by_ratio(spark, sf):
+    """Sample, ratio, budget and word chunks in a row: the chunk size follows
+    from each file's own characters per token."""
+    from chunkwright.operators import chunking as C
+    budgeted = C.with_budget(kept_files(spark, sf), RATIO_TOKENS, P.SUMMARY_SAMPLE_CHARS)
+    return C.chunk_words(budgeted, "max_chars", ("max_chars",)).select("rel_path", "chunk_no", "n_chunks", "max_chars", "chunk_text")
+
+
 COMMENT_BUDGET = O.budget(f"substr(text,1,{P.COMMENT_SAMPLE_CHARS})", P.COMMENT_CHUNK_TOKENS)
 S_COMMENT_FILES = [
     O.FILES,
@@ -282,13 +302,52 @@ def q_comment_requests(spark, sf):
                       waits.alias("waits"))
 
 
-@register("complete_stub")
+@register(
+    "complete_stub",
+    O.sql(
+        *S_FILES,
+        f"requests as ({_summary_req_sql()})",
+        final=f"""select r.request_id, r.rel_path, r.chunk_no, 1::bigint as attempt, r.max_tokens, {O.stub_answer()} as response, null::varchar as error
+from requests r join chunks c on r.rel_path=c.rel_path and r.chunk_no=c.chunk_no""",
+    ),
+)
 def q_complete_stub(spark, sf):
     from chunkwright.operators import completion as D4
     req = summary_run(spark, sf).requests.withColumn("attempt", F.lit(1).cast("bigint"))
     return D4.complete(req, D4.offline_stub)
 
 
+OLDER = "Older version of this text: "
+
+
+@register(
+    "resumed_run",
+    O.sql(
+        *S_FILES,
+        S_ASKED,
+        f"older as (select doc_id, source, rel_path, case when doc_id%3=0 then concat({O.sql_str(OLDER)}, text) else text end as text from kept where doc_id%4<>1)",
+        O.chunks_cte("ochunks", "older", str(FIXTURE_CHUNK_CHARS)),
+        f"told as (select rel_path, chunk_no, chunk_text, {O.stub_answer()} as response from asked)",
+        final=f"""select t.rel_path, t.chunk_no, a::bigint as attempt, {P.RESPONSE_TOKENS}::integer as max_tokens, t.response, o.rel_path is not null as reused
+from told t left join ochunks o on not o.gated and o.rel_path=t.rel_path and o.chunk_no=t.chunk_no and o.chunk_text=t.chunk_text,
+  unnest(range(1, 2 + case when json_valid(t.response) then 0 else {P.SUMMARY_ATTEMPTS - 1} end)) r(a)""",
+    ),
+)
+def q_resumed_run(spark, sf):
+    """The summary job over a store that an earlier run left behind: it had
+    not seen a quarter of the files, and an older text of every third one.
+    The answers to this run's requests, and whether each was already there."""
+    from chunkwright.operators import completion as D4
+    from chunkwright.session import scratch_path, stage
+    files, path = kept_files(spark, sf), scratch_path(spark, "answers")
+    older = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit(OLDER), "text")).otherwise(F.col("text"))
+    options = {"complete": D4.offline_stub, "params": SUMMARY_FIXTURE, "carry": CARRY, "attempts_path": path}
+    summarize(files.where("doc_id % 4 <> 1").withColumn("text", older), **options)
+    before = stage(D4.read_or_empty(spark, path).select("request_id", F.lit(True).alias("_there")).distinct(), "before")
+    now = summarize(files, **options).attempts.join(before, "request_id", "left")
+    return now.select("rel_path", "chunk_no", "attempt", "max_tokens", "response", F.coalesce("_there", F.lit(False)).alias("reused"))
+
+
 ATTEMPT_KEY = "rel_path, chunk_no, attempt"
 
 
@@ -528,7 +587,7 @@ def _wide_sql() -> str:
     for s in P.MERGED_SECTIONS:
         if s in P.MAP_SECTIONS:
             cols.append(
-                f"coalesce(string_agg(concat(item, ': ', value), chr(10) order by item_no) filter (where section={O.sql_str(s)}), '') as {_snake(s)}"
+                f"coalesce(string_agg(concat(item, ': ', value), chr(10) order by item_no) filter (where section={O.sql_str(s)} and item is not null), '') as {_snake(s)}"
             )
         else:
             cols.append(f"coalesce(max(value) filter (where section={O.sql_str(s)} and item is null), '') as {_snake(s)}")
