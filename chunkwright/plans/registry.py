@@ -233,6 +233,26 @@ def q_chunk_lines(spark, sf):
     return comment_chunks(kept_files(spark, sf), carry=CARRY).select("rel_path", "chunk_no", "n_chunks", "chunk_text")
 
 
+RANGE_CHARS = 4096
+
+
+@register("chunk_words_by_range", O.sql(*S_FILES, final="select rel_path, chunk_no, n_chunks, chunk_text from chunks"))
+def q_chunk_words_by_range(spark, sf):
+    """Word chunks of texts that arrive in ranges of 4096 characters."""
+    from chunkwright.operators.ranges import chunk_ranges, text_ranges
+    files = kept_files(spark, sf).withColumn("max_chars", F.lit(FIXTURE_CHUNK_CHARS))
+    return chunk_ranges(text_ranges(files, RANGE_CHARS), "word")
+
+
+@register("chunk_lines_by_range", O.sql(*S_COMMENT_FILES, final="select rel_path, chunk_no, n_chunks, chunk_text from cchunks"))
+def q_chunk_lines_by_range(spark, sf):
+    """Line chunks at each file's own budget, which is often more than a range."""
+    from chunkwright.operators.chunking import with_budget
+    from chunkwright.operators.ranges import chunk_ranges, text_ranges
+    files = with_budget(kept_files(spark, sf), P.COMMENT_CHUNK_TOKENS, P.COMMENT_SAMPLE_CHARS)
+    return chunk_ranges(text_ranges(files, RANGE_CHARS), "line")
+
+
 TOKEN_WINDOW = 256
 
 

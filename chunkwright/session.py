@@ -109,9 +109,20 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def stage_buckets(df: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """Like stage, but dealt by the keys into spark.sql.shuffle.partitions
+    buckets: a join or grouping on the keys reads them without a shuffle. The
+    table's entry is of this session alone."""
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = scratch_path(spark, name)
+    table = path.rsplit("/", 1)[1].replace("-", "_")
+    df.repartition(n, *keys).write.bucketBy(n, *keys).sortBy(*keys).saveAsTable(table, format="parquet", path=path)
+    return spark.read.table(table)
+
 
 def strip_scheme(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-__all__ = ["configure", "local_session", "work_dir", "scratch_path", "stage", "spread", "strip_scheme"]
+__all__ = ["configure", "local_session", "work_dir", "scratch_path", "stage", "stage_buckets", "spread", "strip_scheme"]

@@ -32,6 +32,7 @@ not match are never opened.
 
 from __future__ import annotations
 
+import codecs
 import os
 import uuid
 from collections.abc import Iterator
@@ -294,6 +295,116 @@ def _reader(root: str):
     return read
 
 
+def _border(fh, at: int, size: int) -> int:
+    """The first byte at or after `at` that starts a character and is not the
+    second half of a CR LF: ranges cut there decode and normalise alone."""
+    if at <= 0 or at >= size:
+        return max(0, min(at, size))
+    fh.seek(at - 1)
+    near = fh.read(6)
+    i = 1
+    while i < len(near) and i < 4 and near[i] & 0xC0 == 0x80:
+        i += 1
+    if near[i : i + 1] == b"\n" and near[i - 1 : i] == b"\r":
+        i += 1
+    return min(at - 1 + i, size)
+
+
+def _plain_newlines(text: str) -> str:
+    return text.replace("\r\n", "\n").replace("\r", "\n")
+
+
+def _some_text(fh, at: int, chars: int) -> str:
+    """The first characters from byte `at` on; what does not decode is left to
+    the range that owns it."""
+    fh.seek(at)
+    decoder = codecs.getincrementaldecoder("utf-8")("replace")
+    return _plain_newlines(decoder.decode(fh.read(4 * chars + 4)))[:chars]
+
+
+def _read_range(root: str, rel: str, no: int, last: bool, range_bytes: int, max_chars: int):
+    """(body, ahead, reason) of one byte range of a file; the last one goes to
+    the end the file has now."""
+    try:
+        with open(os.path.join(root, rel), "rb") as fh:
+            size = os.fstat(fh.fileno()).st_size
+            first, end = _border(fh, no * range_bytes, size), size if last else _border(fh, (no + 1) * range_bytes, size)
+            fh.seek(first)
+            data = fh.read(end - first)
+            ahead = _some_text(fh, end, max_chars + 1)
+    except OSError:
+        return None, None, IO_ERROR
+    try:
+        return _plain_newlines(data.decode("utf-8")), ahead, None
+    except UnicodeDecodeError:
+        return None, None, "not_utf8"
+
+
+def _listed(spark: SparkSession, root: str, suffix, exclude_name) -> DataFrame:
+    from chunkwright.session import stage
+
+    return stage(scan_tree(spark, root, suffix, exclude_name, list_only=True).select("rel_path", "n_bytes", "error", "reason"), "listing")
+
+
+def scan_heads(spark: SparkSession, root: str, chars: int, suffix: str | tuple = "", exclude_name: str | None = None) -> DataFrame:
+    """(rel_path, text) with the first `chars` characters of every matching
+    file that can be read, for the sample that fixes its chunk size."""
+    root = local_root(root)
+
+    def read(batches):
+        for b in batches:
+            out = []
+            for rel in b["rel_path"]:
+                try:
+                    with open(os.path.join(root, rel), "rb") as fh:
+                        out.append((rel, _some_text(fh, 0, chars)))
+                except OSError:
+                    continue
+            yield pd.DataFrame(out, columns=["rel_path", "text"])
+
+    listed = scan_tree(spark, root, suffix, exclude_name, list_only=True).where("error IS NULL").select("rel_path")
+    return listed.repartition(spark.sparkContext.defaultParallelism, "rel_path").mapInPandas(read, "rel_path string, text string")
+
+
+def scan_ranges(spark: SparkSession, root: str, max_chars: int | DataFrame, range_bytes: int = 8 << 20,
+                suffix: str | tuple = "", exclude_name: str | None = None) -> DataFrame:
+    """Every matching file as byte ranges of about range_bytes, each read by
+    itself: (rel_path, range_no, body, ahead, max_chars, reason), the input of
+    operators.ranges.chunk_ranges. max_chars: the chunk size, or a table
+    (rel_path, max_chars). No task holds more than a few ranges, so a file may
+    have any size. A range that can't be read or is not UTF-8 has no body and
+    a reason, and so has a folder that can't be listed; ``sound_ranges`` tells
+    them from the rest. An empty file is one range with an empty body, which
+    sound_ranges drops."""
+    root = local_root(root)
+    listed = _listed(spark, root, suffix, exclude_name)
+    files = listed.where("error IS NULL").withColumn("last", F.expr(f"greatest(n_bytes - 1, 0) div {int(range_bytes)}"))
+    if isinstance(max_chars, DataFrame):
+        files = files.join(max_chars.select("rel_path", F.col("max_chars").cast("bigint").alias("max_chars")), "rel_path")
+    else:
+        files = files.withColumn("max_chars", F.lit(int(max_chars)).cast("bigint"))
+    ranges = files.select("rel_path", "max_chars", "last", F.explode(F.sequence(F.lit(0).cast("bigint"), "last")).alias("range_no"))
+    schema = "rel_path string, range_no bigint, body string, ahead string, max_chars bigint, reason string"
+
+    def read(batches):
+        for b in batches:
+            for rel, no, last, most in zip(b["rel_path"], b["range_no"], b["last"], b["max_chars"]):
+                row = rel, no, *_read_range(root, rel, int(no), no == last, range_bytes, int(most))
+                yield pd.DataFrame([(*row[:4], most, row[4])], columns=["rel_path", "range_no", "body", "ahead", "max_chars", "reason"])
+
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    lost = listed.where("error IS NOT NULL").select("rel_path", F.lit(None).cast("bigint").alias("range_no"), "reason")
+    return ranges.repartition(n, "rel_path", "range_no").mapInPandas(read, schema).unionByName(lost, allowMissingColumns=True)
+
+
+def sound_ranges(ranges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(ranges of the files of which every range was read, lost files with
+    their reason)."""
+    lost = ranges.where(F.col("reason").isNotNull()).groupBy("rel_path").agg(F.min("reason").alias("reason"))
+    kept = ranges.where(F.col("reason").isNull()).join(lost, "rel_path", "left_anti").drop("reason")
+    return kept.where(F.length("body") > 0), lost
+
+
 def decode_text(scanned: DataFrame) -> DataFrame:
     """Strict UTF-8 text with CR LF and CR turned into LF (a BOM is kept).
     Bytes that are not UTF-8 give text NULL (to be quarantined)."""
