@@ -17,9 +17,9 @@ executors. Options:
   mode              "read" (default) or "list": paths and sizes only
   listing           "executors" (default): the driver only walks folders
                     down to `listDepth` (default 2) and each task lists its
-                    own subtrees (see scan_tree, which then spreads the
-                    reads by path); "driver": the driver lists every file, as
-                    Spark's file sources do.
+                    own subtrees; "driver": the driver lists every file, as
+                    Spark's file sources do. `scan_tree` lists by neither, but
+                    in rounds that rebalance the open folders (list_rounds).
   foldersPerPartition   folders a listing task is given (default 16)
 
 A folder that can't be listed is a row with its path (the root: "."), no
@@ -35,9 +35,11 @@ from __future__ import annotations
 import codecs
 import os
 import uuid
+from collections import deque
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -242,23 +244,96 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(SourceTree)
 
 
+LISTED_SCHEMA = "rel_path string, n_bytes bigint, error string, folder boolean, task int"
+
+
+def _lister(root: str, suffixes: tuple, exclude: str | None, budget: int):
+    """Lists every folder it is given and goes on below them, breadth first,
+    until it has listed `budget` folders; those still open are rows too."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        task = TaskContext.get().partitionId()
+
+        def frame(rows):
+            return pd.DataFrame(rows, columns=["rel_path", "n_bytes", "error", "folder", "task"]).astype({"n_bytes": "Int64", "task": "int32"})
+
+        rows, given, listed = [], deque(), 0
+        for b in batches:
+            given.extend(b["rel_path"])
+        own = len(given)
+        while given and listed < max(budget, own):
+            rel = given.popleft()
+            listed += 1
+            try:
+                with os.scandir(os.path.join(root, rel)) as it:
+                    for e in it:
+                        path = f"{rel}/{e.name}" if rel else e.name
+                        if e.is_dir(follow_symlinks=False):
+                            given.append(path)
+                        elif not _is_folder(e) and _keep(e.name, suffixes, exclude):
+                            try:
+                                size = e.stat().st_size
+                            except OSError:
+                                size = 0
+                            rows.append((path, size, None, False, task))
+                            if len(rows) >= 10_000:
+                                yield frame(rows)
+                                rows = []
+            except OSError as e:
+                rows.append((rel or ".", None, _message(e), False, task))
+        rows += [(rel, None, None, True, task) for rel in given]
+        yield frame(rows)
+
+    return run
+
+
+def list_rounds(spark: SparkSession, root: str, suffix: str | tuple = "", exclude_name: str | None = None, budget: int = 2000) -> list[DataFrame]:
+    """The tree listed breadth first, as staged rounds (LISTED_SCHEMA). A
+    round deals the folders left open by the one before evenly over tasks, so
+    work spreads wherever the tree is wide, at any depth, and a narrow or deep
+    tree of up to `budget` folders is done in one round. The driver sees
+    counts only."""
+    from chunkwright.session import stage
+
+    suffixes = tuple(x for x in ((suffix,) if isinstance(suffix, str) else suffix) if x)
+    most = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    rounds, frontier, n = [], spark.createDataFrame([("",)], "rel_path string"), 1
+    while n:
+        dealt = frontier.repartition(min(n, most))
+        rounds.append(stage(dealt.mapInPandas(_lister(local_root(root), suffixes, exclude_name, budget), LISTED_SCHEMA), "listing"))
+        frontier = rounds[-1].where("folder").select("rel_path")
+        n = frontier.count()
+    return rounds
+
+
+def list_files(spark: SparkSession, root: str, suffix: str | tuple = "", exclude_name: str | None = None, budget: int = 2000) -> DataFrame:
+    """(rel_path, n_bytes, error) of every matching file below root, and of
+    every folder that can't be listed (with the error), from list_rounds."""
+    out = None
+    for r in list_rounds(spark, root, suffix, exclude_name, budget):
+        rows = r.where("NOT folder").select("rel_path", "n_bytes", "error")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def scan_tree(
     spark: SparkSession,
     root: str,
     suffix: str | tuple = "",
     exclude_name: str | None = None,
     listing: str = "executors",
-    list_depth: int = 2,
+    list_depth: int | None = None,
     target_bytes: int = 64 << 20,
     list_only: bool = False,
 ) -> DataFrame:
     """(rel_path, content, n_bytes, error, reason) for every matching file below root.
 
-    listing="executors": tasks list the folders, the listing is written once
-    to the work folder, and the files are read in partitions hashed by path,
-    sized from the listed bytes; a folder that holds a large share of all
-    files is spread over many tasks. listing="driver": the driver lists all.
-    A folder that can't be listed is a row with an error.
+    listing="executors": tasks list the folders in rounds (see list_rounds;
+    with list_depth, in one round from the folders at that depth), and the
+    files are read in partitions hashed by path, sized from the listed bytes;
+    a folder that holds a large share of all files is spread over many tasks.
+    listing="driver": the driver lists all. A folder that can't be listed is a
+    row with an error.
     list_only: paths and sizes only, no file is opened (content NULL)."""
     register(spark)
     root = local_root(root)
@@ -268,18 +343,18 @@ def scan_tree(
         r = r.option("suffixes", sfx)
     if exclude_name:
         r = r.option("exclude_name", exclude_name)
-    if list_only:
-        r = r.option("mode", "list")
-        return r.option("listing", listing).option("listDepth", str(list_depth)).load(root)
     if listing != "executors":
-        return r.option("listing", listing).load(root)
+        return r.option("listing", listing).option("mode", "list" if list_only else "read").load(root)
     from chunkwright.session import stage
 
-    listed = stage(
-        r.option("listing", "executors").option("listDepth", str(list_depth)).option("mode", "list").load(root)
-        .select("rel_path", "n_bytes", "error"),
-        "listing",
-    )
+    if list_depth is not None:
+        names = r.option("listing", "executors").option("listDepth", str(list_depth)).option("mode", "list").load(root)
+        listed = stage(names.select("rel_path", "n_bytes", "error"), "listing")
+    else:
+        listed = list_files(spark, root, suffix, exclude_name)
+    if list_only:
+        reason = F.when(F.col("error").isNotNull(), NOT_LISTED)
+        return listed.select("rel_path", F.lit(None).cast("binary").alias("content"), "n_bytes", "error", reason.alias("reason"))
     agg = listed.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("n_bytes"), F.lit(0)).alias("b")).first()
     # a small tree is still spread over all cores
     n = max(1, min(int(agg["n"]), max(spark.sparkContext.defaultParallelism, -(-int(agg["b"]) // target_bytes))))
@@ -340,12 +415,6 @@ def _read_range(root: str, rel: str, no: int, last: bool, range_bytes: int, max_
         return None, None, "not_utf8"
 
 
-def _listed(spark: SparkSession, root: str, suffix, exclude_name) -> DataFrame:
-    from chunkwright.session import stage
-
-    return stage(scan_tree(spark, root, suffix, exclude_name, list_only=True).select("rel_path", "n_bytes", "error", "reason"), "listing")
-
-
 def scan_heads(spark: SparkSession, root: str, chars: int, suffix: str | tuple = "", exclude_name: str | None = None) -> DataFrame:
     """(rel_path, text) with the first `chars` characters of every matching
     file that can be read, for the sample that fixes its chunk size."""
@@ -377,7 +446,7 @@ def scan_ranges(spark: SparkSession, root: str, max_chars: int | DataFrame, rang
     them from the rest. An empty file is one range with an empty body, which
     sound_ranges drops."""
     root = local_root(root)
-    listed = _listed(spark, root, suffix, exclude_name)
+    listed = scan_tree(spark, root, suffix, exclude_name, list_only=True).select("rel_path", "n_bytes", "error", "reason")
     files = listed.where("error IS NULL").withColumn("last", F.expr(f"greatest(n_bytes - 1, 0) div {int(range_bytes)}"))
     if isinstance(max_chars, DataFrame):
         files = files.join(max_chars.select("rel_path", F.col("max_chars").cast("bigint").alias("max_chars")), "rel_path")
