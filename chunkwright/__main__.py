@@ -34,6 +34,7 @@ def main(argv=None) -> int:
     from chunkwright import (CommentParams, SummaryParams, annotate, configure, decode_text, read_artifacts,
                              save_document, scan_tree, summarize, write_tree)
     from chunkwright.operators.audit import annotate_audit, run_report, summary_audit
+    from chunkwright.sources.artifacts import artifact_paths
 
     ap = argparse.ArgumentParser(prog="python -m chunkwright")
     sub = ap.add_subparsers(dest="cmd", required=True)
@@ -54,7 +55,7 @@ def main(argv=None) -> int:
 
     spark = configure(SparkSession.builder.appName(f"chunkwright-{a.cmd}").getOrCreate())
     if a.cmd == "document":
-        save_document(read_artifacts(spark, a.artifacts), a.title, a.out, escape=not a.no_escape)
+        save_document(read_artifacts(spark, a.artifacts), a.title, a.out, escape=not a.no_escape, paths=artifact_paths(spark, a.artifacts))
         return 0
     # Names of every file for the audit; contents only of the files to work on
     # (the name filters run in the scan, so no other file is opened).

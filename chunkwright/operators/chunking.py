@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chunkwright.functions.text import (
-    centre_sample,
     chars_per_token,
     chunk_chars,
     head_sample,
@@ -21,6 +20,7 @@ from chunkwright.functions.text import (
     token_count,
     word_chunk_pattern,
 )
+from chunkwright.functions.tokens import token_windows
 
 
 def with_budget(
@@ -47,10 +47,6 @@ def with_budget(
     )
 
 
-def samples(files: DataFrame, n: int) -> DataFrame:
-    return files.select("rel_path", head_sample("text", n).alias("head"), centre_sample("text", n).alias("centre"))
-
-
 def _explode_chunks(files: DataFrame, pattern, carry, keep_empty: bool = False) -> DataFrame:
     """One row per chunk, with chunk_no from 0 and the file's n_chunks (known
     before the explode, so no later count over the file is needed). An empty
@@ -84,18 +80,24 @@ def chunk_lines(files: DataFrame, max_chars="max_chars", carry=(), keep_empty: b
     return _explode_chunks(files, pattern, carry, keep_empty)
 
 
-def chunk_tokens(files: DataFrame, n: int, carry=()) -> DataFrame:
-    """Windows of n pre-tokens, each rejoined to text."""
+def chunk_tokens(files: DataFrame, n: int, carry=(), tokenizer=None) -> DataFrame:
+    """Windows of n pre-tokens, each rejoined to text; with a tokenizer (a
+    function that loads (encode, decode), see functions.tokens), windows of n
+    of its tokens."""
+    if tokenizer is not None:
+        return token_windows(files, n, tokenizer, carry)
     t = pretokens(F.col("text"))
+    # windows are numbered by an outer generator: a filter on the array's size
+    # would be pushed below it and split every text a second time
+    last = F.floor((F.size("_t") - 1) / n).cast("int")
     return (
         files.select("rel_path", *carry, t.alias("_t"))
-        .where(F.size("_t") > 0)
         .select(
             "rel_path",
             *carry,
             "_t",
-            (F.floor((F.size("_t") - 1) / n) + 1).cast("bigint").alias("n_chunks"),
-            F.explode_outer(F.sequence(F.lit(0), F.floor((F.size("_t") - 1) / n).cast("int"))).alias("chunk_no"),
+            (last + 1).cast("bigint").alias("n_chunks"),
+            F.explode_outer(F.when(last >= 0, F.sequence(F.lit(0), last))).alias("chunk_no"),
         )
         .where(F.col("chunk_no").isNotNull())
         .select(
@@ -117,4 +119,4 @@ def chunk_stats(chunks: DataFrame) -> DataFrame:
     )
 
 
-__all__ = ["with_budget", "samples", "chunk_words", "chunk_lines", "chunk_tokens", "chunk_stats"]
+__all__ = ["with_budget", "chunk_words", "chunk_lines", "chunk_tokens", "chunk_stats"]

@@ -271,6 +271,46 @@ def q_chunk_tokens(spark, sf):
     return chunk_tokens(kept_files(spark, sf), TOKEN_WINDOW).select("rel_path", "chunk_no", "n_chunks", "chunk_text")
 
 
+SPACED = r"regexp_extract_all({x}, '[^\x20\x09-\x0D]+[\x20\x09-\x0D]*|[\x20\x09-\x0D]+')"
+
+
+@register(
+    "chunk_tokens_own",
+    O.sql(
+        O.FILES, O.KEPT,
+        f"tk as (select rel_path, {SPACED.format(x='text')} as t from kept)",
+        final=f"""select rel_path, i::bigint as chunk_no, ((len(t)-1)//{TOKEN_WINDOW}+1)::bigint as n_chunks,
+  array_to_string(t[i*{TOKEN_WINDOW}+1:i*{TOKEN_WINDOW}+{TOKEN_WINDOW}], '') as chunk_text
+from (select rel_path, t, unnest(range(0, ((len(t)-1)//{TOKEN_WINDOW}+1)::bigint)) as i from tk where len(t)>0)""",
+    ),
+)
+def q_chunk_tokens_own(spark, sf):
+    """Windows of a tokenizer given by the user (words with their white space)."""
+    from chunkwright.functions.tokens import load_spaced_words
+    from chunkwright.operators.chunking import chunk_tokens
+    windows = chunk_tokens(kept_files(spark, sf), TOKEN_WINDOW, tokenizer=load_spaced_words)
+    return windows.select("rel_path", "chunk_no", "n_chunks", "chunk_text")
+
+
+@register(
+    "chunk_budget_own",
+    O.sql(
+        O.FILES, O.KEPT,
+        f"counted as (select rel_path, text, len({SPACED.format(x='text')})::bigint as text_tokens, "
+        f"len({SPACED.format(x=f'substr(text,1,{P.SUMMARY_SAMPLE_CHARS})')})::bigint as sample_tokens from kept)",
+        f"rated as (select *, case when sample_tokens=0 then 2.5 else (length(substr(text,1,{P.SUMMARY_SAMPLE_CHARS}))::double/sample_tokens)*0.75 end as r from counted)",
+        final=f"select rel_path, text_tokens, sample_tokens, r as chars_per_token, greatest(floor({float(P.SUMMARY_CHUNK_TOKENS)}*r)::bigint, 1) as max_chars from rated",
+    ),
+)
+def q_chunk_budget_own(spark, sf):
+    """Token counts, ratio and chunk size by a tokenizer given by the user."""
+    from chunkwright.functions.tokens import spaced_words, token_count_udf
+    from chunkwright.operators.chunking import with_budget
+    count = token_count_udf(lambda: spaced_words)
+    rated = with_budget(kept_files(spark, sf), P.SUMMARY_CHUNK_TOKENS, P.SUMMARY_SAMPLE_CHARS, tokenizer=count)
+    return rated.select("rel_path", count("text").alias("text_tokens"), F.col("n_tokens").alias("sample_tokens"), "chars_per_token", "max_chars")
+
+
 @register(
     "chunk_stats",
     O.sql(

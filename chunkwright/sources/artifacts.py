@@ -19,3 +19,10 @@ def read_artifacts(spark: SparkSession, root, suffixes=P.ARTIFACT_SUFFIXES) -> D
         return artifact_files(root, suffixes).select("rel_path", F.col("rel_path").alias("out_path"), "body")
     scanned = decode_text(scan_tree(spark, root, tuple(suffixes)))
     return scanned.select("rel_path", F.col("rel_path").alias("out_path"), F.col("text").alias("body"))
+
+
+def artifact_paths(spark: SparkSession, root: str, suffixes=P.ARTIFACT_SUFFIXES) -> DataFrame:
+    """(out_path, n_bytes) of the artifacts below a folder, without opening
+    them: the `paths` of save_document."""
+    listed = scan_tree(spark, root, tuple(suffixes), list_only=True)
+    return listed.where("error IS NULL").select(F.col("rel_path").alias("out_path"), "n_bytes")
