@@ -751,6 +751,17 @@ def q_directory_children(spark, sf):
     return k.select("path", F.array_join("subdirs", "\n").alias("subdirs"), F.array_join("files", "\n").alias("files"))
 
 
+@register(
+    "directory_entries",
+    O.sql(*S_NODES, final="""select parent as path, kind, (row_number() over (partition by parent, kind order by name) - 1)::bigint as position, name from nodes"""),
+)
+def q_directory_entries(spark, sf):
+    """The entries of every folder as numbered rows."""
+    from chunkwright.operators.hierarchy import directory_nodes
+    from chunkwright.operators.positions import child_rows
+    return child_rows(directory_nodes(annotated_artifacts(spark, sf)))
+
+
 @register("breadcrumbs", O.sql(*S_NODES, final="select path, crumbs from crumbs"))
 def q_breadcrumbs(spark, sf):
     from chunkwright.operators.hierarchy import breadcrumbs, directory_nodes
