@@ -209,11 +209,13 @@ def _pieces(word: Column) -> Column:
 
 
 def training_words(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str = "lang") -> list[tuple[bytes, str, int]]:
-    """(word, language, count) rows of the bounded sample."""
+    """(word, language, count) rows of the bounded sample: about PER_LANG
+    documents a language, drawn by a hash of id and text, so that null or
+    repeated ids are drawn like any others."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
     rows = rows.where(~held_out("id") & F.col("lang").isNotNull() & F.col("text").isNotNull())
     per = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGS)
-    pick = F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    pick = F.pmod(F.xxhash64("id", "text", F.lit("sample")), F.lit(1 << 40)) / F.lit(float(1 << 40))
     some = rows.join(F.broadcast(per), "lang").where(pick < F.lit(float(PER_LANG)) / F.col("n"))
     words = some.select("lang", F.explode(F.flatten(F.transform(F.regexp_extract_all("text", F.lit(f"({WORD})")), _pieces))).alias("word"))
     counts = words.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
