@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from chunkwright.llm.common import scratch_path
+from chunkwright.llm.common import in_buckets
 
 CHUNK = 1 << 14  # characters
 OVERLAP = 512
@@ -290,15 +290,6 @@ def _pretokenised(chunks: DataFrame, chunk: int, overlap: int) -> DataFrame:
     return chunks.mapInArrow(run, f"key long, no int, id {kind}, last boolean, body string, lengths binary, head array<int>, tail array<int>")
 
 
-def _in_buckets(df: DataFrame, n: int, keys: list[str], name: str) -> DataFrame:
-    """Rows already dealt by hash of the keys into n partitions, written as n
-    buckets and read back: a join on the keys doesn't shuffle them again."""
-    path = scratch_path(df.sparkSession, name)
-    table = path.rsplit("/", 1)[1].replace("-", "_")
-    df.write.bucketBy(n, *keys).saveAsTable(table, format="parquet", path=path)
-    return df.sparkSession.read.table(table)
-
-
 def stitched(pieces: DataFrame, chunk: int) -> DataFrame:
     """(key, no, entry, leave, sound) for every chunk: its pre-tokens from
     entry to leave are the document's; sound is false for all chunks of a
@@ -338,7 +329,7 @@ def encode_documents(docs: DataFrame, path: str | None = None, id_col: str = "do
     is_long = F.coalesce(F.char_length("text") > chunk + overlap, F.lit(False))
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     chunks = _cut(rows.where(is_long).select(F.monotonically_increasing_id().alias("key"), "id", "text"), chunk, overlap)
-    pieces = _in_buckets(_pretokenised(chunks.repartition(n, "key", "no"), chunk, overlap), n, ["key", "no"], "pretokens")
+    pieces = in_buckets(_pretokenised(chunks.repartition(n, "key", "no"), chunk, overlap), n, ["key", "no"], "pretokens")
     spans = stitched(pieces, chunk)
     parts = _encoded_chunks(pieces.join(spans.where("sound"), ["key", "no"]), path)
     joined = parts.groupBy("key").agg(F.any_value("id").alias("id"), F.expr("listagg(ids, X'') within group (order by no)").alias("ids"))

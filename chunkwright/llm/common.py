@@ -57,6 +57,25 @@ def stage_by(df: DataFrame, key: str, name: str) -> DataFrame:
     return spark.read.table(table)
 
 
+def drop_stage(df: DataFrame) -> None:
+    """Removes the files of a table made by ``stage`` that nothing reads any more."""
+    spark = df.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        if f"chunkwright-{spark.sparkContext.applicationId}/" in folder:
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def in_buckets(df: DataFrame, n: int, keys: list[str], name: str) -> DataFrame:
+    """Rows already dealt by hash of the keys into n partitions, written as n
+    buckets and read back: a join or co-grouping on the keys doesn't shuffle
+    them again."""
+    path = scratch_path(df.sparkSession, name)
+    table = path.rsplit("/", 1)[1].replace("-", "_")
+    df.write.bucketBy(n, *keys).saveAsTable(table, format="parquet", path=path)
+    return df.sparkSession.read.table(table)
+
+
 def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, total: int) -> DataFrame:
     """rows inner-joined to a table with one row per group, where a few groups
     may hold most rows. Hot groups (at least total/HOT_SHARE rows, so at most
@@ -98,4 +117,4 @@ def numbered(df: DataFrame, order: list, name: str) -> DataFrame:
     return rows.join(F.broadcast(offsets), part == F.col("_part")).withColumn(name, at).drop(tag, "_part", "_before")
 
 
-__all__ = ["SPACE", "WORD", "STRIP", "UPPER", "LOWER", "documents", "embeddings", "text_or_empty", "ascii_lower", "fresh", "join_groups", "numbered", "stage", "stage_by"]
+__all__ = ["SPACE", "WORD", "STRIP", "UPPER", "LOWER", "documents", "embeddings", "text_or_empty", "ascii_lower", "drop_stage", "fresh", "in_buckets", "join_groups", "numbered", "stage", "stage_by"]

@@ -9,13 +9,17 @@ as the base model.
 
 No task and not the driver holds the word tables: counts and emissions lie in
 blocks by word hash. Texts are encoded once, in groups of about ``GROUP_BYTES``,
-each with the sorted distinct words it needs of every block. A Baum-Welch round
-looks these up (co-group by block), sums expected emissions and transitions by
-group (forward-backward over segments; co-group by group) and adds the sums to
-the blocks (co-group by block). The driver holds starts, transitions and the
+each with the sorted distinct words it needs of every block; counts are looked
+up once (co-group by block), which gives base scores and leaves each group its
+texts as symbols and the places of its symbols in the blocks. A Baum-Welch
+round looks up the symbols' emissions (co-group by block), sums expected
+emissions and transitions by group (forward-backward over segments; co-group by
+group) and adds the sums to the blocks, streamed block by block. What a round
+exchanges are emissions and sums as floats of 16 bits (8 of exponent), a float
+of 32 bits for the scores. The driver holds starts, transitions and the
 emissions of the two shared symbols. Every one of the ``ROUNDS`` rounds reads
 all training documents. Scores use the scaled forward recursion over whole
-texts, with counts and emissions looked up the same way.
+texts.
 
 Edge cases: null and empty texts are one end token; a null id counts as an
 empty string in the split; repeated rows are scored alike and count in
@@ -25,6 +29,7 @@ probability 1 / 1 of the empty counts, (0 + 0.1) / (0 + 0.1).
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -32,14 +37,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chunkwright.llm.common import stage, stage_by
+from chunkwright.llm.common import drop_stage, in_buckets, stage, stage_by
 from chunkwright.llm.words import mix64, split_words, text_groups, word_groups
 
 SMOOTH = 0.1
 OWN = 2  # a word seen this often has emissions of its own
-BLOCK_WORDS, GROUP_BYTES = 1 << 15, 8 << 20
+BLOCK_WORDS, GROUP_BYTES = 1 << 15, 24 << 20
+SIDE_BY_SIDE = 1024  # groups that look up a block together
+SPREAD = 256  # rows the shared sums are gathered in
 STATES, SEGMENT, SLAB = 8, 128, 1024
-ROUNDS = 9
+ROUNDS = 4
 PRIOR = 200.0  # strength of the base distribution in each state's emissions
 LN10 = np.log(10.0)
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -105,6 +112,26 @@ def _array(value: pa.Scalar, kind: str) -> np.ndarray:
     return np.frombuffer(value.as_buffer(), kind)
 
 
+def half(x: np.ndarray) -> np.ndarray:
+    """Floats as the upper 16 bits of their 32-bit form, rounded to nearest."""
+    bits = np.ascontiguousarray(x, np.float32).view(np.uint32)
+    return ((bits + np.uint32(0x7FFF) + ((bits >> np.uint32(16)) & np.uint32(1))) >> np.uint32(16)).astype(np.uint16)
+
+
+def whole(x: np.ndarray) -> np.ndarray:
+    return (x.astype(np.uint32) << np.uint32(16)).view(np.float32)
+
+
+def planes(x: np.ndarray) -> bytes:
+    """32-bit integers byte by byte, which packs small ones well."""
+    return np.ascontiguousarray(x.astype("<i4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def unplanes(value: pa.Scalar) -> np.ndarray:
+    raw = _array(value, np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(raw.T).view("<i4").reshape(-1)
+
+
 def _rows(table: pa.Table, *names: str):
     return zip(*(table.column(n) for n in names))
 
@@ -191,6 +218,7 @@ class Hmm:
             sums.emit[:, j] += np.bincount(flat, weights=g[:, j], minlength=len(self.emit))
 
     def updated(self, sums: Sums, base: np.ndarray) -> Hmm:
+        """The next model from all expected counts, held in one place."""
         emit = sums.emit + PRIOR * base[:, None]
         move, start = sums.moves + 0.1, sums.start + 0.1
         share = sums.emit.sum(0) + 0.1
@@ -236,7 +264,7 @@ def encoded(docs: DataFrame, blocks: int) -> DataFrame:
                 yield pa.RecordBatch.from_pydict({
                     "ids": pa.array([batch.column(0).slice(a, b - a).to_pylist()], pa.list_(pa.int64())),
                     "held": pa.array([batch.column(1).slice(a, b - a).to_pylist()], pa.list_(pa.bool_())),
-                    "sizes": pa.array([(sizes + 1).astype(np.int64).tobytes()], pa.binary()), "symbols": pa.array([symbols.tobytes()], pa.binary()),
+                    "sizes": pa.array([(sizes + 1).astype(np.int64).tobytes()], pa.binary()), "symbols": pa.array([planes(symbols)], pa.binary()),
                     "first": pa.array([(first + 2).astype(np.int64).tobytes()], pa.binary()),
                     "refs": pa.array([refs], pa.list_(pa.struct([("p", pa.int32()), ("h", pa.binary())]))),
                 })
@@ -245,6 +273,60 @@ def encoded(docs: DataFrame, blocks: int) -> DataFrame:
     return stage(docs.mapInArrow(run, schema).withColumn("g", F.monotonically_increasing_id()), "encoded")
 
 
+TEXTS = "g long, ids array<long>, held array<boolean>, sizes binary, known binary, base binary, rest binary, symbols binary, own array<struct<p: int, at: binary>>"
+
+
+def prepared(rows: DataFrame, blocks: DataFrame, vocab: Vocabulary) -> DataFrame:
+    """The groups with all that counts tell: known, base and rest of each text
+    (tokens seen in training, base score, and the logarithm of what the words
+    without emissions add to the other symbol), the texts as symbols (0 the
+    other one, 1 the end, then the group's own symbols) and, by block, the
+    places of those among the block's symbols."""
+    log_other, log_end = np.log10(vocab.shared)
+
+    def find(words: pa.Table, block: pa.Table) -> pa.Table:
+        h, c = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        if block.num_rows:
+            h, c = _array(block.column("h")[0], np.uint64), _array(block.column("c")[0], np.int64)
+        rank, out = np.where(c >= OWN, np.cumsum(c >= OWN) - 1, -1), []
+        for own in words.column("h"):
+            own = _array(own, np.uint64)
+            count, at = np.zeros(len(own), np.int64), np.full(len(own), -1, np.int32)
+            if len(h):
+                i = np.minimum(np.searchsorted(h, own), len(h) - 1)
+                found = h[i] == own
+                count[found], at[found] = c[i[found]], rank[i[found]]
+            out.append((count.tobytes(), at.tobytes()))
+        return pa.table({"g": words.column("g"), "p": words.column("p"), **{n: pa.array([o[k] for o in out], pa.binary()) for k, n in enumerate(("c", "at"))}})
+
+    def text(group: pa.Table, found: pa.Table) -> pa.Table:
+        first, sizes = _array(group.column("first")[0], np.int64), _array(group.column("sizes")[0], np.int64)
+        c, own = np.zeros(int(first[-1]), np.int64), np.full(int(first[-1]), -1, np.int32)
+        for p, n, at in _rows(found, "p", "c", "at"):
+            n = _array(n, np.int64)
+            here = slice(first[p.as_py()], first[p.as_py()] + len(n))
+            c[here], own[here] = n, _array(at, np.int32)
+        logs = np.log10(vocab.p(c))
+        c[1], logs[1], own[1] = vocab.ends, log_end, 0
+        symbol = np.where(own >= 0, np.cumsum(own >= 0), 0).astype(np.int32)  # the end is 1
+        seen, offsets = unplanes(group.column("symbols")[0]), np.concatenate(([0], np.cumsum(sizes)))[:-1]
+        sums = lambda x: pa.array([np.add.reduceat(x[seen], offsets).tobytes()], pa.binary())
+        block = np.searchsorted(first, np.arange(len(c)), "right") - 1
+        mine = np.flatnonzero(own[2:] >= 0) + 2
+        edges = np.searchsorted(block[mine], np.arange(len(first)))
+        refs = [{"p": i, "at": own[mine[edges[i] : edges[i + 1]]].tobytes()} for i in np.flatnonzero(np.diff(edges))]
+        return pa.table({
+            "g": group.column("g"), "ids": group.column("ids"), "held": group.column("held"), "sizes": group.column("sizes"),
+            "known": sums((c > 0).astype(np.int64)), "base": sums(logs), "rest": sums(np.where(symbol == 0, logs - log_other, 0.0)),
+            "symbols": pa.array([planes(symbol[seen])], pa.binary()), "own": pa.array([refs], pa.list_(pa.struct([("p", pa.int32()), ("at", pa.binary())]))),
+        })
+
+    words = rows.select("g", F.explode("refs").alias("r")).select("g", "r.p", "r.h")
+    found = words.groupBy("p").cogroup(blocks.groupBy("p")).applyInArrow(find, "g long, p int, c binary, at binary")
+    texts = rows.drop("refs").groupBy("g").cogroup(found.groupBy("g")).applyInArrow(text, TEXTS)
+    return in_buckets(texts, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), ["g"], "texts")
+
+
 def word_blocks(counts: DataFrame, blocks: int) -> DataFrame:
     """(p, h, c): the training words of each block by hash, and their counts."""
 
@@ -287,7 +369,7 @@ def _collected(words: DataFrame, states: int) -> tuple[np.ndarray, np.ndarray |
     total, shared = np.zeros(states), None
     for r in words.select("p", "total", "shared").orderBy("p").collect():
         if r.p < 0:
-            shared = np.frombuffer(r.shared)
+            shared = np.frombuffer(r.shared) + (0.0 if shared is None else shared)
         else:
             total += np.frombuffer(r.total)
     return total, shared
@@ -309,76 +391,88 @@ def fresh_model(blocks: DataFrame, vocab: Vocabulary, states: int = STATES) -> M
     return Model(plain.start, plain.anywhere, plain.move, shared / norm, norm, words)
 
 
-FOUND = "g long, p int, c binary, at binary, e binary"
-
-
-def looked_up(refs: DataFrame, blocks: DataFrame, model: Model) -> DataFrame:
-    """For each group and block: c, the counts of the group's words; at, their
-    places among the block's symbols, -1 for none; e, the symbols' emissions."""
+def looked_up(refs: DataFrame, model: Model, exact: bool = False) -> DataFrame:
+    """(g, p, e): the emissions of each group's symbols of each block. At most
+    about SIDE_BY_SIDE groups read a block in one task: beyond that the groups
+    are dealt in turns, each with the block's weights."""
     norm, states = model.norm, len(model.start)
 
     def run(rows: pa.Table, block: pa.Table) -> pa.Table:
-        h, c, w = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros((0, states), np.float32)
-        if block.num_rows:
-            h, c = _array(block.column("h")[0], np.uint64), _array(block.column("c")[0], np.int64)
-            w = (_array(block.column("w")[0], np.float32).reshape(-1, states) / norm).astype(np.float32)
-        rank = np.where(c >= OWN, np.cumsum(c >= OWN) - 1, -1)
-        out = []
-        for own in rows.column("h"):
-            own = _array(own, np.uint64)
-            count, at = np.zeros(len(own), np.int64), np.full(len(own), -1, np.int32)
-            if len(h):
-                i = np.minimum(np.searchsorted(h, own), len(h) - 1)
-                found = h[i] == own
-                count[found], at[found] = c[i[found]], rank[i[found]]
-            out.append((count.tobytes(), at.tobytes(), w[at[at >= 0]].tobytes()))
-        return pa.table({"g": rows.column("g"), "p": rows.column("p"), **{n: pa.array([o[k] for o in out], pa.binary()) for k, n in enumerate(("c", "at", "e"))}})
-
-    tables = blocks.join(model.words.select("p", "w"), "p")
-    return refs.groupBy("p").cogroup(tables.groupBy("p")).applyInArrow(run, FOUND)
-
-
-def _local(model: Model, first: np.ndarray, found: pa.Table) -> tuple[Hmm, np.ndarray, dict]:
-    """The model of a group's symbols, the symbol of each (0 is the other one,
-    for words without emissions), and the own symbols by block."""
-    emit = np.zeros((int(first[-1]), len(model.start)))
-    symbol, own = np.zeros(len(emit), np.int32), {}
-    symbol[1] = 1
-    for p, at, e in _rows(found, "p", "at", "e"):
-        at = _array(at, np.int32)
-        here = first[p.as_py()] + np.flatnonzero(at >= 0)
-        emit[here] = _array(e, np.float32).reshape(len(here), -1)
-        symbol[here] = here
-        own[p.as_py()] = here, at[at >= 0]
-    return model.local(emit), symbol, own
-
-
-def next_model(sequences: DataFrame, refs: DataFrame, blocks: DataFrame, model: Model, vocab: Vocabulary) -> Model:
+        w = (_array(block.column("w")[0], np.float32).reshape(-1, states) / norm).astype(np.float32)
+        e = [(w[_array(at, np.int32)] if exact else half(w[_array(at, np.int32)])).tobytes() for at in rows.column("at")]
+        return pa.table({"g": rows.column("g"), "p": rows.column("p"), "e": pa.array(e, pa.binary())})
+
+    words = model.words.where("p >= 0").select("p", "w")
+    turns = refs.agg(F.count_distinct("g")).first()[0] // SIDE_BY_SIDE + 1
+    if turns == 1:
+        return refs.groupBy("p").cogroup(words.groupBy("p")).applyInArrow(run, "g long, p int, e binary")
+    dealt = refs.withColumn("turn", F.pmod("g", F.lit(turns)).cast("int"))
+    each = words.withColumn("turn", F.explode(F.sequence(F.lit(0), F.lit(turns - 1))))
+    return dealt.groupBy("p", "turn").cogroup(each.groupBy("p", "turn")).applyInArrow(run, "g long, p int, e binary")
+
+
+def _local(model: Model, group: pa.Table, found: pa.Table, exact: bool = False) -> tuple[Hmm, dict]:
+    """The model of a group's symbols, and by block where they are and their
+    places in the block."""
+    own, size = {}, 2
+    for r in group.column("own")[0]:
+        at = _array(r["at"], np.int32)
+        own[r["p"].as_py()] = slice(size, size + len(at)), at
+        size += len(at)
+    emit = np.zeros((size, len(model.start)))
+    for p, e in _rows(found, "p", "e"):
+        here, at = own[p.as_py()]
+        emit[here] = (_array(e, np.float32) if exact else whole(_array(e, np.uint16))).reshape(len(at), -1)
+    return model.local(emit), own
+
+
+def next_model(texts: DataFrame, refs: DataFrame, blocks: DataFrame, model: Model, vocab: Vocabulary) -> Model:
     """One Baum-Welch round over all training texts."""
     states, head = len(model.start), Model(model.start, model.anywhere, model.move, model.shared, model.norm, None)
 
     def expect(group: pa.Table, found: pa.Table) -> pa.Table:
         sizes, train = _array(group.column("sizes")[0], np.int64), ~np.array(group.column("held")[0].as_py(), bool)
-        local, symbol, own = _local(head, _array(group.column("first")[0], np.int64), found)
-        seen = symbol[_array(group.column("symbols")[0], np.int32)][np.repeat(train, sizes)]
+        local, own = _local(head, group, found)
+        seen = unplanes(group.column("symbols")[0])[np.repeat(train, sizes)]
         sums = Sums(len(local.emit), states)
         if len(seen):
             local.expected(seen, np.concatenate(([0], np.cumsum(sizes[train]))), sums)
-        parts = [(p, at.tobytes(), sums.emit[here].astype(np.float32).tobytes()) for p, (here, at) in own.items()] + [(-1, None, sums.shared())]
+        spread = -1 - group.column("g")[0].as_py() % SPREAD
+        parts = [(p, at.tobytes(), half(sums.emit[here]).tobytes()) for p, (here, at) in own.items()] + [(spread, None, sums.shared())]
         return pa.table({"p": pa.array([x[0] for x in parts], pa.int32()), "at": pa.array([x[1] for x in parts], pa.binary()), "s": pa.array([x[2] for x in parts], pa.binary())})
 
-    def add(sums: pa.Table, block: pa.Table) -> pa.Table:
-        if not block.num_rows:
-            return _weights(-1, None, sum(_array(s, np.float64) for s in sums.column("s")))
-        c = _array(block.column("c")[0], np.int64)
-        w = np.repeat(PRIOR * vocab.p(c[c >= OWN])[:, None], states, 1)
-        for at, s in _rows(sums, "at", "s"):
-            w[_array(at, np.int32)] += _array(s, np.float32).reshape(-1, states)
-        return _weights(block.column("p")[0].as_py(), w)
-
-    texts = sequences.select("g", "held", "sizes", "symbols", "first")
-    sums = texts.groupBy("g").cogroup(looked_up(refs, blocks, model).select("g", "p", "at", "e").groupBy("g")).applyInArrow(expect, "p int, at binary, s binary")
-    words = stage(sums.groupBy("p").cogroup(blocks.select("p", "c").groupBy("p")).applyInArrow(add, WEIGHTS), "weights")
+    def add(batches):
+        """Streams the sums of one block (or of the shared symbols)."""
+        key, base, shared, w = None, None, 0.0, np.zeros((0, states))
+        for batch in batches:
+            for p, at, s, c in zip(*(batch.column(n) for n in ("p", "at", "s", "c"))):
+                key = p.as_py()
+                if c.is_valid:
+                    c = _array(c, np.int64)
+                    base = PRIOR * vocab.p(c[c >= OWN])
+                elif at.is_valid:
+                    at = _array(at, np.int32)
+                    if len(at) and at.max() >= len(w):
+                        w = np.concatenate((w, np.zeros((at.max() + 1 - len(w), states))))
+                    w[at] += whole(_array(s, np.uint16)).reshape(-1, states)
+                else:
+                    shared = shared + _array(s, np.float64)
+        if key < 0:
+            yield from _weights(key, None, shared).to_batches()
+        else:
+            out = np.repeat(base[:, None], states, 1)
+            out[: len(w)] += w
+            yield from _weights(key, out).to_batches()
+
+    rows = texts.select("g", "held", "sizes", "symbols", "own")
+    sums = rows.groupBy("g").cogroup(looked_up(refs, model).groupBy("g")).applyInArrow(expect, "p int, at binary, s binary")
+    null = F.lit(None).cast("binary")
+    parts = sums.withColumn("c", null).unionByName(blocks.select("p", null.alias("at"), null.alias("s"), "c"))
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from add(batches)
+
+    words = stage(parts.groupBy("p").applyInArrow(summed, WEIGHTS), "weights")
     total, got = _collected(words, states)
     share, start, moves, shared = np.split(got, [states, 2 * states, 2 * states + states * states])
     shared = shared.reshape(2, states) + PRIOR * vocab.shared[:, None]
@@ -387,32 +481,23 @@ def next_model(sequences: DataFrame, refs: DataFrame, blocks: DataFrame, model:
     return Model(start / start.sum(), share / share.sum(), move / move.sum(1, keepdims=True), shared / norm, norm, words)
 
 
-def score(sequences: DataFrame, refs: DataFrame, blocks: DataFrame, model: Model, vocab: Vocabulary) -> DataFrame:
+def score(texts: DataFrame, refs: DataFrame, model: Model, vocab: Vocabulary) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every text."""
     head = Model(model.start, model.anywhere, model.move, model.shared, model.norm, None)
-    log_other, log_end = np.log10(vocab.shared)
 
     def run(group: pa.Table, found: pa.Table) -> pa.Table:
-        first, sizes = _array(group.column("first")[0], np.int64), _array(group.column("sizes")[0], np.int64)
-        local, symbol, _ = _local(head, first, found)
-        c = np.zeros(len(symbol), np.int64)
-        for p, n in _rows(found, "p", "c"):
-            n = _array(n, np.int64)
-            c[first[p.as_py()] : first[p.as_py()] + len(n)] = n
-        logs = np.log10(vocab.p(c))
-        logs[1] = log_end
-        c[1] = vocab.ends
-        seen, offsets = _array(group.column("symbols")[0], np.int32), np.concatenate(([0], np.cumsum(sizes)))
-        base = np.add.reduceat(logs[seen], offsets[:-1])
-        rest = np.add.reduceat(np.where(symbol == 0, logs - log_other, 0.0)[seen], offsets[:-1])
+        sizes = _array(group.column("sizes")[0], np.int64)
+        local, _ = _local(head, group, found, True)
+        offsets = np.concatenate(([0], np.cumsum(sizes)))
         return pa.table({
             "doc_id": group.column("ids")[0].values, "held_out": group.column("held")[0].values, "n_tokens": pa.array(sizes),
-            "n_known": pa.array(np.add.reduceat((c > 0).astype(np.int64)[seen], offsets[:-1])),
-            "train_tokens": pa.array(np.full(len(sizes), vocab.total, np.int64)), "base_score": pa.array(base), "score": pa.array(local.log10(symbol[seen], offsets) + rest),
+            "n_known": pa.array(_array(group.column("known")[0], np.int64)),
+            "train_tokens": pa.array(np.full(len(sizes), vocab.total, np.int64)), "base_score": pa.array(_array(group.column("base")[0], np.float64)),
+            "score": pa.array(local.log10(unplanes(group.column("symbols")[0]), offsets) + _array(group.column("rest")[0], np.float64)),
         })
 
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return sequences.drop("refs").groupBy("g").cogroup(looked_up(refs, blocks, model).groupBy("g")).applyInArrow(run, schema)
+    return texts.groupBy("g").cogroup(looked_up(refs, model, True).groupBy("g")).applyInArrow(run, schema)
 
 
 def score_digest(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
@@ -423,15 +508,17 @@ def score_digest(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     vocab = vocabulary(counts, ends)
     n = max(1, -(-vocab.distinct // block_words))
     blocks = word_blocks(counts, n)
-    rows = encoded(docs.select(F.col("doc_id").cast("long").alias("doc_id"), (bucket == 0).alias("held_out"), "text"), n)
-    refs = rows.select("g", F.explode("refs").alias("r")).select("g", "r.p", "r.h")
-    sequences = stage_by(rows.drop("refs"), "g", "sequences")
-    model = fresh_model(blocks, vocab)
     before = spark.conf.get(CLEANUP, "false")
     spark.conf.set(CLEANUP, "true")  # a round's shuffles are of no use after it
     try:
+        rows = encoded(docs.select(F.col("doc_id").cast("long").alias("doc_id"), (bucket == 0).alias("held_out"), "text"), n)
+        texts = prepared(rows, blocks, vocab)
+        drop_stage(rows)
+        refs = stage_by(texts.select("g", F.explode("own").alias("r")).select("g", "r.p", "r.at"), "p", "refs")
+        model = fresh_model(blocks, vocab)
         for _ in range(ROUNDS if ends else 0):
-            model = next_model(sequences, refs, blocks, model, vocab)
+            last, model = model, next_model(texts, refs, blocks, model, vocab)
+            drop_stage(last.words)
     finally:
         spark.conf.set(CLEANUP, before)
-    return score(sequences, refs, blocks, model, vocab)
+    return score(texts, refs, model, vocab)
