@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,55 +11,36 @@ from chunkwright import params as P
 
 SUMMARY_SYSTEM = "Answer with a single JSON object and nothing else."
 
-_EXAMPLE = """{
-  "Overall Summary": "What the code is for, in two or three sentences.",
-  "Module/Library Name": "name_of_the_module",
-  "ETL Processes": {
-    "Extract": {"Description": "Where data is read from.", "Data Sources": ["source_a"]},
-    "Transform": {"Description": "How records are changed.", "Dependencies": ["helper_x"]},
-    "Load": {"Description": "Where results are written.", "Data Destinations": ["target_b"]}
-  },
-  "Classes": {
-    "SomeClass": {"Description": "Role of the class.", "Methods": {"run": "What run does."}}
-  },
-  "Functions/Methods": {
-    "some_function": {"Description": "What it computes.", "Parameters": ["x"], "Returns": "A value."}
-  },
-  "Variables": {"SOME_NAME": "Meaning and type."},
-  "Data Structures": "The main lists, dicts or records and what they hold.",
-  "Interfaces/APIs": "Endpoints or entry points offered to other code.",
-  "Configuration/Environment Variables": {"SOME_SETTING": "What it controls."},
-  "Error Handling/Logging": "How failures are caught and reported.",
-  "Data Inputs": "Files, tables or arguments that are read.",
-  "Data Outputs": "Files, tables or values that are produced."
-}"""
-
-_SECTION_NOTES = [
-    "Overall Summary: the purpose of the code in a few sentences.",
-    "Module/Library Name: the module, package or main library.",
-    "ETL Processes: extract, transform and load steps, each with its sources, logic and targets.",
-    "Classes: each class with its role, attributes, methods and relations to other classes.",
-    "Functions/Methods: each function with its parameters, result, side effects and notable logic.",
-    "Variables: each important variable with its type, meaning and who changes it.",
-    "Data Structures: the key containers or records and how they relate.",
-    "Interfaces/APIs: what the code exposes to others, with inputs, outputs and access rules.",
-    "Configuration/Environment Variables: settings and environment variables with their meaning and values.",
-    "Error Handling/Logging: how errors are handled and logged, with notable messages.",
-    "Data Inputs: formats and sources of the data that comes in.",
-    "Data Outputs: formats and targets of the data that goes out.",
-]
+# What goes under each top-level key (the keys are the data contract): a value
+# to show the shape, and what it should tell.
+_GUIDE = {
+    "Overall Summary": ("Loads daily orders and writes one total a shop.", "why this code exists, in at most three sentences"),
+    "Module/Library Name": ("daily_totals", "the name others import it by"),
+    "Data Inputs": ("orders.csv, one row an order", "what is read, from where and in which format"),
+    "Data Outputs": ("totals table, one row a shop", "what is written or returned, where to and in which format"),
+    "ETL Processes": ({"read": "orders.csv, header skipped", "change": "amounts summed by shop", "write": "totals, replaced as a whole"},
+                      "one entry a step that moves or reshapes data"),
+    "Classes": ({"ShopTotals": "keeps the sums; add() takes an order, rows() gives the result"}, "one entry a class: its part and its calls"),
+    "Functions/Methods": ({"load(path)": "yields orders; raises ValueError on a bad row"}, "one entry a function: arguments, result, side effects"),
+    "Variables": ({"MAX_ROWS": "int, orders read at most"}, "one entry a name that steers the code"),
+    "Configuration/Environment Variables": ({"ORDERS_DIR": "folder of the input"}, "one entry a setting that is read"),
+    "Data Structures": ("dict of shop to amount", "the containers that matter and what links them"),
+    "Interfaces/APIs": ("command line: totals DATE", "what other programs can call, and how"),
+    "Error Handling/Logging": ("bad rows are counted and logged as a warning", "what can fail, who notices and how"),
+}
 
 SUMMARY_PREFIX = (
-    "Describe the source text that follows as one JSON object shaped like this example:\n\n"
-    + _EXAMPLE
-    + "\n\nWhat each key should hold:\n"
-    + "".join(f"{i}. {note}\n" for i, note in enumerate(_SECTION_NOTES, 1))
-    + "\n--- source text ---\n"
+    "Read the source text below and describe it for a colleague who will work on it tomorrow.\n\n"
+    "Your answer is one JSON object. Its keys, and what each is about:\n"
+    + "".join(f"- {json.dumps(key)}: {about}\n" for key, (_, about) in _GUIDE.items())
+    + "\nFor a small script the object might be:\n"
+    + json.dumps({key: shown for key, (shown, _) in _GUIDE.items()}, indent=1)
+    + "\n\n--- source text ---\n"
 )
 SUMMARY_SUFFIX = (
     "\n--- end of source text ---\n"
-    "Write for a developer who has not read the code, in your own words and without "
-    "quoting it, and give every key of the example."
+    "All twelve keys must be there; leave a value empty where the text has nothing to say. "
+    "Paraphrase, don't copy code."
 )
 
 COMMENT_SYSTEM = "You document source code."

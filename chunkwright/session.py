@@ -93,9 +93,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """A small input with fewer partitions than the cluster has cores is
-    spread round-robin, so the CPU-heavy stages after it (chunking, answer
-    parsing) use every core. Large inputs are left as they are."""
+    """An input with fewer partitions than the cluster has cores, whatever its
+    size, is spread round-robin, so the CPU-heavy stages after it (chunking,
+    answer parsing) use every core."""
     par = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(par) if df.rdd.getNumPartitions() < par else df
 

@@ -4,6 +4,8 @@ survey's rules, for comparison with the DataFrame operators."""
 import json
 from bisect import bisect_right
 
+from chunkwright.params import MAP_SECTIONS as MAPS, NONE_LIKE as NONE, TEXT_SECTIONS as TEXT
+
 
 def word_chunks(text: str, m: int) -> list[str]:
     """A chunk ends at the last break at most m characters on (the break opens
@@ -42,19 +44,19 @@ def json_incomplete(answer: str) -> bool:
     return balance != 0 or last != "}"
 
 
-TEXT = ("Overall Summary", "Module/Library Name", "Data Inputs", "Data Outputs", "Data Structures",
-        "Interfaces/APIs", "Error Handling/Logging")
-MAPS = ("Classes", "Functions/Methods", "Configuration/Environment Variables")
-NONE = ("none", "n/a", "")
-
-
 def stripped(value):
-    """value with the strings at every depth stripped, names kept as they are."""
-    if isinstance(value, str):
-        return value.strip()
-    if isinstance(value, list):
-        return [stripped(v) for v in value]
-    return {k: stripped(v) for k, v in value.items()} if isinstance(value, dict) else value
+    """value with the strings at every depth stripped, names kept as they are:
+    a copy, and a list of the containers still to look into."""
+    box = [json.loads(json.dumps(value))]
+    waiting = [box]
+    while waiting:
+        holder = waiting.pop()
+        for place in list(holder) if isinstance(holder, dict) else range(len(holder)):
+            if isinstance(holder[place], str):
+                holder[place] = holder[place].strip()
+            elif isinstance(holder[place], (list, dict)):
+                waiting.append(holder[place])
+    return box[0]
 
 
 def as_text(value) -> str:
