@@ -92,11 +92,12 @@ def plain_scores(docs, rounds, exchanged=lambda x: x):
     return out
 
 
-@pytest.mark.parametrize("rounds", [0, 1, hmm.ROUNDS])
+@pytest.mark.parametrize("rounds", [0, hmm.ROUNDS])
 def test_query_equals_the_plain_version(spark, monkeypatch, rounds):
     monkeypatch.setattr(hmm, "ROUNDS", rounds)
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").collect()]
-    want, exact = plain_scores(docs, rounds, short), plain_scores(docs, rounds)
+    want = plain_scores(docs, rounds, short)
+    exact = plain_scores(docs, rounds) if rounds else want
     got = entries.queries()["op2_hmm_score"](spark, SF_SMALL).collect()
     assert len(got) == len(want)
     for r in got:
