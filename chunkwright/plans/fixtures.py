@@ -20,14 +20,15 @@ def word_hint(chunk_text="chunk_text"):
 
 
 def _tries(chunks: DataFrame, n: int) -> DataFrame:
-    return chunks.select("*", F.explode(F.sequence(F.lit(1), F.lit(n))).alias("attempt")).withColumn(
+    """Each chunk n times, with its words, found once, before the tries."""
+    return chunks.withColumn("w", word_hint()).select("*", F.explode(F.sequence(F.lit(1), F.lit(n))).alias("attempt")).withColumn(
         "attempt", F.col("attempt").cast("bigint")
     )
 
 
 def summary_attempts(chunks: DataFrame, n: int = 5, with_errors: bool = False) -> DataFrame:
     """Tries 1..n per chunk. chunks: (rel_path, chunk_no, doc_id, source, chunk_text)."""
-    t = _tries(chunks, n).withColumn("w", word_hint())
+    t = _tries(chunks, n)
     d, c, a, s, w = (F.col(x) for x in ("doc_id", "chunk_no", "attempt", "source", "w"))
     n = F.length("chunk_text")
     case = (d + c + 3 * a) % 8
@@ -60,7 +61,7 @@ def summary_attempts(chunks: DataFrame, n: int = 5, with_errors: bool = False) -
 def comment_attempts(chunks: DataFrame, n: int = 3) -> DataFrame:
     """Comment-mode tries: a documented stand-in for the chunk, some call
     errors and some missing answers."""
-    t = _tries(chunks, n).withColumn("w", word_hint())
+    t = _tries(chunks, n)
     d, c, a, s, w = (F.col(x) for x in ("doc_id", "chunk_no", "attempt", "source", "w"))
     resp = F.concat(
         F.lit('"""'), w, F.lit('"""\n'), F.lit("def part_"), c.cast("string"), F.lit("():\n    return '"), s, F.lit("'\n")
