@@ -13,8 +13,10 @@ FRAME_BYTES = 100  # a file's fragment without its body, about
 
 
 def build_document(artifacts: DataFrame, title: str, escape: bool = True, path_col: str = "out_path") -> DataFrame:
-    """(sort_key, body) fragments; sorted by sort_key they make one HTML page."""
-    return document_fragments(artifacts, title, escape, path_col)
+    """(sort_key, body) fragments; sorted by sort_key they make one HTML page.
+    The artifacts are staged once: folders, links and bodies come from there."""
+    configure(artifacts.sparkSession)
+    return document_fragments(stage(artifacts.select(path_col, "body"), "artifacts"), title, escape, path_col)
 
 
 def save_document(artifacts: DataFrame, title: str, path: str, escape: bool = True, paths: DataFrame | None = None) -> None:

@@ -792,8 +792,8 @@ from ap"""
 
 @register("document_fragments", O.sql(*S_NODES, final=_fragments_sql()))
 def q_document_fragments(spark, sf):
-    from chunkwright.operators.hierarchy import document_fragments
-    return document_fragments(annotated_artifacts(spark, sf), DOC_TITLE)
+    from chunkwright.plans.document import build_document
+    return build_document(annotated_artifacts(spark, sf), DOC_TITLE)
 
 
 @register(
@@ -947,6 +947,5 @@ def q_summary_document(spark, sf):
     """The linked document over the summary artifacts (rows only: the bodies
     are json.dumps-formatted records, which the SQL engine cannot re-create
     byte for byte; the same operator is checked on annotated files)."""
-    from chunkwright.operators.hierarchy import document_fragments
-    arts = summary_run(spark, sf, with_errors=True).artifacts
-    return document_fragments(arts, "Project summary")
+    from chunkwright.plans.document import build_document
+    return build_document(summary_run(spark, sf, with_errors=True).artifacts, "Project summary")
