@@ -66,13 +66,14 @@ def drop_stage(df: DataFrame) -> None:
             path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def in_buckets(df: DataFrame, n: int, keys: list[str], name: str) -> DataFrame:
+def in_buckets(df: DataFrame, n: int, keys: list[str], name: str, sort: bool = False) -> DataFrame:
     """Rows already dealt by hash of the keys into n partitions, written as n
-    buckets and read back: a join or co-grouping on the keys doesn't shuffle
-    them again."""
+    buckets (sorted by the keys if asked for) and read back: a join or
+    co-grouping on the keys doesn't shuffle them again."""
     path = scratch_path(df.sparkSession, name)
     table = path.rsplit("/", 1)[1].replace("-", "_")
-    df.write.bucketBy(n, *keys).saveAsTable(table, format="parquet", path=path)
+    out = df.write.bucketBy(n, *keys)
+    (out.sortBy(*keys) if sort else out).saveAsTable(table, format="parquet", path=path)
     return df.sparkSession.read.table(table)
 
 
