@@ -13,13 +13,15 @@ distinct 5-word shingles (64-bit hashes of lower-cased words). No link is lost:
    n - ceil(n * PERCENT / 100) + 1 of each. Unmarked ones are shared by none.
    Of keys held by the same sets (told by a 128-bit hash of them) one stays,
    so a passage that a few sets share is one key instead of hundreds.
-4. Star rounds: the sets of a key are compared with one leader of the key, and
-   links are joined to components. A big group of near copies falls into one
-   component without its pairs ever being listed.
-5. What is left are keys whose sets lie in different components. Their sets
-   are streamed in order of size through count-vector R-trees (``counttree``),
-   which bound the overlap by summed coordinate minima; sets too small for all
-   that follow leave memory. Only pairs of different components come out.
+4. Candidates come from count-vector R-trees (``counttree``), which bound the
+   overlap by summed coordinate minima. First one leader of each key searches
+   the trees of the sets it shares keys with, and links are joined to
+   components: a big group of near copies falls into one component without
+   its pairs ever being listed.
+5. What is left are keys whose sets lie in different components. There every
+   set searches: a key's sets are streamed in order of size through trees,
+   sets too small for all that follow leave memory. Only pairs of different
+   components come out.
 6. Surviving pairs are verified on the sets; components are joined again.
 
 The R-tree alone can't part the work: boxes of unrelated points of one size
@@ -148,6 +150,41 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataF
     return pairs.join(right, "b").join(left, "a").select("a", "b", "na", "nb", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
+def tree_hits(tree: CountTree, sizes: np.ndarray, fine: list[np.ndarray], n: int, own: np.ndarray, percent: int) -> np.ndarray:
+    """The points of the tree (with these sizes and counts) whose bound allows
+    a link with a set of size n and counts own."""
+    hit = tree.search(_coarse(own), n, percent)
+    if n >= FINE_SIZE and len(hit):  # the same bound over more groups
+        bound = np.array([np.minimum(fine[j], own).sum() if sizes[j] >= FINE_SIZE else sizes[j] for j in hit])
+        hit = hit[bound >= needed(sizes[hit], n, percent)]
+    return hit
+
+
+def star_pairs(pairs: DataFrame, vectors: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """pairs (lead, node, lead_n, n) -> distinct pairs (a, b) of nodes whose
+    count vectors allow a link: each leader searches the trees of the sets it
+    meets. A leader's sets need not lie in one task, each batch has its tree."""
+
+    def run(batches):
+        for batch in batches:
+            lead, node, lead_n, n = (batch.column(c).to_numpy() for c in ("lead", "node", "lead_n", "n"))
+            counts, own = (batch.column(c).to_pylist() for c in ("counts", "lead_counts"))
+            order = np.argsort(lead, kind="stable")
+            a, b = [], []
+            for rows in np.split(order, np.flatnonzero(np.diff(lead[order])) + 1) if len(order) else []:
+                fine = [_unpacked(counts[i], n[i]) for i in rows]
+                tree = CountTree(np.stack([_coarse(c) for c in fine]), n[rows])
+                hit = rows[tree_hits(tree, n[rows], fine, int(lead_n[rows[0]]), _unpacked(own[rows[0]], lead_n[rows[0]]), percent)]
+                a.append(np.minimum(lead[hit], node[hit]))
+                b.append(np.maximum(lead[hit], node[hit]))
+            if a:
+                yield pa.RecordBatch.from_pydict({"a": pa.array(np.concatenate(a), pa.int64()), "b": pa.array(np.concatenate(b), pa.int64())})
+
+    leads = vectors.select(F.col("node").alias("lead"), F.col("counts").alias("lead_counts"))
+    met = pairs.join(vectors, "node").join(leads, "lead").select("lead", "node", "lead_n", "n", "counts", "lead_counts")
+    return met.mapInArrow(run, "a long, b long").distinct()
+
+
 def tree_pairs(rows: DataFrame, percent: int = PERCENT) -> DataFrame:
     """rows (key, n, node, root, counts) -> distinct pairs (a, b) of nodes of
     one key but different roots whose count vectors allow a link."""
@@ -161,18 +198,15 @@ def tree_pairs(rows: DataFrame, percent: int = PERCENT) -> DataFrame:
                 return None
             n, node, root = (np.array([c[i] for c in chunk]) for i in range(3))
             fine = [_unpacked(c[3], c[0]) for c in chunk]
-            counts = np.stack([c.reshape(GROUPS, -1).sum(1, dtype=np.int32) for c in fine])
+            counts = np.stack([_coarse(c) for c in fine])
             while trees and trees[0][1].max() * 100 < percent * n[0]:
                 trees.pop(0)  # too small for everything to come
             trees.append((CountTree(counts, n), n, node, root, fine))
             a, b = [], []
             for tree, size, other, its_root, its_fine in trees:
                 for i in range(len(n)):
-                    hit = tree.search(counts[i], int(n[i]), percent)
+                    hit = tree_hits(tree, size, its_fine, int(n[i]), fine[i], percent)
                     hit = hit[its_root[hit] != root[i]]
-                    if n[i] >= FINE_SIZE and len(hit):  # the same bound over more groups
-                        bound = np.array([np.minimum(its_fine[j], fine[i]).sum() if size[j] >= FINE_SIZE else size[j] for j in hit])
-                        hit = hit[bound >= needed(size[hit], n[i], percent)]
                     a.append(np.minimum(other[hit], node[i]))
                     b.append(np.maximum(other[hit], node[i]))
             chunk.clear()
@@ -222,6 +256,10 @@ def _unpacked(counts: bytes, n: int) -> np.ndarray:
     return np.frombuffer(counts, f"<u{len(counts) // groups}").astype(np.int32)
 
 
+def _coarse(counts: np.ndarray) -> np.ndarray:
+    return counts.reshape(GROUPS, -1).sum(1, dtype=np.int32)
+
+
 def linked_components(sets: DataFrame, percent: int = PERCENT, stars: int = STARS) -> DataFrame:
     """(node, root) of all nodes with a link. sets: node, n, tokens."""
     keys = prefix_keys(sets, percent)
@@ -229,6 +267,7 @@ def linked_components(sets: DataFrame, percent: int = PERCENT, stars: int = STAR
     many = keys.groupBy("key").agg(F.count(F.lit(1)).alias("size"), *members).where("size > 1")
     many = many.groupBy("size", "m0", "m1").agg(F.min("key").alias("key"))  # keys of the same nodes give the same pairs
     keys = stage(keys.join(many.select("key"), "key", "left_semi"), "keys")
+    vectors = stage_by(count_vectors(sets), "node", "vectors")
     total, roots, links = keys.count(), None, None
 
     def with_roots() -> DataFrame:
@@ -256,10 +295,11 @@ def linked_components(sets: DataFrame, percent: int = PERCENT, stars: int = STAR
         lead = groups.select("key", "size").join(lead, "key")
         met = join_groups(rows, lead, ["key"], "size", total).where("root <> lead.root")
         met = met.where((100 * F.least("n", "lead.n") >= percent * F.greatest("n", "lead.n")))
-        link(stage(met.select(F.least("node", "lead.node").alias("a"), F.greatest("node", "lead.node").alias("b")).distinct(), "pairs"))
+        met = met.select(F.col("lead.node").alias("lead"), "node", F.col("lead.n").alias("lead_n"), "n").distinct()
+        link(stage(star_pairs(met, vectors, percent), "pairs"))
     rows, groups = mixed()
     rest = join_groups(rows, groups.select("key", "size"), ["key"], "size", total).drop("size")
-    link(stage(tree_pairs(rest.join(count_vectors(sets), "node"), percent), "pairs"))
+    link(stage(tree_pairs(rest.join(vectors, "node"), percent), "pairs"))
     return roots
 
 
