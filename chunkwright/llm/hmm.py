@@ -42,14 +42,18 @@ from chunkwright.llm.words import mix64, split_words, text_groups, word_groups
 
 SMOOTH = 0.1
 OWN = 2  # a word seen this often has emissions of its own
-BLOCK_WORDS, GROUP_BYTES = 1 << 15, 24 << 20
+BLOCK_WORDS, GROUP_BYTES = 1 << 15, 8 << 20
 SIDE_BY_SIDE = 1024  # groups that look up a block together
 SPREAD = 256  # rows the shared sums are gathered in
 STATES, SEGMENT, SLAB = 8, 128, 1024
 ROUNDS = 4
 PRIOR = 200.0  # strength of the base distribution in each state's emissions
 LN10 = np.log(10.0)
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+CONF = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",  # a round's shuffles are of no use after it
+    # zstd works through a stream; snappy holds direct buffers as large as the largest page, outside the heap
+    "spark.sql.parquet.compression.codec": "zstd",
+}
 
 
 def split_bucket(id_col: str = "doc_id") -> Column:
@@ -508,8 +512,9 @@ def score_digest(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     vocab = vocabulary(counts, ends)
     n = max(1, -(-vocab.distinct // block_words))
     blocks = word_blocks(counts, n)
-    before = spark.conf.get(CLEANUP, "false")
-    spark.conf.set(CLEANUP, "true")  # a round's shuffles are of no use after it
+    before = {k: spark.conf.get(k) for k in CONF}
+    for k, v in CONF.items():
+        spark.conf.set(k, v)
     try:
         rows = encoded(docs.select(F.col("doc_id").cast("long").alias("doc_id"), (bucket == 0).alias("held_out"), "text"), n)
         texts = prepared(rows, blocks, vocab)
@@ -520,5 +525,6 @@ def score_digest(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
             last, model = model, next_model(texts, refs, blocks, model, vocab)
             drop_stage(last.words)
     finally:
-        spark.conf.set(CLEANUP, before)
+        for k, v in before.items():
+            spark.conf.set(k, v)
     return score(texts, refs, model, vocab)
