@@ -10,18 +10,21 @@ two.
 
 The distinct words of a batch are sorted, so going through them is a
 depth-first walk of their trie: the states of the prefix shared with the word
-before stay on the stack and are computed once.
+before stay on the stack and are computed once. Only the lengths that tokens
+with the same last ``SUFFIX`` bytes have are tried, the longest first.
 
 Edge cases: a null or empty text has no tokens; the special token's string in
 a text is that token, as in the library; very long texts and words are whole;
 repeated rows are encoded alike; an empty table gives an empty result. Between
-batches a bounded cache of word encodings is kept and dropped when full.
+batches a bounded cache of word encodings is kept; when it is full, only the
+words of the batch at hand stay.
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
+from array import array
 from collections.abc import Iterable
 
 import numpy as np
@@ -31,6 +34,7 @@ from pyspark.sql import functions as F
 
 CACHE_WORDS = 300_000
 PAIRS = 500_000  # compatibility results kept
+SUFFIX = 3  # bytes
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""  # fixed: the vocabulary's pre-tokeniser
 
 
@@ -59,8 +63,8 @@ class Bpe:
         import regex
 
         spec = json.load(open(path, encoding="utf-8"))
-        letters = _byte_letters()
-        raw = lambda s: bytes(letters[c] for c in s)
+        letters = {ord(c): b for c, b in _byte_letters().items()}
+        raw = lambda s: s.translate(letters).encode("latin-1")
         self.ids = {raw(t): i for t, i in spec["model"]["vocab"].items()}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         size = max([*self.ids.values(), *self.special.values()]) + 1
@@ -69,7 +73,6 @@ class Bpe:
             self.bytes[i] = t
         for t, i in self.special.items():
             self.bytes[i] = t.encode()
-        self.ids = {t: i for t, i in self.ids.items()}
         # merge (left, right) -> (rank, id), and how each token was made
         self.merge, self.halves = {}, {}
         for rank, pair in enumerate(spec["model"]["merges"]):
@@ -78,7 +81,7 @@ class Bpe:
             left, right, whole = self.ids[a], self.ids[b], self.ids[a + b]
             self.merge[left, right] = (rank, whole)
             self.halves.setdefault(whole, (left, right, rank))
-        self.longest = max(map(len, self.ids))
+        self.sizes = self._sizes()
         self.lengths = np.array([len(b) for b in self.bytes], np.int64)
         self.starts = np.concatenate(([0], np.cumsum(self.lengths)))
         self.flat = np.frombuffer(b"".join(self.bytes), np.uint8)
@@ -87,6 +90,17 @@ class Bpe:
         self.pairs: dict[tuple[int, int], bool] = {}
         self.cache: dict[str, bytes] = {}
 
+    def _sizes(self) -> dict[bytes, tuple[int, ...]]:
+        """By the last bytes of a prefix (up to SUFFIX of them), the lengths of
+        the tokens that can end there, longest first."""
+        sizes: dict[bytes, set[int]] = {}
+        for token in self.ids:
+            sizes.setdefault(token[-SUFFIX:], set()).add(len(token))
+        for end in sorted(sizes, key=len):
+            if len(end) > 1:  # and those of the tokens inside the suffix
+                sizes[end] |= next((sizes[end[i:]] for i in range(1, len(end)) if end[i:] in sizes), set())
+        return {end: tuple(sorted(n, reverse=True)) for end, n in sizes.items()}
+
     def compatible(self, left: int, right: int) -> bool:
         """Does byte-pair merging of the two tokens' bytes give these two? The
         merges inside each are undone from the highest rank down; a merge that
@@ -120,8 +134,8 @@ class Bpe:
 
     def encode_words(self, words: Iterable[bytes]) -> dict[bytes, list[int]]:
         """Encodings of distinct words, by a depth-first walk of their trie."""
-        ids, longest, compatible = self.ids, self.longest, self.compatible
-        lengths = self.lengths
+        ids, sizes, pairs, compatible = self.ids.get, self.sizes.get, self.pairs.get, self.compatible
+        lengths = self.lengths.tolist()
         last: list[int] = [-1]  # last token of each prefix of the current path
         out, before = {}, b""
         for word in sorted(words):
@@ -131,16 +145,27 @@ class Bpe:
                 shared += 1
             del last[shared + 1 :]
             for end in range(shared + 1, n + 1):
-                for start in range(max(0, end - longest), end):
-                    token = ids.get(word[start:end])
-                    if token is not None and (start == 0 or compatible(last[start], token)):
-                        last.append(token)
+                low = end - SUFFIX if end > SUFFIX else 0
+                tried = sizes(word[low:end])
+                while tried is None:
+                    low += 1
+                    tried = sizes(word[low:end])
+                for size in tried:
+                    start = end - size
+                    if start < 0 or (token := ids(word[start:end])) is None:
+                        continue
+                    if start == 0:
+                        break
+                    left = last[start]
+                    fits = pairs((left, token))
+                    if fits or (fits is None and compatible(left, token)):
                         break
+                last.append(token)
             tokens, at = [], n
             while at:
                 t = last[at]
                 tokens.append(t)
-                at -= int(lengths[t])
+                at -= lengths[t]
             tokens.reverse()
             out[word], before = tokens, word
         return out
@@ -152,16 +177,17 @@ class Bpe:
             parts = self.splitter.split(text) if self.splitter and any(s in text for s in self.special) else [text]
             split.append([p for i, part in enumerate(parts) for p in ([part] if i % 2 else self.pieces(part))])
         special = {s: np.uint32(i).tobytes() for s, i in self.special.items()}
-        new = {p for pieces in split for p in pieces} - cache.keys()
+        here = set().union(*split)
+        new = here - cache.keys()
         if len(cache) + len(new) > CACHE_WORDS:
+            kept = {p: cache[p] for p in here - new}
             cache.clear()
-            new = {p for pieces in split for p in pieces}
+            cache.update(kept)
         new -= special.keys()
-        found = self.encode_words(p.encode() for p in new)
-        for word, tokens in found.items():
-            cache[word.decode()] = np.array(tokens, "<u4").tobytes()
+        for word, tokens in self.encode_words(p.encode() for p in new).items():
+            cache[word.decode()] = array("I", tokens).tobytes()
         cache.update(special)
-        return [np.frombuffer(b"".join([cache[p] for p in pieces]), "<u4") for pieces in split]
+        return [np.frombuffer(b"".join(map(cache.__getitem__, pieces)), "<u4") for pieces in split]
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of token ids; bytes that are no UTF-8 become U+FFFD."""
