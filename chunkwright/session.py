@@ -18,6 +18,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # A Python worker holds a batch several times over (Arrow, strings, result);
+    # Spark's 64 MB of 10,000 rows fill up as the input grows.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
 }
 
 
